@@ -150,8 +150,7 @@ TABLES = {
         FROM {part} WHERE p_type <> 'PROMO' GROUP BY p_type
         UNION ALL SELECT p_type, 'P-more', max(p_partkey) + 1000000000 FROM {part}
         WHERE p_type = 'SMALL' GROUP BY p_type""",
-    "channel": """SELECT s_name AS shop, concat('CH-', r_name) AS channel FROM {supplier}
-        JOIN {nation} ON s_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey""",
+    "channel": """SELECT s_name AS shop, concat('CH-', CAST(s_nationkey AS STRING)) AS channel FROM {supplier}""",
     "size_rule": """SELECT DISTINCT concat(CAST(p_size AS STRING), ' (cm)') AS spec,
         CASE WHEN p_size < 20 THEN 'S' ELSE 'L' END AS spec_final FROM {part}
         UNION ALL SELECT DISTINCT CAST(p_size AS STRING), CASE WHEN p_size < 20 THEN 'S' ELSE 'L' END FROM {part}""",
@@ -159,24 +158,23 @@ TABLES = {
 }
 
 
-def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in SOURCE_TABLES}
-
-
 class Inputs(dict):
     """Logical tables, built when they are asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__()
         self.spark, self.sf_dir = spark, sf_dir
+        self._raw: dict[str, DataFrame] = {}
+
+    def raw(self, table: str) -> DataFrame:
+        """One of the synthetic tables."""
+        if table not in self._raw:
+            self._raw[table] = self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+        return self._raw[table]
 
     def __missing__(self, name: str) -> DataFrame:
         text = TABLES[name]
-        used = {
-            t: self.spark.read.parquet(f"{self.sf_dir}/{t}.parquet")
-            for t in SOURCE_TABLES
-            if "{" + t + "}" in text
-        }
+        used = {t: self.raw(t) for t in SOURCE_TABLES if "{" + t + "}" in text}
         self[name] = self.spark.sql(text, **used)
         return self[name]
 

@@ -59,26 +59,22 @@ def report(name: str, fn: Callable[..., DataFrame], **params) -> None:
     QUERIES[name] = lambda spark, sf_dir: _date_texts(fn(Inputs(spark, sf_dir), **params))
 
 
-def _raw(x: Inputs, table: str) -> DataFrame:
-    return x.spark.read.parquet(f"{x.sf_dir}/{table}.parquet")
-
-
 # --- sources, projections, filters
 
 
 @operator
 def s3_pruned_read(x):
-    return _raw(x, "lineitem").select("l_partkey", "l_quantity")
+    return x.raw("lineitem").select("l_partkey", "l_quantity")
 
 
 @operator
 def p1_conform(x):
-    return P.conform(_raw(x, "part"), ["p_name", "missing", "p_partkey", "p_size"])
+    return P.conform(x.raw("part"), ["p_name", "missing", "p_partkey", "p_size"])
 
 
 @operator
 def p2_p3_rename_drop(x):
-    df = _raw(x, "supplier").withColumnsRenamed({"s_name": "shop", "s_suppkey": "shop_id"})
+    df = x.raw("supplier").withColumnsRenamed({"s_name": "shop", "s_suppkey": "shop_id"})
     return P.drop_columns(df, "s_acctbal", positions=[2])
 
 
@@ -99,7 +95,7 @@ def p8_in_list(x):
 
 @operator
 def p10_any_nonzero(x):
-    df = P.fill(_raw(x, "lineitem"), ["l_discount", "l_tax"]).filter(
+    df = P.fill(x.raw("lineitem"), ["l_discount", "l_tax"]).filter(
         P.any_nonzero(["l_discount", "l_tax"])
     )
     return df.groupBy("l_linestatus").agg(F.count(F.lit(1)).alias("n"))
@@ -155,7 +151,7 @@ def p17_map_default(x):
 @operator
 def p18_null_tokens(x):
     tokens = F.when(F.col("l_returnflag") == "N", F.lit(" nan ")).otherwise(F.col("l_returnflag"))
-    return _raw(x, "lineitem").groupBy(T.null_tokens(tokens).alias("flag")).agg(
+    return x.raw("lineitem").groupBy(T.null_tokens(tokens).alias("flag")).agg(
         F.count(F.lit(1)).alias("n")
     )
 
@@ -289,7 +285,8 @@ def a11_first_hot_day(x):
         T.join_key("style_code", T.color_of("color_spec")).alias("skc"),
         D.day_of("date").alias("date"), "sold_qty",
     )
-    return A.first_day_above(lines, "skc", "date", "sold_qty", 10, "first_day")
+    daily = A.group_sum(lines, ["skc", "date"], ["sold_qty"])
+    return A.first_day_above(daily, "skc", "date", "sold_qty", 10, "first_day")
 
 
 @operator
@@ -525,7 +522,7 @@ def f16_age_bins(x):
 
 @operator
 def f18_round_even(x):
-    return _raw(x, "part").select(
+    return x.raw("part").select(
         "p_partkey",
         N.round_even(F.col("p_size") / 8, 2).alias("a"),
         N.round_even(F.col("p_retailprice") / 8, 2).alias("b"),

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +12,11 @@ from pyspark.sql import functions as F
 from skuloom.functions.numeric import ratio, round_even, total
 
 
+def all_present(columns: Sequence[str]) -> Column:
+    """True where none of the columns is null; reaches the scan, unlike dropna."""
+    return reduce(and_, [F.col(c).isNotNull() for c in columns])
+
+
 def group_sum(
     df: DataFrame,
     keys: Sequence[str],
@@ -20,7 +27,7 @@ def group_sum(
     if not isinstance(measures, Mapping):
         measures = {m: m for m in measures}
     if not keep_null_keys:
-        df = df.dropna(subset=list(keys))
+        df = df.filter(all_present(keys))
     return df.groupBy(*keys).agg(*[total(src).alias(name) for src, name in measures.items()])
 
 
@@ -51,15 +58,10 @@ def weighted_mean(
 
 
 def first_day_above(
-    df: DataFrame, key: str, day: str, measure: str, threshold: float, name: str
+    daily: DataFrame, key: str, day: str, measure: str, threshold: float, name: str
 ) -> DataFrame:
-    """Earliest day per key on which the daily sum exceeds a threshold."""
-    return (
-        group_sum(df, [key, day], [measure])
-        .filter(F.col(measure) > threshold)
-        .groupBy(key)
-        .agg(F.min(day).alias(name))
-    )
+    """Earliest day per key on which the daily sum, as given, exceeds a threshold."""
+    return daily.filter(F.col(measure) > threshold).groupBy(key).agg(F.min(day).alias(name))
 
 
 def dense_grid(
@@ -95,7 +97,7 @@ def dense_grid(
         ]
     )
     return (
-        df.dropna(subset=[key])
+        df.filter(F.col(key).isNotNull())
         .groupBy(key)
         .agg(*cells)
         .select(key, F.inline(rows))

@@ -9,6 +9,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Under this size of all inputs of the left side, no key can hold too much of it.
+SPLIT_BYTES = 1 << 30
 # A key is split once it has more rows than this, and more than its share of all rows.
 SPLIT_ROWS = 1_000_000
 # Bound on the number of split keys, hence on the rows of the broadcast key table.
@@ -21,6 +23,12 @@ def fits_broadcast(df: DataFrame) -> bool:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= limit
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Spark's size estimate of all the tables a DataFrame reads."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+
+
 def _null_safe(pairs: Sequence[tuple[str, str]]) -> Column:
     return reduce(and_, [F.col(a).eqNullSafe(F.col(b)) for a, b in pairs])
 
@@ -30,7 +38,7 @@ def lookup(
     dim: DataFrame,
     on: Mapping[str, str] | Sequence[str],
     take: Mapping[str, str] | Sequence[str],
-    split_rows: int = SPLIT_ROWS,
+    keys_from: DataFrame | None = None,
     spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Left join that adds columns of a lookup table.
@@ -40,8 +48,8 @@ def lookup(
     `dim` to the names they get.
 
     A small table is left to Spark, which broadcasts it under its threshold. A
-    larger one is joined by shuffle, with the frequent keys of `df` split: see
-    `split_join`.
+    larger one is joined by shuffle; if the left side is large as well, its
+    frequent keys are split: see `split_join`, also for the last two parameters.
     """
     on = dict(on) if isinstance(on, Mapping) else {c: c for c in on}
     take = dict(take) if isinstance(take, Mapping) else {c: c for c in take}
@@ -53,10 +61,10 @@ def lookup(
         *[F.col(right).alias(key) for (_, key), right in zip(pairs, on.values())],
         *[F.col(src).alias(name) for src, name in take.items()],
     )
-    if fits_broadcast(side):
+    if input_bytes(df) <= SPLIT_BYTES or fits_broadcast(side):
         joined = df.join(side, _null_safe(pairs), "left")
     else:
-        joined = split_join(df, side, pairs, split_rows, spread_by)
+        joined = split_join(df, side, pairs, SPLIT_ROWS, keys_from, spread_by)
     return joined.select(*df.columns, *take.values())
 
 
@@ -65,19 +73,24 @@ def split_join(
     side: DataFrame,
     pairs: Sequence[tuple[str, str]],
     split_rows: int = SPLIT_ROWS,
+    keys_from: DataFrame | None = None,
     spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Null-safe left join in which frequent keys of the left side are split.
 
     One pass over the key columns counts the rows per key. A key with more than
     `split_rows` rows, and more than 1/MAX_SPLIT_KEYS of all rows, is cut into
-    parts by a hash of the row; the matching rows of `side` are repeated for
-    every part. The part is a function of the row, so a task that runs again
-    puts each row where it was before.
+    parts by a hash of the row (of its columns `spread_by`); the matching rows of
+    `side` are repeated for every part. The part is a function of the row, so a
+    task that runs again puts each row where it was before.
+
+    The counts only steer the work, any row finds its partners whatever they
+    say. So they can be taken from an earlier stage of `df`, given as
+    `keys_from`, where the key columns have the same names.
     """
     left_keys = [left for left, _ in pairs]
     hot_names = [f"_hot{i}" for i in range(len(pairs))]
-    counts = df.groupBy(*[F.col(c).alias(h) for c, h in zip(left_keys, hot_names)]).agg(
+    counts = (df if keys_from is None else keys_from).groupBy(*[F.col(c).alias(h) for c, h in zip(left_keys, hot_names)]).agg(
         F.count(F.lit(1)).alias("_rows")
     )
     share = F.ceil(counts.agg(F.sum("_rows")).scalar() / MAX_SPLIT_KEYS)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skuloom.functions.numeric import UNIT, units
+from skuloom.operators.aggregates import all_present
 
 
 def spread_sum(
@@ -20,7 +21,7 @@ def spread_sum(
     """
     names = [str(v) for v in values]
     wide = (
-        df.dropna(subset=[*keys, by])
+        df.filter(all_present([*keys, by]))
         .filter(F.col(by).isin(*values))
         .select(*keys, by, units(measure).alias("_units"))
         .groupBy(*keys)
@@ -49,7 +50,7 @@ def spread_flag(
     """One column per combination of `by` that says whether any row is flagged."""
     names = ["_".join(v) for v in values]
     wide = (
-        df.dropna(subset=[*keys, *by])
+        df.filter(all_present([*keys, *by]))
         .withColumn("_by", F.concat_ws("_", *by))
         .groupBy(*keys)
         .pivot("_by", names)
@@ -108,7 +109,7 @@ def observed(df: DataFrame, column: str, limit: int) -> list:
 
     Raises when there are more than `limit`, as a wide table would be too wide.
     """
-    rows = df.select(column).dropna().distinct().orderBy(column).limit(limit + 1).collect()
+    rows = df.select(column).filter(F.col(column).isNotNull()).distinct().orderBy(column).limit(limit + 1).collect()
     if len(rows) > limit:
         raise ValueError(f"{column} has more than {limit} values; pass a list of them")
     return [r[0] for r in rows]

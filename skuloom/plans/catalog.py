@@ -11,7 +11,7 @@ from skuloom import constants as K
 from skuloom.functions.dates import parse_ts
 from skuloom.functions.numeric import zero
 from skuloom.functions.text import code, join_key, strip_brackets, unescape_plus
-from skuloom.operators.aggregates import group_sum
+from skuloom.operators.aggregates import all_present, group_sum
 from skuloom.operators.joins import keep_matching, lookup
 from skuloom.operators.projection import any_nonzero, conform, differs, union_all
 from skuloom.operators.windows import keep_one
@@ -44,7 +44,7 @@ def skc_sums(
     """
     lines = lines.withColumn("sku", code("sku"))
     if keys:
-        lines = lines.dropna(subset=list(keys))
+        lines = lines.filter(all_present(keys))
     per_sku = group_sum(lines, [*keys, "sku"], measures, keep_null_keys=True)
     with_skc = lookup(per_sku, sku_to_skc(catalog), ["sku"], ["skc"])
     return group_sum(with_skc, [*keys, "skc"], measures)

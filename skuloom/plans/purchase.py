@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skuloom import constants as K
 from skuloom.functions.dates import elapsed_days, parse_ts
-from skuloom.functions.numeric import ratio, round_even, to_number
+from skuloom.functions.numeric import UNIT, ratio, round_even, to_number, units
 from skuloom.functions.text import head_of, join_key, label, matches, tags, tail_of, text_key
 from skuloom.operators.aggregates import group_sum, weighted_mean
 from skuloom.operators.joins import lookup
@@ -38,42 +38,50 @@ def purchase_lines(inputs: Inputs) -> DataFrame:
     )
 
 
-def skc_tags(lines: DataFrame) -> DataFrame:
-    """The tags that occur with an SKC, one row each."""
-    return lines.select("skc", tags("remark").alias("tag")).distinct()
+def tagged_totals(lines: DataFrame) -> DataFrame:
+    """All received quantity of an SKC, one row for each tag that occurs with it."""
+    # an SKC has four tags at most, so the window sees up to four rows of it
+    per_tag = group_sum(
+        lines.withColumn("tag", tags("remark")), ["skc", "tag"], ["received_qty"]
+    )
+    whole = Window.partitionBy("skc")
+    return per_tag.select(
+        "skc",
+        "tag",
+        (F.sum(units("received_qty")).over(whole) / F.lit(float(UNIT))).alias("received_qty"),
+    )
 
 
-def _purchase_rows(inputs: Inputs) -> DataFrame:
-    lines = purchase_lines(inputs)
-    grouped = group_sum(
+def _purchase_rows(lines: DataFrame) -> DataFrame:
+    return group_sum(
         _usable(lines).withColumn("po_date", parse_ts("po_date", strict=True)),
         ["skc", "po_date", "supplier"],
         ["po_qty", "received_qty"],
     )
-    received = group_sum(lines, ["skc"], {"received_qty": "all_received_qty"})
-    return lookup(grouped, received, ["skc"], ["all_received_qty"])
 
 
 def purchase_history(inputs: Inputs) -> DataFrame:
     """Ordered and received quantity per SKC, date and supplier, with the SKC's total."""
-    return _purchase_rows(inputs).orderBy(F.asc("skc"), F.desc("po_date"), F.asc("supplier"))
+    lines = purchase_lines(inputs)
+    received = group_sum(lines, ["skc"], {"received_qty": "all_received_qty"})
+    out = lookup(_purchase_rows(lines), received, ["skc"], ["all_received_qty"])
+    return out.orderBy(F.asc("skc"), F.desc("po_date"), F.asc("supplier"))
 
 
 def received_with_tags(inputs: Inputs) -> DataFrame:
     """Received quantity per SKC, one row for each tag of the SKC."""
-    lines = purchase_lines(inputs)
-    received = group_sum(lines, ["skc"], ["received_qty"])
-    return lookup(received, skc_tags(lines), ["skc"], ["tag"])
+    return tagged_totals(purchase_lines(inputs)).select("skc", "received_qty", "tag")
 
 
 def first_purchase(inputs: Inputs) -> DataFrame:
     """Earliest purchase row per SKC, one row for each tag of the SKC."""
+    lines = purchase_lines(inputs)
     first = keep_one(
-        _purchase_rows(inputs),
-        ["skc"],
-        [F.col("po_date").asc(), F.col("supplier").desc()],
+        _purchase_rows(lines), ["skc"], [F.col("po_date").asc(), F.col("supplier").desc()]
+    )
+    return lookup(
+        first, tagged_totals(lines), ["skc"], {"received_qty": "all_received_qty", "tag": "tag"}
     )
-    return lookup(first, skc_tags(purchase_lines(inputs)), ["skc"], ["tag"])
 
 
 def receipt_days(inputs: Inputs) -> DataFrame:
@@ -113,19 +121,17 @@ def po_lead_time(inputs: Inputs) -> DataFrame:
             "po_date": parse_ts("po_date", strict=True),
         }
     )
-    # one pass per order: the statuses (two at most) and the first completion time
+    # per order: the statuses (two at most) and the first completion time
     position = F.struct("_ord", "completed_at")
-    orders = (
-        lines.select("po_no", "status", "completed_at", "_ord")
-        .groupBy("po_no")
-        .agg(
-            F.collect_set("status").alias("_statuses"),
-            F.min_by("completed_at", F.when(F.col("completed_at").isNotNull(), position)).alias(
-                "_first_completed"
-            ),
-        )
+    orders = lines.groupBy("po_no").agg(
+        F.collect_set("status").alias("_statuses"),
+        F.min_by("completed_at", F.when(F.col("completed_at").isNotNull(), position)).alias(
+            "_first_completed"
+        ),
+    )
+    out = lookup(
+        lines, orders, ["po_no"], ["_statuses", "_first_completed"], spread_by=["po_sku", "_ord"]
     )
-    out = lookup(lines, orders, ["po_no"], ["_statuses", "_first_completed"])
     out = out.withColumn(
         "completed_at",
         # lines without an order number keep their own time
@@ -137,8 +143,19 @@ def po_lead_time(inputs: Inputs) -> DataFrame:
         "_statuses", "_first_completed"
     )
 
+    # a line counts once for each status of its order; sums first, then that factor
+    per_order = group_sum(
+        lines,
+        ["po_no", "po_skc"],
+        {"received_qty": "_received", "po_qty": "_ordered"},
+        keep_null_keys=True,
+    )
+    factors = orders.select("po_no", F.size("_statuses").alias("_factor"))
+    per_order = lookup(per_order, factors, ["po_no"], ["_factor"]).withColumns(
+        {m: F.col(m) * F.col("_factor") for m in ("_received", "_ordered")}
+    )
     completion = (
-        group_sum(out, ["po_skc"], {"received_qty": "_received", "po_qty": "_ordered"})
+        group_sum(per_order, ["po_skc"], ["_received", "_ordered"])
         .select(
             "po_skc",
             F.coalesce(ratio("_received", "_ordered", 2), F.lit(0.0)).alias("completion_ratio"),
@@ -151,9 +168,12 @@ def po_lead_time(inputs: Inputs) -> DataFrame:
     # one row per category: the first
     plan = keep_one(inputs["category"], ["category"], ["_ord"])
 
-    out = lookup(out, receipt_days(inputs), ["po_sku"], ["avg_receipt_days", "receipt_qty"])
-    out = lookup(out, plan, ["category"], ["plan_category"])
-    out = lookup(out, completion, ["po_skc"], ["completion_ratio", "done"])
+    # keys are counted in the lines as read, not once more behind each join
+    steer = {"keys_from": lines, "spread_by": ["po_skc", "po_sku", "_ord"]}
+    days = ["avg_receipt_days", "receipt_qty"]
+    out = lookup(out, receipt_days(inputs), ["po_sku"], days, **steer)
+    out = lookup(out, plan, ["category"], ["plan_category"], **steer)
+    out = lookup(out, completion, ["po_skc"], ["completion_ratio", "done"], **steer)
     return out.withColumn(
         "po_sku", F.when(F.col("po_sku") == "nan", F.lit("")).otherwise(F.col("po_sku"))
     ).drop("_ord")

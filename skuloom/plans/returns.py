@@ -12,7 +12,7 @@ from skuloom import constants as K
 from skuloom.functions.dates import day_of, day_text, elapsed_days, parse_ts
 from skuloom.functions.numeric import UNIT, ratio, units, zero
 from skuloom.functions.text import color_of, join_key, strip
-from skuloom.operators.aggregates import group_sum
+from skuloom.operators.aggregates import all_present, group_sum
 from skuloom.operators.joins import lookup
 from skuloom.operators.projection import differs
 from skuloom.operators.reshape import metrics_to_rows, observed, spread_metrics
@@ -132,7 +132,9 @@ def refund_lines(inputs: Inputs, excluded_streamer: str | None = None) -> DataFr
 
 def refund_curve(inputs: Inputs, excluded_streamer: str | None = None) -> DataFrame:
     """Refund-only quantity by days since payment, with running sum and shares."""
-    lines = refund_lines(inputs, excluded_streamer).dropna(subset=["paid_date", "skc"])
+    lines = refund_lines(inputs, excluded_streamer).filter(
+        all_present(["paid_date", "skc"])
+    )
     day = ["paid_date", "skc"]
 
     # refunds without a claim time count in the total of the day only

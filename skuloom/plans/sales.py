@@ -51,6 +51,7 @@ def sales_detail(inputs: Inputs, sep: str = "+") -> DataFrame:
             "streamer_id": id_head("streamer_id"),
         }
     )
+    base = lines
     lines = lookup(lines, sku_to_skc(inputs["catalog"]), {"_sku": "sku"}, ["skc"])
     own = (
         F.col("skc").isNull()
@@ -69,11 +70,15 @@ def sales_detail(inputs: Inputs, sep: str = "+") -> DataFrame:
             "spec": F.when(own, tail_of("color_spec")),
         }
     )
-    lines = lookup(lines, inputs["channel"], ["shop"], ["channel"])
+    lines = lookup(lines, inputs["channel"], ["shop"], ["channel"], keys_from=base)
     lines = conform(fill(lines, ["sold_qty"]), SALES_DETAIL_COLUMNS)
     module = inputs["module"].select("module", id_head("uid").alias("uid"))
     out = lookup(
-        lines, module.withColumn("_uid", F.col("uid")), {"streamer_id": "_uid"}, ["module", "uid"]
+        lines,
+        module.withColumn("_uid", F.col("uid")),
+        {"streamer_id": "_uid"},
+        ["module", "uid"],
+        keys_from=base,
     )
     return fill(out, ["streamer_id"], "")
 
@@ -95,10 +100,23 @@ def shipped_detail(inputs: Inputs, normalise_stock: bool = False) -> DataFrame:
     stock = stock_by_sku(inputs)
     if normalise_stock:
         stock = stock.withColumn("sku", code("sku"))
-    lines = lookup(lines, inputs["channel"], ["shop"], ["channel"])
-    lines = lookup(lines, sku_to_skc(inputs["catalog"]), ["sku"], ["skc"])
-    lines = lookup(lines, stock, ["sku"], ["spec", "spec_final"])
-    return _with_net_cost(lines)
+    # both tables are joined by SKU: joined with each other first, they cost the
+    # lines one shuffle, and leave a frequent SKU one join to be split in
+    products = _outer_by_sku(sku_to_skc(inputs["catalog"]), stock)
+    out = lookup(lines, products, ["sku"], ["skc", "spec", "spec_final"])
+    out = lookup(out, inputs["channel"], ["shop"], ["channel"], keys_from=lines)
+    return _with_net_cost(out)
+
+
+def _outer_by_sku(catalog: DataFrame, stock: DataFrame) -> DataFrame:
+    a = catalog.select(F.col("sku").alias("_a"), "skc", F.lit(True).alias("_there"))
+    b = stock.select(F.col("sku").alias("_b"), "spec", "spec_final")
+    return a.join(b, F.col("_a").eqNullSafe(F.col("_b")), "full").select(
+        F.when(F.col("_there"), F.col("_a")).otherwise(F.col("_b")).alias("sku"),
+        "skc",
+        "spec",
+        "spec_final",
+    )
 
 
 def _with_net_cost(lines: DataFrame) -> DataFrame:
@@ -106,8 +124,8 @@ def _with_net_cost(lines: DataFrame) -> DataFrame:
     return conform(lines.withColumn("net_cost", net_cost), LINE_COLUMNS)
 
 
-def _paid_lines(inputs: Inputs) -> DataFrame:
-    """Paid lines before the catalogue is joined."""
+def _paid_lines(inputs: Inputs) -> tuple[DataFrame, DataFrame]:
+    """Paid lines as read, and with size and channel."""
     lines = inputs["sales_paid"].withColumns(
         {
             "sku": code("sku"),
@@ -116,20 +134,21 @@ def _paid_lines(inputs: Inputs) -> DataFrame:
             "spec": spec_of("color_spec"),
         }
     ).withColumnRenamed("channel", "report_channel")
-    lines = lookup(lines, inputs["size_rule"], ["spec"], ["spec_final"])
-    lines = lookup(lines, inputs["channel"], ["shop"], ["channel"])
-    return fill(lines, ["sold_amt", "return_amt", "sold_qty", "return_qty"])
+    out = lookup(lines, inputs["size_rule"], ["spec"], ["spec_final"])
+    out = lookup(out, inputs["channel"], ["shop"], ["channel"], keys_from=lines)
+    return lines, fill(out, ["sold_amt", "return_amt", "sold_qty", "return_qty"])
 
 
 def paid_detail(inputs: Inputs) -> DataFrame:
     """Paid lines with SKC, size, channel and net cost."""
-    lines = lookup(_paid_lines(inputs), sku_to_skc(inputs["catalog"]), ["sku"], ["skc"])
+    base, lines = _paid_lines(inputs)
+    lines = lookup(lines, sku_to_skc(inputs["catalog"]), ["sku"], ["skc"], keys_from=base)
     return _with_net_cost(lines)
 
 
 def paid_summary(inputs: Inputs) -> DataFrame:
     """Sales, returns, net amount, margin and unit price per SKC."""
-    lines = _paid_lines(inputs).withColumn(
+    lines = _paid_lines(inputs)[1].withColumn(
         "net_cost", F.col("cost") * (F.col("sold_qty") - F.col("return_qty"))
     )
     sums = skc_sums(
@@ -148,7 +167,7 @@ def paid_summary(inputs: Inputs) -> DataFrame:
 
 def first_hot_day(inputs: Inputs, threshold: float = 10) -> DataFrame:
     """First day on which an SKC sold more than the threshold."""
-    daily = skc_sums(_paid_lines(inputs), inputs["catalog"], ["date"], ["sold_qty"])
+    daily = skc_sums(_paid_lines(inputs)[1], inputs["catalog"], ["date"], ["sold_qty"])
     hot = first_day_above(daily, "skc", "date", "sold_qty", threshold, "first_hot_day")
     return hot.orderBy("first_hot_day", "skc")
 
