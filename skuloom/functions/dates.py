@@ -37,7 +37,8 @@ def day_of(c: Column | str) -> Column:
 
 
 def day_text(c: Column | str) -> Column:
-    return F.date_format(_col(c), "yyyy-MM-dd")
+    """Date as "yyyy-MM-dd"."""
+    return day_of(c).cast("string")
 
 
 def within_days(c: Column | str, as_of: dt.date, back: int) -> Column:
@@ -52,12 +53,17 @@ def within_days(c: Column | str, as_of: dt.date, back: int) -> Column:
 
 
 def hour_label(c: Column | str) -> Column:
-    """Hour of a timestamp as "MM.dd HH:00-HH:00"."""
-    c = _col(c)
+    """Hour of a timestamp as "MM.dd HH:00-HH:00", whatever the session's zone."""
+    c = _col(c).cast("timestamp_ntz")
+    start = c.cast("string")
+    end = (c + F.expr("INTERVAL 1 HOUR")).cast("string")
+
+    def part(text: Column, at: int) -> Column:
+        return F.substr(text, F.lit(at), F.lit(2))
+
     return F.concat(
-        F.date_format(c, "MM.dd HH:00"),
-        F.lit("-"),
-        F.date_format(c + F.expr("INTERVAL 1 HOUR"), "HH:00"),
+        part(start, 6), F.lit("."), part(start, 9), F.lit(" "), part(start, 12),
+        F.lit(":00-"), part(end, 12), F.lit(":00"),
     )
 
 

@@ -38,14 +38,16 @@ def skc_sums(
 ) -> DataFrame:
     """Sums of sales lines per SKC (and further keys).
 
-    Lines are summed per SKU first. That happens in part before the shuffle, so
-    a SKU with very many lines weighs little, and the catalogue meets one row per
-    SKU instead of all lines. Repeated catalogue rows still multiply the sums.
+    Lines are summed per SKU as written first. That happens in part before the
+    shuffle, so a SKU with very many lines weighs little, and only one row per SKU
+    is normalised and meets the catalogue. Repeated catalogue rows still multiply
+    the sums.
     """
-    lines = lines.withColumn("sku", code("sku"))
     if keys:
         lines = lines.filter(all_present(keys))
-    per_sku = group_sum(lines, [*keys, "sku"], measures, keep_null_keys=True)
+    per_sku = group_sum(lines, [*keys, "sku"], measures, keep_null_keys=True).withColumn(
+        "sku", code("sku")
+    )
     with_skc = lookup(per_sku, sku_to_skc(catalog), ["sku"], ["skc"])
     return group_sum(with_skc, [*keys, "skc"], measures)
 

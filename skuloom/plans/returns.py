@@ -52,7 +52,7 @@ def return_rates(inputs: Inputs) -> DataFrame:
         ["plan_category"],
     ).withColumns(
         {
-            "date": day_text(parse_ts("date")),
+            "date": day_of(parse_ts("date")),
             "skc": join_key("style_code", color_of("color_spec")),
         }
     )
@@ -73,7 +73,7 @@ def return_rates(inputs: Inputs) -> DataFrame:
         {f"all_{m}": F.sum(units(m)).over(whole) / F.lit(float(UNIT)) for m in measures}
     ).filter(counted)
     return out.select(
-        "date",
+        day_text("date").alias("date"),
         "skc",
         "plan_category",
         ratio("cum_return_qty", "cum_sold_qty", 2).alias("cum_return_rate"),

@@ -128,7 +128,6 @@ def _paid_lines(inputs: Inputs) -> tuple[DataFrame, DataFrame]:
     """Paid lines as read, and with size and channel."""
     lines = inputs["sales_paid"].withColumns(
         {
-            "sku": code("sku"),
             "date": day_of(parse_ts("date", strict=True)),
             "color": color_of("color_spec"),
             "spec": spec_of("color_spec"),
@@ -142,6 +141,7 @@ def _paid_lines(inputs: Inputs) -> tuple[DataFrame, DataFrame]:
 def paid_detail(inputs: Inputs) -> DataFrame:
     """Paid lines with SKC, size, channel and net cost."""
     base, lines = _paid_lines(inputs)
+    base, lines = (df.withColumn("sku", code("sku")) for df in (base, lines))
     lines = lookup(lines, sku_to_skc(inputs["catalog"]), ["sku"], ["skc"], keys_from=base)
     return _with_net_cost(lines)
 

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from skuloom.functions.text import strip
 from skuloom.operators.projection import conform
+from skuloom.schemas import TABLES
 
 ORDER = "_ord"
 
@@ -23,15 +24,20 @@ def read_table(
 ) -> DataFrame:
     """One export as a table, pruned to `columns` at the scan.
 
-    Only the empty text is missing in a CSV file; "NA" or "nan" are texts.
+    Only the empty text is missing in a CSV file; "NA" or "nan" are texts. With a
+    schema, columns are cast to its types, missing ones read null, and `_ord` is
+    stamped if the file has none.
     """
     fmt = fmt or ("csv" if path.endswith(".csv") else "parquet")
     if fmt == "csv":
-        df = spark.read.csv(path, schema=schema, header=True, nullValue="", multiLine=False)
+        raw = spark.read.csv(path, header=True)
+        df = raw.select(*[F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in raw.columns])
     else:
         df = spark.read.format(fmt).load(path)
-        if schema is not None:
-            df = conform(df, schema)
+    if schema is not None:
+        if ORDER in schema.names and ORDER not in df.columns:
+            df = with_order(df)
+        df = conform(df, schema)
     return df.select(*columns) if columns else df
 
 
@@ -40,6 +46,16 @@ def read_bundle(spark: SparkSession, base: str, name: str, **options) -> DataFra
     return read_table(spark, f"{base.rstrip('/')}/{name}", **options)
 
 
+def load_inputs(
+    spark: SparkSession, base: str, names: Sequence[str] | None = None, fmt: str = "parquet"
+) -> dict[str, DataFrame]:
+    """The input tables of the reports, each from its own directory under `base`."""
+    return {
+        name: read_bundle(spark, base, name, schema=TABLES[name], fmt=fmt)
+        for name in (names or TABLES)
+    }
+
+
 def with_order(df: DataFrame) -> DataFrame:
     """Stamp the ingest position of every row, increasing along the file."""
     return df.withColumn(ORDER, F.monotonically_increasing_id())
