@@ -651,7 +651,7 @@ add(
 add(
     "q17_stock_ageing",
     f"""WITH {DETAIL}, {GRID},
-    sub AS (SELECT * FROM grid UNION ALL SELECT class, '总计', sum(skc_count), sum(total_stock), sum(stock_cost)
+    sub AS (SELECT * FROM grid UNION ALL SELECT class, '总计', sum(skc_count), {s('total_stock')}, {s('stock_cost')}
         FROM grid GROUP BY class),
     rounded AS (SELECT class, age, CAST(skc_count AS DOUBLE) AS skc_count, total_stock,
         round_even(stock_cost, 0) AS stock_cost FROM sub),

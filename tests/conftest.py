@@ -16,6 +16,7 @@ def spark():
         .config("spark.driver.memory", "6g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
