@@ -38,6 +38,7 @@ def lookup(
     dim: DataFrame,
     on: Mapping[str, str] | Sequence[str],
     take: Mapping[str, str] | Sequence[str],
+    split: bool = True,
     keys_from: DataFrame | None = None,
     spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
@@ -50,6 +51,8 @@ def lookup(
     A small table is left to Spark, which broadcasts it under its threshold. A
     larger one is joined by shuffle; if the left side is large as well, its
     frequent keys are split: see `split_join`, also for the last two parameters.
+    `split=False` is for a left side that is aggregated already, so that a key has
+    a few rows only; counting keys would repeat the aggregation.
     """
     on = dict(on) if isinstance(on, Mapping) else {c: c for c in on}
     take = dict(take) if isinstance(take, Mapping) else {c: c for c in take}
@@ -61,7 +64,7 @@ def lookup(
         *[F.col(right).alias(key) for (_, key), right in zip(pairs, on.values())],
         *[F.col(src).alias(name) for src, name in take.items()],
     )
-    if input_bytes(df) <= SPLIT_BYTES or fits_broadcast(side):
+    if not split or input_bytes(df) <= SPLIT_BYTES or fits_broadcast(side):
         joined = df.join(side, _null_safe(pairs), "left")
     else:
         joined = split_join(df, side, pairs, SPLIT_ROWS, keys_from, spread_by)

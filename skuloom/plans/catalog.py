@@ -48,7 +48,7 @@ def skc_sums(
     per_sku = group_sum(lines, [*keys, "sku"], measures, keep_null_keys=True).withColumn(
         "sku", code("sku")
     )
-    with_skc = lookup(per_sku, sku_to_skc(catalog), ["sku"], ["skc"])
+    with_skc = lookup(per_sku, sku_to_skc(catalog), ["sku"], ["skc"], split=False)
     return group_sum(with_skc, [*keys, "skc"], measures)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from skuloom import constants as K
 from skuloom.functions.dates import day_of, parse_ts
 from skuloom.functions.text import map_values, unescape_plus
+from skuloom.operators.aggregates import all_present
 from skuloom.operators.joins import lookup
 from skuloom.operators.projection import differs, distinct_where, union_all
 from skuloom.operators.reshape import observed, spread_flag
@@ -72,11 +73,9 @@ def listing_matrix(
     )
     lines = _routed(listings, inputs["catalog"], routed_shop)
     if shops is None:
-        pairs = inputs["listings"].select(
-            F.struct(
-                map_values("site", K.SITE_CHANNELS, K.UNKNOWN_CHANNEL).alias("channel"), "shop"
-            ).alias("pair")
-        ).filter(F.col("pair.shop").isNotNull())
+        pairs = lines.filter(all_present(["skc", "shop"])).select(
+            F.struct("channel", "shop").alias("pair")
+        )
         shops = [tuple(p) for p in observed(pairs, "pair", MAX_SHOPS)]
     matrix = spread_flag(lines, ["skc"], ["channel", "shop"], shops, "is_listed", K.YES)
     return matrix.withColumn("skc", unescape_plus("skc"))

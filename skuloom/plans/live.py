@@ -45,7 +45,7 @@ def live_board(
     lines = live_lines(inputs, streamer_id, sessions).filter(F.col("session").isNotNull())
     if hours is None:
         by_time = session_hours(sessions)
-        found = set(observed(lines, "hour", len(by_time)))
+        found = set(observed(lines.filter(F.col("style_code").isNotNull()), "hour", len(by_time)))
         hours = [h for h in by_time if h in found]
     board = spread_sum(lines, ["style_code"], "hour", hours, "sold_qty", "session_total")
     return board.select(

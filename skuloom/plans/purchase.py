@@ -64,7 +64,7 @@ def purchase_history(inputs: Inputs) -> DataFrame:
     """Ordered and received quantity per SKC, date and supplier, with the SKC's total."""
     lines = purchase_lines(inputs)
     received = group_sum(lines, ["skc"], {"received_qty": "all_received_qty"})
-    out = lookup(_purchase_rows(lines), received, ["skc"], ["all_received_qty"])
+    out = lookup(_purchase_rows(lines), received, ["skc"], ["all_received_qty"], split=False)
     return out.orderBy(F.asc("skc"), F.desc("po_date"), F.asc("supplier"))
 
 
@@ -80,7 +80,11 @@ def first_purchase(inputs: Inputs) -> DataFrame:
         _purchase_rows(lines), ["skc"], [F.col("po_date").asc(), F.col("supplier").desc()]
     )
     return lookup(
-        first, tagged_totals(lines), ["skc"], {"received_qty": "all_received_qty", "tag": "tag"}
+        first,
+        tagged_totals(lines),
+        ["skc"],
+        {"received_qty": "all_received_qty", "tag": "tag"},
+        split=False,
     )
 
 
@@ -151,7 +155,7 @@ def po_lead_time(inputs: Inputs) -> DataFrame:
         keep_null_keys=True,
     )
     factors = orders.select("po_no", F.size("_statuses").alias("_factor"))
-    per_order = lookup(per_order, factors, ["po_no"], ["_factor"]).withColumns(
+    per_order = lookup(per_order, factors, ["po_no"], ["_factor"], split=False).withColumns(
         {m: F.col(m) * F.col("_factor") for m in ("_received", "_ordered")}
     )
     completion = (

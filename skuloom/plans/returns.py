@@ -97,12 +97,11 @@ def return_rates(inputs: Inputs) -> DataFrame:
 def return_rate_matrix(inputs: Inputs, dates: Sequence[dt.date] | None = None) -> DataFrame:
     """Return rates with metrics as rows and dates as columns.
 
-    Without `dates` the columns are the dates found in the lines.
+    Without `dates` the columns are the dates that occur.
     """
     rates = return_rates(inputs)
     if dates is None:
-        days = inputs["sales_paid"].select(day_text(parse_ts("date")).alias("date"))
-        names = observed(days, "date", MAX_DATES)
+        names = observed(rates, "date", MAX_DATES)
     else:
         names = [d.isoformat() for d in dates]
     out = metrics_to_rows(rates, RETURN_IDS, RETURN_METRICS, "date", names)
@@ -171,7 +170,7 @@ def refund_curve(inputs: Inputs, excluded_streamer: str | None = None) -> DataFr
         day,
         {"opening_qty": "opening_stock"},
     )
-    totals = lookup(totals, stock, day, ["opening_stock"]).select(
+    totals = lookup(totals, stock, day, ["opening_stock"], split=False).select(
         *day,
         "category",
         "opening_stock",
@@ -180,7 +179,7 @@ def refund_curve(inputs: Inputs, excluded_streamer: str | None = None) -> DataFr
         ratio("returned_qty", "shipped_qty", 2).alias("post_ship_refund_rate"),
         ratio("return_qty", "sold_qty", 2).alias("full_return_rate"),
     )
-    out = lookup(refunds, totals, day, [c for c in totals.columns if c not in day])
+    out = lookup(refunds, totals, day, [c for c in totals.columns if c not in day], split=False)
     return out.withColumns(
         {
             "pre_ship_refund_rate": ratio("day_refund_only", "day_sold", 2),
@@ -197,14 +196,11 @@ def refund_curve_wide(
 ) -> DataFrame:
     """Refund curve up to `max_days`, one column per metric and delay.
 
-    Without `delays` the columns are the delays found in the lines.
+    Without `delays` the columns are the delays that occur.
     """
     curve = refund_curve(inputs, excluded_streamer).filter(F.col("delay") <= max_days)
     if delays is None:
-        lines = refund_lines(inputs, excluded_streamer).filter(
-            (F.col("claim_type") == K.REFUND_ONLY) & (F.col("delay") <= max_days)
-        )
-        delays = observed(lines, "delay", MAX_DATES)
+        delays = observed(curve, "delay", MAX_DATES)
     delays = [d for d in delays if d <= max_days]
     return spread_metrics(
         curve.filter(F.col("delay").isin(*delays)), REFUND_IDS, "delay", delays, REFUND_METRICS

@@ -100,25 +100,12 @@ def shipped_detail(inputs: Inputs, normalise_stock: bool = False) -> DataFrame:
     stock = stock_by_sku(inputs)
     if normalise_stock:
         stock = stock.withColumn("sku", code("sku"))
-    # both tables are joined by SKU: joined with each other first, they cost the
-    # lines one shuffle, and leave a frequent SKU one join to be split in
-    products = _outer_by_sku(sku_to_skc(inputs["catalog"]), stock)
-    out = lookup(lines, products, ["sku"], ["skc", "spec", "spec_final"])
-    out = lookup(out, inputs["channel"], ["shop"], ["channel"], keys_from=lines)
+    out = lookup(lines, inputs["channel"], ["shop"], ["channel"])
+    out = lookup(out, sku_to_skc(inputs["catalog"]), ["sku"], ["skc"], keys_from=lines)
+    out = lookup(out, stock, ["sku"], ["spec", "spec_final"], keys_from=lines)
     return _with_net_cost(out)
 
 
-def _outer_by_sku(catalog: DataFrame, stock: DataFrame) -> DataFrame:
-    a = catalog.select(F.col("sku").alias("_a"), "skc", F.lit(True).alias("_there"))
-    b = stock.select(F.col("sku").alias("_b"), "spec", "spec_final")
-    return a.join(b, F.col("_a").eqNullSafe(F.col("_b")), "full").select(
-        F.when(F.col("_there"), F.col("_a")).otherwise(F.col("_b")).alias("sku"),
-        "skc",
-        "spec",
-        "spec_final",
-    )
-
-
 def _with_net_cost(lines: DataFrame) -> DataFrame:
     net_cost = F.col("cost") * (F.col("sold_qty") - F.col("return_qty"))
     return conform(lines.withColumn("net_cost", net_cost), LINE_COLUMNS)

@@ -47,7 +47,8 @@ def top_styles(inputs: Inputs, as_of: dt.date, days: int = 1, k: int = 20) -> Da
         "sold_amt",
         F.col("sold_qty").cast("int").alias("sold_qty"),
     )
-    return _with_launch(_with_image(top, inputs["catalog"]), inputs["merch_board"])
+    out = _with_launch(_with_image(top, inputs["catalog"]), inputs["merch_board"])
+    return out.orderBy("rank", "launch_date")
 
 
 def _with_image(top: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -57,7 +58,7 @@ def _with_image(top: DataFrame, catalog: DataFrame) -> DataFrame:
     )
     wanted = keep_matching(images, top, {"style_code": "style_code"})
     first = keep_one(wanted, ["style_code"], ["_ord"])
-    return lookup(top, first, ["style_code"], ["image_url"])
+    return lookup(top, first, ["style_code"], ["image_url"], split=False)
 
 
 def launch_dates(board: DataFrame) -> DataFrame:
@@ -80,6 +81,7 @@ def _with_launch(top: DataFrame, board: DataFrame) -> DataFrame:
         wanted.withColumn("_style", F.col("board_style")),
         {"style_code": "_style"},
         ["board_style", "launch_date"],
+        split=False,
     )
 
 
@@ -98,6 +100,6 @@ def top_shares(inputs: Inputs, as_of: dt.date, k: int = 36) -> DataFrame:
     yesterday = inputs["order_lines"].filter(within_days("paid_at", as_of, 1))
     wanted = keep_matching(yesterday, top, {"style_code": "style_code"})
     first = keep_one(wanted, ["style_code"], ["_ord", "online_title"])
-    return lookup(
-        top, title_table({"order_lines": first}), ["style_code"], ["short_title", "title"]
-    )
+    titles = title_table({"order_lines": first})
+    out = lookup(top, titles, ["style_code"], ["short_title", "title"], split=False)
+    return out.orderBy("rank")
