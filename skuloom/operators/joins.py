@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 
 # Under this size of all inputs of the left side, no key can hold too much of it.
 SPLIT_BYTES = 1 << 30
-# A key is split once it has more rows than this, and more than its share of all rows.
+# A key with more rows than this is split into parts of about this size.
 SPLIT_ROWS = 1_000_000
-# Bound on the number of split keys, hence on the rows of the broadcast key table.
+# The most frequent keys only: any other key has less than 1/4096 of all rows. This
+# bounds the rows of the broadcast key table.
 MAX_SPLIT_KEYS = 4096
 
+ORDER = "_ord"
+
 
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether Spark's own size estimate lies under its broadcast threshold."""
@@ -81,9 +84,9 @@ def split_join(
 ) -> DataFrame:
     """Null-safe left join in which frequent keys of the left side are split.
 
-    One pass over the key columns counts the rows per key. A key with more than
-    `split_rows` rows, and more than 1/MAX_SPLIT_KEYS of all rows, is cut into
-    parts by a hash of the row (of its columns `spread_by`); the matching rows of
+    One pass over the key columns counts the rows per key. The most frequent keys
+    with more than `split_rows` rows are cut into parts by a hash of the row (of
+    its columns `spread_by`, by default its ingest order); the matching rows of
     `side` are repeated for every part. The part is a function of the row, so a
     task that runs again puts each row where it was before.
 
@@ -93,17 +96,19 @@ def split_join(
     """
     left_keys = [left for left, _ in pairs]
     hot_names = [f"_hot{i}" for i in range(len(pairs))]
-    counts = (df if keys_from is None else keys_from).groupBy(*[F.col(c).alias(h) for c, h in zip(left_keys, hot_names)]).agg(
-        F.count(F.lit(1)).alias("_rows")
+    counts = (
+        (df if keys_from is None else keys_from)
+        .groupBy(*[F.col(c).alias(h) for c, h in zip(left_keys, hot_names)])
+        .agg(F.count(F.lit(1)).alias("_rows"))
     )
-    share = F.ceil(counts.agg(F.sum("_rows")).scalar() / MAX_SPLIT_KEYS)
-    # fewer than MAX_SPLIT_KEYS rows, each key holding more than that share
+    # The order is total, so every evaluation finds the same keys.
     hot = F.broadcast(
-        counts.withColumn("_size", F.greatest(F.lit(split_rows), share))
-        .filter("_rows > _size")
-        .select(*hot_names, F.ceil(F.col("_rows") / F.col("_size")).cast("int").alias("_parts"))
+        counts.filter(F.col("_rows") > split_rows)
+        .orderBy(F.desc("_rows"), *hot_names)
+        .limit(MAX_SPLIT_KEYS)
+        .select(*hot_names, F.ceil(F.col("_rows") / split_rows).cast("int").alias("_parts"))
     )
-    row_hash = F.xxhash64(*(spread_by or df.columns))
+    row_hash = F.xxhash64(*(spread_by or ([ORDER] if ORDER in df.columns else df.columns)))
     left = df.join(hot, _null_safe(list(zip(left_keys, hot_names))), "left").select(
         *df.columns,
         F.when(F.col("_parts").isNull(), F.lit(0))

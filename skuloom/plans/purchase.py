@@ -133,9 +133,7 @@ def po_lead_time(inputs: Inputs) -> DataFrame:
             "_first_completed"
         ),
     )
-    out = lookup(
-        lines, orders, ["po_no"], ["_statuses", "_first_completed"], spread_by=["po_sku", "_ord"]
-    )
+    out = lookup(lines, orders, ["po_no"], ["_statuses", "_first_completed"])
     out = out.withColumn(
         "completed_at",
         # lines without an order number keep their own time
@@ -173,7 +171,7 @@ def po_lead_time(inputs: Inputs) -> DataFrame:
     plan = keep_one(inputs["category"], ["category"], ["_ord"])
 
     # keys are counted in the lines as read, not once more behind each join
-    steer = {"keys_from": lines, "spread_by": ["po_skc", "po_sku", "_ord"]}
+    steer = {"keys_from": lines}
     days = ["avg_receipt_days", "receipt_qty"]
     out = lookup(out, receipt_days(inputs), ["po_sku"], days, **steer)
     out = lookup(out, plan, ["category"], ["plan_category"], **steer)

@@ -89,3 +89,19 @@ def test_keep_matching_is_null_safe(spark, rows):
     df = spark.createDataFrame([("a",), (None,), ("b",)], "k string")
     keys = spark.createDataFrame([("a",), ("a",), (None,)], "j string")
     assert rows(J.keep_matching(df, keys, {"k": "j"})) == [("a",), (None,)]
+
+
+@pytest.mark.parametrize(
+    "name", ["q08_sales_detail", "q09_shipped_detail", "q10_paid_detail", "q16_po_lead_time", "q18_listing_lines"]
+)
+def test_reports_with_every_lookup_split(spark, monkeypatch, name):
+    from checks.compare import connect, difference
+    from checks.oracle import ORACLE
+    from checks.queries import QUERIES
+
+    sf_dir = "/root/testdata/sf0.001"
+    monkeypatch.setattr(J, "SPLIT_BYTES", 0)
+    monkeypatch.setattr(J, "SPLIT_ROWS", 20)
+    monkeypatch.setattr(J, "fits_broadcast", lambda df: False)
+    got = QUERIES[name](spark, sf_dir).toPandas()
+    assert difference(got, connect(sf_dir).execute(ORACLE[name]).df()) is None
