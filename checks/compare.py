@@ -32,7 +32,7 @@ def normal(df: pd.DataFrame) -> pd.DataFrame:
     for c in sorted(df.columns):
         col = df[c]
         if col.dtype.kind == "f":
-            out[c] = col.map(lambda v: None if pd.isna(v) else repr(round(float(v), 9) + 0.0))
+            out[c] = col.map(lambda v: None if pd.isna(v) else repr(float(v) + 0.0))
         elif col.dtype.kind == "M":
             out[c] = col.map(lambda v: None if pd.isna(v) else pd.Timestamp(v).isoformat())
         else:
