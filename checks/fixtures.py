@@ -24,7 +24,6 @@ STREAMER = "17"
 LIVE_STREAMER = "purchase"
 ROUTED_SHOP = "NATION_3"
 EXCLUDED_STYLE = "Brand#7"
-BOARD_DAYS = (dt.datetime(2024, 1, 6), dt.datetime(2024, 1, 7))
 
 _COLOR = """CASE WHEN p_size = 50 THEN NULL
     WHEN p_type = 'LARGE' THEN replace(p_name, ' ', '_x002B_') ELSE p_name END"""

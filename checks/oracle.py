@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from checks import fixtures as X
-from checks.queries import BOARD_HOURS, BOARD_SESSIONS, LABELS, MONTH_SESSIONS, SHOPS
+from checks.queries import DAY_HOURS, LABELS, MONTH_HOURS, MONTH_SESSIONS, MONTHS, SHOPS
 
 ORACLE: dict[str, str] = {}
 
@@ -251,15 +251,19 @@ add(
 )
 add("a13_distinct", "SELECT DISTINCT style_code, status FROM purchase_current")
 
-_hour_cells = ", ".join(
-    f"""CAST(coalesce(sum(CAST(CASE WHEN hour = '{h}' THEN sold_qty END AS DECIMAL(18,4))), 0) AS DOUBLE) AS "{h}\""""
-    for h in BOARD_HOURS
-)
-_hours = ", ".join(f"'{h}'" for h in BOARD_HOURS)
+
+
+def hour_cells(hours: list[str]) -> str:
+    return ", ".join(
+        f"""{s(f"CASE WHEN hour = '{h}' THEN sold_qty END")} AS "{h}\""""
+        for h in hours
+    )
+
+
 add(
     "r1_hour_pivot",
-    f"""WITH h AS (SELECT *, {HOUR} AS hour FROM live_sales)
-    SELECT style_code, {s('sold_qty')} AS total, {_hour_cells} FROM h WHERE hour IN ({_hours}) GROUP BY 1""",
+    f"""WITH h AS (SELECT *, substr({HOUR}, 7) AS hour FROM live_sales)
+    SELECT style_code, {s('sold_qty')} AS total, {hour_cells(DAY_HOURS)} FROM h GROUP BY 1""",
 )
 _shop_cells = ", ".join(
     f"""CASE WHEN max(CASE WHEN channel = '{c}' AND shop = '{shop}' THEN is_listed END) = 1
@@ -292,13 +296,14 @@ add(
 )
 _dates = ", ".join(f"'{d}'" for d in X.MATRIX_DATES)
 _date_cells = ", ".join(f"""max(CASE WHEN day = '{d}' THEN v END) AS "{d}\"""" for d in X.MATRIX_DATES)
+_month_cells = ", ".join(f"""max(CASE WHEN month = '{m}' THEN v END) AS "{m}\"""" for m in MONTHS)
 add(
     "r4_metric_rows",
-    f"""WITH t AS (SELECT style_code, strftime(date, '%Y-%m-%d') AS day, {s('sold_qty')} AS sold_qty,
-        {s('return_qty')} AS return_qty FROM sales_paid GROUP BY 1, 2),
-    m AS (SELECT style_code, day, 'sold_qty' AS metric, sold_qty AS v FROM t
-        UNION ALL SELECT style_code, day, 'rate', {r('return_qty / nullif(sold_qty, 0)', 2)} FROM t)
-    SELECT style_code, metric, {_date_cells} FROM m WHERE v IS NOT NULL AND day IN ({_dates}) GROUP BY 1, 2""",
+    f"""WITH t AS (SELECT style_code, category, strftime(date, '%m') AS month, {s('sold_qty')} AS sold_qty,
+        {s('return_qty')} AS return_qty FROM sales_paid GROUP BY 1, 2, 3),
+    m AS (SELECT style_code, category, month, 'sold_qty' AS metric, sold_qty AS v FROM t UNION ALL
+        SELECT style_code, category, month, 'rate', {r('return_qty / nullif(sold_qty, 0)', 2)} FROM t)
+    SELECT style_code, category, metric, {_month_cells} FROM m WHERE v IS NOT NULL GROUP BY 1, 2, 3""",
 )
 
 add(
@@ -598,8 +603,8 @@ LIVE = f"""live AS (SELECT paid_at, CAST(paid_at AS DATE) AS date, trim(streamer
 add("q14_live_lines", f"WITH {LIVE.format(session=session('paid_at', MONTH_SESSIONS))} SELECT * FROM live")
 add(
     "q14_live_board",
-    f"""WITH {LIVE.format(session=session('paid_at', BOARD_SESSIONS))}
-    SELECT style_code, '' AS image, '' AS category, {s('sold_qty')} AS session_total, {_hour_cells}
+    f"""WITH {LIVE.format(session=session('paid_at', MONTH_SESSIONS))}
+    SELECT style_code, '' AS image, '' AS category, {s('sold_qty')} AS session_total, {hour_cells(MONTH_HOURS)}
     FROM live WHERE session IS NOT NULL GROUP BY 1""",
 )
 CURVE = f"""{REFUND_LINES.format(where=f" WHERE trim(streamer_id) IS DISTINCT FROM '{X.STREAMER}.0'")},

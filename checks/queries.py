@@ -24,19 +24,15 @@ from skuloom.plans import ageing, catalog, listing, live, purchase, returns, sal
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-BOARD_SESSIONS = [
-    D.Session("01-06首场", dt.datetime(2024, 1, 6, 9), dt.datetime(2024, 1, 6, 15, 30)),
-    D.Session("01-06晚场", dt.datetime(2024, 1, 6, 15), dt.datetime(2024, 1, 6, 23, 59)),
-    D.Session("01-07首场", dt.datetime(2024, 1, 7, 9), dt.datetime(2024, 1, 7, 14)),
-    D.Session("01-07晚场", dt.datetime(2024, 1, 7, 13, 30), dt.datetime(2024, 1, 8, 0, 26)),
-]
 # two overlapping sessions on every day of the events
 MONTH_SESSIONS = [
     D.Session(f"{day:%m-%d}{name}", day + dt.timedelta(hours=a), day + dt.timedelta(hours=b))
     for day in (dt.datetime(2024, 1, 1) + dt.timedelta(days=i) for i in range(30))
     for name, a, b in (("首场", 9, 15.5), ("晚场", 15, 24.4))
 ]
-BOARD_HOURS = D.session_hours(BOARD_SESSIONS)
+MONTH_HOURS = D.session_hours(MONTH_SESSIONS)
+DAY_HOURS = [f"{h:02d}:00-{(h + 1) % 24:02d}:00" for h in range(24)]
+MONTHS = [f"{m:02d}" for m in range(1, 13)]
 SHOPS = [
     (("天猫", "京东", "微信", "唯品", "未知")[i % 5], f"NATION_{i}") for i in range(25)
 ]
@@ -313,8 +309,8 @@ def a13_distinct(x):
 
 @operator
 def r1_hour_pivot(x):
-    lines = x["live_sales"].withColumn("hour", D.hour_label("paid_at"))
-    return R.spread_sum(lines, ["style_code"], "hour", BOARD_HOURS, "sold_qty", "total")
+    lines = x["live_sales"].withColumn("hour", F.substr(D.hour_label("paid_at"), F.lit(7)))
+    return R.spread_sum(lines, ["style_code"], "hour", DAY_HOURS, "sold_qty", "total")
 
 
 @operator
@@ -337,11 +333,11 @@ def r3_delay_spread(x):
 @operator
 def r4_metric_rows(x):
     sums = A.group_sum(
-        x["sales_paid"].withColumn("day", D.day_text("date")), ["style_code", "day"],
-        ["sold_qty", "return_qty"],
+        x["sales_paid"].withColumn("month", F.substr(D.day_text("date"), F.lit(6), F.lit(2))),
+        ["style_code", "category", "month"], ["sold_qty", "return_qty"],
     ).withColumn("rate", N.ratio("return_qty", "sold_qty", 2))
     return R.metrics_to_rows(
-        sums, ["style_code"], ["sold_qty", "rate"], "day", [d.isoformat() for d in X.MATRIX_DATES]
+        sums, ["style_code", "category"], ["sold_qty", "rate"], "month", MONTHS
     )
 
 
@@ -555,7 +551,7 @@ report("q13_return_rate_matrix", returns.return_rate_matrix, dates=X.MATRIX_DATE
 report("q14_live_lines", live.live_lines, streamer_id=X.LIVE_STREAMER, sessions=MONTH_SESSIONS)
 report(
     "q14_live_board", live.live_board,
-    streamer_id=X.LIVE_STREAMER, sessions=BOARD_SESSIONS, hours=BOARD_HOURS,
+    streamer_id=X.LIVE_STREAMER, sessions=MONTH_SESSIONS, hours=MONTH_HOURS,
 )
 report("q15_refund_curve", returns.refund_curve, excluded_streamer=X.STREAMER + ".0")
 report(

@@ -28,14 +28,10 @@ def spread_sum(
         .pivot(by, list(values))
         .agg(F.sum("_units"))
     )
-    cells = [F.coalesce(F.col(f"`{n}`"), F.lit(0).cast("long")) for n in names]
-    everything = sum(cells[1:], cells[0])
-    scale = F.lit(float(UNIT))
-    return wide.select(
-        *keys,
-        (everything / scale).alias(total),
-        *[(c / scale).alias(n) for c, n in zip(cells, names)],
-    )
+    # as SQL text, and summed as an array: a wide table has hundreds of columns
+    cells = [f"coalesce(`{n}`, 0L) / {float(UNIT)}D AS `{n}`" for n in names]
+    units_of_row = f"aggregate(array({', '.join(f'`{n}`' for n in names)}), 0L, (a, b) -> a + coalesce(b, 0L))"
+    return wide.selectExpr(*keys, f"{units_of_row} / {float(UNIT)}D AS {total}", *cells)
 
 
 def spread_flag(

@@ -313,3 +313,18 @@ def test_first_nonnull(spark, rows):
     df = spark.createDataFrame([("a", None, 1), ("a", "x", 3), ("a", "y", 2), ("b", None, 1)],
                                "k string, v string, _ord int")
     assert rows(A.first_nonnull(df, ["k"], "v", ["_ord"])) == [("a", "y")]
+
+
+def test_many_sessions_and_many_hours(spark):
+    start = dt.datetime(2024, 1, 1)
+    hour = dt.timedelta(hours=1)
+    sessions = [
+        D.Session(str(i), start + i * hour, start + (i + 1) * hour - dt.timedelta(seconds=1))
+        for i in range(D.MAX_SESSIONS)
+    ]
+    df = spark.createDataFrame([("a", start + 700 * hour, 2.0)], "k string, t timestamp_ntz, v double")
+    df = df.select("k", "v", D.session_label("t", sessions).alias("s"), D.hour_label("t").alias("h"))
+    hours = D.session_hours(sessions)
+    row = R.spread_sum(df, ["k", "s"], "h", hours, "v", "total").first()
+    assert len(hours) == 1000 and row["s"] == "700" and row["total"] == 2.0
+    assert row[hours[700]] == 2.0 and row[hours[0]] == 0.0

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from checks.fixtures import Inputs
-from checks.queries import BOARD_SESSIONS
+from checks.queries import MONTH_SESSIONS
 from skuloom.functions.numeric import total
 from skuloom.plans.live import live_lines
 from skuloom.streaming.live import live_hours
@@ -19,7 +19,7 @@ def test_hours_match_the_batch(spark, tmp_path):
     lines.repartition(2).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(lines.schema).parquet(str(tmp_path / "in"))
     query = (
-        live_hours(stream, "purchase", BOARD_SESSIONS)
+        live_hours(stream, "purchase", MONTH_SESSIONS)
         .writeStream.outputMode("complete")
         .format("memory")
         .queryName("live_hours")
@@ -30,7 +30,7 @@ def test_hours_match_the_batch(spark, tmp_path):
     query.awaitTermination(120)
     got = sorted(map(tuple, spark.table("live_hours").collect()))
     want = (
-        live_lines(x, "purchase", BOARD_SESSIONS).filter("session is not null")
+        live_lines(x, "purchase", MONTH_SESSIONS).filter("session is not null")
         .groupBy("style_code", "hour").agg(total("sold_qty").alias("sold_qty"))
     )
     assert got == sorted(map(tuple, want.collect())) and len(got) > 10
