@@ -1,4 +1,4 @@
-"""Time the headline reports: one warm-up, then the median of three runs each.
+"""Time the headline reports: one warm-up, then the mean of two runs each.
 
 BENCH_SF_DIR names the tables, BENCH_CPUS the number of local cores.
 Prints one line of JSON.
@@ -16,7 +16,7 @@ from checks.queries import QUERIES
 from skuloom.session import local_session
 
 REPORTS = [name for name in QUERIES if name.startswith("q")]
-RUNS = 3
+RUNS = 2
 
 
 def main() -> None:
@@ -34,7 +34,7 @@ def main() -> None:
     seconds = {}
     for name in names:
         run(name)
-        seconds[name] = round(statistics.median(run(name) for _ in range(RUNS)), 3)
+        seconds[name] = round(statistics.mean(run(name) for _ in range(RUNS)), 3)
     print(
         json.dumps(
             {
