@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from skuloom import constants as K
 from skuloom.functions.dates import day_of, day_text, elapsed_days, parse_ts
-from skuloom.functions.numeric import UNIT, ratio, units, zero
+from skuloom.functions.numeric import UNIT, ratio, units
 from skuloom.functions.text import color_of, join_key, strip
 from skuloom.operators.aggregates import all_present, group_sum
 from skuloom.operators.joins import lookup

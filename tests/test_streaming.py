@@ -1,9 +1,5 @@
 """The live board as a stream equals the batch report."""
 
-import datetime as dt
-
-from pyspark.sql import functions as F
-
 from checks.fixtures import Inputs
 from checks.queries import MONTH_SESSIONS
 from skuloom.functions.numeric import total
