@@ -7,9 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from skuloom.llm import language_id as LI
+from skuloom.llm import quality_rules as QR
 from skuloom.llm import token_counts as TC
 from skuloom.llm import warc as WA
-from skuloom.llm.common import table
+from skuloom.llm.common import fold, table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -23,6 +25,18 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TC.token_counts(table(spark, sf_dir, "documents"), PIECES)
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = LI.language_id(docs.withColumn("held_out", fold() == 0), LI.trained(docs), keep=("held_out",))
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    found = QR.quality_verdicts(table(spark, sf_dir, "documents"))
+    return found.select(*first, "posterior", *(c for c in found.columns if c.startswith("vote_")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_warc, op7_token_counts)
+    f.__name__: f for f in (op3_warc, op7_token_counts, op8_language_id, op10_quality_rules)
 }
