@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from skuloom.llm import factorisation as FM
 from skuloom.llm import language_id as LI
 from skuloom.llm import quality_rules as QR
 from skuloom.llm import token_counts as TC
@@ -31,6 +32,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FM.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     found = QR.quality_verdicts(table(spark, sf_dir, "documents"))
@@ -38,5 +43,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_warc, op7_token_counts, op8_language_id, op10_quality_rules)
+    f.__name__: f for f in (op3_warc, op7_token_counts, op8_language_id, op9_quality_classifier, op10_quality_rules)
 }
