@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skuloom.llm import factorisation as FM
 from skuloom.llm import language_id as LI
+from skuloom.llm import pii as PI
 from skuloom.llm import quality_rules as QR
 from skuloom.llm import token_counts as TC
 from skuloom.llm import warc as WA
@@ -22,6 +23,10 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return WA.revisit_table(table(spark, sf_dir, "pages"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return PI.digest(PI.find_spans(table(spark, sf_dir, "documents")))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TC.token_counts(table(spark, sf_dir, "documents"), PIECES)
 
@@ -43,5 +48,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_warc, op7_token_counts, op8_language_id, op9_quality_classifier, op10_quality_rules)
+    f.__name__: f for f in (op3_warc, op5_pii, op7_token_counts, op8_language_id, op9_quality_classifier, op10_quality_rules)
 }
