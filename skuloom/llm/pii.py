@@ -369,7 +369,8 @@ def written(spans: str):
 
 def digest(found: DataFrame) -> DataFrame:
     """Counts of base spans by kind, and the spans as text."""
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [F.size(F.filter(kinds, F.lit(k).__eq__)).cast("long").alias(f"n_{k}") for k in KINDS]
     return found.select("doc_id", *counts, F.sha2(written("base"), 256).alias("base_sha256"), written("spans").alias("spans"))
 
 
