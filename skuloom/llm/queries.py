@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from skuloom.llm import bpe as BP
 from skuloom.llm import factorisation as FM
 from skuloom.llm import language_id as LI
 from skuloom.llm import pii as PI
@@ -23,6 +24,10 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return WA.revisit_table(table(spark, sf_dir, "pages"))
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return BP.digest(BP.encode(table(spark, sf_dir, "documents"), WORDS))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return PI.digest(PI.find_spans(table(spark, sf_dir, "documents")))
 
@@ -48,5 +53,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_warc, op5_pii, op7_token_counts, op8_language_id, op9_quality_classifier, op10_quality_rules)
+    f.__name__: f for f in (op3_warc, op4_bpe, op5_pii, op7_token_counts, op8_language_id, op9_quality_classifier, op10_quality_rules)
 }
