@@ -12,6 +12,7 @@ from skuloom.llm import factorisation as FM
 from skuloom.llm import language_id as LI
 from skuloom.llm import pii as PI
 from skuloom.llm import quality_rules as QR
+from skuloom.llm import suffix_dedup as SD
 from skuloom.llm import token_counts as TC
 from skuloom.llm import warc as WA
 from skuloom.llm.common import fold, table
@@ -20,6 +21,10 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SD.digest(SD.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return WA.revisit_table(table(spark, sf_dir, "pages"))
 
@@ -53,5 +58,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_warc, op4_bpe, op5_pii, op7_token_counts, op8_language_id, op9_quality_classifier, op10_quality_rules)
+    f.__name__: f for f in (op2_suffix_dedup, op3_warc, op4_bpe, op5_pii, op7_token_counts, op8_language_id, op9_quality_classifier, op10_quality_rules)
 }
