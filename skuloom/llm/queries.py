@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from skuloom.llm import bpe as BP
 from skuloom.llm import factorisation as FM
 from skuloom.llm import language_id as LI
+from skuloom.llm import ngram_join as NJ
 from skuloom.llm import pii as PI
 from skuloom.llm import quality_rules as QR
 from skuloom.llm import suffix_dedup as SD
@@ -37,6 +38,11 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return PI.digest(PI.find_spans(table(spark, sf_dir, "documents")))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = NJ.similarity_join(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links", "set_id")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TC.token_counts(table(spark, sf_dir, "documents"), PIECES)
 
@@ -58,5 +64,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_suffix_dedup, op3_warc, op4_bpe, op5_pii, op7_token_counts, op8_language_id, op9_quality_classifier, op10_quality_rules)
+    f.__name__: f for f in (op2_suffix_dedup, op3_warc, op4_bpe, op5_pii, op6_ngram_join, op7_token_counts, op8_language_id, op9_quality_classifier, op10_quality_rules)
 }
