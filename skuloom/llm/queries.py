@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from skuloom.llm import bpe as BP
+from skuloom.llm import decontaminate as DC
 from skuloom.llm import factorisation as FM
 from skuloom.llm import language_id as LI
 from skuloom.llm import ngram_join as NJ
@@ -22,6 +23,10 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return DC.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SD.digest(SD.remove_repeats(table(spark, sf_dir, "documents")))
 
@@ -64,5 +69,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_suffix_dedup, op3_warc, op4_bpe, op5_pii, op6_ngram_join, op7_token_counts, op8_language_id, op9_quality_classifier, op10_quality_rules)
+    f.__name__: f
+    for f in (
+        op1_decontamination, op2_suffix_dedup, op3_warc, op4_bpe, op5_pii, op6_ngram_join, op7_token_counts,
+        op8_language_id, op9_quality_classifier, op10_quality_rules,
+    )
 }
