@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 
 
+#: Stands for a null id where ids are ordered: after all others.
+LAST = (1 << 63) - 1
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

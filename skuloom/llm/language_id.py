@@ -122,3 +122,15 @@ def language_id(docs: DataFrame, known: Dictionaries, margin: float = MARGIN, ke
 def trained(docs: DataFrame) -> Dictionaries:
     """Dictionaries of the rows outside the held-out fold."""
     return dictionaries(docs.select("doc_id", "text", "lang").filter(fold() != 0))
+
+
+def accepted(docs: DataFrame, known: Dictionaries, margin: float = MARGIN) -> DataFrame:
+    """The rows, with all their columns, that are not rejected."""
+    held = docs.sparkSession.sparkContext.broadcast(known)
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([not identify(t, held.value, margin)[2] for t in batch.column(place).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

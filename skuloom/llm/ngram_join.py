@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skuloom.llm.common import checkpointed, text_or_empty
+from skuloom.llm.common import LAST, checkpointed, text_or_empty
 from skuloom.llm.components import components
 from skuloom.llm.shingles import WordHashes, shingle_set
 
@@ -39,7 +39,6 @@ HASHES = 128
 TILE = 512
 #: Bytes of sets compared in one call.
 PART_BYTES = 8_000_000
-LAST = (1 << 63) - 1
 
 
 def bands_for(threshold: float = THRESHOLD, recall: float = RECALL, hashes: int = HASHES) -> tuple[int, int]:
