@@ -20,18 +20,18 @@ import math
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skuloom.llm.chunks import in_chunks
+from skuloom.llm.chunks import documents, in_chunks, packed, unpacked
 from skuloom.llm.common import total_bytes
 
-CHUNK_BYTES = 8_000_000
+CHUNK_BYTES = 6_000_000
 #: Input bytes per bucket of words.
 BUCKET_BYTES = 32_000_000
 ENCODE_BATCH = 20_000
@@ -65,37 +65,62 @@ def check(path: str) -> None:
         raise ValueError(f"{path}: words cannot be encoded one by one")
 
 
-def bucket_of(word: bytes, buckets: int) -> int:
-    return zlib.crc32(word) % buckets
+def vocabulary(texts: list[bytes], buckets: int) -> tuple[list[list[bytes]], dict[bytes, int], np.ndarray]:
+    """The texts' words, the code of each distinct word in the order of appearance, and its bucket."""
+    lists = [text.split() for text in texts]
+    words = dict.fromkeys(chain.from_iterable(lists))
+    codes = dict(zip(words, range(len(words)), strict=True))
+    return lists, codes, np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
 
 
-def vocabulary(texts: list[bytes], buckets: int) -> dict[int, list[bytes]]:
-    """Distinct words by bucket, sorted; the same for the same texts."""
-    words: set[bytes] = set()
-    for text in texts:
-        words.update(text.split())
-    found: dict[int, list[bytes]] = {}
-    for word in sorted(words):
-        found.setdefault(bucket_of(word, buckets), []).append(word)
-    return found
+def dealt(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Codes of each bucket, in order."""
+    order = np.argsort(bucket, kind="stable")
+    ends = np.flatnonzero(np.diff(bucket[order])) + 1
+    for own in np.split(order, ends) if len(order) else ():
+        yield int(bucket[own[0]]), own
 
 
-def packed(data: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(data)
+def joined(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray, picked: np.ndarray) -> np.ndarray:
+    """The slices of `flat` that the picked codes stand for, one behind the other."""
+    n = counts[picked]
+    ends = np.cumsum(n)
+    return flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[picked] - (ends - n), n)]
 
 
-def unpacked(data: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(data)
+def width(path: str) -> str:
+    """Type in which ids travel."""
+    return "<u2" if max(pieces(path)) < 1 << 16 else "<u4"
 
 
-def encode_words(words: list[bytes], path: str) -> dict[bytes, np.ndarray]:
-    found: dict[bytes, np.ndarray] = {}
+def encode_words(words: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the words, one behind the other, and their numbers."""
+    flat, counts = [], []
     for at in range(0, len(words), ENCODE_BATCH):
-        part = words[at : at + ENCODE_BATCH]
-        texts = [w.decode() for w in part]
-        for word, encoding in zip(part, tokenizer(path).encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            found[word] = np.array(encoding.ids, np.uint32)
-    return found
+        texts = [w.decode() for w in words[at : at + ENCODE_BATCH]]
+        found = [e.ids for e in tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)]
+        counts.append(np.fromiter(map(len, found), np.int64, len(found)))
+        flat.append(np.fromiter(chain.from_iterable(found), np.uint32, int(counts[-1].sum())))
+    return np.concatenate(flat), np.concatenate(counts)
+
+
+@functools.lru_cache(maxsize=2)
+def piece_bytes(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The id-to-piece table as bytes, each piece behind a space, with starts and lengths by id."""
+    table = pieces(path)
+    texts = [b" " + table.get(i, b"") for i in range(max(table) + 1)]
+    sizes = np.array(list(map(len, texts)), np.int64)
+    return np.frombuffer(b"".join(texts), np.uint8), np.cumsum(sizes) - sizes, sizes
+
+
+def decoded(ids: np.ndarray, counts: np.ndarray, path: str) -> pa.Array:
+    """The pieces of each text's ids, joined by a space; `ids` holds the texts one behind the other."""
+    data, starts, sizes = piece_bytes(path)
+    parts, ends = [], np.cumsum(counts)
+    for lo, hi in zip((ends - counts).tolist(), ends.tolist(), strict=True):
+        # the space before the first piece does not belong to the text
+        parts.append(joined(data, starts, sizes, ids[lo:hi])[1:].tobytes())
+    return pa.array(parts, pa.binary()).cast(pa.string())
 
 
 def encode(docs: DataFrame, path: str, chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
@@ -104,72 +129,71 @@ def encode(docs: DataFrame, path: str, chunk_bytes: int = CHUNK_BYTES, bucket_by
     total = total_bytes(docs)
     buckets = max(1, math.ceil(total / bucket_bytes))
     chunked = in_chunks(docs, chunk_bytes, total)
+    kind = width(path)
 
     def send(rows: pa.Table) -> pa.Table:
-        texts = [t.encode() for t in rows["text"].to_pylist()]
-        found = vocabulary(texts, buckets)
+        _, codes, bucket = vocabulary(documents(rows)[1], buckets)
+        words = list(codes)
+        found = [(b, packed(b"\n".join(map(words.__getitem__, own.tolist())), level=3)) for b, own in dealt(bucket)]
         chunk = rows["chunk"][0].as_py()
         return pa.table(
             {
-                "bucket": pa.array(list(found), pa.int64()),
-                "chunk": pa.array([chunk] * len(found), pa.int64()),
-                "words": pa.array([packed(b"\n".join(w)) for w in found.values()], pa.binary()),
+                "bucket": pa.array([b for b, _ in found], pa.int64()), "chunk": pa.array([chunk] * len(found), pa.int64()),
+                "words": pa.array([w for _, w in found], pa.binary()),
             }
         )
 
     def answer(rows: pa.Table) -> pa.Table:
         lists = [unpacked(w).split(b"\n") for w in rows["words"].to_pylist()]
-        known = encode_words(sorted(set().union(*lists)), path)
+        words = dict.fromkeys(chain.from_iterable(lists))
+        flat, counts = encode_words(list(words), path)
+        starts = np.cumsum(counts) - counts
+        codes = dict(zip(words, range(len(words)), strict=True))
         blobs = []
-        for words in lists:
-            ids = [known[w] for w in words]
-            counts = np.fromiter(map(len, ids), np.uint32, len(ids))
-            blobs.append(packed(counts.tobytes() + np.concatenate(ids).astype(np.uint32).tobytes()))
-        return pa.table({"chunk": rows["chunk"], "bucket": rows["bucket"], "n": pa.array(list(map(len, lists)), pa.int64()), "ids": pa.array(blobs, pa.binary())})
+        for own in lists:
+            picked = np.fromiter(map(codes.__getitem__, own), np.int64, len(own))
+            blobs.append(packed(counts[picked].astype("<u4").tobytes(), joined(flat, starts, counts, picked).astype(kind).tobytes(), level=3))
+        return pa.table({"chunk": rows["chunk"], "bucket": rows["bucket"], "ids": pa.array(blobs, pa.binary())})
 
     def place(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        texts = [t.encode() for t in rows["text"].to_pylist()]
-        found = vocabulary(texts, buckets)
-        names = pieces(path)
-        ids_of: dict[bytes, bytes] = {}
-        text_of: dict[bytes, bytes] = {}
-        for bucket, n, blob in zip(*(answers[c].to_pylist() for c in ("bucket", "n", "ids")), strict=True):
-            raw = np.frombuffer(unpacked(blob), "<u4")
-            ends = raw[:n].cumsum()
-            flat = raw[n:]
-            told = [names[i] for i in flat.tolist()]
-            for word, start, end in zip(found[bucket], (ends - raw[:n]).tolist(), ends.tolist(), strict=True):
-                ids_of[word] = flat[start:end].tobytes()
-                text_of[word] = b" ".join(told[start:end])
-        ids, decoded = [], []
-        for text in texts:
-            words = text.split()
-            ids.append(b"".join(map(ids_of.__getitem__, words)))
-            # a word of which nothing is left, such as a lone control character, adds no piece
-            decoded.append(b" ".join(filter(None, map(text_of.__getitem__, words))).decode())
+        doc_ids, texts = documents(rows)
+        lists, codes, bucket = vocabulary(texts, buckets)
+        told = dict(zip(answers["bucket"].to_pylist(), answers["ids"].to_pylist(), strict=True))
+        counts, starts = np.zeros(len(codes), np.int64), np.zeros(len(codes), np.int64)
+        flat, at = [], 0
+        for b, own in dealt(bucket):
+            raw = unpacked(told[b])
+            n = np.frombuffer(raw, "<u4", len(own)).astype(np.int64)
+            flat.append(np.frombuffer(raw, kind, offset=4 * len(own)).astype("<u4"))
+            counts[own], starts[own] = n, at + np.cumsum(n) - n
+            at += len(flat[-1])
+        every = np.concatenate(flat) if flat else np.zeros(0, "<u4")
+        picked = [np.fromiter(map(codes.__getitem__, words), np.int64, len(words)) for words in lists]
+        ids = [joined(every, starts, counts, p) for p in picked]
+        sizes = np.array(list(map(len, ids)), np.int64)
         return pa.table(
             {
-                "doc_id": rows["doc_id"],
-                "n_tokens": pa.array([len(i) // 4 for i in ids], pa.int64()),
-                "ids": pa.array(ids, pa.binary()),
-                "decoded": pa.array(decoded, pa.string()),
+                "doc_id": doc_ids, "n_tokens": pa.array(sizes), "ids": pa.array([i.tobytes() for i in ids], pa.binary()),
+                "decoded": decoded(np.concatenate(ids), sizes, path),
             }
         )
 
     sent = chunked.groupBy("chunk").applyInArrow(send, "bucket long, chunk long, words binary")
-    answers = sent.groupBy("bucket").applyInArrow(answer, "chunk long, bucket long, n long, ids binary")
-    result = T.StructType([chunked.schema["doc_id"]]).add("n_tokens", "long").add("ids", "binary").add("decoded", "string")
+    answers = sent.groupBy("bucket").applyInArrow(answer, "chunk long, bucket long, ids binary")
+    doc_id = T.StructField("doc_id", docs.schema["doc_id"].dataType)
+    result = T.StructType([doc_id]).add("n_tokens", "long").add("ids", "binary").add("decoded", "string")
     return chunked.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(place, result)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """(doc_id, decoded) from packed ids, for ids that come without their words."""
+    """(doc_id, decoded) from (doc_id, ids) with packed ids; null ids give an empty text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = pieces(path)
         for batch in batches:
-            texts = [None if b is None else b" ".join(names[i] for i in np.frombuffer(b, "<u4").tolist()).decode() for b in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "decoded"])
+            lists = [np.frombuffer(b or b"", "<u4") for b in batch.column(1).to_pylist()]
+            sizes = np.array(list(map(len, lists)), np.int64)
+            texts = decoded(np.concatenate(lists), sizes, path) if lists else pa.array([], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), texts], names=["doc_id", "decoded"])
 
     rows = encoded.select("doc_id", "ids")
     return rows.mapInArrow(run, T.StructType([rows.schema["doc_id"]]).add("decoded", "string"))
