@@ -34,12 +34,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skuloom.llm import suffixes as S
-from skuloom.llm.common import checkpointed, text_or_empty, total_bytes
+from skuloom.llm.common import LAST, checkpointed, text_or_empty, total_bytes
 
 CHUNK_BYTES = 4_000_000
 #: Input bytes per bucket of keys and of fragments.
 KEY_BYTES, FRAGMENT_BYTES = 16_000_000, 4_000_000
-LAST = (1 << 63) - 1
 ODD = np.uint64(0xFF51AFD7ED558CCD)
 COPY, SHARED, RANGES = 0, 1, 2
 NOTE = "chunk long, kind int, bucket long, data binary"
@@ -103,12 +102,11 @@ def dealt(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return (mixed % n).astype(np.int64), (mixed // n).astype(np.uint32)
 
 
-def distinct(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct keys with bucket and bits, by bucket and bits."""
-    found = np.unique(keys)
-    bucket, bits = dealt(found, buckets)
-    order = np.lexsort((found, bits, bucket))
-    return found[order], bucket[order], bits[order]
+def by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of distinct keys by bucket and bits, and these; keys with the same bits in a bucket get the same answer."""
+    bucket, bits = dealt(keys, buckets)
+    order = np.argsort(bucket.astype(np.uint64) << np.uint64(32) | bits)
+    return order, bucket[order], bits[order]
 
 
 def notes(chunk: list[int], kind: int, bucket: list[int], data: list[bytes]) -> pa.Table:
@@ -136,34 +134,35 @@ def settle(shard: Shard, answers: pa.Table, key_buckets: int, buckets: int) -> t
     x, at, owner, keys = shard.windows()
     first = S.runs(keys, owner)
     run_keys, run_owner, run_sizes = keys[first], owner[first], S.lengths(first, len(keys))
-    found, bucket, _ = distinct(run_keys, key_buckets)
+    found, slot = S.classes(run_keys)
+    placed, bucket, _ = by_bucket(found, key_buckets)
     elsewhere = np.zeros(len(found), bool)
     ends = np.searchsorted(bucket, np.arange(key_buckets + 1))
     for kind, b, data in zip(*(answers[c].to_pylist() for c in ("kind", "bucket", "data")), strict=True):
         if kind == SHARED:
-            n = ends[b + 1] - ends[b]
-            elsewhere[ends[b] : ends[b + 1]] = np.unpackbits(np.frombuffer(data, np.uint8), count=n)
-    # back to the order of the keys
-    by_key = np.argsort(found)
-    found, elsewhere = found[by_key], elsewhere[by_key]
-    slot = np.searchsorted(found, run_keys)
-    pairs = np.unique(slot * len(shard.places) + run_owner)
-    inside = np.bincount(pairs // max(1, len(shard.places)), minlength=len(found)) > 1
+            own = placed[ends[b] : ends[b + 1]]
+            elsewhere[own] = np.unpackbits(np.frombuffer(data, np.uint8), count=len(own))
+    # keys that two documents of the shard have
+    pairs = np.sort(slot * max(1, len(shard.places)) + run_owner)
+    inside = np.bincount(pairs[S.runs(pairs)] // max(1, len(shard.places)), minlength=len(found)) > 1
     wanted = np.repeat((elsewhere | inside)[slot], run_sizes)
     at, owner, keys, abroad = at[wanted], owner[wanted], keys[wanted], np.repeat(elsewhere[slot], run_sizes)[wanted]
     if not len(at):
         return pack(*ranges_of(at, at)), {}
     # only the bytes of these windows
-    edge = np.zeros(len(shard.data) + 1, np.int32)
-    np.add.at(edge, at, 1)
-    np.add.at(edge, at + S.WINDOW, -1)
-    used = np.cumsum(edge[:-1]) > 0
+    _, first, end = ranges_of(np.zeros(len(at), np.int64), at)
+    edge = np.zeros(len(shard.data) + 1, np.int8)
+    edge[first] = 1
+    edge[end] -= 1
+    used = np.cumsum(edge[:-1], dtype=np.int8) > 0
     small = x[: len(shard.data)][used]
     picked = (np.cumsum(used) - 1)[at]
+    number = np.empty(len(small), np.int64)
+    number[picked] = np.arange(len(picked))
     order = S.suffix_order(small, picked)
     new = S.common_prefixes(small, order) < S.WINDOW
     new[0] = True
-    index = np.searchsorted(picked, order)
+    index = number[order]
     ids = shard.ids[shard.places[owner]]
     groups = np.flatnonzero(new)
     least = np.minimum.reduceat(ids[index], groups)
@@ -218,9 +217,8 @@ def merge(chunks: list[int], blobs: list[bytes]) -> dict[int, tuple[np.ndarray,
     text = np.frombuffer(b"".join(numbers), np.uint8)
     sizes = np.array([len(f) for f in numbers], np.int64)
     begins = np.cumsum(sizes) - sizes
-    key = S.keys(S.words(text), len(text))[begins]
-    _, slot, n_same = np.unique(key, return_inverse=True, return_counts=True)
-    varied = n_same[slot] > 1
+    _, slot = S.classes(S.keys(S.words(text), len(text))[begins])
+    varied = np.bincount(slot)[slot] > 1
     # of the others, every window is looked up among the distinct ones
     n_windows = sizes - S.WINDOW + 1
     offsets = np.cumsum(n_windows) - n_windows
@@ -302,7 +300,7 @@ def remove_repeats(
             return notes([], SHARED, [], [])
         shard = Shard.of(rows, known)
         _, _, owner, keys = shard.windows()
-        _, bucket, bits = distinct(keys[S.runs(keys, owner)], key_buckets)
+        _, bucket, bits = by_bucket(S.classes(keys[S.runs(keys, owner)])[0], key_buckets)
         first = S.runs(bucket)
         parts = [p.astype("<u4").tobytes() for p in np.split(bits, first[1:])] if len(bits) else []
         chunk = rows["chunk"][0].as_py()
@@ -310,9 +308,11 @@ def remove_repeats(
 
     def compare(rows: pa.Table) -> pa.Table:
         lists = [np.frombuffer(d, "<u4") for d in rows["data"].to_pylist()]
-        values, counts = np.unique(np.concatenate([np.unique(b) for b in lists]), return_counts=True)
-        shared = values[counts > 1]
-        masks = [np.isin(b, shared) for b in lists]
+        # sorted lists, in which a value may stand twice
+        values = np.sort(np.concatenate([b[S.runs(b)] for b in lists]))
+        first = S.runs(values)
+        shared = values[first[S.lengths(first, len(values)) > 1]]
+        masks = [shared[np.searchsorted(shared, b).clip(max=len(shared) - 1)] == b if len(shared) else np.zeros(len(b), bool) for b in lists]
         told = [(c, np.packbits(m).tobytes()) for c, m in zip(rows["chunk"].to_pylist(), masks, strict=True) if m.any()]
         bucket = rows["bucket"][0].as_py()
         return notes([c for c, _ in told], SHARED, [bucket] * len(told), [m for _, m in told])

@@ -67,6 +67,16 @@ def lengths(starts: np.ndarray, total: int) -> np.ndarray:
     return np.diff(np.append(starts, total))
 
 
+def classes(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, sorted, and for each value its place among them."""
+    order = np.argsort(values)
+    found = values[order]
+    first = runs(found)
+    place = np.empty(len(values), np.int64)
+    place[order] = np.repeat(np.arange(len(first)), lengths(first, len(values)))
+    return found[first], place
+
+
 def sort_by_eight(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions in the order of their first eight bytes; rank: the first place of the position's group."""
     order = np.argsort(x)
