@@ -16,8 +16,8 @@ Step 1 loses no window that lies on the item word for word but for replaced word
 at a similarity of exactly 0.8 about 2 in 100 pairs differ by more than 15 bits, at 0.9 fewer than 1 in 1000, and equal
 texts never.
 
-Everything is DataFrame expressions. The benchmark's anchors are broadcast up to `BROADCAST_ROWS`, counted first; beyond
-that the documents' shingles are shuffled to them.
+Everything is DataFrame expressions. Anchors, blocks of items and the starts of windows are broadcast up to
+`BROADCAST_ROWS`, counted first; beyond that both sides are shuffled.
 
 Null texts hold nothing. Items under five words are not searched. Null and repeated ids are taken as they are: one row per
 distinct pair of document id and item id, the best window of each. Further columns are ignored.
@@ -98,36 +98,39 @@ def anchors_of(items: DataFrame, threshold: float) -> DataFrame:
     return picked.select("shingle", "m", (F.array_position("item_shingles", F.col("shingle")) - 1).cast("int").alias("place")).distinct()
 
 
-def window(shingles: str) -> Column:
+def window(shingles: str, m: Column, start: Column) -> Column:
     """The shingles of m words from `start` on, as far as they lie in the text."""
-    first = F.greatest(F.col("start"), F.lit(0))
-    last = F.least(F.col("start") + F.col("m") - NGRAM + 1, F.size(shingles))
+    first = F.greatest(start, F.lit(0))
+    last = F.least(start + m - NGRAM + 1, F.size(shingles))
     return F.slice(shingles, first + 1, F.greatest(last - first, F.lit(0)))
 
 
+def small(df: DataFrame, rows: int, limit: int) -> DataFrame:
+    """With a hint to broadcast where the counted rows are within the limit."""
+    return F.broadcast(df) if rows <= limit else df
+
+
 def windows_of(docs: DataFrame, anchors: DataFrame, broadcast_rows: int) -> DataFrame:
-    """Distinct (doc_id, m, start, window)."""
-    start = (F.col("pos") - F.col("place")).alias("start")
-    if anchors.count() <= broadcast_rows:
-        texts = shingled(docs, "doc_id").drop("m")
-        # the outer form keeps the optimizer from computing the array once more in a filter on its size
-        placed = texts.select("doc_id", F.col("shingles").alias("all"), F.posexplode_outer("shingles").alias("pos", "shingle"))
-        laid = placed.join(F.broadcast(anchors), "shingle").select("doc_id", "m", start, "all")
-    else:
-        own = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("hash"), "text")
-        texts = shingled(own, "doc_id", "hash").drop("m")
-        places = texts.select("doc_id", "hash", F.posexplode_outer("shingles").alias("pos", "shingle"))
-        hits = places.join(anchors, "shingle").select("doc_id", "hash", "m", start).distinct()
-        # as many starts as the text has anchors
-        by_doc = hits.groupBy(F.col("doc_id").alias("d"), F.col("hash").alias("t")).agg(F.collect_list(F.struct("m", "start")).alias("at"))
-        same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("hash") == F.col("t"))
-        again = own.join(by_doc, same).select("doc_id", "hash", "at", "text")
-        laid = (
-            shingled(again, "doc_id", "at").drop("m")
-            .select("doc_id", F.col("shingles").alias("all"), F.explode("at").alias("at"))
-            .select("doc_id", "all", "at.m", "at.start")
-        )
-    return laid.select("doc_id", "m", "start", window("all").alias("window")).distinct()
+    """Distinct (doc_id, m, start, window).
+
+    The anchors are looked for in single shingles first; only texts that hold one are then read again for their windows.
+    """
+    own = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("hash"), "text")
+    # the outer forms keep the optimizer from computing the arrays once more in a filter on their size
+    places = shingled(own, "doc_id", "hash").select("doc_id", "hash", F.posexplode_outer("shingles").alias("pos", "shingle"))
+    hits = places.join(small(anchors, anchors.count(), broadcast_rows), "shingle")
+    starts = hits.select("doc_id", "hash", "m", (F.col("pos") - F.col("place")).alias("start")).distinct()
+    # no more starts than the text has anchors
+    found = checkpointed(
+        starts.groupBy(F.col("doc_id").alias("d"), F.col("hash").alias("t")).agg(F.collect_list(F.struct("m", "start")).alias("at"))
+    )
+    total = found.agg(F.sum(F.size("at"))).first()[0] or 0
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("hash") == F.col("t"))
+    again = shingled(own.join(small(found, total, broadcast_rows), same), "doc_id", "at")
+    cut = F.transform(
+        "at", lambda x: F.struct(x["m"].alias("m"), x["start"].alias("start"), window("shingles", x["m"], x["start"]).alias("window"))
+    )
+    return again.select("doc_id", F.explode_outer(cut).alias("x")).select("doc_id", "x.*").distinct()
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -141,8 +144,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, b
     listed = items.select("item", "item_id", "m", "item_bits", numbers).select(
         "item", "m", "item_bits", "block", F.explode(F.array(*[F.lit(x).cast("long") for x in near])).alias("change")
     ).withColumn("value", block("item_bits", F.col("block")).bitwiseXOR(F.col("change"))).drop("change")
-    if items.count() * BLOCKS * len(near) <= broadcast_rows:
-        listed = F.broadcast(listed)
+    n_items = items.count()
+    listed = small(listed, n_items * BLOCKS * len(near), broadcast_rows)
     differ = F.col("bits").bitwiseXOR(F.col("item_bits"))
     # the block of this row is the first by which the two meet
     first = F.array_position(
@@ -154,9 +157,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, b
         .filter((F.col("distance") <= RADIUS) & first)
         .select("doc_id", "start", "window", "item", "distance")
     )
-    full = items.select("item", "item_id", "m", "item_shingles")
-    if items.count() * 40 <= broadcast_rows:
-        full = F.broadcast(full)
+    # about 8 bytes per word of an item
+    words = items.agg(F.sum(F.col("m").cast("long"))).first()[0] or 0
+    full = small(items.select("item", "item_id", "m", "item_shingles"), words, broadcast_rows)
     verified = near_pairs.join(full, "item").withColumn("similarity", weighted_similarity("window", "item_shingles"))
     best = F.max(F.struct("similarity", (-F.col("start")).alias("back"), "m", "distance")).alias("best")
     return (

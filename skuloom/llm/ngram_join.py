@@ -45,7 +45,8 @@ def bands_for(threshold: float = THRESHOLD, recall: float = RECALL, hashes: int
     """(bands, rows a band): the most rows with which the recall is reached."""
     best = (hashes, 1)
     for rows in range(1, hashes + 1):
-        bands = math.ceil(math.log(1 - recall) / math.log(1 - threshold**rows))
+        met = threshold**rows
+        bands = math.ceil(math.log(1 - recall) / math.log1p(-met)) if 0 < met < 1 else hashes * (met == 0) + 1
         if bands * rows <= hashes:
             best = (bands, rows)
     return best
