@@ -29,12 +29,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skuloom.llm.chunks import documents, in_chunks, packed, unpacked
-from skuloom.llm.common import total_bytes
+from skuloom.llm.common import slices, total_bytes
 
 CHUNK_BYTES = 6_000_000
 #: Input bytes per bucket of words.
-BUCKET_BYTES = 32_000_000
-ENCODE_BATCH = 20_000
+BUCKET_BYTES = 16_000_000
+ENCODE_BATCH = 5_000
 
 
 @functools.lru_cache(maxsize=2)
@@ -65,12 +65,15 @@ def check(path: str) -> None:
         raise ValueError(f"{path}: words cannot be encoded one by one")
 
 
-def vocabulary(texts: list[bytes], buckets: int) -> tuple[list[list[bytes]], dict[bytes, int], np.ndarray]:
-    """The texts' words, the code of each distinct word in the order of appearance, and its bucket."""
-    lists = [text.split() for text in texts]
-    words = dict.fromkeys(chain.from_iterable(lists))
+def vocabulary(texts: list[bytes], buckets: int) -> tuple[dict[bytes, int], np.ndarray]:
+    """The code of each distinct word of the texts, in the order of appearance, and its bucket."""
+    words = dict.fromkeys(chain.from_iterable(map(bytes.split, texts)))
     codes = dict(zip(words, range(len(words)), strict=True))
-    return lists, codes, np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
+    return codes, np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
+
+
+def coded(words: list[bytes], codes: dict[bytes, int]) -> np.ndarray:
+    return np.fromiter(map(codes.__getitem__, words), np.int64, len(words))
 
 
 def dealt(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -132,7 +135,7 @@ def encode(docs: DataFrame, path: str, chunk_bytes: int = CHUNK_BYTES, bucket_by
     kind = width(path)
 
     def send(rows: pa.Table) -> pa.Table:
-        _, codes, bucket = vocabulary(documents(rows)[1], buckets)
+        codes, bucket = vocabulary(documents(rows)[1], buckets)
         words = list(codes)
         found = [(b, packed(b"\n".join(map(words.__getitem__, own.tolist())), level=3)) for b, own in dealt(bucket)]
         chunk = rows["chunk"][0].as_py()
@@ -151,13 +154,13 @@ def encode(docs: DataFrame, path: str, chunk_bytes: int = CHUNK_BYTES, bucket_by
         codes = dict(zip(words, range(len(words)), strict=True))
         blobs = []
         for own in lists:
-            picked = np.fromiter(map(codes.__getitem__, own), np.int64, len(own))
+            picked = coded(own, codes)
             blobs.append(packed(counts[picked].astype("<u4").tobytes(), joined(flat, starts, counts, picked).astype(kind).tobytes(), level=3))
         return pa.table({"chunk": rows["chunk"], "bucket": rows["bucket"], "ids": pa.array(blobs, pa.binary())})
 
     def place(rows: pa.Table, answers: pa.Table) -> pa.Table:
         doc_ids, texts = documents(rows)
-        lists, codes, bucket = vocabulary(texts, buckets)
+        codes, bucket = vocabulary(texts, buckets)
         told = dict(zip(answers["bucket"].to_pylist(), answers["ids"].to_pylist(), strict=True))
         counts, starts = np.zeros(len(codes), np.int64), np.zeros(len(codes), np.int64)
         flat, at = [], 0
@@ -168,8 +171,7 @@ def encode(docs: DataFrame, path: str, chunk_bytes: int = CHUNK_BYTES, bucket_by
             counts[own], starts[own] = n, at + np.cumsum(n) - n
             at += len(flat[-1])
         every = np.concatenate(flat) if flat else np.zeros(0, "<u4")
-        picked = [np.fromiter(map(codes.__getitem__, words), np.int64, len(words)) for words in lists]
-        ids = [joined(every, starts, counts, p) for p in picked]
+        ids = [joined(every, starts, counts, coded(text.split(), codes)) for text in texts]
         sizes = np.array(list(map(len, ids)), np.int64)
         return pa.table(
             {
@@ -189,7 +191,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     """(doc_id, decoded) from (doc_id, ids) with packed ids; null ids give an empty text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             lists = [np.frombuffer(b or b"", "<u4") for b in batch.column(1).to_pylist()]
             sizes = np.array(list(map(len, lists)), np.int64)
             texts = decoded(np.concatenate(lists), sizes, path) if lists else pa.array([], pa.string())

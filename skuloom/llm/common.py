@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,3 +54,10 @@ def fold(doc_id: str = "doc_id") -> Column:
 
 def total_bytes(docs: DataFrame, column: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(F.col(column))).alias("n")).first()["n"] or 0
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches: texts become Python objects, a few at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skuloom.llm.common import fold, text_or_empty
+from skuloom.llm.common import fold, slices, text_or_empty
 
 WORD_BITS, ENDING_BITS = 14, 8
 FACTORS = 8
@@ -177,7 +177,7 @@ def learn(docs: DataFrame, labels: DataFrame, metadata: tuple[str, ...] = ("n_ch
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets = Buckets()
-        for batch in batches:
+        for batch in slices(batches):
             found = [
                 features(t, tuple(numbers), buckets)
                 for t, numbers in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
@@ -206,7 +206,7 @@ def scores(docs: DataFrame, machine: Machine, metadata: tuple[str, ...] = ("n_ch
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets = Buckets()
-        for batch in batches:
+        for batch in slices(batches):
             found: list[float] = []
             rows, held_inputs = [], 0
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skuloom.llm.common import fold
+from skuloom.llm.common import fold, slices
 
 DICTIONARY_BYTES = 98_304
 SHARE_CHARS = 2_048
@@ -107,7 +107,7 @@ def language_id(docs: DataFrame, known: Dictionaries, margin: float = MARGIN, ke
     held = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [identify(t, held.value, margin) for t in batch.column(0).to_pylist()]
             columns = batch.columns[1:] + [
                 pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.bool_()))
@@ -130,7 +130,7 @@ def accepted(docs: DataFrame, known: Dictionaries, margin: float = MARGIN) -> Da
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             yield batch.filter(pa.array([not identify(t, held.value, margin)[2] for t in batch.column(place).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

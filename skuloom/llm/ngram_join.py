@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skuloom.llm.common import LAST, checkpointed, text_or_empty
+from skuloom.llm.common import LAST, checkpointed, slices, text_or_empty
 from skuloom.llm.components import components
 from skuloom.llm.shingles import WordHashes, shingle_set
 
@@ -39,6 +39,8 @@ HASHES = 128
 TILE = 512
 #: Bytes of sets compared in one call.
 PART_BYTES = 8_000_000
+#: Bytes of sets in a batch that is sent.
+SENT_BYTES = 4_000_000
 
 
 def bands_for(threshold: float = THRESHOLD, recall: float = RECALL, hashes: int = HASHES) -> tuple[int, int]:
@@ -82,7 +84,7 @@ def signatures(rows: DataFrame, bands: int, per_band: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in slices(batches):
             keys, found = [], []
             for text in batch.column(3).to_pylist():
                 s = shingle_set(text, hashes)
@@ -185,27 +187,45 @@ def linked_classes(rows: DataFrame, classes: DataFrame, n_bands: int, threshold:
     mean = rows.agg(F.avg(F.octet_length("text"))).first()[0] or 0
     parts = max(1, math.ceil(told * (1.3 * mean + 300) / part_bytes))
 
+    kinds = {
+        "bucket": pa.int64(), "a": pa.int64(), "b": pa.int64(), "key": pa.binary(), "n": pa.int64(), "tile": pa.int64(),
+        "buckets": pa.list_(pa.int64()), "shingles": pa.binary(),
+    }
+
+    def rows_of(key: bytes, n: int, buckets: list[dict], shingles: bytes) -> Iterator[tuple]:
+        """The class, once for every tile pair of its buckets in which it takes part."""
+        by_band = [0] * n_bands
+        for x in buckets:
+            by_band[x["band"]] = x["bucket"]
+        for x in buckets:
+            tiles = -(-x["n"] // tile)
+            own = int.from_bytes(key[:8], "little") % tiles
+            for other in range(tiles):
+                yield x["bucket"], min(own, other), max(own, other), key, n, own, by_band, shingles
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
-            columns: dict[str, list] = {c: [] for c in ("bucket", "a", "b", "key", "n", "tile", "buckets", "shingles")}
+        held: list[tuple] = []
+        size = 0
+
+        def flushed() -> pa.RecordBatch:
+            arrays = [pa.array(v, k) for v, k in zip(zip(*held, strict=True), kinds.values(), strict=True)]
+            held.clear()
+            return pa.RecordBatch.from_arrays(arrays, names=list(kinds))
+
+        for batch in slices(batches):
             for key, n, buckets, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 s = shingle_set(text, hashes)
                 if set_key(s) != key:
                     continue
-                by_band = [0] * n_bands
-                for x in buckets:
-                    by_band[x["band"]] = x["bucket"]
-                for x in buckets:
-                    tiles = -(-x["n"] // tile)
-                    own = int.from_bytes(key[:8], "little") % tiles
-                    for other in range(tiles):
-                        row = (x["bucket"], min(own, other), max(own, other), key, n, own, by_band, s.tobytes())
-                        for name, value in zip(columns, row, strict=True):
-                            columns[name].append(value)
-            kinds = (pa.int64(),) * 3 + (pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
-            arrays = [pa.array(v, k) for v, k in zip(columns.values(), kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, names=list(columns))
+                for row in rows_of(key, n, buckets, s.tobytes()):
+                    held.append(row)
+                    size += len(row[-1])
+                    if size >= SENT_BYTES:
+                        yield flushed()
+                        size = 0
+        if held:
+            yield flushed()
 
     texts = rows.select(F.col("rank").alias("d_rank"), F.col("hash").alias("d_hash"), "text")
     same = (F.col("rank") == F.col("d_rank")) & (F.col("hash") == F.col("d_hash"))

@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skuloom.llm.common import slices
+
 KINDS = ("email", "ip", "card", "phone")
 EXAMPLES = 150
 ROUNDS, DEPTH, SHRINK, BINS = 60, 3, 0.2, 24
@@ -345,7 +347,7 @@ def find_spans(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-        for batch in batches:
+        for batch in slices(batches):
             base, spans = [], []
             for text in batch.column(1).to_pylist():
                 own = base_spans(text or "")
@@ -391,7 +393,7 @@ def redact(docs: DataFrame, column: str = "text") -> DataFrame:
     place = docs.columns.index(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = [None if t is None else masked(t, held.value) for t in batch.column(place).to_pylist()]
             yield batch.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type))
 

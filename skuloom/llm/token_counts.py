@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skuloom.llm.common import text_or_empty
+from skuloom.llm.common import slices, text_or_empty
 
 #: Characters of a segment, bytes of a batch. They bound memory and change no result.
 SEGMENT_CHARS = 16_384
@@ -100,7 +100,7 @@ def token_counts(
     """(id, n_bytes, n_tokens, over_limit) of every row. `model_path` must be readable on every executor."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sizes, counts = lengths(batch.column(1).to_pylist(), model_path, segment_chars, batch_bytes)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64())],
