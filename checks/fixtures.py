@@ -12,14 +12,14 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skuloom.constants import STOCK_EXPORT_COLUMNS
+
 SOURCE_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
 )
 
 AS_OF = dt.date(1999, 6, 15)
 AGEING_AS_OF = dt.date(2001, 9, 1)
-MATRIX_DATES = [dt.date(1999, 6, 1) + dt.timedelta(days=i) for i in range(30)]
-DELAYS = list(range(0, 26))
 STREAMER = "17"
 LIVE_STREAMER = "purchase"
 ROUTED_SHOP = "NATION_3"
@@ -31,6 +31,9 @@ _COLOR_SPEC = """CASE WHEN p_size <= 7 THEN p_name
     ELSE concat(p_name, ';', CAST(p_size AS STRING), ' (cm)') END"""
 _STOCK_SPEC = """concat(CAST(p_size AS STRING), CASE WHEN p_type = 'PROMO' THEN ' 【cm】'
     WHEN p_type = 'LARGE' THEN '（cm）' WHEN p_type = 'MEDIUM' THEN ' (cm）' ELSE ' (cm)' END)"""
+# A third as the catalogue writes it, a third upper-cased as the image table does, a third of its own.
+_STYLE = """CASE p_size % 3 WHEN 0 THEN p_brand WHEN 1 THEN upper(p_brand)
+    ELSE concat(p_brand, '-', CAST(p_size AS STRING)) END"""
 _MEASURES = """p_retailprice AS cost,
     l_quantity AS sold_qty, l_extendedprice AS sold_amt,
     CASE WHEN l_linestatus = 'F' THEN l_quantity END AS shipped_qty,
@@ -59,10 +62,29 @@ _PURCHASE = f"""SELECT {_COLOR_SPEC} AS color_spec, p_brand AS style_code,
     JOIN {{part}} ON l_partkey = p_partkey JOIN {{supplier}} ON l_suppkey = s_suppkey
     WHERE o_orderdate {{op}} TIMESTAMP '1998-01-01 00:00:00'"""
 _HISTORY = f"""SELECT p_brand AS style_code, {_COLOR_SPEC} AS color_spec,
-    CASE WHEN l_tax = 0 THEN 'n/a' ELSE CAST(l_quantity AS STRING) END AS sold_qty,
+    CASE WHEN l_tax = 0 THEN 'n/a' WHEN l_tax = 0.01 THEN 'nan' WHEN l_tax = 0.02 THEN 'inf'
+        WHEN l_tax = 0.03 THEN concat(CAST(l_linenumber AS STRING), 'd') ELSE CAST(l_quantity AS STRING) END AS sold_qty,
     CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS STRING) END AS return_qty
     FROM {{lineitem}} JOIN {{part}} ON l_partkey = p_partkey WHERE l_shipdate {{op}} TIMESTAMP '1998-01-01 00:00:00'"""
 
+# the stock export: codes with an escaped plus, texts, and a number for every other column
+_TEXTS = {
+    "款式编码": "p_brand", "颜色": "replace(p_name, ' ', '_x002B_')", "规格": "concat(CAST(p_size AS STRING), ' (cm)')",
+    "品牌": "p_brand", "商品编码": "concat('SKU_x002B_', CAST(p_partkey AS STRING))", "名称": "p_name",
+    "图片地址链接": "concat('img/', CAST(p_partkey AS STRING))",
+}
+EXPORT = {
+    c: _TEXTS.get(c, f"CAST((p_size * {i + 3} + p_partkey) % 97 AS STRING)") for i, c in enumerate(STOCK_EXPORT_COLUMNS)
+}
+
+# texts of dates in the forms that exports have
+DATE_TEXTS_SQL = """SELECT o_orderdate, CASE o_orderkey % 5 WHEN 0 THEN 'iso' WHEN 1 THEN 'slash' WHEN 2 THEN 'compact'
+    WHEN 3 THEN 'slash time' ELSE 'none' END AS form FROM orders"""
+DATE_TEXTS = f"""SELECT form, CASE form WHEN 'iso' THEN day WHEN 'slash' THEN replace(day, '-', '/')
+    WHEN 'compact' THEN replace(day, '-', '') WHEN 'slash time' THEN concat(replace(day, '-', '/'), ' 08:30')
+    ELSE '待定' END AS text FROM (SELECT form, CAST(CAST(o_orderdate AS DATE) AS STRING) AS day
+    FROM ({DATE_TEXTS_SQL.replace('FROM orders', 'FROM {orders}')}) t) z"""
+
 # `{name}` stands for a synthetic table.
 TABLES = {
     "catalog": f"""SELECT CASE WHEN p_size >= 10 THEN concat('img/', CAST(p_partkey AS STRING)) END AS image_url,
@@ -80,7 +102,7 @@ TABLES = {
         concat(CASE WHEN l_linestatus = 'O' AND l_returnflag = 'N' THEN 'gift' ELSE 'sku' END,
             CAST(l_partkey AS STRING), ' ') AS sku,
         CASE WHEN o_orderpriority <> '5-LOW' THEN concat(' ', CAST(o_custkey AS STRING), '.0') END AS streamer_id,
-        p_brand AS style_code, {_COLOR_SPEC} AS color_spec, p_type AS category,
+        {_STYLE} AS style_code, {_COLOR_SPEC} AS color_spec, p_type AS category,
         CASE WHEN p_size >= 10 THEN concat('【', p_name, '】', p_brand) ELSE concat(p_name, ' ', p_brand) END AS online_title,
         l_shipdate AS claim_at, CASE WHEN l_returnflag = 'R' THEN '仅退款' ELSE '退货' END AS claim_type,
         {_MEASURES}
@@ -106,7 +128,8 @@ TABLES = {
         l_quantity AS po_qty, CASE WHEN l_linestatus = 'F' THEN l_quantity END AS received_qty,
         l_orderkey * 10 + l_linenumber AS _ord
         FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey JOIN {{part}} ON l_partkey = p_partkey""",
-    "receipts": """SELECT CASE WHEN l_tax = 0 THEN concat('X', CAST(l_orderkey AS STRING))
+    "receipts": """SELECT CASE WHEN l_tax = 0 THEN concat('X', CAST(l_orderkey AS STRING)) WHEN l_tax = 0.01 THEN 'nan'
+            WHEN l_tax = 0.02 THEN CAST(90000000000000567 + l_orderkey AS STRING)
             ELSE concat(CAST(l_orderkey AS STRING), '.0') END AS po_no,
         concat('SKU', CAST(l_partkey AS STRING)) AS sku,
         CASE WHEN l_returnflag = 'A' THEN '调整单' END AS tags,
@@ -138,13 +161,11 @@ TABLES = {
         concat('N', p_name, CAST(p_size AS STRING)) AS online_style,
         p_brand AS system_style, concat(CASE WHEN p_size = 30 THEN 'SKU' ELSE ' SKU' END,
             CAST(p_partkey AS STRING)) AS system_sku,
-        max(CASE WHEN l_linestatus = 'O' AND l_returnflag <> 'A' THEN 1 ELSE 0 END) AS is_listed
+        max(CASE WHEN l_linestatus = 'O' AND l_returnflag <> 'A' AND l_quantity > 40 THEN 1 ELSE 0 END) AS is_listed
         FROM {lineitem} JOIN {part} ON l_partkey = p_partkey JOIN {supplier} ON l_suppkey = s_suppkey
         JOIN {nation} ON s_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey
         GROUP BY n_name, r_name, p_partkey, p_brand, p_name, p_size""",
-    "stock_export": """SELECT p_brand AS `款式编码`, replace(p_name, ' ', '_x002B_') AS `颜色`,
-        concat('SKU_x002B_', CAST(p_partkey AS STRING)) AS `商品编码`, CAST(p_size AS STRING) AS `数量`,
-        'x' AS `多余` FROM {part}""",
+    "stock_export": "SELECT " + ", ".join(f"{v} AS `{k}`" for k, v in EXPORT.items()) + ", 'x' AS `多余` FROM {part}",
     "category": """SELECT p_type AS category, concat('P-', p_type) AS plan_category, min(p_partkey) AS _ord
         FROM {part} WHERE p_type <> 'PROMO' GROUP BY p_type
         UNION ALL SELECT p_type, 'P-more', max(p_partkey) + 1000000000 FROM {part}

@@ -51,7 +51,17 @@ def _query(text: str) -> str:
 
 
 def s(x: str) -> str:
-    return f"CAST(coalesce(sum(CAST({x} AS DECIMAL(18,4))), 0) AS DOUBLE)"
+    """Sum of doubles, exact to 2^-66 and rounded at the end: whole-number words are added apart."""
+    w = "4194304.0::DOUBLE"
+    finite = f"(CASE WHEN isfinite(({x})::DOUBLE) THEN ({x})::DOUBLE END)"
+    sign, v = f"(CASE WHEN ({x}) < 0 THEN -1 ELSE 1 END)", f"abs({finite})"
+    high = f"floor(floor({v}) / {w})"
+    f0 = f"({v} - floor({v}))"
+    f1 = f"(({f0} * {w}) % 1.0::DOUBLE)"
+    f2 = f"(({f1} * {w}) % 1.0::DOUBLE)"
+    words = [high, f"floor({v}) - {high} * {w}", f"floor({f0} * {w})", f"floor({f1} * {w})", f"floor({f2} * {w})"]
+    h, a, b, c, d = (f"CAST(coalesce(sum({sign} * CAST({word} AS BIGINT)), 0) AS DOUBLE)" for word in words)
+    return f"({h} * {w} + ({a} + ({b} + ({c} + {d} / {w}) / {w}) / {w}))"
 
 
 def r(x: str, digits: int) -> str:
@@ -100,18 +110,25 @@ AGE = """CASE WHEN {x} / 30.44 <= -1 THEN NULL WHEN {x} / 30.44 <= 6 THEN '0-6
     WHEN {x} / 30.44 <= 24 THEN '19-24个月' WHEN {x} IS NOT NULL THEN '24个月以上' END"""
 BINS = "(VALUES ('0-6个月'), ('7-12个月'), ('13-18个月'), ('19-24个月'), ('24个月以上')) b(age)"
 
+BOTH = "(SELECT * FROM purchase_history UNION ALL SELECT * FROM purchase_current) u"
+
 # --- operators
 
+add("s1_first_of_export", "SELECT p_brand, min(p_partkey) AS p_partkey, CAST(NULL AS DOUBLE) AS missing FROM part GROUP BY 1")
+add("s2_read_bundle", "SELECT n_nationkey, n_name FROM nation")
+add("s5_discover", "SELECT l_orderkey, l_linenumber FROM lineitem")
+add("s6_positional", "SELECT s_name AS shop, s_suppkey AS shop_id FROM supplier")
+
 add("s3_pruned_read", "SELECT l_partkey, l_quantity FROM lineitem")
 add("p1_conform", "SELECT p_name, CAST(NULL AS VARCHAR) AS missing, p_partkey, p_size FROM part")
 add("p2_p3_rename_drop", "SELECT s_suppkey AS shop_id, s_name AS shop FROM supplier")
 add(
     "p6_not_equal_null",
-    "SELECT tags, count(*) AS n FROM purchase_current WHERE tags IS DISTINCT FROM '返修退货' GROUP BY tags",
+    "SELECT tags, count(*) AS n FROM " + BOTH + " WHERE tags IS DISTINCT FROM '返修退货' GROUP BY tags",
 )
 add(
     "p8_in_list",
-    f"SELECT status, {s('po_qty')} AS qty FROM purchase_current WHERE status IN ('完成', '已确认') GROUP BY status",
+    f"SELECT status, {s('po_qty')} AS qty FROM {BOTH} WHERE status IN ('完成', '已确认') GROUP BY status",
 )
 add(
     "p10_any_nonzero",
@@ -137,7 +154,7 @@ add(
     """SELECT CASE WHEN category = '美妆' THEN '美妆' ELSE class END AS class, count(*) AS n
     FROM merch_board GROUP BY 1""",
 )
-add("p16_tags", f"SELECT {TAG} AS tag, count(*) AS n FROM purchase_history GROUP BY 1")
+add("p16_tags", f"SELECT {TAG} AS tag, count(*) AS n FROM {BOTH} GROUP BY 1")
 add("p17_map_default", f"SELECT site, {CHANNEL} AS channel, count(*) AS n FROM listings GROUP BY 1, 2")
 add("p18_null_tokens", "SELECT nullif(l_returnflag, 'N') AS flag, count(*) AS n FROM lineitem GROUP BY 1")
 
@@ -201,12 +218,22 @@ add(
     {s('return_qty')} AS return_qty, {s('sold_amt')} AS sold_amt FROM sales_paid a
     LEFT JOIN category c ON {same('a.category', 'c.category')} WHERE plan_category IS NOT NULL GROUP BY 1, 2""",
 )
+add(
+    "a1_fine_sums",
+    f"SELECT l_suppkey, {s('l_quantity * l_tax / 7000')} AS fine FROM lineitem GROUP BY 1",
+)
+LARGE = "CASE WHEN l_returnflag = 'R' THEN -l_extendedprice * 1e10::DOUBLE ELSE l_extendedprice * 1e10::DOUBLE END"
+add(
+    "a1_large_sums",
+    f"""SELECT l_linenumber, {s('large')} AS large, {s('large + l_tax')} AS mixed
+    FROM (SELECT *, {LARGE} AS large FROM lineitem) z GROUP BY 1""",
+)
 add(
     "a2_count_and_sum",
     f"SELECT class, count(last_order_date) AS n, {s('total_stock')} AS stock FROM merch_board GROUP BY 1",
 )
 add("a4_min_date", "SELECT style_code, CAST(min(date) AS DATE) AS first_day FROM sales_paid GROUP BY 1")
-add("a5_max_flag", "SELECT shop, max(is_listed) AS is_listed FROM listings GROUP BY 1")
+add("a5_max_flag", "SELECT shop, online_style, max(is_listed) AS is_listed FROM listings GROUP BY 1, 2")
 FIRST_DONE = """(SELECT po_no, arg_min(completed_at, (_ord, completed_at)) AS completed_at
     FROM {t} WHERE completed_at IS NOT NULL GROUP BY 1)"""
 add("a6_first_nonnull", f"SELECT * FROM {FIRST_DONE.format(t='po_lines')} z")
@@ -229,7 +256,7 @@ GRID = f"""grid AS (SELECT c.class, b.age, count(d.skc) AS skc_count, {s('d.tota
         FROM (SELECT DISTINCT class FROM detail WHERE class IS NOT NULL) c CROSS JOIN {BINS}
         LEFT JOIN detail d ON d.class = c.class AND d.age = b.age GROUP BY 1, 2)"""
 add("a9_dense_grid", f"WITH {DETAIL}, {GRID} SELECT * FROM grid")
-NUMBER = "CAST(CAST(coalesce(TRY_CAST(po_no AS DOUBLE), 0) AS BIGINT) AS VARCHAR)"
+NUMBER = "CAST(coalesce(TRY_CAST(po_no AS BIGINT), 0) AS VARCHAR)"
 RECEIPTS = f"""timed AS (SELECT {NUMBER} || sku AS po_sku, {r(days('po_date', 'received_at'), 2)} AS d, qty
         FROM receipts WHERE tags IS DISTINCT FROM '调整单'),
     weighted AS (SELECT po_sku, {s(r('qty * d', 2))} AS w, {s('qty')} AS receipt_qty FROM timed GROUP BY 1),
@@ -249,7 +276,7 @@ add(
     SELECT style_code, date, {r('1.0::DOUBLE - b / nullif(a, 0)', 4)} AS kept,
     {r('g / nullif(f, 0)', 2)} AS returned, {r('a / nullif(q, 0)', 0)} AS unit_price FROM t""",
 )
-add("a13_distinct", "SELECT DISTINCT style_code, status FROM purchase_current")
+add("a13_distinct", f"SELECT DISTINCT style_code, status FROM {BOTH}")
 
 
 
@@ -280,22 +307,23 @@ REFUND_LINES = f"""lines AS (SELECT CAST(paid_at AS DATE) AS paid_date, style_co
         sold_qty, shipped_qty, return_qty, returned_qty FROM order_lines{{where}})"""
 
 
-def _spread(metrics, values, by, value="max"):
-    return ", ".join(
-        f'{value}(CASE WHEN {by} = {v} THEN {m} END) AS "{m}_{v}"' for m in metrics for v in values
-    )
+def fixed(x: str, digits: int) -> str:
+    return f"coalesce(CAST(CAST({x} AS DECIMAL(28,{digits})) AS VARCHAR), '')"
+
+
+def cells(key: str, values: list[str], digits: int) -> str:
+    """A map as text."""
+    shown = " || '/' || ".join(fixed(v, digits) for v in values)
+    return f"string_agg(CAST({key} AS VARCHAR) || '=' || {shown}, ';' ORDER BY {key})"
 
 
-_delays = ", ".join(str(d) for d in X.DELAYS)
 add(
     "r3_delay_spread",
     f"""WITH {REFUND_LINES.format(where='')},
-    t AS (SELECT skc, delay, {s('return_qty')} AS return_qty, {s('sold_qty')} AS sold_qty FROM lines GROUP BY 1, 2)
-    SELECT skc, {_spread(['return_qty', 'sold_qty'], X.DELAYS, 'delay')} FROM t
-    WHERE delay IN ({_delays}) GROUP BY 1""",
+    t AS (SELECT skc, delay, {s('return_qty')} AS return_qty, {s('sold_qty')} AS sold_qty FROM lines
+        WHERE skc IS NOT NULL AND delay IS NOT NULL GROUP BY 1, 2)
+    SELECT skc, {cells('delay', ['return_qty', 'sold_qty'], 2)} AS cells FROM t GROUP BY 1""",
 )
-_dates = ", ".join(f"'{d}'" for d in X.MATRIX_DATES)
-_date_cells = ", ".join(f"""max(CASE WHEN day = '{d}' THEN v END) AS "{d}\"""" for d in X.MATRIX_DATES)
 _month_cells = ", ".join(f"""max(CASE WHEN month = '{m}' THEN v END) AS "{m}\"""" for m in MONTHS)
 add(
     "r4_metric_rows",
@@ -327,7 +355,7 @@ add(
 )
 add(
     "w4_keep_last",
-    """SELECT style_code, po_date, supplier FROM (SELECT DISTINCT style_code, po_date, supplier FROM purchase_history) z
+    f"""SELECT style_code, po_date, supplier FROM (SELECT DISTINCT style_code, po_date, supplier FROM {BOTH}) z
     QUALIFY row_number() OVER (PARTITION BY style_code ORDER BY po_date, supplier DESC) = 1""",
 )
 add(
@@ -349,7 +377,7 @@ add(
 )
 add(
     "o1_mixed_sort",
-    f"SELECT style_code, po_date, {s('po_qty')} AS po_qty FROM purchase_history GROUP BY 1, 2 ORDER BY 1, 2 DESC",
+    f"SELECT style_code, po_date, {s('po_qty')} AS po_qty FROM {BOTH} GROUP BY 1, 2 ORDER BY 1, 2 DESC",
 )
 add(
     "o3_top_k",
@@ -396,10 +424,18 @@ add("f6_bracket_title", f"SELECT online_title, {TITLE} AS short_title, count(*)
 add("f8_unescape", "SELECT sku, replace(color, '_x002B_', '+') AS color FROM catalog")
 STREAMER = "trim(split_part(streamer_id, '.', 1))"
 add("f9_id_canon", f"SELECT {STREAMER} AS streamer, count(*) AS n FROM order_lines GROUP BY 1")
+FINITE = "CASE WHEN isfinite(TRY_CAST({x} AS DOUBLE)) THEN TRY_CAST({x} AS DOUBLE) END"
+SOLD = "(SELECT * FROM sales_history UNION ALL SELECT * FROM sales_current) u"
 add(
     "f11_to_number",
-    f"""SELECT style_code, {s('TRY_CAST(sold_qty AS DOUBLE)')} AS sold, count(TRY_CAST(sold_qty AS DOUBLE)) AS n
-    FROM sales_current GROUP BY 1""",
+    f"""SELECT style_code, {s('TRY_CAST(sold_qty AS DOUBLE)')} AS sold, count({FINITE.format(x='sold_qty')}) AS n
+    FROM {SOLD} GROUP BY 1""",
+)
+add(
+    "f12_parse_ts",
+    f"""SELECT form, CAST(CASE form WHEN 'none' THEN NULL WHEN 'slash time' THEN day + INTERVAL '8 hours 30 minutes'
+    ELSE day END AS VARCHAR) AS at, count(*) AS n
+    FROM (SELECT form, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS day FROM ({X.DATE_TEXTS_SQL}) t) z GROUP BY 1, 2""",
 )
 add("f14_hour_label", f"SELECT {HOUR} AS hour, count(*) AS n FROM live_sales GROUP BY 1")
 add(
@@ -531,9 +567,8 @@ add(
 )
 add(
     "q11_all_time_sales",
-    f"""WITH t AS (SELECT style_code, {color()} AS color, coalesce(TRY_CAST(sold_qty AS DOUBLE), 0) AS a,
-        coalesce(TRY_CAST(return_qty AS DOUBLE), 0) AS b
-        FROM (SELECT * FROM sales_history UNION ALL SELECT * FROM sales_current) u)
+    f"""WITH t AS (SELECT style_code, {color()} AS color, coalesce({FINITE.format(x='sold_qty')}, 0) AS a,
+        coalesce({FINITE.format(x='return_qty')}, 0) AS b FROM {SOLD})
     SELECT style_code || color AS skc, style_code, color, {s('a')} AS sold_qty, {s('b')} AS return_qty,
     {s('a - b')} AS net_qty FROM t WHERE style_code || color IS NOT NULL GROUP BY 1, 2, 3""",
 )
@@ -553,16 +588,17 @@ for name, window, k in (("q12_top20", YESTERDAY, 20), ("q12_top30", WEEK, 30)):
         board_style, launch_date FROM ranked LEFT JOIN img ON style_code = style
         LEFT JOIN launch ON style_code = board_style WHERE rank <= {k}""",
     )
-add(
-    "q12_top36",
-    f"""WITH {TOP.format(amt=s('sold_amt'), qty=s('sold_qty'), days=YESTERDAY)},
-    names AS (SELECT style_code, online_title AS title, {TITLE} AS short_title FROM order_lines WHERE {YESTERDAY}
-        QUALIFY row_number() OVER (PARTITION BY style_code ORDER BY _ord, online_title) = 1)
-    SELECT rank, ranked.style_code, '' AS image,
-    {r('sold_amt / nullif((SELECT ' + s('sold_amt') + ' FROM t), 0)', 4)} AS amt_share,
-    {r('sold_qty / nullif((SELECT ' + s('sold_qty') + ' FROM t), 0)', 4)} AS qty_share, short_title, title
-    FROM ranked LEFT JOIN names ON ranked.style_code = names.style_code WHERE rank <= 36""",
-)
+for name, k in (("q12_top36", 36), ("q12_top12_shares", 12)):
+    add(
+        name,
+        f"""WITH {TOP.format(amt=s('sold_amt'), qty=s('sold_qty'), days=YESTERDAY)},
+        names AS (SELECT style_code, online_title AS title, {TITLE} AS short_title FROM order_lines WHERE {YESTERDAY}
+            QUALIFY row_number() OVER (PARTITION BY style_code ORDER BY _ord, online_title) = 1)
+        SELECT rank, ranked.style_code, '' AS image,
+        {r('sold_amt / nullif((SELECT ' + s('sold_amt') + ' FROM t), 0)', 4)} AS amt_share,
+        {r('sold_qty / nullif((SELECT ' + s('sold_qty') + ' FROM t), 0)', 4)} AS qty_share, short_title, title
+        FROM ranked LEFT JOIN names ON ranked.style_code = names.style_code WHERE rank <= {k}""",
+    )
 _measures4 = ("sold_qty", "shipped_qty", "return_qty", "returned_qty")
 _four = ", ".join(f"{s(m)} AS {m}" for m in _measures4)
 RATES = f"""lines AS (SELECT strftime(date, '%Y-%m-%d') AS date, style_code || {color()} AS skc, plan_category,
@@ -594,7 +630,7 @@ _metric_rows = " UNION ALL ".join(
 add(
     "q13_return_rate_matrix",
     f"""WITH {RATES}, m AS ({_metric_rows})
-    SELECT {_ids}, '' AS image, metric, {_date_cells} FROM m WHERE v IS NOT NULL AND day IN ({_dates})
+    SELECT {_ids}, '' AS image, metric, {cells('day', ['v'], 2)} AS rates FROM m WHERE v IS NOT NULL
     GROUP BY {_ids}, metric""",
 )
 LIVE = f"""live AS (SELECT paid_at, CAST(paid_at AS DATE) AS date, trim(streamer_id) AS streamer_id, style_code,
@@ -631,8 +667,8 @@ add(
     "q15_refund_curve_wide",
     f"""WITH {CURVE} SELECT paid_date, skc, category, opening_stock, day_sold, day_refund_only, day_shipped,
     pre_ship_refund_rate, post_ship_refund_rate, full_return_rate,
-    {_spread(['return_qty', 'cum_refund', 'cum_share'], X.DELAYS, 'delay')}
-    FROM curve WHERE delay IN ({_delays}) GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10""",
+    {cells('delay', ['return_qty', 'cum_refund', 'cum_share'], 4)} AS curve
+    FROM curve WHERE delay <= 25 GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10""",
 )
 add(
     "q16_po_lead_time",
@@ -673,6 +709,14 @@ add(
     f"""WITH {ROUTED} SELECT replace(skc, '_x002B_', '+') AS skc, {_shop_cells} FROM enriched
     WHERE skc IS NOT NULL GROUP BY enriched.skc""",
 )
+add(
+    "q18_listing_maps",
+    f"""WITH {ROUTED}, f AS (SELECT skc, channel, shop, max(is_listed) AS v FROM enriched
+        WHERE skc IS NOT NULL AND channel IS NOT NULL AND shop IS NOT NULL GROUP BY 1, 2, 3),
+    n AS (SELECT skc, '{{' || channel || ', ' || shop || '}}' AS place, channel, shop, v FROM f)
+    SELECT replace(skc, '_x002B_', '+') AS skc,
+    string_agg(place || '=' || {fixed('v', 0)}, ';' ORDER BY channel, shop) AS listed FROM n GROUP BY n.skc""",
+)
 add(
     "q18_priority_skc",
     """WITH k AS (SELECT style_code, skc, color, CAST(launch_date AS DATE) AS launch_date, plan_category, total_stock,
@@ -682,17 +726,11 @@ add(
     SELECT * EXCLUDE n, CASE WHEN n <= 200 THEN '是' ELSE '否' END AS top200 FROM k
     WHERE plan_category IS DISTINCT FROM '美妆'""",
 )
-_export = {"款式编码": "replace(\"款式编码\", '_x002B_', '+')", "颜色": "replace(\"颜色\", '_x002B_', '+')",
-           "商品编码": "replace(\"商品编码\", '_x002B_', '+')", "数量": '"数量"'}
+_escaped = ("款式编码", "颜色", "商品编码")
 add(
     "q18_stock_export",
     "SELECT " + ", ".join(
-        f'{_export.get(c, "CAST(NULL AS VARCHAR)")} AS "{c}"'
-        for c in (
-            "款式编码 颜色 规格 品牌 商品编码 名称 数量 图片地址链接 订单占有 仓库待发 安全库存下限 安全库存上限 "
-            "最小备货天数 最大备货天数 采购在途数 销退仓库存 进货仓库存 虚拟库存 次品库存 调拨在途数 库存锁定 "
-            "运营云仓可用数 样衣仓 办公室版衣仓 仓库报废仓 待清洗仓 可用数 公有可用数"
-        ).split()
+        f"""replace("{c}", '_x002B_', '+') AS "{c}\"""" if c in _escaped else f'"{c}"' for c in X.EXPORT
     ) + " FROM stock_export",
 )
 add(

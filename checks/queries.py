@@ -5,8 +5,9 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 
 from checks import fixtures as X
 from checks.fixtures import Inputs
@@ -19,6 +20,7 @@ from skuloom.operators import joins as J
 from skuloom.operators import projection as P
 from skuloom.operators import reshape as R
 from skuloom.operators import windows as W
+from skuloom.sources import readers
 from skuloom.plans import ageing, catalog, listing, live, purchase, returns, sales, sellers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,8 +53,41 @@ def operator(fn: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]
     return fn
 
 
-def report(name: str, fn: Callable[..., DataFrame], **params) -> None:
-    QUERIES[name] = lambda spark, sf_dir: _date_texts(fn(Inputs(spark, sf_dir), **params))
+def map_text(cells: str, digits: int) -> Callable[[DataFrame], Column]:
+    """A map as text, "key=value;key=value" by key; numbers, also those of a struct, with a fixed number of digits."""
+
+    def shown(value: Column) -> Column:
+        return F.coalesce(value.cast(f"decimal(28,{digits})").cast("string"), F.lit(""))
+
+    def cell(entry: Column, fields: list[str]) -> Column:
+        parts = [shown(entry["value"][f]) for f in fields] if fields else [shown(entry["value"])]
+        return F.concat(entry["key"].cast("string"), F.lit("="), F.concat_ws("/", *parts))
+
+    return lambda df: F.array_join(
+        F.transform(
+            F.array_sort(F.map_entries(cells)),
+            lambda e: cell(e, getattr(df.schema[cells].dataType.valueType, "names", [])),
+        ),
+        ";",
+    )
+
+
+def report(name: str, fn: Callable[..., DataFrame], texts: dict[str, int] | None = None, **params) -> None:
+    """Register a report; its map columns `texts` are shown as text, which compares the same in every client."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = fn(Inputs(spark, sf_dir), **params)
+        return _date_texts(df.withColumns({c: map_text(c, digits)(df) for c, digits in (texts or {}).items()}))
+
+    QUERIES[name] = run
+
+
+def date_texts(x: Inputs) -> DataFrame:
+    return x.spark.sql(X.DATE_TEXTS, orders=x.raw("orders"))
+
+
+def both_purchases(x: Inputs) -> DataFrame:
+    return P.union_all(x["purchase_history"], x["purchase_current"])
 
 
 # --- sources, projections, filters
@@ -63,6 +98,30 @@ def s3_pruned_read(x):
     return x.raw("lineitem").select("l_partkey", "l_quantity")
 
 
+@operator
+def s1_first_of_export(x):
+    """The first row per brand in the order of the file, through the reader and its schema."""
+    schema = T_.StructType().add("p_brand", "string").add("p_partkey", "long").add("missing", "double").add("_ord", "long")
+    df = readers.read_table(x.spark, f"{x.sf_dir}/part.parquet", schema)
+    return W.keep_one(df, ["p_brand"], ["_ord"]).drop("_ord")
+
+
+@operator
+def s2_read_bundle(x):
+    return readers.read_bundle(x.spark, x.sf_dir, "nation.parquet", columns=["n_nationkey", "n_name"])
+
+
+@operator
+def s5_discover(x):
+    path = readers.discover(x.spark, x.sf_dir, "*item.parquet", exclude="bench")
+    return readers.read_table(x.spark, path, columns=["l_orderkey", "l_linenumber"])
+
+
+@operator
+def s6_positional(x):
+    return readers.positional(x.raw("supplier"), [1, 0], ["shop", "shop_id"])
+
+
 @operator
 def p1_conform(x):
     return P.conform(x.raw("part"), ["p_name", "missing", "p_partkey", "p_size"])
@@ -76,7 +135,7 @@ def p2_p3_rename_drop(x):
 
 @operator
 def p6_not_equal_null(x):
-    return x["purchase_current"].filter(P.differs("tags", K.REWORK_TAG)).groupBy("tags").agg(
+    return both_purchases(x).filter(P.differs("tags", K.REWORK_TAG)).groupBy("tags").agg(
         F.count(F.lit(1)).alias("n")
     )
 
@@ -84,7 +143,7 @@ def p6_not_equal_null(x):
 @operator
 def p8_in_list(x):
     return (
-        x["purchase_current"].filter(F.col("status").isin(*K.OPEN_STATUSES))
+        both_purchases(x).filter(F.col("status").isin(*K.OPEN_STATUSES))
         .groupBy("status").agg(N.total("po_qty").alias("qty"))
     )
 
@@ -133,7 +192,7 @@ def p15_conditional(x):
 
 @operator
 def p16_tags(x):
-    return x["purchase_history"].groupBy(T.tags("remark").alias("tag")).agg(
+    return both_purchases(x).groupBy(T.tags("remark").alias("tag")).agg(
         F.count(F.lit(1)).alias("n")
     )
 
@@ -236,6 +295,20 @@ def a1_group_sum(x):
     return A.group_sum(lines, ["date", "plan_category"], ["sold_qty", "shipped_qty", "return_qty", "sold_amt"])
 
 
+@operator
+def a1_fine_sums(x):
+    """Values with many decimals."""
+    fine = F.col("l_quantity") * F.col("l_tax") / 7000
+    return x.raw("lineitem").groupBy("l_suppkey").agg(N.total(fine).alias("fine"))
+
+
+@operator
+def a1_large_sums(x):
+    """Values near 10^15, some with decimals, of both signs."""
+    large = F.when(F.col("l_returnflag") == "R", -F.col("l_extendedprice") * 1e10).otherwise(F.col("l_extendedprice") * 1e10)
+    return x.raw("lineitem").groupBy("l_linenumber").agg(N.total(large).alias("large"), N.total(large + F.col("l_tax")).alias("mixed"))
+
+
 @operator
 def a2_count_and_sum(x):
     return x["merch_board"].groupBy("class").agg(
@@ -250,7 +323,7 @@ def a4_min_date(x):
 
 @operator
 def a5_max_flag(x):
-    return x["listings"].groupBy("shop").agg(F.max("is_listed").alias("is_listed"))
+    return x["listings"].groupBy("shop", "online_style").agg(F.max("is_listed").alias("is_listed"))
 
 
 @operator
@@ -301,7 +374,7 @@ def a12_ratios(x):
 
 @operator
 def a13_distinct(x):
-    return x["purchase_current"].select("style_code", "status").distinct()
+    return both_purchases(x).select("style_code", "status").distinct()
 
 
 # --- reshape
@@ -325,9 +398,8 @@ def r2_flag_pivot(x):
 def r3_delay_spread(x):
     lines = returns.refund_lines(x).select("skc", "delay", "return_qty", "sold_qty")
     sums = A.group_sum(lines, ["skc", "delay"], ["return_qty", "sold_qty"])
-    return R.spread_metrics(
-        sums.filter(F.col("delay").isin(*X.DELAYS)), ["skc"], "delay", X.DELAYS, ["return_qty", "sold_qty"]
-    )
+    cells = R.spread_metrics_map(sums, ["skc"], "delay", ["return_qty", "sold_qty"], "cells")
+    return cells.withColumn("cells", map_text("cells", 2)(cells))
 
 
 @operator
@@ -370,7 +442,7 @@ def w4_keep_one(x):
 
 @operator
 def w4_keep_last(x):
-    lines = x["purchase_history"].select("style_code", "po_date", "supplier").distinct()
+    lines = both_purchases(x).select("style_code", "po_date", "supplier").distinct()
     return W.keep_one(lines, ["style_code"], [F.asc("po_date"), F.desc("supplier")])
 
 
@@ -400,7 +472,7 @@ def w7_top_flag(x):
 
 @operator
 def o1_mixed_sort(x):
-    return x["purchase_history"].groupBy("style_code", "po_date").agg(
+    return both_purchases(x).groupBy("style_code", "po_date").agg(
         N.total("po_qty").alias("po_qty")
     ).orderBy(F.asc("style_code"), F.desc("po_date"))
 
@@ -488,11 +560,16 @@ def f9_id_canon(x):
 
 @operator
 def f11_to_number(x):
-    return x["sales_current"].groupBy("style_code").agg(
+    return P.union_all(x["sales_history"], x["sales_current"]).groupBy("style_code").agg(
         N.total(N.to_number("sold_qty")).alias("sold"), F.count(N.to_number("sold_qty")).alias("n")
     )
 
 
+@operator
+def f12_parse_ts(x):
+    return date_texts(x).groupBy("form", D.parse_ts("text").cast("string").alias("at")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @operator
 def f14_hour_label(x):
     return x["live_sales"].groupBy(D.hour_label("paid_at").alias("hour")).agg(
@@ -546,8 +623,9 @@ report("q12_titles", sellers.title_table)
 report("q12_top20", sellers.top_styles, as_of=X.AS_OF, days=1, k=20)
 report("q12_top30", sellers.top_styles, as_of=X.AS_OF, days=7, k=30)
 report("q12_top36", sellers.top_shares, as_of=X.AS_OF, k=36)
+report("q12_top12_shares", sellers.top_shares, as_of=X.AS_OF, k=12)
 report("q13_return_rates", returns.return_rates)
-report("q13_return_rate_matrix", returns.return_rate_matrix, dates=X.MATRIX_DATES)
+report("q13_return_rate_matrix", returns.return_rate_maps, texts={"rates": 2})
 report("q14_live_lines", live.live_lines, streamer_id=X.LIVE_STREAMER, sessions=MONTH_SESSIONS)
 report(
     "q14_live_board", live.live_board,
@@ -555,14 +633,15 @@ report(
 )
 report("q15_refund_curve", returns.refund_curve, excluded_streamer=X.STREAMER + ".0")
 report(
-    "q15_refund_curve_wide", returns.refund_curve_wide,
-    delays=X.DELAYS, excluded_streamer=X.STREAMER + ".0",
+    "q15_refund_curve_wide", returns.refund_curve_maps, texts={"curve": 4},
+    excluded_streamer=X.STREAMER + ".0",
 )
 report("q16_po_lead_time", purchase.po_lead_time)
 report("q17_stock_ageing", ageing.stock_ageing, as_of=X.AGEING_AS_OF)
 report("q17_ageing_detail", ageing.ageing_detail, as_of=X.AGEING_AS_OF)
 report("q18_listing_lines", listing.listing_lines, routed_shop=X.ROUTED_SHOP)
 report("q18_listing_matrix", listing.listing_matrix, routed_shop=X.ROUTED_SHOP, shops=SHOPS)
+report("q18_listing_maps", listing.listing_maps, texts={"listed": 0}, routed_shop=X.ROUTED_SHOP)
 report("q18_priority_skc", listing.priority_skc)
 report("q18_stock_export", catalog.stock_export)
 report("q18_image_worklist", catalog.image_worklist)

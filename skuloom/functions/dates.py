@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import heapq
 from collections.abc import Sequence
 from typing import NamedTuple
 
@@ -11,8 +12,6 @@ from pyspark.sql import functions as F
 
 from skuloom import constants as K
 
-MAX_SESSIONS = 1000
-
 
 class Session(NamedTuple):
     """Labelled time span, both ends included."""
@@ -27,9 +26,15 @@ def _col(c: Column | str) -> Column:
 
 
 def parse_ts(c: Column | str, strict: bool = False) -> Column:
-    """Timestamp without zone; a bad text raises if strict, else reads null."""
+    """Timestamp without zone; a bad text raises if strict, else reads null.
+
+    Besides 2024-01-02, texts may say 2024/01/02 or 20240102, each with a time behind it.
+    """
     c = _col(c)
-    return c.cast("timestamp_ntz") if strict else c.try_cast("timestamp_ntz")
+    text = F.regexp_replace(F.trim(c.cast("string")), r"^(\d{4})/(\d{1,2})/(\d{1,2})", "$1-$2-$3")
+    text = F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})(?=$|[ T])", "$1-$2-$3")
+    plain = c.try_cast("timestamp_ntz")
+    return F.coalesce(plain, text.cast("timestamp_ntz") if strict else text.try_cast("timestamp_ntz"))
 
 
 def day_of(c: Column | str) -> Column:
@@ -82,20 +87,53 @@ def age_bin(days: Column | str) -> Column:
     return out.when(months.isNotNull(), F.lit(K.AGE_LABELS[-1]))
 
 
+def segments(sessions: Sequence[Session]) -> list[Session]:
+    """The spans without overlaps, by time: the last of overlapping spans wins."""
+    tick = dt.timedelta(microseconds=1)
+    edges = sorted({s.start for s in sessions} | {s.end + tick for s in sessions})
+    found: list[Session] = []
+    # spans that have begun, by their place in the list; those that have ended are dropped when they come up
+    begun: list[tuple[int, Session]] = []
+    waiting = sorted(((s.start, -i, s) for i, s in enumerate(sessions)), key=lambda x: x[:2])
+    at = 0
+    for start, end in zip(edges, edges[1:], strict=False):
+        while at < len(waiting) and waiting[at][0] <= start:
+            heapq.heappush(begun, waiting[at][1:])
+            at += 1
+        while begun and begun[0][1].end < start:
+            heapq.heappop(begun)
+        if begun:
+            label = begun[0][1].label
+            if found and found[-1].label == label and found[-1].end + tick == start:
+                found[-1] = found[-1]._replace(end=end - tick)
+            else:
+                found.append(Session(label, start, end - tick))
+    return found
+
+
 def session_label(c: Column | str, sessions: Sequence[Session]) -> Column:
-    """Label of the span a timestamp lies in; the last of overlapping spans wins.
+    """Label of the span a timestamp lies in, null outside; the last of overlapping spans wins.
 
-    The spans are a parameter of a report, so they fold into one expression and
-    need no join.
+    The spans are a parameter of a report. They become disjoint and are searched by halves, so that a row meets a few
+    comparisons however many there are.
     """
-    if not 0 < len(sessions) <= MAX_SESSIONS:
-        raise ValueError(f"expected 1 to {MAX_SESSIONS} sessions, got {len(sessions)}")
     c = _col(c)
-    spans = [(c.between(_ts(s.start), _ts(s.end)), F.lit(s.label)) for s in reversed(sessions)]
-    out = F.when(*spans[0])
-    for condition, text in spans[1:]:
-        out = out.when(condition, text)
-    return out
+
+    def search(spans: list[Session]) -> Column:
+        if len(spans) == 1:
+            return F.when(c.between(_ts(spans[0].start), _ts(spans[0].end)), F.lit(spans[0].label))
+        half = len(spans) // 2
+        return F.when(c < _ts(spans[half].start), search(spans[:half])).otherwise(search(spans[half:]))
+
+    found = segments(sessions)
+    return search(found) if found else F.lit(None).cast("string")
+
+
+def within_sessions(c: Column | str, sessions: Sequence[Session]) -> Column:
+    """From the first start to the last end; plain comparisons, which reach the scan."""
+    if not sessions:
+        return F.lit(False)
+    return (_col(c) >= _ts(min(s.start for s in sessions))) & (_col(c) <= _ts(max(s.end for s in sessions)))
 
 
 def session_hours(sessions: Sequence[Session]) -> list[str]:

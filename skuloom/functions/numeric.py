@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
-# Sums are taken in whole ten-thousandths, so that their result does not depend
-# on the order in which the shuffle delivers the rows.
-UNIT = 10_000
+# A double is added in words of 22 bits, two above and three below the binary point, each in a 64-bit integer of its own.
+# The parts of a double from 2^-66 on add up without rounding, so that a result does not depend on the order in which
+# the shuffle delivers the rows; sums may reach 10^25, groups 10^12 rows.
+WORD = float(1 << 22)
+WORDS = 5
 
 
 def _col(c: Column | str) -> Column:
@@ -26,22 +31,54 @@ def ratio(n: Column | str, d: Column | str, digits: int | None = None) -> Column
     return out if digits is None else round_even(out, digits)
 
 
-def units(c: Column | str) -> Column:
-    """Whole ten-thousandths; not-a-number counts as missing."""
+def finite(c: Column | str) -> Column:
+    """The number as double; what is no number or infinite counts as missing."""
     c = _col(c).cast("double")
-    return F.when(~F.isnan(c), F.rint(c * F.lit(float(UNIT)))).cast("long")
+    return F.when(~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))), c)
+
+
+def words(c: Column | str) -> list[Column]:
+    """The whole-number words of a double, largest first; null for a missing number."""
+    x = finite(c)
+    sign = F.when(x < 0, F.lit(-1)).otherwise(F.lit(1))
+    # of the absolute value, from which whole words are taken without rounding
+    size = F.abs(x)
+    high = F.floor(size / WORD)
+    low = size - high.cast("double") * WORD
+    out = [high, F.floor(low)]
+    rest = low - F.floor(low)
+    for _ in range(WORDS - 2):
+        out.append(F.floor(rest * WORD))
+        rest = (rest * WORD) % 1.0
+    return [word * sign for word in out]
+
 
+def joined(sums: Sequence[Column | str]) -> Column:
+    """The double of summed words; nothing to add is 0."""
+    parts = [F.coalesce(_col(s), F.lit(0).cast("long")).cast("double") for s in sums]
+    out = parts[-1]
+    for part in reversed(parts[1:-1]):
+        out = part + out / WORD
+    return parts[0] * WORD + out
 
-def total(c: Column | str) -> Column:
-    """Sum aggregate: 0 where there is nothing to add, independent of row order."""
-    return F.coalesce(F.sum(units(c)), F.lit(0).cast("long")) / F.lit(float(UNIT))
+
+def total(c: Column | str, over: WindowSpec | None = None) -> Column:
+    """Sum aggregate, or sum over a window: 0 where there is nothing to add, independent of row order."""
+    sums = [F.sum(w) for w in words(c)]
+    return joined(sums if over is None else [s.over(over) for s in sums])
 
 
 def to_number(c: Column | str) -> Column:
-    """Number of a text, null for a text that is none."""
+    """Finite number of a text, null for a text that is none."""
     c = _col(c).cast("string")
     # the cast also reads Java's type suffixes ("12d"), which are no numbers here
-    return F.when(~c.rlike(r"[0-9.][dDfF]\s*$"), c.try_cast("double"))
+    return finite(F.when(~c.rlike(r"[0-9.][dDfF]\s*$"), c.try_cast("double")))
+
+
+def to_whole(c: Column | str) -> Column:
+    """Whole number of a text, digit by digit where it is one, else the whole part of a finite number; null for others."""
+    text = _col(c).cast("string")
+    return F.coalesce(F.trim(text).try_cast("long"), to_number(text).try_cast("long"))
 
 
 def zero(c: Column | str) -> Column:

@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skuloom.functions.numeric import ratio, round_even, total
+from skuloom.functions.numeric import WORDS, joined, ratio, round_even, total, words
 
 
 def all_present(columns: Sequence[str]) -> Column:
@@ -31,6 +31,20 @@ def group_sum(
     return df.groupBy(*keys).agg(*[total(src).alias(name) for src, name in measures.items()])
 
 
+def partial_sums(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """Sums per key, null keys included, that `final_sums` can add further without rounding in between."""
+    sums = [F.sum(w).alias(f"_{m}_{i}") for m in measures for i, w in enumerate(words(m))]
+    return df.groupBy(*keys).agg(*sums)
+
+
+def final_sums(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """Sums per key of partial sums; rows with a null key are left out."""
+    def added(m: str) -> Column:
+        return joined([F.sum(f"_{m}_{i}") for i in range(WORDS)])
+
+    return df.filter(all_present(keys)).groupBy(*keys).agg(*[added(m).alias(m) for m in measures])
+
+
 def first_nonnull(
     df: DataFrame, keys: Sequence[str], column: str, order: Sequence[str], name: str | None = None
 ) -> DataFrame:

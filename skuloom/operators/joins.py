@@ -9,31 +9,16 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Under this size of all inputs of the left side, no key can hold too much of it.
-SPLIT_BYTES = 1 << 30
-# A key with more rows than this is split into parts of about this size.
-SPLIT_ROWS = 1_000_000
-# The most frequent keys only: any other key has less than 1/4096 of all rows. This
-# bounds the rows of the broadcast key table.
-MAX_SPLIT_KEYS = 4096
+from skuloom.operators.windows import keep_one
 
-ORDER = "_ord"
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's own size estimate lies under its broadcast threshold."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= limit
+# A key with more rows than this is split into parts of about this size, where salting is asked for.
+SALT_ROWS = 1_000_000
 
-
-def input_bytes(df: DataFrame) -> int:
-    """Spark's size estimate of all the tables a DataFrame reads."""
-    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+ORDER = "_ord"
 
 
-def _null_safe(pairs: Sequence[tuple[str, str]]) -> Column:
-    return reduce(and_, [F.col(a).eqNullSafe(F.col(b)) for a, b in pairs])
+def _equal(pairs: Sequence[tuple[str, str]], null_safe: bool) -> Column:
+    return reduce(and_, [F.col(a).eqNullSafe(F.col(b)) if null_safe else F.col(a) == F.col(b) for a, b in pairs])
 
 
 def lookup(
@@ -41,36 +26,36 @@ def lookup(
     dim: DataFrame,
     on: Mapping[str, str] | Sequence[str],
     take: Mapping[str, str] | Sequence[str],
-    split: bool = True,
-    keys_from: DataFrame | None = None,
+    null_safe: bool = True,
+    dedupe: Sequence[Column | str] | None = None,
+    salt_rows: int | None = None,
     spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Left join that adds columns of a lookup table.
 
-    A null key finds a null key, and a key found several times multiplies the
-    row. `on` maps columns of `df` to columns of `dim`, `take` maps columns of
-    `dim` to the names they get.
+    A null key finds a null key unless `null_safe` is off, and a key found several times multiplies the row unless
+    `dedupe` gives the order by which the first row per key is taken. `on` maps columns of `df` to columns of `dim`,
+    `take` maps columns of `dim` to the names they get.
 
-    A small table is left to Spark, which broadcasts it under its threshold. A
-    larger one is joined by shuffle; if the left side is large as well, its
-    frequent keys are split: see `split_join`, also for the last two parameters.
-    `split=False` is for a left side that is aggregated already, so that a key has
-    a few rows only; counting keys would repeat the aggregation.
+    Spark chooses the join and splits uneven partitions of a shuffle while it runs. Where a key may hold more rows than
+    a task should read, `salt_rows` splits it beforehand: see `split_join`, also for `spread_by`.
     """
     on = dict(on) if isinstance(on, Mapping) else {c: c for c in on}
     take = dict(take) if isinstance(take, Mapping) else {c: c for c in take}
     clash = set(take.values()) & set(df.columns)
     if clash:
         raise ValueError(f"columns already there: {sorted(clash)}")
+    if dedupe is not None:
+        dim = keep_one(dim, list(on.values()), dedupe)
     pairs = [(left, f"_key{i}") for i, left in enumerate(on)]
     side = dim.select(
         *[F.col(right).alias(key) for (_, key), right in zip(pairs, on.values())],
         *[F.col(src).alias(name) for src, name in take.items()],
     )
-    if not split or input_bytes(df) <= SPLIT_BYTES or fits_broadcast(side):
-        joined = df.join(side, _null_safe(pairs), "left")
+    if salt_rows is None:
+        joined = df.join(side, _equal(pairs, null_safe), "left")
     else:
-        joined = split_join(df, side, pairs, SPLIT_ROWS, keys_from, spread_by)
+        joined = split_join(df, side, pairs, salt_rows, spread_by=spread_by, null_safe=null_safe)
     return joined.select(*df.columns, *take.values())
 
 
@@ -78,14 +63,15 @@ def split_join(
     df: DataFrame,
     side: DataFrame,
     pairs: Sequence[tuple[str, str]],
-    split_rows: int = SPLIT_ROWS,
+    split_rows: int = SALT_ROWS,
     keys_from: DataFrame | None = None,
     spread_by: Sequence[str] | None = None,
+    null_safe: bool = True,
 ) -> DataFrame:
-    """Null-safe left join in which frequent keys of the left side are split.
+    """Left join in which frequent keys of the left side are split.
 
-    One pass over the key columns counts the rows per key. The most frequent keys
-    with more than `split_rows` rows are cut into parts by a hash of the row (of
+    One pass over the key columns counts the rows per key. Every key with more
+    than `split_rows` rows is cut into parts by a hash of the row (of
     its columns `spread_by`, by default its ingest order); the matching rows of
     `side` are repeated for every part. The part is a function of the row, so a
     task that runs again puts each row where it was before.
@@ -101,15 +87,11 @@ def split_join(
         .groupBy(*[F.col(c).alias(h) for c, h in zip(left_keys, hot_names)])
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
-    # The order is total, so every evaluation finds the same keys.
-    hot = F.broadcast(
-        counts.filter(F.col("_rows") > split_rows)
-        .orderBy(F.desc("_rows"), *hot_names)
-        .limit(MAX_SPLIT_KEYS)
-        .select(*hot_names, F.ceil(F.col("_rows") / split_rows).cast("int").alias("_parts"))
+    hot = counts.filter(F.col("_rows") > split_rows).select(
+        *hot_names, F.ceil(F.col("_rows") / split_rows).cast("int").alias("_parts")
     )
     row_hash = F.xxhash64(*(spread_by or ([ORDER] if ORDER in df.columns else df.columns)))
-    left = df.join(hot, _null_safe(list(zip(left_keys, hot_names))), "left").select(
+    left = df.join(hot, _equal(list(zip(left_keys, hot_names)), True), "left").select(
         *df.columns,
         F.when(F.col("_parts").isNull(), F.lit(0))
         .otherwise(F.pmod(row_hash, F.col("_parts")))
@@ -117,7 +99,7 @@ def split_join(
         .alias("_part"),
     )
     right = side.join(
-        hot, _null_safe([(key, h) for (_, key), h in zip(pairs, hot_names)]), "left"
+        hot, _equal([(key, h) for (_, key), h in zip(pairs, hot_names)], True), "left"
     ).select(
         *side.columns,
         F.explode(
@@ -125,7 +107,7 @@ def split_join(
         ).alias("_part_of"),
     )
     return left.join(
-        right, _null_safe(pairs) & (F.col("_part") == F.col("_part_of")), "left"
+        right, _equal(pairs, null_safe) & (F.col("_part") == F.col("_part_of")), "left"
     ).select(*df.columns, *side.columns)
 
 
@@ -133,4 +115,4 @@ def keep_matching(df: DataFrame, keys: DataFrame, on: Mapping[str, str]) -> Data
     """Rows whose key occurs in `keys`; a null key matches a null key."""
     pairs = [(left, f"_key{i}") for i, left in enumerate(on)]
     side = keys.select(*[F.col(r).alias(k) for (_, k), r in zip(pairs, on.values())])
-    return df.join(side, _null_safe(pairs), "left_semi")
+    return df.join(side, _equal(pairs, True), "left_semi")

@@ -10,19 +10,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skuloom.functions.dates import parse_ts
+
+ORDER = "_ord"
+
 
 def conform(df: DataFrame, columns: T.StructType | Sequence[str]) -> DataFrame:
     """Project to a column list: reorder, prune, add missing columns as null.
 
-    With a StructType, present columns are cast to its types as well.
+    With a StructType, present columns are cast to its types as well; a field marked as lenient reads null where its text
+    says something else. The ingest order keeps the type it was stamped with.
     """
     if isinstance(columns, T.StructType):
-        return df.select(
-            *[
-                (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-                for f in columns
-            ]
-        )
+
+        def field(f: T.StructField) -> Column:
+            if f.name not in df.columns:
+                return F.lit(None).cast(f.dataType)
+            c = F.col(f.name)
+            kind = df.schema[f.name].dataType
+            # a column that has its type stays plain, so that filters on it reach the scan
+            if f.name == ORDER or kind == f.dataType:
+                return c
+            if isinstance(f.dataType, T.TimestampNTZType) and isinstance(kind, T.StringType):
+                return parse_ts(c, strict=not f.metadata.get("lenient"))
+            return c.try_cast(f.dataType) if f.metadata.get("lenient") else c.cast(f.dataType)
+
+        return df.select(*[field(f).alias(f.name) for f in columns])
     return df.select(
         *[
             F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c)

@@ -1,37 +1,56 @@
-"""Long to wide and back."""
+"""Long to wide and back.
+
+Every wide table comes in two forms. The map form has one column from the value of `by` to its cell; it needs no list, no
+extra job, and has any number of cells. The column form takes the list of values and has one column for each.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skuloom.functions.numeric import UNIT, units
+from skuloom.functions.numeric import joined, words
 from skuloom.operators.aggregates import all_present
 
 
+def _cells(key: Column | str, value: Column | str) -> Column:
+    """Aggregate: map of the rows of a group. A key occurs once in it, as it has been grouped by."""
+    pair = F.struct((F.col(key) if isinstance(key, str) else key).alias("k"), (F.col(value) if isinstance(value, str) else value).alias("v"))
+    return F.map_from_entries(F.array_sort(F.collect_list(pair)))
+
+
+def _in_row(wide: DataFrame, cells: str, keys: Sequence[Column]) -> DataFrame:
+    """The cells of the given keys as an array `_row`, null where there is none; columns then only pick from it."""
+    return wide.withColumn("_row", F.transform(F.array(*keys), lambda k: F.try_element_at(F.col(cells), k)))
+
+
+def spread_sum_map(df: DataFrame, keys: Sequence[str], by: str, measure: str, total: str, cells: str) -> DataFrame:
+    """The sum of a measure per value of `by` as a map, and over all values."""
+    names = [f"_w{i}" for i in range(len(words(measure)))]
+    sums = (
+        df.filter(all_present([*keys, by])).groupBy(*keys, by)
+        .agg(*[F.sum(w).alias(n) for w, n in zip(words(measure), names, strict=True)])
+    )
+    return sums.groupBy(*keys).agg(
+        joined([F.sum(n) for n in names]).alias(total), _cells(by, joined(names)).alias(cells)
+    )
+
+
 def spread_sum(
     df: DataFrame, keys: Sequence[str], by: str, values: Sequence, measure: str, total: str
 ) -> DataFrame:
-    """One column per value of `by` with the sum of a measure, 0 where empty.
+    """One column per listed value of `by` with the sum of a measure, 0 where empty; `total` is over the listed values."""
+    wide = spread_sum_map(df.filter(F.col(by).isin(*values)), keys, by, measure, total, "_cells")
+    wide = _in_row(wide, "_cells", [F.lit(v) for v in values])
+    return wide.select(*keys, total, *[F.coalesce(F.get("_row", i), F.lit(0.0)).alias(str(v)) for i, v in enumerate(values)])
 
-    `total` is the sum over the listed values. The list is explicit: Spark needs
-    no extra job to find it, and the result has a fixed schema.
-    """
-    names = [str(v) for v in values]
-    wide = (
-        df.filter(all_present([*keys, by]))
-        .filter(F.col(by).isin(*values))
-        .select(*keys, by, units(measure).alias("_units"))
-        .groupBy(*keys)
-        .pivot(by, list(values))
-        .agg(F.sum("_units"))
-    )
-    # as SQL text, and summed as an array: a wide table has hundreds of columns
-    cells = [f"coalesce(`{n}`, 0L) / {float(UNIT)}D AS `{n}`" for n in names]
-    units_of_row = f"aggregate(array({', '.join(f'`{n}`' for n in names)}), 0L, (a, b) -> a + coalesce(b, 0L))"
-    return wide.selectExpr(*keys, f"{units_of_row} / {float(UNIT)}D AS {total}", *cells)
+
+def spread_flag_map(df: DataFrame, keys: Sequence[str], by: Sequence[str], flag: str, cells: str) -> DataFrame:
+    """The largest flag per combination of `by`, as a map from a struct of them."""
+    flags = df.filter(all_present([*keys, *by])).groupBy(*keys, *by).agg(F.max(flag).alias("_flag"))
+    return flags.groupBy(*keys).agg(_cells(F.struct(*by), "_flag").alias(cells))
 
 
 def spread_flag(
@@ -43,41 +62,50 @@ def spread_flag(
     yes: str,
     no: str = "",
 ) -> DataFrame:
-    """One column per combination of `by` that says whether any row is flagged."""
+    """One column per listed combination of `by` that says whether any row is flagged.
+
+    A column is named by its labels, joined by "_"; where two would have one name, "_" inside labels is doubled.
+    """
     names = ["_".join(v) for v in values]
-    wide = (
-        df.filter(all_present([*keys, *by]))
-        .withColumn("_by", F.concat_ws("_", *by))
-        .groupBy(*keys)
-        .pivot("_by", names)
-        .agg(F.max(flag))
-    )
+    if len(set(names)) < len(names):
+        names = ["_".join(x.replace("_", "__") for x in v) for v in values]
+    wide = spread_flag_map(df, keys, by, flag, "_cells")
+
+    def place(combination: tuple[str, ...]) -> Column:
+        return F.struct(*[F.lit(x).alias(b) for x, b in zip(combination, by, strict=True)])
+
+    wide = _in_row(wide, "_cells", [place(v) for v in values])
     return wide.select(
-        *keys,
-        *[
-            F.when(F.col(f"`{n}`") == 1, F.lit(yes)).otherwise(F.lit(no)).alias(n)
-            for n in names
-        ],
+        *keys, *[F.when(F.get("_row", i) == 1, F.lit(yes)).otherwise(F.lit(no)).alias(n) for i, n in enumerate(names)]
     )
 
 
+def spread_metrics_map(df: DataFrame, keys: Sequence[str], by: str, metrics: Sequence[str], cells: str) -> DataFrame:
+    """The metrics per value of `by`, as a map to a struct; (keys, by) identifies a row."""
+    return df.filter(F.col(by).isNotNull()).groupBy(*keys).agg(_cells(by, F.struct(*metrics)).alias(cells))
+
+
 def spread_metrics(
     df: DataFrame, keys: Sequence[str], by: str, values: Sequence, metrics: Sequence[str]
 ) -> DataFrame:
-    """One column per metric and value of `by`, named metric_value.
-
-    (keys, by) identifies a row, so the maximum is the value itself.
-    """
-    wide = (
-        df.groupBy(*keys)
-        .pivot(by, list(values))
-        .agg(*[F.max(m).alias(m) for m in metrics])
-    )
-    name = (lambda v, m: f"{v}_{m}") if len(metrics) > 1 else (lambda v, m: f"{v}")
+    """One column per metric and listed value of `by`, named metric_value."""
+    wide = spread_metrics_map(df, keys, by, metrics, "_cells")
+    wide = _in_row(wide, "_cells", [F.lit(v) for v in values])
     return wide.select(
-        *keys,
-        *[F.col(f"`{name(v, m)}`").alias(f"{m}_{v}") for m in metrics for v in values],
+        *keys, *[F.get("_row", i).getField(m).alias(f"{m}_{v}") for m in metrics for i, v in enumerate(values)]
+    )
+
+
+def metrics_to_rows_map(
+    df: DataFrame, keys: Sequence[str], metrics: Sequence[str], by: str, cells: str, name: str = "metric"
+) -> DataFrame:
+    """One row per key and metric with a map of its values; a metric without any value gives no row."""
+    long = (
+        df.select(*keys, by, *metrics)
+        .unpivot([*keys, by], list(metrics), name, "_value")
+        .filter(F.col("_value").isNotNull() & F.col(by).isNotNull())
     )
+    return long.groupBy(*keys, name).agg(_cells(by, "_value").alias(cells))
 
 
 def metrics_to_rows(
@@ -88,24 +116,10 @@ def metrics_to_rows(
     values: Sequence,
     name: str = "metric",
 ) -> DataFrame:
-    """One row per key and metric, one column per value of `by`.
-
-    A metric without any value for a key gives no row.
-    """
-    long = (
-        df.select(*keys, by, *metrics)
-        .unpivot([*keys, by], list(metrics), name, "_value")
-        .filter(F.col("_value").isNotNull() & F.col(by).isin(*values))
-    )
-    return long.groupBy(*keys, name).pivot(by, list(values)).agg(F.max("_value"))
-
-
-def observed(df: DataFrame, column: str, limit: int) -> list:
-    """Sorted distinct values of a column, for a report that spreads over what it finds.
+    """One row per key and metric, one column per listed value of `by`.
 
-    Raises when there are more than `limit`, as a wide table would be too wide.
+    A metric without any of these values for a key gives no row.
     """
-    rows = df.select(column).filter(F.col(column).isNotNull()).distinct().orderBy(column).limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} values; pass a list of them")
-    return [r[0] for r in rows]
+    wide = metrics_to_rows_map(df.filter(F.col(by).isin(*values)), keys, metrics, by, "_cells", name)
+    wide = _in_row(wide, "_cells", [F.lit(v) for v in values])
+    return wide.select(*keys, name, *[F.get("_row", i).alias(str(v)) for i, v in enumerate(values)])

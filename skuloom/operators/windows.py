@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skuloom.functions.numeric import UNIT, units
+from skuloom.functions.numeric import total
 
 
 def running_sum(
@@ -16,7 +16,7 @@ def running_sum(
     """Running sums per key. Meant for aggregated rows, a few per key and day."""
     w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return df.withColumns(
-        {name: F.sum(units(src)).over(w) / F.lit(float(UNIT)) for src, name in measures.items()}
+        {name: total(src, w) for src, name in measures.items()}
     )
 
 

@@ -11,7 +11,7 @@ from skuloom import constants as K
 from skuloom.functions.dates import parse_ts
 from skuloom.functions.numeric import zero
 from skuloom.functions.text import code, join_key, strip_brackets, unescape_plus
-from skuloom.operators.aggregates import all_present, group_sum
+from skuloom.operators.aggregates import all_present, final_sums, group_sum, partial_sums
 from skuloom.operators.joins import keep_matching, lookup
 from skuloom.operators.projection import any_nonzero, conform, differs, union_all
 from skuloom.operators.windows import keep_one
@@ -45,11 +45,9 @@ def skc_sums(
     """
     if keys:
         lines = lines.filter(all_present(keys))
-    per_sku = group_sum(lines, [*keys, "sku"], measures, keep_null_keys=True).withColumn(
-        "sku", code("sku")
-    )
-    with_skc = lookup(per_sku, sku_to_skc(catalog), ["sku"], ["skc"], split=False)
-    return group_sum(with_skc, [*keys, "skc"], measures)
+    per_sku = partial_sums(lines, [*keys, "sku"], measures).withColumn("sku", code("sku"))
+    with_skc = lookup(per_sku, sku_to_skc(catalog), ["sku"], ["skc"])
+    return final_sums(with_skc, [*keys, "skc"], measures)
 
 
 def catalog_clean(inputs: Inputs) -> DataFrame:

@@ -10,22 +10,22 @@ from pyspark.sql import functions as F
 from skuloom import constants as K
 from skuloom.functions.dates import day_of, parse_ts
 from skuloom.functions.text import map_values, unescape_plus
-from skuloom.operators.aggregates import all_present
 from skuloom.operators.joins import lookup
 from skuloom.operators.projection import differs, distinct_where, union_all
-from skuloom.operators.reshape import observed, spread_flag
+from skuloom.operators.reshape import spread_flag, spread_flag_map
 from skuloom.operators.windows import flag_top
 
 Inputs = Mapping[str, DataFrame]
 
-MAX_SHOPS = 2000
 PRIORITY_COLUMNS = (
     "style_code", "skc", "color", "launch_date", "plan_category", "total_stock",
     "reserved", "avg3d_sales",
 )
 
 
-def _routed(listings: DataFrame, catalog: DataFrame, routed_shop: str) -> DataFrame:
+def _routed(
+    listings: DataFrame, catalog: DataFrame, routed_shop: str, salt_rows: int | None = None
+) -> DataFrame:
     """Listings with system style, SKU, colour and channel.
 
     One shop lists by national code: its style and SKU come from the catalogue by
@@ -36,6 +36,7 @@ def _routed(listings: DataFrame, catalog: DataFrame, routed_shop: str) -> DataFr
         catalog,
         {"online_style": "national_code"},
         {"style_code": "system_style", "sku": "system_sku"},
+        salt_rows=salt_rows,
     )
     others = listings.filter(differs("shop", routed_shop))
     lines = lookup(
@@ -43,6 +44,7 @@ def _routed(listings: DataFrame, catalog: DataFrame, routed_shop: str) -> DataFr
         catalog,
         {"system_sku": "sku"},
         ["color"],
+        salt_rows=salt_rows,
     )
     return lines.withColumns(
         {
@@ -53,30 +55,31 @@ def _routed(listings: DataFrame, catalog: DataFrame, routed_shop: str) -> DataFr
     )
 
 
-def listing_lines(inputs: Inputs, routed_shop: str) -> DataFrame:
+def listing_lines(inputs: Inputs, routed_shop: str, salt_rows: int | None = None) -> DataFrame:
     """Listing lines with catalogue style, SKU, colour, channel and SKC."""
-    return _routed(inputs["listings"].drop("_ord"), inputs["catalog"], routed_shop)
-
+    return _routed(inputs["listings"].drop("_ord"), inputs["catalog"], routed_shop, salt_rows)
 
-def listing_matrix(
-    inputs: Inputs, routed_shop: str, shops: Sequence[tuple[str, str]] | None = None
-) -> DataFrame:
-    """Whether an SKC is listed, per channel and shop.
 
-    Lines are reduced to one per shop and listed code before the catalogue is
-    joined. Without `shops` the columns are the (channel, shop) pairs found.
-    """
+def _shop_lines(inputs: Inputs, routed_shop: str) -> DataFrame:
+    """Lines reduced to one per shop and listed code before the catalogue is joined."""
     listings = (
         inputs["listings"]
         .groupBy("shop", "site", "online_style", "system_style", "system_sku")
         .agg(F.max("is_listed").alias("is_listed"))
     )
-    lines = _routed(listings, inputs["catalog"], routed_shop)
-    if shops is None:
-        pairs = lines.filter(all_present(["skc", "shop"])).select(
-            F.struct("channel", "shop").alias("pair")
-        )
-        shops = [tuple(p) for p in observed(pairs, "pair", MAX_SHOPS)]
+    return _routed(listings, inputs["catalog"], routed_shop)
+
+
+def listing_maps(inputs: Inputs, routed_shop: str) -> DataFrame:
+    """Whether an SKC is listed, in a map from every (channel, shop) found to 1 or 0."""
+    lines = _shop_lines(inputs, routed_shop)
+    found = spread_flag_map(lines, ["skc"], ["channel", "shop"], "is_listed", "listed")
+    return found.withColumn("skc", unescape_plus("skc"))
+
+
+def listing_matrix(inputs: Inputs, routed_shop: str, shops: Sequence[tuple[str, str]]) -> DataFrame:
+    """Whether an SKC is listed, a column per given channel and shop."""
+    lines = _shop_lines(inputs, routed_shop)
     matrix = spread_flag(lines, ["skc"], ["channel", "shop"], shops, "is_listed", K.YES)
     return matrix.withColumn("skc", unescape_plus("skc"))
 

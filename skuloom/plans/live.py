@@ -7,28 +7,32 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skuloom.functions.dates import Session, hour_label, parse_ts, session_hours, session_label
+from skuloom.functions.dates import (
+    Session, hour_label, parse_ts, session_hours, session_label, within_sessions,
+)
 from skuloom.functions.text import strip
-from skuloom.operators.reshape import observed, spread_sum
+from skuloom.operators.reshape import spread_sum
 
 Inputs = Mapping[str, DataFrame]
 
 
+def _typed(sales: DataFrame) -> bool:
+    return sales.schema["paid_at"].dataType.typeName().startswith("timestamp")
+
+
 def live_lines(inputs: Inputs, streamer_id: str, sessions: Sequence[Session]) -> DataFrame:
     """Lines of one streamer with hour and session label; null outside all sessions."""
-    paid = parse_ts("paid_at")
-    return (
-        inputs["live_sales"]
-        .filter(strip(F.col("streamer_id").cast("string")) == streamer_id)
-        .select(
-            paid.alias("paid_at"),
-            paid.cast("date").alias("date"),
-            strip(F.col("streamer_id").cast("string")).alias("streamer_id"),
-            "style_code",
-            "sold_qty",
-            hour_label(paid).alias("hour"),
-            session_label(paid, sessions).alias("session"),
-        )
+    sales = inputs["live_sales"]
+    paid = F.col("paid_at").cast("timestamp_ntz") if _typed(sales) else parse_ts("paid_at")
+    lines = sales.filter(strip(F.col("streamer_id").cast("string")) == streamer_id).withColumn("paid_at", paid)
+    return lines.select(
+        "paid_at",
+        F.col("paid_at").cast("date").alias("date"),
+        strip(F.col("streamer_id").cast("string")).alias("streamer_id"),
+        "style_code",
+        "sold_qty",
+        hour_label("paid_at").alias("hour"),
+        session_label("paid_at", sessions).alias("session"),
     )
 
 
@@ -40,13 +44,14 @@ def live_board(
 ) -> DataFrame:
     """Sold quantity per style and hour of the sessions, best style first.
 
-    Without `hours` the columns are the hours with sales.
+    Without `hours` the columns are all hours that the sessions touch. Only the time between the first start and the last
+    end is read, where the table holds timestamps.
     """
-    lines = live_lines(inputs, streamer_id, sessions).filter(F.col("session").isNotNull())
-    if hours is None:
-        by_time = session_hours(sessions)
-        found = set(observed(lines.filter(F.col("style_code").isNotNull()), "hour", len(by_time)))
-        hours = [h for h in by_time if h in found]
+    sales = inputs["live_sales"]
+    if _typed(sales):
+        sales = sales.filter(within_sessions("paid_at", sessions))
+    lines = live_lines({"live_sales": sales}, streamer_id, sessions).filter(F.col("session").isNotNull())
+    hours = session_hours(sessions) if hours is None else hours
     board = spread_sum(lines, ["style_code"], "hour", hours, "sold_qty", "session_total")
     return board.select(
         "style_code",

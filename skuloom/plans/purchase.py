@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from skuloom import constants as K
 from skuloom.functions.dates import elapsed_days, parse_ts
-from skuloom.functions.numeric import UNIT, ratio, round_even, to_number, units
+from skuloom.functions.numeric import ratio, round_even, to_whole, total
 from skuloom.functions.text import head_of, join_key, label, matches, tags, tail_of, text_key
-from skuloom.operators.aggregates import group_sum, weighted_mean
+from skuloom.operators.aggregates import all_present, group_sum, weighted_mean
 from skuloom.operators.joins import lookup
 from skuloom.operators.projection import differs, union_all
 from skuloom.operators.windows import keep_one
@@ -48,23 +48,39 @@ def tagged_totals(lines: DataFrame) -> DataFrame:
     return per_tag.select(
         "skc",
         "tag",
-        (F.sum(units("received_qty")).over(whole) / F.lit(float(UNIT))).alias("received_qty"),
+        total("received_qty", whole).alias("received_qty"),
     )
 
 
-def _purchase_rows(lines: DataFrame) -> DataFrame:
-    return group_sum(
-        _usable(lines).withColumn("po_date", parse_ts("po_date", strict=True)),
-        ["skc", "po_date", "supplier"],
+def _purchase_rows(inputs: Inputs) -> DataFrame:
+    """Ordered and received quantity per SKC, date and supplier, with the SKC's total and its tags.
+
+    One aggregation of the lines feeds all three: the total and the tags, at most four, also count the lines that are
+    not usable. Its rows, a few per SKC and date, are then seen by SKC.
+    """
+    lines = purchase_lines(inputs).filter(F.col("skc").isNotNull())
+    usable = differs("tags", K.REWORK_TAG) & ~matches("remark", K.DEFECT_PATTERN)
+    parts = group_sum(
+        lines.withColumns(
+            {"_usable": usable, "_tag": tags("remark"), "po_date": parse_ts("po_date", strict=True)}
+        ),
+        ["skc", "po_date", "supplier", "_usable", "_tag"],
         ["po_qty", "received_qty"],
+        keep_null_keys=True,
+    )
+    whole = Window.partitionBy("skc")
+    seen = parts.withColumns(
+        {"all_received_qty": total("received_qty", whole), "_tags": F.collect_set("_tag").over(whole)}
+    ).filter(F.col("_usable") & all_present(["po_date", "supplier"]))
+    return seen.groupBy("skc", "po_date", "supplier").agg(
+        total("po_qty").alias("po_qty"), total("received_qty").alias("received_qty"),
+        F.max("all_received_qty").alias("all_received_qty"), F.any_value("_tags").alias("_tags"),
     )
 
 
 def purchase_history(inputs: Inputs) -> DataFrame:
     """Ordered and received quantity per SKC, date and supplier, with the SKC's total."""
-    lines = purchase_lines(inputs)
-    received = group_sum(lines, ["skc"], {"received_qty": "all_received_qty"})
-    out = lookup(_purchase_rows(lines), received, ["skc"], ["all_received_qty"], split=False)
+    out = _purchase_rows(inputs).drop("_tags")
     return out.orderBy(F.asc("skc"), F.desc("po_date"), F.asc("supplier"))
 
 
@@ -75,22 +91,15 @@ def received_with_tags(inputs: Inputs) -> DataFrame:
 
 def first_purchase(inputs: Inputs) -> DataFrame:
     """Earliest purchase row per SKC, one row for each tag of the SKC."""
-    lines = purchase_lines(inputs)
     first = keep_one(
-        _purchase_rows(lines), ["skc"], [F.col("po_date").asc(), F.col("supplier").desc()]
-    )
-    return lookup(
-        first,
-        tagged_totals(lines),
-        ["skc"],
-        {"received_qty": "all_received_qty", "tag": "tag"},
-        split=False,
+        _purchase_rows(inputs), ["skc"], [F.col("po_date").asc(), F.col("supplier").desc()]
     )
+    return first.select("*", F.explode("_tags").alias("tag")).drop("_tags")
 
 
 def receipt_days(inputs: Inputs) -> DataFrame:
     """Quantity-weighted days from order to receipt per PO and SKU."""
-    number = F.coalesce(to_number("po_no"), F.lit(0.0)).cast("long").cast("string")
+    number = F.coalesce(to_whole("po_no"), F.lit(0).cast("long")).cast("string")
     receipts = (
         inputs["receipts"]
         .filter(differs("tags", K.ADJUSTMENT_TAG))
@@ -106,7 +115,7 @@ def receipt_days(inputs: Inputs) -> DataFrame:
     return weighted_mean(receipts, ["po_sku"], "days", "qty", "avg_receipt_days", "receipt_qty")
 
 
-def po_lead_time(inputs: Inputs) -> DataFrame:
+def po_lead_time(inputs: Inputs, salt_rows: int | None = None) -> DataFrame:
     """Purchase-order lines with receipt days, completion ratio and done label.
 
     A line appears once for each status of its order, and takes the first
@@ -125,15 +134,31 @@ def po_lead_time(inputs: Inputs) -> DataFrame:
             "po_date": parse_ts("po_date", strict=True),
         }
     )
-    # per order: the statuses (two at most) and the first completion time
+    # per order and SKC: sums, statuses (two at most) and the first completion time; from its rows those of the order
     position = F.struct("_ord", "completed_at")
-    orders = lines.groupBy("po_no").agg(
-        F.collect_set("status").alias("_statuses"),
-        F.min_by("completed_at", F.when(F.col("completed_at").isNotNull(), position)).alias(
-            "_first_completed"
-        ),
+    done_at = F.when(F.col("completed_at").isNotNull(), position)
+    parts = lines.groupBy("po_no", "po_skc").agg(
+        total("received_qty").alias("_received"), total("po_qty").alias("_ordered"),
+        F.collect_set("status").alias("_status"), F.min(done_at).alias("_done_at"),
+    )
+    order = Window.partitionBy("po_no")
+    parts = parts.withColumns(
+        {
+            "_statuses": F.array_distinct(F.flatten(F.collect_list("_status").over(order))),
+            "_first_completed": F.min("_done_at").over(order)["completed_at"],
+        }
     )
-    out = lookup(lines, orders, ["po_no"], ["_statuses", "_first_completed"])
+    # a line counts once for each status of its order
+    factor = F.size("_statuses")
+    code = Window.partitionBy("po_skc")
+    completion = F.coalesce(
+        ratio(total(F.col("_received") * factor, code), total(F.col("_ordered") * factor, code), 2), F.lit(0.0)
+    )
+    parts = parts.withColumn("completion_ratio", completion).withColumn(
+        "done", label(F.col("completion_ratio") >= K.DONE_RATIO, K.DONE_LABEL, K.OPEN_LABEL)
+    )
+    of_order = ["_statuses", "_first_completed", "completion_ratio", "done"]
+    out = lookup(lines, parts, ["po_no", "po_skc"], of_order, salt_rows=salt_rows)
     out = out.withColumn(
         "completed_at",
         # lines without an order number keep their own time
@@ -141,41 +166,13 @@ def po_lead_time(inputs: Inputs) -> DataFrame:
             F.coalesce("_first_completed", "completed_at")
         ),
     )
-    out = out.select("*", F.explode("_statuses").alias("po_status")).drop(
-        "_statuses", "_first_completed"
-    )
-
-    # a line counts once for each status of its order; sums first, then that factor
-    per_order = group_sum(
-        lines,
-        ["po_no", "po_skc"],
-        {"received_qty": "_received", "po_qty": "_ordered"},
-        keep_null_keys=True,
-    )
-    factors = orders.select("po_no", F.size("_statuses").alias("_factor"))
-    per_order = lookup(per_order, factors, ["po_no"], ["_factor"], split=False).withColumns(
-        {m: F.col(m) * F.col("_factor") for m in ("_received", "_ordered")}
-    )
-    completion = (
-        group_sum(per_order, ["po_skc"], ["_received", "_ordered"])
-        .select(
-            "po_skc",
-            F.coalesce(ratio("_received", "_ordered", 2), F.lit(0.0)).alias("completion_ratio"),
-        )
-        .withColumn(
-            "done",
-            label(F.col("completion_ratio") >= K.DONE_RATIO, K.DONE_LABEL, K.OPEN_LABEL),
-        )
-    )
+    out = out.select("*", F.explode("_statuses").alias("po_status")).drop("_statuses", "_first_completed")
     # one row per category: the first
     plan = keep_one(inputs["category"], ["category"], ["_ord"])
 
-    # keys are counted in the lines as read, not once more behind each join
-    steer = {"keys_from": lines}
     days = ["avg_receipt_days", "receipt_qty"]
-    out = lookup(out, receipt_days(inputs), ["po_sku"], days, **steer)
-    out = lookup(out, plan, ["category"], ["plan_category"], **steer)
-    out = lookup(out, completion, ["po_skc"], ["completion_ratio", "done"], **steer)
+    out = lookup(out, receipt_days(inputs), ["po_sku"], days, salt_rows=salt_rows)
+    out = lookup(out, plan, ["category"], ["plan_category"], salt_rows=salt_rows)
     return out.withColumn(
         "po_sku", F.when(F.col("po_sku") == "nan", F.lit("")).otherwise(F.col("po_sku"))
     ).drop("_ord")

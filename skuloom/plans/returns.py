@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from skuloom import constants as K
 from skuloom.functions.dates import day_of, day_text, elapsed_days, parse_ts
-from skuloom.functions.numeric import UNIT, ratio, units
+from skuloom.functions.numeric import ratio, total
 from skuloom.functions.text import color_of, join_key, strip
 from skuloom.operators.aggregates import all_present, group_sum
 from skuloom.operators.joins import lookup
 from skuloom.operators.projection import differs
-from skuloom.operators.reshape import metrics_to_rows, observed, spread_metrics
+from skuloom.operators.reshape import (
+    metrics_to_rows, metrics_to_rows_map, spread_metrics, spread_metrics_map,
+)
 from skuloom.operators.windows import running_sum
 
 Inputs = Mapping[str, DataFrame]
@@ -26,7 +28,6 @@ RETURN_IDS = (
     "period_refund_only", "period_refund_only_rate", "period_shipped",
     "period_returned", "period_shipped_return_rate",
 )
-MAX_DATES = 400
 REFUND_DAYS = 25
 REFUND_IDS = (
     "paid_date", "skc", "category", "opening_stock", "day_sold", "day_refund_only",
@@ -70,7 +71,7 @@ def return_rates(inputs: Inputs) -> DataFrame:
     )
     whole = Window.partitionBy("skc")
     out = cumulated.withColumns(
-        {f"all_{m}": F.sum(units(m)).over(whole) / F.lit(float(UNIT)) for m in measures}
+        {f"all_{m}": total(m, whole) for m in measures}
     ).filter(counted)
     return out.select(
         day_text("date").alias("date"),
@@ -94,17 +95,16 @@ def return_rates(inputs: Inputs) -> DataFrame:
     )
 
 
-def return_rate_matrix(inputs: Inputs, dates: Sequence[dt.date] | None = None) -> DataFrame:
-    """Return rates with metrics as rows and dates as columns.
+def return_rate_maps(inputs: Inputs) -> DataFrame:
+    """Return rates with metrics as rows and all their dates in a map."""
+    out = metrics_to_rows_map(return_rates(inputs), RETURN_IDS, RETURN_METRICS, "date", "rates")
+    return out.select("skc", F.lit("").alias("image"), *RETURN_IDS[1:], "metric", "rates")
 
-    Without `dates` the columns are the dates that occur.
-    """
-    rates = return_rates(inputs)
-    if dates is None:
-        names = observed(rates, "date", MAX_DATES)
-    else:
-        names = [d.isoformat() for d in dates]
-    out = metrics_to_rows(rates, RETURN_IDS, RETURN_METRICS, "date", names)
+
+def return_rate_matrix(inputs: Inputs, dates: Sequence[dt.date]) -> DataFrame:
+    """Return rates with metrics as rows and the given dates as columns."""
+    names = [d.isoformat() for d in dates]
+    out = metrics_to_rows(return_rates(inputs), RETURN_IDS, RETURN_METRICS, "date", names)
     return out.select(
         "skc", F.lit("").alias("image"), *RETURN_IDS[1:], "metric", *[f"`{n}`" for n in names]
     )
@@ -136,32 +136,50 @@ def refund_curve(inputs: Inputs, excluded_streamer: str | None = None) -> DataFr
     )
     day = ["paid_date", "skc"]
 
-    # refunds without a claim time count in the total of the day only
-    refunds = group_sum(
-        lines.filter(F.col("claim_type") == K.REFUND_ONLY),
-        [*day, "delay"],
-        ["return_qty"],
-        keep_null_keys=True,
-    )
-    whole = Window.partitionBy(*day)
-    refunds = (
-        running_sum(
-            refunds.withColumn(
-                "_counted", F.when(F.col("delay").isNotNull(), F.col("return_qty")).otherwise(0.0)
-            ),
-            day,
-            ["delay"],
-            {"_counted": "cum_refund"},
-        )
-        .withColumn(
-            "day_refund_only", F.sum(units("return_qty")).over(whole) / F.lit(float(UNIT))
+    # one aggregation of the lines; its rows, a few per day and SKC, then give the refunds by delay and the totals by category
+    refund = F.col("claim_type") == K.REFUND_ONLY
+    measures = ["sold_qty", "shipped_qty", "return_qty", "returned_qty"]
+    parts = (
+        lines.groupBy(*day, "category", "delay")
+        .agg(
+            *[total(m).alias(m) for m in measures],
+            total(F.when(refund, F.col("return_qty"))).alias("_refund"), F.count_if(refund).alias("_refunds"),
         )
-        .filter(F.col("delay").isNotNull())
-        .drop("_counted")
     )
-
-    totals = group_sum(
-        lines, [*day, "category"], ["sold_qty", "shipped_qty", "return_qty", "returned_qty"]
+    whole, by_delay, by_category = (Window.partitionBy(*day, *more) for more in ((), ("delay",), ("category",)))
+    parts = parts.withColumns(
+        {
+            "day_refund_only": total("_refund", whole),
+            "_return_qty": total("_refund", by_delay),
+            "_any": F.sum("_refunds").over(by_delay) > 0,
+            "_nth_of_delay": F.row_number().over(by_delay.orderBy("category")),
+            "_nth_of_category": F.row_number().over(by_category.orderBy("delay")),
+            **{f"_{m}": total(m, by_category) for m in ("sold_qty", "shipped_qty", "returned_qty")},
+            "_all_return_qty": total("return_qty", by_category),
+        }
+    )
+    # refunds without a claim time count in the total of the day only
+    with_refund = (F.col("_nth_of_delay") == 1) & F.col("_any") & F.col("delay").isNotNull()
+    of_category = (F.col("_nth_of_category") == 1) & F.col("category").isNotNull()
+    gathered = parts.groupBy(*day).agg(
+        F.max("day_refund_only").alias("day_refund_only"),
+        F.collect_list(F.when(with_refund, F.struct("delay", F.col("_return_qty").alias("return_qty")))).alias("_delays"),
+        F.collect_list(
+            F.when(
+                of_category,
+                F.struct(
+                    "category",
+                    F.col("_sold_qty").alias("day_sold"),
+                    F.col("_shipped_qty").alias("day_shipped"),
+                    ratio("_returned_qty", "_shipped_qty", 2).alias("post_ship_refund_rate"),
+                    ratio("_all_return_qty", "_sold_qty", 2).alias("full_return_rate"),
+                ),
+            )
+        ).alias("_totals"),
+    )
+    refunds = running_sum(
+        gathered.select(*day, "day_refund_only", "_totals", F.inline("_delays")),
+        day, ["delay"], {"return_qty": "cum_refund"},
     )
     stock = group_sum(
         inputs["stock_daily"].select(
@@ -170,37 +188,38 @@ def refund_curve(inputs: Inputs, excluded_streamer: str | None = None) -> DataFr
         day,
         {"opening_qty": "opening_stock"},
     )
-    totals = lookup(totals, stock, day, ["opening_stock"], split=False).select(
-        *day,
-        "category",
-        "opening_stock",
-        F.col("sold_qty").alias("day_sold"),
-        F.col("shipped_qty").alias("day_shipped"),
-        ratio("returned_qty", "shipped_qty", 2).alias("post_ship_refund_rate"),
-        ratio("return_qty", "sold_qty", 2).alias("full_return_rate"),
+    # the stock belongs to the totals: without any there is none
+    out = refunds.select("*", F.explode_outer("_totals").alias("_t")).select(
+        *[c for c in refunds.columns if c != "_totals"], "_t.*"
     )
-    out = lookup(refunds, totals, day, [c for c in totals.columns if c not in day], split=False)
+    out = lookup(out, stock, day, {"opening_stock": "_opening"})
     return out.withColumns(
         {
+            "opening_stock": F.when(F.col("category").isNotNull(), F.col("_opening")),
             "pre_ship_refund_rate": ratio("day_refund_only", "day_sold", 2),
             "cum_share": ratio("cum_refund", "day_sold", 2),
         }
+    ).drop("_opening")
+
+
+def refund_curve_maps(
+    inputs: Inputs, excluded_streamer: str | None = None, max_days: int = REFUND_DAYS
+) -> DataFrame:
+    """Refund curve up to `max_days`, with all delays, negative ones too, in a map to the metrics."""
+    curve = refund_curve(inputs, excluded_streamer).filter(F.col("delay") <= max_days)
+    return spread_metrics_map(curve, REFUND_IDS, "delay", REFUND_METRICS, "curve").orderBy(
+        F.desc("skc"), F.asc("paid_date")
     )
 
 
 def refund_curve_wide(
     inputs: Inputs,
-    delays: Sequence[int] | None = None,
+    delays: Sequence[int],
     excluded_streamer: str | None = None,
     max_days: int = REFUND_DAYS,
 ) -> DataFrame:
-    """Refund curve up to `max_days`, one column per metric and delay.
-
-    Without `delays` the columns are the delays that occur.
-    """
+    """Refund curve up to `max_days`, one column per metric and given delay."""
     curve = refund_curve(inputs, excluded_streamer).filter(F.col("delay") <= max_days)
-    if delays is None:
-        delays = observed(curve, "delay", MAX_DATES)
     delays = [d for d in delays if d <= max_days]
     return spread_metrics(
         curve.filter(F.col("delay").isin(*delays)), REFUND_IDS, "delay", delays, REFUND_METRICS

@@ -38,7 +38,7 @@ def today_sales(inputs: Inputs) -> DataFrame:
     return skc_sums(lines, inputs["catalog"], [], ["sold_qty"])
 
 
-def sales_detail(inputs: Inputs, sep: str = "+") -> DataFrame:
+def sales_detail(inputs: Inputs, sep: str = "+", salt_rows: int | None = None) -> DataFrame:
     """Order lines with SKC, channel and the module of the streamer.
 
     A line whose SKU is not in the catalogue takes its SKC from its own style and
@@ -51,8 +51,7 @@ def sales_detail(inputs: Inputs, sep: str = "+") -> DataFrame:
             "streamer_id": id_head("streamer_id"),
         }
     )
-    base = lines
-    lines = lookup(lines, sku_to_skc(inputs["catalog"]), {"_sku": "sku"}, ["skc"])
+    lines = lookup(lines, sku_to_skc(inputs["catalog"]), {"_sku": "sku"}, ["skc"], salt_rows=salt_rows)
     own = (
         F.col("skc").isNull()
         & F.col("category").isNotNull()
@@ -70,7 +69,7 @@ def sales_detail(inputs: Inputs, sep: str = "+") -> DataFrame:
             "spec": F.when(own, tail_of("color_spec")),
         }
     )
-    lines = lookup(lines, inputs["channel"], ["shop"], ["channel"], keys_from=base)
+    lines = lookup(lines, inputs["channel"], ["shop"], ["channel"], salt_rows=salt_rows)
     lines = conform(fill(lines, ["sold_qty"]), SALES_DETAIL_COLUMNS)
     module = inputs["module"].select("module", id_head("uid").alias("uid"))
     out = lookup(
@@ -78,7 +77,7 @@ def sales_detail(inputs: Inputs, sep: str = "+") -> DataFrame:
         module.withColumn("_uid", F.col("uid")),
         {"streamer_id": "_uid"},
         ["module", "uid"],
-        keys_from=base,
+        salt_rows=salt_rows,
     )
     return fill(out, ["streamer_id"], "")
 
@@ -89,7 +88,9 @@ def shipped_daily(inputs: Inputs) -> DataFrame:
     return skc_sums(lines, inputs["catalog"], ["date"], ["shipped_qty", "returned_qty"])
 
 
-def shipped_detail(inputs: Inputs, normalise_stock: bool = False) -> DataFrame:
+def shipped_detail(
+    inputs: Inputs, normalise_stock: bool = False, salt_rows: int | None = None
+) -> DataFrame:
     """Shipped lines with SKC, size, channel and net cost.
 
     The SKU of the stock table is taken as it is unless `normalise_stock`.
@@ -100,9 +101,9 @@ def shipped_detail(inputs: Inputs, normalise_stock: bool = False) -> DataFrame:
     stock = stock_by_sku(inputs)
     if normalise_stock:
         stock = stock.withColumn("sku", code("sku"))
-    out = lookup(lines, inputs["channel"], ["shop"], ["channel"])
-    out = lookup(out, sku_to_skc(inputs["catalog"]), ["sku"], ["skc"], keys_from=lines)
-    out = lookup(out, stock, ["sku"], ["spec", "spec_final"], keys_from=lines)
+    out = lookup(lines, inputs["channel"], ["shop"], ["channel"], salt_rows=salt_rows)
+    out = lookup(out, sku_to_skc(inputs["catalog"]), ["sku"], ["skc"], salt_rows=salt_rows)
+    out = lookup(out, stock, ["sku"], ["spec", "spec_final"], salt_rows=salt_rows)
     return _with_net_cost(out)
 
 
@@ -111,8 +112,8 @@ def _with_net_cost(lines: DataFrame) -> DataFrame:
     return conform(lines.withColumn("net_cost", net_cost), LINE_COLUMNS)
 
 
-def _paid_lines(inputs: Inputs) -> tuple[DataFrame, DataFrame]:
-    """Paid lines as read, and with size and channel."""
+def _paid_lines(inputs: Inputs, salt_rows: int | None = None) -> DataFrame:
+    """Paid lines with size and channel."""
     lines = inputs["sales_paid"].withColumns(
         {
             "date": day_of(parse_ts("date", strict=True)),
@@ -120,22 +121,21 @@ def _paid_lines(inputs: Inputs) -> tuple[DataFrame, DataFrame]:
             "spec": spec_of("color_spec"),
         }
     ).withColumnRenamed("channel", "report_channel")
-    out = lookup(lines, inputs["size_rule"], ["spec"], ["spec_final"])
-    out = lookup(out, inputs["channel"], ["shop"], ["channel"], keys_from=lines)
-    return lines, fill(out, ["sold_amt", "return_amt", "sold_qty", "return_qty"])
+    out = lookup(lines, inputs["size_rule"], ["spec"], ["spec_final"], salt_rows=salt_rows)
+    out = lookup(out, inputs["channel"], ["shop"], ["channel"], salt_rows=salt_rows)
+    return fill(out, ["sold_amt", "return_amt", "sold_qty", "return_qty"])
 
 
-def paid_detail(inputs: Inputs) -> DataFrame:
+def paid_detail(inputs: Inputs, salt_rows: int | None = None) -> DataFrame:
     """Paid lines with SKC, size, channel and net cost."""
-    base, lines = _paid_lines(inputs)
-    base, lines = (df.withColumn("sku", code("sku")) for df in (base, lines))
-    lines = lookup(lines, sku_to_skc(inputs["catalog"]), ["sku"], ["skc"], keys_from=base)
+    lines = _paid_lines(inputs, salt_rows).withColumn("sku", code("sku"))
+    lines = lookup(lines, sku_to_skc(inputs["catalog"]), ["sku"], ["skc"], salt_rows=salt_rows)
     return _with_net_cost(lines)
 
 
 def paid_summary(inputs: Inputs) -> DataFrame:
     """Sales, returns, net amount, margin and unit price per SKC."""
-    lines = _paid_lines(inputs)[1].withColumn(
+    lines = _paid_lines(inputs).withColumn(
         "net_cost", F.col("cost") * (F.col("sold_qty") - F.col("return_qty"))
     )
     sums = skc_sums(
@@ -154,7 +154,7 @@ def paid_summary(inputs: Inputs) -> DataFrame:
 
 def first_hot_day(inputs: Inputs, threshold: float = 10) -> DataFrame:
     """First day on which an SKC sold more than the threshold."""
-    daily = skc_sums(_paid_lines(inputs)[1], inputs["catalog"], ["date"], ["sold_qty"])
+    daily = skc_sums(_paid_lines(inputs), inputs["catalog"], ["date"], ["sold_qty"])
     hot = first_day_above(daily, "skc", "date", "sold_qty", threshold, "first_hot_day")
     return hot.orderBy("first_hot_day", "skc")
 

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from skuloom.functions.dates import day_of, parse_ts, within_days
 from skuloom.functions.numeric import ratio, total
 from skuloom.functions.text import bracket_title, null_tokens
-from skuloom.operators.aggregates import group_sum
 from skuloom.operators.joins import keep_matching, lookup
 from skuloom.operators.windows import keep_one, top_k
 
@@ -28,8 +27,12 @@ def title_table(inputs: Inputs) -> DataFrame:
 
 
 def _style_sums(inputs: Inputs, as_of: dt.date, days: int) -> DataFrame:
-    lines = inputs["order_lines"].filter(within_days("paid_at", as_of, days))
-    return group_sum(lines, ["style_code"], ["sold_amt", "sold_qty"])
+    """Amount and quantity per style, and the title of its first line."""
+    lines = inputs["order_lines"].filter(within_days("paid_at", as_of, days) & F.col("style_code").isNotNull())
+    return lines.groupBy("style_code").agg(
+        total("sold_amt").alias("sold_amt"), total("sold_qty").alias("sold_qty"),
+        F.min(F.struct("_ord", "online_title"))["online_title"].alias("online_title"),
+    )
 
 
 def _order() -> list:
@@ -58,7 +61,7 @@ def _with_image(top: DataFrame, catalog: DataFrame) -> DataFrame:
     )
     wanted = keep_matching(images, top, {"style_code": "style_code"})
     first = keep_one(wanted, ["style_code"], ["_ord"])
-    return lookup(top, first, ["style_code"], ["image_url"], split=False)
+    return lookup(top, first, ["style_code"], ["image_url"])
 
 
 def launch_dates(board: DataFrame) -> DataFrame:
@@ -81,7 +84,6 @@ def _with_launch(top: DataFrame, board: DataFrame) -> DataFrame:
         wanted.withColumn("_style", F.col("board_style")),
         {"style_code": "_style"},
         ["board_style", "launch_date"],
-        split=False,
     )
 
 
@@ -90,16 +92,13 @@ def top_shares(inputs: Inputs, as_of: dt.date, k: int = 36) -> DataFrame:
     sums = _style_sums(inputs, as_of, 1)
     # all sales of the day, before the list is cut
     totals = sums.agg(F.struct(total("sold_amt").alias("amt"), total("sold_qty").alias("qty"))).scalar()
-    top = top_k(sums, k, _order(), "rank").select(
+    top = top_k(sums, k, _order(), "rank").withColumn("_all", totals).select(
         "rank",
         "style_code",
         F.lit("").alias("image"),
-        ratio("sold_amt", totals.getField("amt"), 4).alias("amt_share"),
-        ratio("sold_qty", totals.getField("qty"), 4).alias("qty_share"),
+        ratio("sold_amt", F.col("_all.amt"), 4).alias("amt_share"),
+        ratio("sold_qty", F.col("_all.qty"), 4).alias("qty_share"),
+        bracket_title("online_title").alias("short_title"),
+        F.col("online_title").alias("title"),
     )
-    yesterday = inputs["order_lines"].filter(within_days("paid_at", as_of, 1))
-    wanted = keep_matching(yesterday, top, {"style_code": "style_code"})
-    first = keep_one(wanted, ["style_code"], ["_ord", "online_title"])
-    titles = title_table({"order_lines": first})
-    out = lookup(top, titles, ["style_code"], ["short_title", "title"], split=False)
-    return out.orderBy("rank")
+    return top.orderBy("rank")

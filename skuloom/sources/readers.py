@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skuloom.functions.text import strip
+from skuloom.functions.text import WHITESPACE
 from skuloom.operators.projection import conform
-from skuloom.schemas import TABLES
+from skuloom.schemas import EXPORT_HEADERS, TABLES
 
 ORDER = "_ord"
 
@@ -21,23 +22,31 @@ def read_table(
     schema: T.StructType | None = None,
     columns: Sequence[str] | None = None,
     fmt: str | None = None,
+    headers: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """One export as a table, pruned to `columns` at the scan.
 
-    Only the empty text is missing in a CSV file; "NA" or "nan" are texts. With a
-    schema, columns are cast to its types, missing ones read null, and `_ord` is
-    stamped if the file has none.
+    Only the empty text is missing in a CSV file; "NA" or "nan" are texts. `headers` renames columns, by default as the
+    exports call them. With a schema, columns are cast to its types, lenient ones as far as they can be read, missing
+    ones read null, and `_ord` is stamped if the file has none. A file with no column of the schema raises.
     """
     fmt = fmt or ("csv" if path.endswith(".csv") else "parquet")
+    df = spark.read.csv(path, header=True) if fmt == "csv" else spark.read.format(fmt).load(path)
+    own = df.columns
+    stamp = schema is not None and ORDER in schema.names and ORDER not in own
+    if stamp:
+        df = with_order(df)
     if fmt == "csv":
-        raw = spark.read.csv(path, header=True)
-        df = raw.select(*[F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in raw.columns])
-    else:
-        df = spark.read.format(fmt).load(path)
+        df = df.select(*[F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in own], *([ORDER] if stamp else []))
     if schema is not None:
-        if ORDER in schema.names and ORDER not in df.columns:
-            df = with_order(df)
-        df = conform(df, schema)
+        names = EXPORT_HEADERS if headers is None else headers
+        # a header that stands for several columns of the reports goes to the one this table has
+        taken = {c: next((n for n in names.get(c, "").split() if n in schema.names and n not in own), c) for c in own}
+        if not set(taken.values()) & set(schema.names):
+            raise ValueError(f"{path} has none of the columns {schema.names}, only {own}")
+        df = conform(df.withColumnsRenamed({c: n for c, n in taken.items() if c != n}), schema)
+    elif headers is not None:
+        df = df.withColumnsRenamed({c: headers[c] for c in own if c in headers})
     return df.select(*columns) if columns else df
 
 
@@ -57,8 +66,17 @@ def load_inputs(
 
 
 def with_order(df: DataFrame) -> DataFrame:
-    """Stamp the ingest position of every row, increasing along the file."""
-    return df.withColumn(ORDER, F.monotonically_increasing_id())
+    """Stamp the ingest position of every row: by file, then by place in the file.
+
+    In parquet both are properties of the row, so that a filter still reaches the scan. A text file counts rows within
+    the blocks in which it is read.
+    """
+    file = F.col("_metadata.file_path").alias("file")
+    try:
+        return df.select("*", F.struct(file, F.col("_metadata.row_index").alias("row")).alias(ORDER))
+    except AnalysisException:
+        block = F.col("_metadata.file_block_start").alias("block")
+        return df.select("*", F.struct(file, block, F.monotonically_increasing_id().alias("row")).alias(ORDER))
 
 
 def discover(spark: SparkSession, folder: str, include: str, exclude: str | None = None) -> str:
@@ -87,19 +105,20 @@ def promote_header(
     """CSV file whose row number `row` (from 0) holds the column names.
 
     The rows above are dropped, names are stripped, and only the first columns
-    are kept if asked. Row `row` alone travels to the driver. Cells stay text;
+    are kept if asked. The rows up to `row` travel to the driver. Cells stay text;
     `_ord` keeps the order of the file.
     """
     raw = with_order(spark.read.csv(path, header=False, nullValue=""))
-    top = raw.orderBy(ORDER).limit(row + 1).orderBy(F.desc(ORDER)).limit(1)
-    header = top.select(*[strip(c).alias(c) for c in raw.columns if c != ORDER], ORDER).first()
-    if header is None:
-        raise ValueError(f"{path} is empty")
+    # a limit without an order reads the start of the first block
+    top = raw.filter(F.col(f"{ORDER}.block") == 0).limit(row + 1).collect()
+    if len(top) <= row:
+        raise ValueError(f"{path} has no row {row}")
+    header = top[row]
     cells = [c for c in raw.columns if c != ORDER][:first_columns]
-    names = [header[c] if header[c] is not None else f"column_{i}" for i, c in enumerate(cells)]
-    return raw.filter(F.col(ORDER) > F.lit(header[ORDER])).select(
-        *[F.col(c).alias(n) for c, n in zip(cells, names)], ORDER
-    )
+    names = [header[c].strip(WHITESPACE) if header[c] is not None else f"column_{i}" for i, c in enumerate(cells)]
+    at = header[ORDER]
+    after = (F.col(f"{ORDER}.block") > at["block"]) | (F.col(f"{ORDER}.row") > at["row"])
+    return raw.filter(after).select(*[F.col(c).alias(n) for c, n in zip(cells, names)], ORDER)
 
 
 def positional(df: DataFrame, positions: Sequence[int], names: Sequence[str]) -> DataFrame:

@@ -68,3 +68,13 @@ def test_return_rates_shuffle_twice(spark):
     text = plan(QUERIES["q13_return_rates"](spark, SF))
     main = [line for line in text.splitlines() if "Exchange hashpartitioning(skc" in line]
     assert len(main) == 2
+
+
+@pytest.mark.parametrize(
+    ("name", "reads"),
+    # reads of the line items: q04 and q06 one for each purchase table, q16 with the receipts, q15 with the stock table
+    [("q04_purchase_history", 2), ("q06_first_purchase", 2), ("q12_top36", 2), ("q15_refund_curve", 2), ("q16_po_lead_time", 3)],
+)
+def test_facts_are_read_once(spark, name, reads):
+    text = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"Relation \[l_orderkey", text)) <= reads

@@ -193,12 +193,15 @@ def test_return_rates(table, rows):
                "cum_shipped_return_rate", "period_sold", "period_return_rate")
     # lines without a plan category or a date count in the period only
     assert got == [("2024-01-01", 0.12, 0.5, 0.0, 200.0, 0.02), ("2024-01-02", 0.19, 0.5, 0.25, 200.0, 0.02)]
-    wide = returns.return_rate_matrix(x)
+    wide = returns.return_rate_matrix(x, [dt.date(2024, 1, 1), dt.date(2024, 1, 2)])
     assert wide.columns[-2:] == ["2024-01-01", "2024-01-02"]
     assert rows(wide, "metric", "`2024-01-01`", "`2024-01-02`") == [
         ("cum_refund_only_rate", 0.5, 0.5), ("cum_return_rate", 0.12, 0.19),
         ("cum_shipped_return_rate", 0.0, 0.25),
     ]
+    maps = {r["metric"]: r["rates"] for r in returns.return_rate_maps(x).collect()}
+    assert maps["cum_return_rate"] == {"2024-01-01": 0.12, "2024-01-02": 0.19}
+    assert maps["cum_shipped_return_rate"] == {"2024-01-01": 0.0, "2024-01-02": 0.25}
 
 
 def test_refund_curve(table, rows):
@@ -219,13 +222,19 @@ def test_refund_curve(table, rows):
                 "cum_share", "pre_ship_refund_rate") == [
         (1, 1.0, 1.0, 3.0, 40.0, 7.0, 0.02, 0.08), (2, 1.0, 2.0, 3.0, 40.0, 7.0, 0.05, 0.08),
     ]
-    wide = returns.refund_curve_wide(x, excluded_streamer="99")
+    wide = returns.refund_curve_wide(x, [1, 2, 30], excluded_streamer="99")
     assert [c for c in wide.columns if c.startswith("cum_refund")] == ["cum_refund_1", "cum_refund_2"]
     assert wide.count() == 1
-    assert returns.refund_curve_wide(x, max_days=1).columns[-1] == "cum_share_1"
+    early = {**line, "paid_at": day(3, 12), "claim_at": day(1, 13)}
+    x["order_lines"] = x["order_lines"].unionByName(table("order_lines", early, {**early, "category": None}))
+    by_day = {str(r["paid_date"]): r for r in returns.refund_curve_maps(x, excluded_streamer="99").collect()}
+    assert {d: c["cum_refund"] for d, c in by_day["2024-01-01"]["curve"].items()} == {1: 1.0, 2: 2.0}
+    # a claim before the payment counts too, and so does the line without a category, but for the totals by category
+    assert {d: tuple(c) for d, c in by_day["2024-01-03"]["curve"].items()} == {-1: (2.0, 2.0, 0.2)}
+    assert by_day["2024-01-03"]["day_sold"] == 10.0
 
 
-def test_live_board_shows_the_hours_with_sales(table):
+def test_live_board_shows_the_hours_of_the_sessions(table):
     x = {"live_sales": table(
         "live_sales",
         {"paid_at": day(1, 9), "streamer_id": "1 ", "style_code": "a", "sold_qty": 2.0},
@@ -235,8 +244,11 @@ def test_live_board_shows_the_hours_with_sales(table):
     )}
     board = live.live_board(x, "1", [Session("s", day(1, 8), day(1, 12))])
     assert board.columns == ["style_code", "image", "category", "session_total",
-                             "01.01 09:00-10:00", "01.01 11:00-12:00"]
-    assert [tuple(r) for r in board.collect()] == [("b", "", "", 5.0, 0.0, 5.0), ("a", "", "", 2.0, 2.0, 0.0)]
+                             "01.01 08:00-09:00", "01.01 09:00-10:00", "01.01 10:00-11:00", "01.01 11:00-12:00",
+                             "01.01 12:00-13:00"]
+    assert [tuple(r) for r in board.collect()] == [
+        ("b", "", "", 5.0, 0.0, 0.0, 0.0, 5.0, 0.0), ("a", "", "", 2.0, 0.0, 2.0, 0.0, 0.0, 0.0),
+    ]
 
 
 def test_ageing_steps_and_totals(table):
@@ -272,7 +284,9 @@ def test_listing_routes_one_shop(table, rows):
     assert rows(listing.listing_lines(x, "vip"), "shop", "channel", "system_style", "skc") == [
         ("t", "天猫", "S", "S红_x002B_"), ("vip", "唯品", "S", "S红_x002B_"), (None, "未知", "S", "S"),
     ]
-    matrix = listing.listing_matrix(x, "vip")
+    maps = {r["skc"]: {tuple(k): v for k, v in r["listed"].items()} for r in listing.listing_maps(x, "vip").collect()}
+    assert maps == {"S红+": {("唯品", "vip"): 1, ("天猫", "t"): 0}}
+    matrix = listing.listing_matrix(x, "vip", [("唯品", "vip"), ("天猫", "t")])
     assert matrix.columns == ["skc", "唯品_vip", "天猫_t"] and rows(matrix) == [("S红+", "是", "")]
 
 

@@ -1,6 +1,7 @@
 """Null, text, rounding and join rules, with pandas as the second opinion."""
 
 import datetime as dt
+import random
 
 import numpy as np
 import pandas as pd
@@ -206,8 +207,7 @@ def test_last_session_wins_and_ends_count(spark):
     ]
     assert values(df.select(D.session_label("t", sessions).alias("v"))) == ["a", "b", "b", "b", None]
     assert D.session_hours(sessions) == ["01.01 09:00-10:00", "01.01 10:00-11:00", "01.01 11:00-12:00"]
-    with pytest.raises(ValueError, match="sessions"):
-        D.session_label("t", [])
+    assert values(df.select(D.session_label("t", []).alias("v"))) == [None] * 5
 
 
 def test_trailing_days_end_yesterday(spark):
@@ -276,11 +276,46 @@ def test_all_null_metric_rows_vanish(spark, rows):
     assert rows(R.metrics_to_rows(df, ["k"], ["m", "n"], "d", ["d1", "d2"])) == [("a", "m", 1.0, 2.0)]
 
 
-def test_observed_is_bounded(spark):
-    df = spark.range(5)
-    assert R.observed(df, "id", 5) == [0, 1, 2, 3, 4]
-    with pytest.raises(ValueError, match="more than 4"):
-        R.observed(df, "id", 4)
+def test_map_forms_need_no_list(spark):
+    df = spark.createDataFrame([("a", 1, 2.0), ("a", -3, 0.5), ("a", 1, 1.0), ("b", None, 9.0)], "k string, d int, v double")
+    got = R.spread_sum_map(df, ["k"], "d", "v", "total", "cells").collect()
+    assert [tuple(r) for r in got] == [("a", 3.5, {-3: 0.5, 1: 3.0})]
+    many = spark.range(3000).select(F.lit("a").alias("k"), F.col("id").alias("d"), (F.col("id") * 2).alias("v"))
+    cells = R.spread_metrics_map(many, ["k"], "d", ["v"], "cells").first()["cells"]
+    assert len(cells) == 3000 and cells[2999]["v"] == 5998
+
+
+def test_labels_that_join_alike_stay_apart(spark):
+    df = spark.createDataFrame([("x", "a_b", "c", 1), ("x", "a", "b_c", 0)], "k string, p string, q string, f int")
+    got = R.spread_flag(df, ["k"], ["p", "q"], [("a_b", "c"), ("a", "b_c")], "f", "是")
+    assert got.columns == ["k", "a__b_c", "a_b__c"] and tuple(got.first()) == ("x", "是", "")
+
+
+@pytest.mark.parametrize("data", [
+    [0.00004] * 10, [1e14] * 10, [1e15 + 0.5, -1e15, 0.25], [0.1] * 10, [1e24, 1.0, -1e24], [2.0**-60] * 3, [-0.3, 0.3], [0.01, -0.01, 0.01], [-0.01, -7e9 - 0.3, 5.5],
+    [float("inf"), 1.0, float("nan"), None],
+])
+def test_sums_are_exact_in_any_order(spark, data):
+    from fractions import Fraction
+
+    want = float(sum(Fraction(x) for x in data if x is not None and abs(x) < 1e300))
+    for order in (data, data[::-1]):
+        df = spark.createDataFrame([(x,) for x in order], "v double").repartition(3)
+        got = df.agg(N.total("v")).first()[0]
+        assert got == pytest.approx(want, rel=2e-16, abs=2.0**-66)
+
+
+def test_texts_of_numbers_and_dates(spark):
+    df = texts(spark, ["12", "nan", "inf", "-Infinity", "12d", " 3.5 ", "", None])
+    assert values(df.select(N.to_number("c").alias("v"))) == [12.0, None, None, None, None, 3.5, None, None]
+    df = texts(spark, ["90000000000000567", "12.0", "nan", "x", "1e3", None, "inf"])
+    assert values(df.select(N.to_whole("c").alias("v"))) == [90000000000000567, 12, None, None, 1000, None, None]
+    df = texts(spark, ["2024-01-02", "2024/1/2 8:30", "20240102", "20240102 08:30:00", "待定", None])
+    got = values(df.select(D.parse_ts("c").cast("string").alias("v")))
+    day, time = "2024-01-02 00:00:00", "2024-01-02 08:30:00"
+    assert got == [day, time, day, time, None, None]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        df.select(D.parse_ts("c", strict=True)).collect()
 
 
 def test_top_k_and_flag(spark):
@@ -320,11 +355,25 @@ def test_many_sessions_and_many_hours(spark):
     hour = dt.timedelta(hours=1)
     sessions = [
         D.Session(str(i), start + i * hour, start + (i + 1) * hour - dt.timedelta(seconds=1))
-        for i in range(D.MAX_SESSIONS)
+        for i in range(1500)
     ]
     df = spark.createDataFrame([("a", start + 700 * hour, 2.0)], "k string, t timestamp_ntz, v double")
     df = df.select("k", "v", D.session_label("t", sessions).alias("s"), D.hour_label("t").alias("h"))
     hours = D.session_hours(sessions)
     row = R.spread_sum(df, ["k", "s"], "h", hours, "v", "total").first()
-    assert len(hours) == 1000 and row["s"] == "700" and row["total"] == 2.0
+    assert len(hours) == 1500 and row["s"] == "700" and row["total"] == 2.0
     assert row[hours[700]] == 2.0 and row[hours[0]] == 0.0
+
+
+def test_the_last_of_overlapping_sessions_wins(spark):
+    r = random.Random(3)
+    start = dt.datetime(2024, 1, 1)
+    minute = dt.timedelta(minutes=1)
+    for _ in range(20):
+        spans = []
+        for i in range(r.randrange(1, 9)):
+            a = r.randrange(60)
+            spans.append(D.Session(str(i % 4), start + a * minute, start + (a + r.randrange(30)) * minute))
+        df = spark.range(-1, 95).select((F.lit(start) + F.make_dt_interval(mins=F.col("id").cast("int"))).cast("timestamp_ntz").alias("t"))
+        got = [(x["t"], x["s"]) for x in df.select("t", D.session_label("t", spans).alias("s")).collect()]
+        assert got == [(t, next((s.label for s in reversed(spans) if s.start <= t <= s.end), None)) for t, _ in got]

@@ -4,10 +4,13 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from checks.fixtures import Inputs
 from skuloom import schemas
-from skuloom.plans import workbook
+from skuloom.functions.dates import Session
+from skuloom.operators.windows import keep_one
+from skuloom.plans import live, sellers, workbook
 from skuloom.sources import readers, writers
 
 SF = "/root/testdata/sf0.001"
@@ -79,3 +82,48 @@ def test_workbook_from_files_to_files(spark, tmp_path):
         F.sum(F.try_to_number("sold_qty", F.lit("99.9")))
     ).first()[0]
     assert total.agg(F.sum("sold_qty")).first()[0] == float(want)
+
+
+def test_order_follows_the_files(spark, tmp_path):
+    write(tmp_path / "d" / "01.csv", "k,v\na,first\n")
+    write(tmp_path / "d" / "02.csv", "k,v\n" + "".join(f"a,{i}\n" for i in range(50)))
+    schema = T.StructType().add("k", "string").add("v", "string").add("_ord", "long")
+    df = readers.read_table(spark, str(tmp_path / "d"), schema, fmt="csv")
+    assert keep_one(df, ["k"], ["_ord"]).first()["v"] == "first"
+    for i, part in enumerate((df.filter("v = 'first'"), df.filter("v <> 'first'"))):
+        part.drop("_ord").coalesce(1).write.parquet(str(tmp_path / "p" / f"x={i}"))
+    df = readers.read_table(spark, str(tmp_path / "p"), schema)
+    assert keep_one(df, ["k"], ["_ord"]).first()["v"] == "first"
+    assert [r["v"] for r in df.orderBy("_ord").collect()] == ["first", *map(str, range(50))]
+
+
+def test_filters_reach_the_scan_through_the_reader(spark, tmp_path):
+    x = Inputs(spark, SF)
+    base = str(tmp_path / "in")
+    for name in ("order_lines", "live_sales"):
+        writers.write_table(x[name].drop("_ord"), f"{base}/{name}")
+    inputs = readers.load_inputs(spark, base, ["order_lines", "live_sales"])
+    text = sellers.top_shares(inputs, dt.date(1999, 6, 15))._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in text.splitlines() if "FileScan" in line]
+    assert scans and all("GreaterThanOrEqual(paid_at" in s for s in scans) and len(scans) <= 2
+    session = Session("s", dt.datetime(2024, 1, 1, 9), dt.datetime(2024, 1, 1, 12))
+    text = live.live_board(inputs, "purchase", [session])._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(paid_at" in text and "LessThanOrEqual(paid_at" in text
+
+
+def test_headers_of_exports_are_renamed(spark, tmp_path):
+    path = write(tmp_path / "e.csv", "商品编码,销售数量,余\ns1,3,x\n")
+    row = readers.read_table(spark, path, schemas.TODAY_SALES).first()
+    assert (row["sku"], row["sold_qty"]) == ("s1", 3.0)
+    path = write(tmp_path / "f.csv", "甲,乙\n1,2\n")
+    with pytest.raises(ValueError, match="none of the columns"):
+        readers.read_table(spark, path, schemas.TODAY_SALES)
+
+
+def test_lenient_columns_read_null_and_strict_ones_raise(spark, tmp_path):
+    path = write(tmp_path / "g.csv", "style_code,launch_date\nA,待定\nB,2024/01/02\n")
+    rows = readers.read_table(spark, path, schemas.MERCH_BOARD).orderBy("style_code").collect()
+    assert [r["launch_date"] for r in rows] == [None, dt.datetime(2024, 1, 2)]
+    path = write(tmp_path / "h.csv", "sku,date\nA,待定\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        readers.read_table(spark, path, schemas.STOCK_DAILY).collect()

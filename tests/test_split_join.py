@@ -3,7 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from checks import fixtures as X
 from skuloom.operators import joins as J
+from skuloom.plans import listing, purchase, sales
 
 
 @pytest.fixture
@@ -60,22 +62,28 @@ def test_a_frequent_key_is_spread(spark, tables):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
-def test_lookup_splits_large_sides_only(spark, tables, rows, monkeypatch):
+def test_lookup_salts_when_asked(tables, rows):
     left, right = tables
-    calls = []
-    real = J.split_join
-    monkeypatch.setattr(J, "split_join", lambda *a: calls.append(a) or real(*a))
     dim = right.withColumnRenamed("_key0", "code")
     plain = rows(J.lookup(left, dim, {"key": "code"}, ["v"]))
-    assert not calls
-    monkeypatch.setattr(J, "SPLIT_BYTES", 0)
-    monkeypatch.setattr(J, "fits_broadcast", lambda df: True)
-    assert rows(J.lookup(left, dim, {"key": "code"}, ["v"])) == plain
-    assert not calls
-    monkeypatch.setattr(J, "fits_broadcast", lambda df: False)
-    monkeypatch.setattr(J, "SPLIT_ROWS", 100)
-    assert rows(J.lookup(left, dim, {"key": "code"}, ["v"])) == plain
-    assert len(calls) == 1
+    assert rows(J.lookup(left, dim, {"key": "code"}, ["v"], salt_rows=100)) == plain
+
+
+def test_lookup_without_nulls_and_with_one_row_per_key(tables, rows):
+    left, right = tables
+    dim = right.withColumnRenamed("_key0", "code")
+    for salt in (None, 100):
+        got = J.lookup(left, dim, {"key": "code"}, ["v"], null_safe=False, salt_rows=salt)
+        assert got.filter("key IS NULL AND v IS NOT NULL").count() == 0
+    first = J.lookup(left, dim, {"key": "code"}, ["v"], dedupe=[F.desc("v")])
+    assert first.count() == left.count()
+    assert rows(first.filter("key = 'hot'").select("v").distinct()) == [(2,)]
+
+
+def test_every_frequent_key_is_split(spark):
+    left = spark.range(20_000).select((F.col("id") % 5000).cast("string").alias("key"), F.col("id").alias("line"))
+    right = left.select(F.col("key").alias("_key0"), F.lit(1).alias("v")).distinct()
+    assert J.split_join(left, right, [("key", "_key0")], 2).filter("v = 1").count() == 20_000
 
 
 def test_composite_keys(spark, rows):
@@ -92,16 +100,18 @@ def test_keep_matching_is_null_safe(spark, rows):
 
 
 @pytest.mark.parametrize(
-    "name", ["q08_sales_detail", "q09_shipped_detail", "q10_paid_detail", "q16_po_lead_time", "q18_listing_lines"]
+    ("name", "report", "params"),
+    [
+        ("q08_sales_detail", sales.sales_detail, {}), ("q09_shipped_detail", sales.shipped_detail, {}),
+        ("q10_paid_detail", sales.paid_detail, {}), ("q16_po_lead_time", purchase.po_lead_time, {}),
+        ("q18_listing_lines", listing.listing_lines, {"routed_shop": X.ROUTED_SHOP}),
+    ],
 )
-def test_reports_with_every_lookup_split(spark, monkeypatch, name):
+def test_reports_with_every_lookup_salted(spark, name, report, params):
     from checks.compare import connect, difference
     from checks.oracle import ORACLE
-    from checks.queries import QUERIES
+    from checks.queries import _date_texts
 
     sf_dir = "/root/testdata/sf0.001"
-    monkeypatch.setattr(J, "SPLIT_BYTES", 0)
-    monkeypatch.setattr(J, "SPLIT_ROWS", 20)
-    monkeypatch.setattr(J, "fits_broadcast", lambda df: False)
-    got = QUERIES[name](spark, sf_dir).toPandas()
+    got = _date_texts(report(X.Inputs(spark, sf_dir), salt_rows=20, **params)).toPandas()
     assert difference(got, connect(sf_dir).execute(ORACLE[name]).df()) is None
