@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from skuloom.llm.quality_rules import ROUNDS
+
 OP3 = """
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS html FROM pages
@@ -16,4 +18,139 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM d LEFT JOIN f USING (payload_digest)
 """
 
-ORACLE: dict[str, str] = {"op3_warc": OP3}
+
+WORDS = "regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+')"
+
+OP1 = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, * FROM (SELECT DISTINCT doc_id, {WORDS} AS w FROM documents) z),
+b AS (SELECT row_number() OVER () AS bid, * FROM (SELECT DISTINCT item_id, {WORDS} AS w FROM benchmark) z WHERE len(w) >= 5),
+ds AS (SELECT rid, i, array_to_string(w[i:i + 4], ' ') AS s FROM d, unnest(range(1, len(w) - 3)) t(i)),
+bs AS (SELECT bid, len(w) - 4 AS n, i, array_to_string(w[i:i + 4], ' ') AS s FROM b, unnest(range(1, len(w) - 3)) t(i)),
+starts AS (SELECT DISTINCT rid, bid, n, ds.i - bs.i AS start FROM ds JOIN bs USING (s)),
+windows AS (
+  SELECT rid, bid, n, start, s, count(*) AS c FROM starts JOIN ds USING (rid) WHERE i > start AND i <= start + n GROUP BY ALL
+), item AS (SELECT bid, s, count(*) AS c FROM bs GROUP BY ALL),
+both_sides AS (
+  SELECT rid, w.bid, n, start, sum(w.c) AS size, sum(coalesce(least(w.c, item.c), 0)) AS common
+  FROM windows w LEFT JOIN item ON w.bid = item.bid AND w.s = item.s GROUP BY ALL
+), matched AS (
+  SELECT doc_id, item_id, n + 4 AS n_words, start, CAST(common AS DOUBLE) / CAST(size + n - common AS DOUBLE) AS similarity
+  FROM both_sides JOIN d USING (rid) JOIN b USING (bid) WHERE common >= 0.8 * (size + n - common)
+)
+SELECT doc_id, item_id, similarity, CAST(start AS INTEGER) AS start_word, CAST(n_words AS INTEGER) AS n_words FROM matched
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1
+"""
+
+OP2 = """
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(doc_id, 9223372036854775807) AS rank, hex(encode(coalesce(text, ''))) AS h
+  FROM documents
+), w AS (SELECT rid, rank, p, substr(h, 2 * p + 1, 100) AS s FROM d, unnest(range(0, len(h) // 2 - 49)) t(p)),
+f AS (SELECT s, min(rank) AS first FROM w GROUP BY 1),
+gone AS (SELECT rid, p FROM w JOIN f USING (s) WHERE first < rank),
+marked AS (SELECT *, coalesce(p > lag(p) OVER o + 50, true) AS new FROM gone WINDOW o AS (PARTITION BY rid ORDER BY p)),
+numbered AS (SELECT *, sum(CAST(new AS INTEGER)) OVER (PARTITION BY rid ORDER BY p) AS span FROM marked),
+spans AS (SELECT rid, span, min(p) AS a, max(p) + 50 AS b FROM numbered GROUP BY ALL),
+placed AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS before FROM spans),
+removed AS (
+  SELECT rid, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last,
+    string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head
+  FROM placed JOIN d USING (rid) GROUP BY rid
+)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN removed USING (rid)
+"""
+
+OP6 = rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, {WORDS} AS w FROM documents),
+sets AS (
+  SELECT rid, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) END AS g FROM d
+), s AS (SELECT rid, len(g) AS n, unnest(g) AS x FROM sets),
+links AS (
+  SELECT a.rid AS a, b.rid AS b FROM s a JOIN s b ON a.x = b.x AND a.rid <> b.rid
+  GROUP BY a.rid, b.rid, a.n, b.n HAVING count(*) * 5 >= 4 * (a.n + b.n - count(*))
+), reached AS (SELECT rid, rid AS other FROM d UNION SELECT rid, b FROM reached JOIN links ON other = a),
+classes AS (SELECT r.rid, min(o.doc_id) AS class_id FROM reached r JOIN d o ON r.other = o.rid GROUP BY 1),
+counts AS (SELECT a AS rid, count(*) AS n FROM links GROUP BY 1)
+SELECT doc_id, class_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links,
+  CASE WHEN len(g) = 0 THEN doc_id ELSE min(doc_id) OVER (PARTITION BY g) END AS set_id
+FROM sets JOIN classes USING (rid) LEFT JOIN counts USING (rid)
+"""
+
+RULES = {
+    "length": ("n_words >= 50", "n_words < 20"),
+    "word_length": ("word_chars BETWEEN 3 * n_words AND 12 * n_words", "word_chars < 2 * n_words OR word_chars > 16 * n_words"),
+    "symbols": ("n_symbols * 50 <= n_words", "n_symbols * 8 > n_words"),
+    "lines": ("n_dup_lines = 0", "n_dup_lines * 10 > n_lines * 3"),
+    "repeats": ("n_repeat_words * 50 <= n_words", "n_repeat_words * 5 > n_words"),
+    "variety": ("variety >= 4", "variety < 2"),
+    "sentences": ("n_ends * 100 >= n_words AND n_ends * 3 <= n_words", "n_ends = 0 OR n_ends > n_words"),
+    "letters": ("n_letters * 10 >= word_chars * 9", "n_letters * 20 < word_chars * 17"),
+    "capitals": ("n_capitals * 5 <= word_chars", "n_capitals * 5 > word_chars * 2"),
+}
+VOTES = ", ".join(f"CASE WHEN {bad} THEN -1 WHEN {good} THEN 1 ELSE 0 END AS vote_{k}" for k, (good, bad) in RULES.items())
+NAMES = ", ".join(f"vote_{k}" for k in RULES)
+SPACES = r"[\x20\x09-\x0D]"
+
+
+def chars(pattern: str) -> str:
+    return f"length(t) - length(regexp_replace(t, '{pattern}', '', 'g'))"
+
+
+def odds(on_good: str, on_bad: str) -> str:
+    """Log odds of the votes under two lists of how often rules are right."""
+    terms = [
+        f"CASE vote_{k} WHEN 1 THEN ln({on_good}[{i}] / (1 - {on_bad}[{i}])) WHEN -1 THEN ln((1 - {on_good}[{i}]) / {on_bad}[{i}]) ELSE 0 END"
+        for i, k in enumerate(RULES, 1)
+    ]
+    return " + ".join(["ln(good / (1 - good))", *terms])
+
+
+def shares(weight: str, right: int, belief: float) -> str:
+    return ", ".join(
+        f"(sum(CASE WHEN vote_{k} = {right} THEN n * {weight} ELSE 0 END) + {belief} * max(held))"
+        f" / (sum(CASE WHEN vote_{k} <> 0 THEN n * {weight} ELSE 0 END) + max(held))"
+        for k in RULES
+    )
+
+
+OP10 = rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+words AS (SELECT rid, list_filter(regexp_split_to_array(t, '{SPACES}+'), lambda x: x <> '') AS w FROM d),
+grams AS (SELECT rid, i, w[i:i + 7] AS g FROM words, unnest(range(1, len(w) - 6)) u(i)),
+often AS (SELECT rid, g FROM grams GROUP BY ALL HAVING count(*) > 1),
+repeated AS (
+  SELECT rid, count(DISTINCT i + k) AS n_repeat_words FROM grams JOIN often USING (rid, g), unnest(range(0, 8)) u(k) GROUP BY 1
+), lines AS (
+  SELECT rid, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d
+), counts AS (
+  SELECT rid, doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST({chars('[#*$%&|<>]')} AS BIGINT) AS n_symbols, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words, len(l) AS n_lines, {chars('[.!?]')} AS n_ends,
+    {chars(r'\p{Lu}')} AS n_capitals, {chars(r'\p{L}')} AS n_letters,
+    len(list_distinct(w)) / sqrt(greatest(len(w), 1)) AS variety
+  FROM d JOIN words USING (rid) JOIN lines USING (rid) LEFT JOIN repeated USING (rid)
+), voted AS (SELECT *, {VOTES} FROM counts),
+patterns AS (
+  SELECT {NAMES}, CAST(count(*) AS DOUBLE) AS n, 0.02 * (SELECT count(*) FROM d) + 1 AS held, (SELECT count(*) FROM d) AS total
+  FROM voted GROUP BY ALL
+), em(step, good, a, b) AS (
+  SELECT 0, 0.8::DOUBLE, list_transform(range({len(RULES)}), lambda x: 0.995::DOUBLE), list_transform(range({len(RULES)}), lambda x: 0.25::DOUBLE)
+  UNION ALL
+  SELECT step + 1, (sum(n * p) + 0.8 * max(held)) / (max(total) + max(held)),
+    [{shares('p', 1, 0.995)}], [{shares('(1 - p)', -1, 0.25)}]
+  FROM (SELECT *, 1 / (1 + exp(-({odds('a', 'b')}))) AS p FROM em, patterns WHERE step < {{rounds}}) z GROUP BY step
+), judged AS (
+  SELECT *, 1 / (1 + exp(-({odds('a', 'b')}))) AS p, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS failed
+  FROM voted, (SELECT * FROM em WHERE step = {{rounds}}) z
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed AS base_failed,
+  NOT failed AND p >= 0.5 AS kept, round(p, 4) AS posterior, {NAMES} FROM judged
+""".replace("{rounds}", str(ROUNDS))
+
+ORACLE: dict[str, str] = {
+    "op1_decontamination": OP1, "op2_suffix_dedup": OP2, "op3_warc": OP3, "op6_ngram_join": OP6, "op10_quality_rules": OP10,
+}

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skuloom.llm import bpe as BP
 from skuloom.llm import decontaminate as DC
@@ -24,7 +25,8 @@ WORDS = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return DC.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = DC.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "similarity", "start_word", "n_words")
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +67,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     found = QR.quality_verdicts(table(spark, sf_dir, "documents"))
-    return found.select(*first, "posterior", *(c for c in found.columns if c.startswith("vote_")))
+    return found.select(*first, F.round("posterior", 4).alias("posterior"), *(c for c in found.columns if c.startswith("vote_")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -262,10 +262,7 @@ def plain_posterior(rows, names):
             c, d = sum(1 - x for x, u in zip(p, up) if u), sum(1 - x for x, u in zip(p, down) if u)
             x, y = quality_rules.PRIOR_RIGHT
             new[n] = ((a + x * held) / (a + b + held), (d + y * held) / (c + d + held))
-        moved = max(abs(s - t) for n in names for s, t in zip(new[n], right[n]))
         good, right = (sum(p) + quality_rules.PRIOR_GOOD * held) / (len(rows) + held), new
-        if moved < quality_rules.TOLERANCE:
-            break
     return [posterior(v) for v in rows]
 
 
