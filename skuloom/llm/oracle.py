@@ -84,11 +84,11 @@ RULES = {
     "length": ("n_words >= 50", "n_words < 20"),
     "word_length": ("word_chars BETWEEN 3 * n_words AND 12 * n_words", "word_chars < 2 * n_words OR word_chars > 16 * n_words"),
     "symbols": ("n_symbols * 50 <= n_words", "n_symbols * 8 > n_words"),
-    "lines": ("n_dup_lines = 0", "n_dup_lines * 10 > n_lines * 3"),
-    "repeats": ("n_repeat_words * 50 <= n_words", "n_repeat_words * 5 > n_words"),
+    "lines": ("n_dup_lines * 10 <= n_lines", "n_dup_lines * 2 > n_lines"),
+    "repeats": ("n_repeat_words * 50 <= n_words", "n_repeat_words * 10 > n_words * 3"),
     "variety": ("variety >= 4", "variety < 2"),
     "sentences": ("n_ends * 100 >= n_words AND n_ends * 3 <= n_words", "n_ends = 0 OR n_ends > n_words"),
-    "letters": ("n_letters * 10 >= word_chars * 9", "n_letters * 20 < word_chars * 17"),
+    "marks": ("(word_chars - n_alnum) * 16 <= word_chars", "(word_chars - n_alnum) * 10 > word_chars"),
     "capitals": ("n_capitals * 5 <= word_chars", "n_capitals * 5 > word_chars * 2"),
 }
 VOTES = ", ".join(f"CASE WHEN {bad} THEN -1 WHEN {good} THEN 1 ELSE 0 END AS vote_{k}" for k, (good, bad) in RULES.items())
@@ -130,7 +130,7 @@ repeated AS (
   SELECT rid, doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
     CAST({chars('[#*$%&|<>]')} AS BIGINT) AS n_symbols, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
     CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words, len(l) AS n_lines, {chars('[.!?]')} AS n_ends,
-    {chars(r'\p{Lu}')} AS n_capitals, {chars(r'\p{L}')} AS n_letters,
+    {chars(r'\p{Lu}')} AS n_capitals, {chars(r'[\p{L}\p{N}]')} AS n_alnum,
     len(list_distinct(w)) / sqrt(greatest(len(w), 1)) AS variety
   FROM d JOIN words USING (rid) JOIN lines USING (rid) LEFT JOIN repeated USING (rid)
 ), voted AS (SELECT *, {VOTES} FROM counts),

@@ -29,7 +29,7 @@ NOT_SPACE = r"[^\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
 ENDS = r"[.!?]"
 CAPITALS = r"\p{Lu}"
-LETTERS = r"\p{L}"
+ALNUM = r"[\p{L}\p{N}]"
 MIN_WORDS = 20
 KEEP_FROM = 0.5
 #: Always as many; the estimates have settled long before.
@@ -51,10 +51,10 @@ def text_counts(docs: DataFrame) -> DataFrame:
         F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         F.regexp_count("text", F.lit(ENDS)).cast("long").alias("n_ends"),
         F.regexp_count("text", F.lit(CAPITALS)).cast("long").alias("n_capitals"),
-        F.regexp_count("text", F.lit(LETTERS)).cast("long").alias("n_letters"),
+        F.regexp_count("text", F.lit(ALNUM)).cast("long").alias("n_alnum"),
     )
     hashed = words.select(
-        "doc_id", "n_symbols", "n_ends", "n_capitals", "n_letters",
+        "doc_id", "n_symbols", "n_ends", "n_capitals", "n_alnum",
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.size("lines").cast("long").alias("n_lines"),
@@ -92,7 +92,7 @@ def text_counts(docs: DataFrame) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols",
         (F.col("n_lines") - F.col("n_distinct_lines")).alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
-        "n_lines", "n_distinct_words", "n_ends", "n_capitals", "n_letters",
+        "n_lines", "n_distinct_words", "n_ends", "n_capitals", "n_alnum",
     )
 
 
@@ -103,16 +103,18 @@ def vote(good: Column, bad: Column) -> Column:
 def rules() -> dict[str, Column]:
     """The votes, by name."""
     n, chars = F.col("n_words"), F.col("word_chars")
+    marks = chars - F.col("n_alnum")
     variety = F.col("n_distinct_words") / F.sqrt(F.greatest(n, F.lit(1)))
     return {
         "length": vote(n >= 50, n < MIN_WORDS),
         "word_length": vote((chars >= 3 * n) & (chars <= 12 * n), (chars < 2 * n) | (chars > 16 * n)),
         "symbols": vote(F.col("n_symbols") * 50 <= n, F.col("n_symbols") * 8 > n),
-        "lines": vote(F.col("n_dup_lines") == 0, F.col("n_dup_lines") * 10 > F.col("n_lines") * 3),
-        "repeats": vote(F.col("n_repeat_words") * 50 <= n, F.col("n_repeat_words") * 5 > n),
+        "lines": vote(F.col("n_dup_lines") * 10 <= F.col("n_lines"), F.col("n_dup_lines") * 2 > F.col("n_lines")),
+        "repeats": vote(F.col("n_repeat_words") * 50 <= n, F.col("n_repeat_words") * 10 > n * 3),
         "variety": vote(variety >= 4, variety < 2),
         "sentences": vote((F.col("n_ends") * 100 >= n) & (F.col("n_ends") * 3 <= n), (F.col("n_ends") == 0) | (F.col("n_ends") > n)),
-        "letters": vote(F.col("n_letters") * 10 >= chars * 9, F.col("n_letters") * 20 < chars * 17),
+        # marks: what is neither letter nor digit
+        "marks": vote(marks * 16 <= chars, marks * 10 > chars),
         "capitals": vote(F.col("n_capitals") * 5 <= chars, F.col("n_capitals") * 5 > chars * 2),
     }
 
