@@ -92,7 +92,7 @@ TABLES = {
         concat(CAST(p_size AS STRING), ' (cm)') AS spec, p_retailprice AS list_price, p_retailprice AS cost,
         concat('1998-03-', CASE WHEN p_size < 10 THEN '0' ELSE '1' END, '1 08:30:00') AS created_at,
         CASE WHEN p_size = 49 THEN NULL WHEN p_type = 'SMALL' THEN '辅料' ELSE p_type END AS category,
-        '1998' AS year, 'S' AS season, concat(p_name, ' ', p_brand) AS title,
+        concat('199', CAST(p_size % 3 AS STRING)) AS year, CASE WHEN p_size < 30 THEN 'S' ELSE 'W' END AS season, concat(p_name, ' ', p_brand) AS title,
         concat('V', CAST(p_size AS STRING)) AS supplier,
         concat('N', p_name, CAST(p_size AS STRING)) AS national_code, p_partkey AS _ord
         FROM {{part}}""",
@@ -113,9 +113,9 @@ TABLES = {
     "stock": f"""SELECT p_brand AS style_code,
         concat(CASE WHEN p_size >= 25 THEN 'SKU' ELSE ' sku' END, CAST(p_partkey AS STRING)) AS sku,
         {_COLOR} AS color, {_STOCK_SPEC} AS spec, CAST(p_size - 1 AS DOUBLE) AS on_hand,
-        CASE WHEN p_size > 3 THEN CAST(0 AS DOUBLE) END AS reserved, CAST(1 AS DOUBLE) AS return_wh,
-        CAST(2 AS DOUBLE) AS inbound_wh, CAST(0 AS DOUBLE) AS on_order, CAST(0 AS DOUBLE) AS return_transit,
-        CAST(0 AS DOUBLE) AS virtual, CAST(p_size AS DOUBLE) AS available, CAST(p_size AS DOUBLE) AS public_available
+        CASE WHEN p_size > 3 THEN CAST(0 AS DOUBLE) END AS reserved, CAST(p_size % 4 AS DOUBLE) AS return_wh,
+        CAST(p_size % 5 AS DOUBLE) AS inbound_wh, CASE WHEN p_size < 5 THEN CAST(p_size AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS on_order,
+        CAST(p_size % 2 AS DOUBLE) AS return_transit, CAST(p_size % 7 AS DOUBLE) AS virtual, CAST(p_size AS DOUBLE) AS available, CAST(p_size AS DOUBLE) AS public_available
         FROM {{part}}""",
     "purchase_history": _PURCHASE.replace("{op}", "<"),
     "purchase_current": _PURCHASE.replace("{op}", ">="),
@@ -161,7 +161,7 @@ TABLES = {
         concat('N', p_name, CAST(p_size AS STRING)) AS online_style,
         p_brand AS system_style, concat(CASE WHEN p_size = 30 THEN 'SKU' ELSE ' SKU' END,
             CAST(p_partkey AS STRING)) AS system_sku,
-        max(CASE WHEN l_linestatus = 'O' AND l_returnflag <> 'A' AND l_quantity > 40 THEN 1 ELSE 0 END) AS is_listed
+        max(CASE WHEN l_linestatus = 'O' AND l_returnflag <> 'A' AND l_quantity >= 50 THEN 1 ELSE 0 END) AS is_listed
         FROM {lineitem} JOIN {part} ON l_partkey = p_partkey JOIN {supplier} ON l_suppkey = s_suppkey
         JOIN {nation} ON s_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey
         GROUP BY n_name, r_name, p_partkey, p_brand, p_name, p_size""",

@@ -1,12 +1,13 @@
-"""The daily workbook: the merchandise reports of one day, as one bundle."""
+"""Reports that belong together, as bundles of tables. Nothing runs until they are written."""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
-from skuloom.plans import catalog, purchase, sales
+from skuloom.plans import ageing, catalog, purchase, sales, sellers
 from skuloom.sources.writers import write_report
 
 Inputs = Mapping[str, DataFrame]
@@ -20,7 +21,10 @@ WORKBOOK_INPUTS = (
 
 
 def daily_workbook(inputs: Inputs, excluded_styles: Sequence[str] = ()) -> dict[str, DataFrame]:
-    """The thirteen tables of the workbook. Nothing runs until they are written."""
+    """The thirteen merchandise tables of one day.
+
+    No style is left out by default; a caller that wants some left out of the active SKCs names them.
+    """
     return {
         "active_skc": catalog.active_skc(inputs, excluded_styles=excluded_styles),
         "catalog": catalog.catalog_clean(inputs),
@@ -40,3 +44,26 @@ def daily_workbook(inputs: Inputs, excluded_styles: Sequence[str] = ()) -> dict[
 
 def write_daily_workbook(inputs: Inputs, path: str, excluded_styles: Sequence[str] = ()) -> None:
     write_report(daily_workbook(inputs, excluded_styles), path)
+
+
+def sellers_workbook(inputs: Inputs, as_of: dt.date) -> dict[str, DataFrame]:
+    """Best styles of yesterday and of the week, their shares, and the titles."""
+    return {
+        "top20": sellers.top_styles(inputs, as_of, days=1, k=20),
+        "top30": sellers.top_styles(inputs, as_of, days=7, k=30),
+        "top36": sellers.top_shares(inputs, as_of, k=36),
+        "titles": sellers.title_table(inputs),
+    }
+
+
+def write_sellers_workbook(inputs: Inputs, path: str, as_of: dt.date) -> None:
+    write_report(sellers_workbook(inputs, as_of), path)
+
+
+def ageing_workbook(inputs: Inputs, as_of: dt.date) -> dict[str, DataFrame]:
+    """Stock by class and age, and the stock lines."""
+    return {"ageing": ageing.stock_ageing(inputs, as_of), "detail": ageing.ageing_detail(inputs, as_of)}
+
+
+def write_ageing_workbook(inputs: Inputs, path: str, as_of: dt.date) -> None:
+    write_report(ageing_workbook(inputs, as_of), path)

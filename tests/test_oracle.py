@@ -4,7 +4,7 @@ import pytest
 
 from checks.compare import connect, difference
 from checks.oracle import ORACLE
-from checks.queries import QUERIES
+from checks.queries import MONTH_HOURS, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -26,6 +26,31 @@ def test_query_matches_sql(spark, duck, name):
     assert difference(got, duck.execute(ORACLE[name]).df()) is None
 
 
+# columns that are empty or one value by definition, and hours without a sale
+DEFINED = {
+    "s1_first_of_export": {"missing"}, "p1_conform": {"missing"}, "q12_top20": {"launch_time", "category", "ref_price"},
+    "q12_top30": {"launch_time", "category", "ref_price"}, "q12_top36": {"image"}, "q12_top12_shares": {"image"},
+    "q13_return_rate_matrix": {"image"}, "q14_live_lines": {"streamer_id"},
+    "q14_live_board": {"image", "category", *MONTH_HOURS}, "q17_ageing_detail": {"as_of"},
+}
+
+
+@pytest.mark.parametrize("name", list(ORACLE))
+def test_columns_differ_between_rows(name):
+    con = connect("/root/testdata/sf0.01")
+    df = con.execute(ORACLE[name]).df()
+    con.close()
+    if len(df) > 1:
+        same = {c for c in df.columns if df[c].isna().all() or df[c].astype(str).nunique() == 1}
+        assert same <= DEFINED.get(name, set())
+
+
+def test_limits_bind():
+    con = connect("/root/testdata/sf0.01")
+    assert len(con.execute(ORACLE["q12_top30"]).df()) == 30 and len(con.execute(ORACLE["q12_top12_shares"]).df()) == 12
+    con.close()
+
+
 def test_entry(spark):
     from __spark_entry__ import entry
 

@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from skuloom import constants as K
 from skuloom.functions import dates as D
 from skuloom.functions import numeric as N
 from skuloom.functions import text as T
@@ -98,7 +99,8 @@ def test_color_and_spec_match_the_pattern(spark):
     df = texts(spark, COLOR_SPECS)
     got = df.select("i", T.color_of("c").alias("color"), T.spec_of("c").alias("spec")).orderBy("i").collect()
     source = pd.Series(COLOR_SPECS, dtype=object)
-    groups = source.str.extract(r"^(.*?);(.*)$")
+    # Java's flag for plain line ends is Python's default
+    groups = source.str.extract(K.COLOR_SPEC_PATTERN.removeprefix("(?d)"))
     color = groups[0].where(groups[0].notna(), source)
     for r, c, s in zip(got, color, groups[1]):
         assert r["color"] == (None if pd.isna(c) else c)
@@ -127,7 +129,7 @@ def test_codes_are_upper_cased(spark):
 def test_brackets_are_removed_in_turn(spark):
     items = ["M (165/88A)", "L【长】", "XL（均码）", "S (165）", "M(1)(2)", "均码", "A　(x)", None]
     want = pd.Series(items, dtype=object)
-    for p in (r"\s*\([^)]*\)", r"\s*【[^】]*】", r"\s*（[^）]*）", r"\s*\([^）]*）"):
+    for p in K.BRACKET_PATTERNS:
         want = want.str.replace(p, "", regex=True)
     got = values(texts(spark, items).select(T.strip_brackets("c").alias("v")))
     assert got == [None if pd.isna(x) else x for x in want]
@@ -135,7 +137,7 @@ def test_brackets_are_removed_in_turn(spark):
 
 def test_title_is_the_first_bracket_group(spark):
     items = ["【短】长【二】", "没有", "【】x", "【】【有】", None]
-    found = pd.Series(items, dtype=object).str.extract(r"【([^】]+)】", expand=False)
+    found = pd.Series(items, dtype=object).str.extract(K.TITLE_PATTERN, expand=False)
     got = values(texts(spark, items).select(T.bracket_title("c").alias("v")))
     assert got == [i if pd.isna(f) else f for f, i in zip(found, items)]
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.fixtures import Inputs
+from checks.fixtures import AGEING_AS_OF, AS_OF, Inputs
 from skuloom import schemas
 from skuloom.functions.dates import Session
 from skuloom.operators.windows import keep_one
@@ -127,3 +127,13 @@ def test_lenient_columns_read_null_and_strict_ones_raise(spark, tmp_path):
     path = write(tmp_path / "h.csv", "sku,date\nA,待定\n")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         readers.read_table(spark, path, schemas.STOCK_DAILY).collect()
+
+
+def test_bundles_of_sellers_and_ageing(spark, tmp_path):
+    x = Inputs(spark, SF)
+    workbook.write_sellers_workbook(x, str(tmp_path / "s"), AS_OF)
+    workbook.write_ageing_workbook(x, str(tmp_path / "a"), AGEING_AS_OF)
+    assert sorted(p.name for p in (tmp_path / "s").iterdir()) == ["titles", "top20", "top30", "top36"]
+    assert sorted(p.name for p in (tmp_path / "a").iterdir()) == ["ageing", "detail"]
+    for path in (*(tmp_path / "s").iterdir(), *(tmp_path / "a").iterdir()):
+        assert readers.read_table(spark, str(path), fmt="parquet").count() > 0
