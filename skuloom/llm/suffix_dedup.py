@@ -271,7 +271,8 @@ def whole_copies(docs: DataFrame) -> DataFrame:
     """(chunk, ...) notes on rows of (rank, text, hash, chunk) whose text a row with a smaller rank has."""
     told = docs.filter(F.octet_length("text") >= S.WINDOW).select("rank", "hash", "chunk", F.sha2("text", 256).alias("digest"))
     firsts = told.groupBy("digest").agg(F.min("rank").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    later = told.join(firsts.drop("n"), "digest").filter(F.col("rank") > F.col("first"))
+    # from a written table, so that Spark can split a digest with very many rows in the join
+    later = told.join(checkpointed(firsts.drop("n")), "digest").filter(F.col("rank") > F.col("first"))
 
     def gather(rows: pa.Table) -> pa.Table:
         pairs = sorted(set(zip(rows["rank"].to_pylist(), rows["hash"].to_pylist(), strict=True)))
