@@ -269,7 +269,8 @@ def similarity_join(
         (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
     )
     own_id = F.struct("rank", "hash")
-    result = signed.select("doc_id", "rank", "hash", "key").join(told, "key", "left")
+    # from a written table, so that Spark can split a class with very many copies in the join
+    result = signed.select("doc_id", "rank", "hash", "key").join(checkpointed(told), "key", "left")
 
     def shown(column: str):
         found = F.coalesce(F.col(column)["rank"], F.col("rank"))
