@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,7 +37,7 @@ BLOCK_CHARS = 8_192
 MARGIN = 0.001
 TEMPERATURE = 24.0
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 WORD = re.compile(r"[^\W\d_]+")
 
 Dictionaries = tuple[tuple[str, bytes], ...]
@@ -56,9 +57,10 @@ def dictionaries(docs: DataFrame, size: int = DICTIONARY_BYTES, share: int = SHA
     # at most `count` rows a language
     middle = F.substring("text", F.greatest(F.lit(1), (F.length("text") - share) / 2).cast("int"), F.lit(share))
     same = F.col("doc_id").eqNullSafe(F.col("p_id")) & (F.col("lang") == F.col("p_lang"))
-    rows = known.join(F.broadcast(picked), same).select("lang", "rank", "doc_id", middle.alias("part")).distinct().collect()
+    # one text a rank, also where an id repeats
+    rows = known.join(F.broadcast(picked), same).groupBy("lang", "rank").agg(F.min(middle).alias("part")).collect()
     parts: dict[str, list[str]] = {}
-    for row in sorted(rows, key=lambda r: (r["lang"], r["rank"], r["part"])):
+    for row in sorted(rows, key=lambda r: (r["lang"], r["rank"])):
         parts.setdefault(row["lang"], []).append(row["part"])
     # what stands last is nearest to the text and found first
     return tuple((lang, "\n".join(plain(t) for t in reversed(texts)).encode()[-size:]) for lang, texts in sorted(parts.items()))
