@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skuloom.llm.chunks import documents, in_chunks, packed, unpacked
-from skuloom.llm.common import slices, total_bytes
+from skuloom.llm.common import slices, thrifty, total_bytes
 
 CHUNK_BYTES = 6_000_000
 #: Input bytes per bucket of words.
@@ -180,11 +180,11 @@ def encode(docs: DataFrame, path: str, chunk_bytes: int = CHUNK_BYTES, bucket_by
             }
         )
 
-    sent = chunked.groupBy("chunk").applyInArrow(send, "bucket long, chunk long, words binary")
-    answers = sent.groupBy("bucket").applyInArrow(answer, "chunk long, bucket long, ids binary")
+    sent = chunked.groupBy("chunk").applyInArrow(thrifty(send), "bucket long, chunk long, words binary")
+    answers = sent.groupBy("bucket").applyInArrow(thrifty(answer), "chunk long, bucket long, ids binary")
     doc_id = T.StructField("doc_id", docs.schema["doc_id"].dataType)
     result = T.StructType([doc_id]).add("n_tokens", "long").add("ids", "binary").add("decoded", "string")
-    return chunked.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(place, result)
+    return chunked.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(thrifty(place), result)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:

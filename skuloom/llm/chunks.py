@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skuloom.llm.common import text_or_empty, total_bytes
+from skuloom.llm.common import give_back, light_batches, text_or_empty, total_bytes
 
 
 def packed(*parts: bytes, level: int = 1) -> bytes:
@@ -33,7 +33,7 @@ def in_chunks(docs: DataFrame, chunk_bytes: int, total: int | None = None) -> Da
     total = total_bytes(docs) if total is None else total
     n = max(1, math.ceil(total / chunk_bytes))
     text = text_or_empty()
-    rows = docs.select(
+    rows = light_batches(docs).select(
         "doc_id", text.alias("text"), F.pmod(F.xxhash64(F.col("doc_id"), text), F.lit(n)).cast("long").alias("chunk")
     )
 
@@ -52,6 +52,7 @@ def in_chunks(docs: DataFrame, chunk_bytes: int, total: int | None = None) -> Da
                 for g in groups
             ]
             yield pa.RecordBatch.from_arrays([pa.array(chunks[order][starts]), ids, pa.array(blobs, pa.binary())], names=["chunk", "ids", "texts"])
+            give_back()
 
     result = T.StructType().add("chunk", "long").add("ids", T.ArrayType(rows.schema["doc_id"].dataType)).add("texts", "binary")
     return rows.mapInArrow(pack, result)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import inspect
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,8 +59,50 @@ def total_bytes(docs: DataFrame, column: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(F.col(column))).alias("n")).first()["n"] or 0
 
 
+#: Rows in an Arrow batch of texts, and the setting with its default.
+BATCH_ROWS = 1_000
+BATCH_SETTING, BATCH_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
+
+def light_batches(df: DataFrame) -> DataFrame:
+    """The same DataFrame. Where the session has Spark's default, texts go to Python a thousand rows at a time: the
+    buffers of ten thousand long texts, twice a task, weigh more than the work itself."""
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_SETTING, BATCH_DEFAULT) == BATCH_DEFAULT:
+        conf.set(BATCH_SETTING, str(BATCH_ROWS))
+    return df
+
+
+@functools.lru_cache(maxsize=1)
+def _heap_trimmer():
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker lives through many tasks, and keeps its largest heap otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = _heap_trimmer()
+    if trim is not None:
+        trim(0)
+
+
+def thrifty(function: Callable) -> Callable:
+    """A function on the rows of a group, which gives its memory back."""
+
+    def run(*tables: pa.Table) -> pa.Table:
+        try:
+            return function(*tables)
+        finally:
+            give_back()
+
+    # Spark tells the forms of a grouped function apart by its parameters
+    run.__signature__ = inspect.signature(function)
+    return run
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches: texts become Python objects, a few at a time."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+        give_back()

@@ -27,14 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skuloom.llm.common import fold, slices, text_or_empty
+from skuloom.llm.common import fold, light_batches, slices, text_or_empty
 
 WORD_BITS, ENDING_BITS = 14, 8
 FACTORS = 8
 SAMPLE_ROWS = 6_000
 EPOCHS, BATCH, RATE, DECAY = 12, 128, 0.01, 1e-4
 CUT = 0.3
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 CORE = re.compile(r"(.*?)(\W*)", re.DOTALL)
 SYMBOLS = b"#*$%&|<>"
 STATISTICS = 16
@@ -156,7 +156,7 @@ def inputs_of(docs: DataFrame, metadata: tuple[str, ...]) -> DataFrame:
         for c in [F.coalesce(F.col(name).cast("double"), F.lit(0.0)) if name in docs.columns else F.lit(0.0)]
     ]
     numbers = F.array(*known).cast("array<double>") if known else F.array().cast("array<double>")
-    return docs.select("doc_id", text_or_empty().alias("text"), numbers.alias("metadata"))
+    return light_batches(docs).select("doc_id", text_or_empty().alias("text"), numbers.alias("metadata"))
 
 
 def learn(docs: DataFrame, labels: DataFrame, metadata: tuple[str, ...] = ("n_chars",), sample: int = SAMPLE_ROWS) -> Machine:

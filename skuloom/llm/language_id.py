@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skuloom.llm.common import fold, slices
+from skuloom.llm.common import fold, light_batches, slices
 
 DICTIONARY_BYTES = 98_304
 SHARE_CHARS = 2_048
@@ -116,7 +116,7 @@ def language_id(docs: DataFrame, known: Dictionaries, margin: float = MARGIN, ke
             ]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    kept = docs.select(F.col("text").cast("string").alias("text"), "doc_id", *keep)
+    kept = light_batches(docs).select(F.col("text").cast("string").alias("text"), "doc_id", *keep)
     schema = T.StructType(kept.schema.fields[1:]).add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
     return kept.mapInArrow(run, schema)
 
@@ -135,4 +135,4 @@ def accepted(docs: DataFrame, known: Dictionaries, margin: float = MARGIN) -> Da
         for batch in slices(batches):
             yield batch.filter(pa.array([not identify(t, held.value, margin)[2] for t in batch.column(place).to_pylist()], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return light_batches(docs).mapInArrow(run, docs.schema)

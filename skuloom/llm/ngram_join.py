@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skuloom.llm.common import LAST, checkpointed, slices, text_or_empty
+from skuloom.llm.common import LAST, checkpointed, light_batches, slices, text_or_empty, thrifty
 from skuloom.llm.components import components
 from skuloom.llm.shingles import WordHashes, shingle_set
 
@@ -234,7 +234,7 @@ def linked_classes(rows: DataFrame, classes: DataFrame, n_bands: int, threshold:
     )
     part = F.pmod(F.xxhash64("bucket", "a", "b"), F.lit(parts))
     return sent.withColumn("part", part).groupBy("part").applyInArrow(
-        lambda t: compare(t, threshold), "key binary, links long, least binary"
+        thrifty(lambda t: compare(t, threshold)), "key binary, links long, least binary"
     )
 
 
@@ -250,7 +250,7 @@ def similarity_join(
     n_bands, per_band = bands_for(threshold, recall)
     text = text_or_empty()
     rank = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
-    rows = docs.select("doc_id", rank.alias("rank"), F.xxhash64(text).alias("hash"), text.alias("text"))
+    rows = light_batches(docs).select("doc_id", rank.alias("rank"), F.xxhash64(text).alias("hash"), text.alias("text"))
     signed = checkpointed(signatures(rows, n_bands, per_band))
     classes = (
         signed.filter(F.col("key").isNotNull()).groupBy("key")

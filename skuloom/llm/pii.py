@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skuloom.llm.common import slices
+from skuloom.llm.common import light_batches, slices
 
 KINDS = ("email", "ip", "card", "phone")
 EXAMPLES = 150
@@ -357,7 +357,7 @@ def find_spans(docs: DataFrame) -> DataFrame:
             columns = [pa.array([[dict(zip(("kind", "start", "end"), s, strict=True)) for s in x] for x in xs], kind) for xs in (base, spans)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "base", "spans"])
 
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    rows = light_batches(docs).select("doc_id", F.col("text").cast("string").alias("text"))
     span = T.ArrayType(T.StructType().add("kind", "string").add("start", "long").add("end", "long"))
     return rows.mapInArrow(run, T.StructType([rows.schema["doc_id"]]).add("base", span).add("spans", span))
 
@@ -397,4 +397,4 @@ def redact(docs: DataFrame, column: str = "text") -> DataFrame:
             texts = [None if t is None else masked(t, held.value) for t in batch.column(place).to_pylist()]
             yield batch.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type))
 
-    return docs.mapInArrow(run, docs.schema)
+    return light_batches(docs).mapInArrow(run, docs.schema)

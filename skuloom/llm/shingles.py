@@ -9,7 +9,7 @@ import xxhash
 
 NGRAM = 5
 WORD = re.compile(r"[^\W_]+")
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 MIX = np.uint64(0x94D049BB133111EB)
 

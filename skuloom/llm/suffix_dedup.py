@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skuloom.llm import suffixes as S
-from skuloom.llm.common import LAST, checkpointed, text_or_empty, total_bytes
+from skuloom.llm.common import LAST, checkpointed, light_batches, text_or_empty, thrifty, total_bytes
 
 CHUNK_BYTES = 4_000_000
 #: Input bytes per bucket of keys and of fragments.
@@ -279,7 +279,7 @@ def whole_copies(docs: DataFrame) -> DataFrame:
         columns = np.array(pairs, np.int64).T
         return notes([rows["chunk"][0].as_py()], COPY, [0], [pack(*columns)])
 
-    return later.select("chunk", "rank", "hash").groupBy("chunk").applyInArrow(gather, NOTE)
+    return later.select("chunk", "rank", "hash").groupBy("chunk").applyInArrow(thrifty(gather), NOTE)
 
 
 def remove_repeats(
@@ -290,7 +290,7 @@ def remove_repeats(
     chunks, key_buckets, buckets = (max(1, math.ceil(total / size)) for size in (chunk_bytes, key_bytes, fragment_bytes))
     text = text_or_empty()
     rank = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
-    chunked = docs.select(
+    chunked = light_batches(docs).select(
         rank.alias("rank"), text.alias("text"), F.xxhash64(text).alias("hash"),
         F.pmod(F.xxhash64(rank, text), F.lit(chunks)).cast("long").alias("chunk"),
     )
@@ -352,13 +352,13 @@ def remove_repeats(
         return copies.unionByName(more)
 
     by_chunk = chunked.groupBy("chunk")
-    asked = by_chunk.cogroup(copies.groupBy("chunk")).applyInArrow(ask, NOTE)
-    shared = asked.groupBy("bucket").applyInArrow(compare, NOTE)
-    sent = by_chunk.cogroup(told(shared).groupBy("chunk")).applyInArrow(send, NOTE)
-    answers = sent.groupBy("bucket").applyInArrow(answer, NOTE)
+    asked = by_chunk.cogroup(copies.groupBy("chunk")).applyInArrow(thrifty(ask), NOTE)
+    shared = asked.groupBy("bucket").applyInArrow(thrifty(compare), NOTE)
+    sent = by_chunk.cogroup(told(shared).groupBy("chunk")).applyInArrow(thrifty(send), NOTE)
+    answers = sent.groupBy("bucket").applyInArrow(thrifty(answer), NOTE)
     span = T.ArrayType(T.StructType().add("start", "long").add("end", "long"))
     result = T.StructType().add("doc_id", "long").add("n_bytes", "long").add("spans", span).add("kept", "binary")
-    return by_chunk.cogroup(told(answers).groupBy("chunk")).applyInArrow(finish, result)
+    return by_chunk.cogroup(told(answers).groupBy("chunk")).applyInArrow(thrifty(finish), result)
 
 
 def digest(found: DataFrame) -> DataFrame:

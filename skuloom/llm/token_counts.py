@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skuloom.llm.common import slices, text_or_empty
+from skuloom.llm.common import light_batches, slices, text_or_empty
 
 #: Characters of a segment, bytes of a batch. They bound memory and change no result.
 SEGMENT_CHARS = 16_384
@@ -107,7 +107,7 @@ def token_counts(
                 names=[id_column, "n_bytes", "n_tokens"],
             )
 
-    kept = docs.select(F.col(id_column), text_or_empty(text_column).alias("text"))
+    kept = light_batches(docs).select(F.col(id_column), text_or_empty(text_column).alias("text"))
     kind = kept.schema[0].dataType.simpleString()
     counted = kept.mapInArrow(count, f"`{id_column}` {kind}, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
