@@ -8,7 +8,7 @@
 3. The sets of classes in a bucket meet there and are compared in full, pairs at a time as a product of incidence
    matrices. A bucket over `TILE` classes is dealt into tiles, and every pair of tiles is a task of its own. Pairs are
    never written: a class gets its number of links, each pair counted in the first bucket that the two share, and one
-   edge to the smallest class it is linked with.
+   edge to the smallest class that links of this tile pair connect it with, so that all they connect stays connected.
 4. Components over those edges give the class ids.
 
 Null text counts as empty. A text without words has links with nothing, not even its like, and is a class of its own.
@@ -157,8 +157,20 @@ class Sets:
         return links
 
 
+def connected(links: np.ndarray) -> np.ndarray:
+    """Per row of a symmetric matrix, the first row that links connect it with, itself included."""
+    first = np.full(len(links), -1)
+    for i in range(len(links)):
+        front = np.array([i]) if first[i] < 0 else np.empty(0, int)
+        # each row is in front once
+        while len(front):
+            first[front] = i
+            front = np.flatnonzero(links[front].any(0) & (first < 0))
+    return first
+
+
 def compare(rows: pa.Table, threshold: float) -> pa.Table:
-    """(key, links, least): per class and tile pair, the documents it is linked with, and the smallest linked class."""
+    """(key, links, least): per class and tile pair, the documents it is linked with, and the smallest connected class."""
     names = ("bucket", "a", "b")
     groups: dict[tuple, dict[bytes, tuple]] = {}
     for row in zip(*(rows[c].to_pylist() for c in (*names, "key", "n", "tile", "buckets", "shingles")), strict=True):
@@ -170,11 +182,11 @@ def compare(rows: pa.Table, threshold: float) -> pa.Table:
             continue
         sets = Sets([own[k] for k in sorted(own)])
         found = sets.linked(bucket, a, b, threshold)
-        counts = found @ sets.copies
+        counts, first = found @ sets.copies, connected(found)
         for i in np.flatnonzero(found.any(1)).tolist():
             keys.append(sets.keys[i])
             links.append(int(counts[i]))
-            least.append(sets.keys[int(found[i].argmax())])
+            least.append(sets.keys[first[i]])
     return pa.table({"key": pa.array(keys, pa.binary()), "links": pa.array(links, pa.int64()), "least": pa.array(least, pa.binary())})
 
 

@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -136,6 +137,60 @@ def test_ngram_join(spark, tile):
     assert by_row(found, "doc_id", "class_id", "n_links") == plain_links(rows)
 
 
+def drifting():
+    """Chains of versions that are like their neighbours only, and pairs of close groups joined by one text between them."""
+    texts = []
+    for g in range(30):
+        words = prose(700 + g, 64).split()
+        for v in range(10):
+            texts.append(" ".join(words))
+            words[3 + 6 * v] = f"next{g}x{v}"
+    for g in range(30):
+        words = prose(800 + g, 100).split()
+        # one word replaced in the text between; three differ across the groups, one inside a group
+        between = [*words[:50], f"side{g}", *words[51:]]
+        texts.append(" ".join(between))
+        for v in range(4):
+            texts.append(" ".join([*words[:10], f"own{g}x{v}", *words[11:]]))
+            texts.append(" ".join([*between[:80], f"own{g}x{v}", *between[81:]]))
+    rows = list(enumerate(texts))
+    random.Random(9).shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("tile", [512, 3])
+def test_ngram_join_keeps_what_links_connect(spark, tile):
+    rows = drifting()
+    found = ngram_join.similarity_join(spark.createDataFrame(rows, DOCS).repartition(4), tile=tile, part_bytes=20_000)
+    assert by_row(found, "doc_id", "class_id") == sorted(((i, c) for i, c, _ in plain_links(rows)), key=repr)
+
+
+def test_connected_of_random_links():
+    r = np.random.default_rng(4)
+    for n in range(1, 60):
+        links = r.random((n, n)) < 1.2 / n
+        links |= links.T
+        np.fill_diagonal(links, False)
+        want = np.arange(n)
+        for _ in range(n):
+            want = np.minimum(want, np.where(links, want, n).min(1))
+        assert ngram_join.connected(links).tolist() == want.tolist()
+
+
+def test_compare_connects_a_path_of_four():
+    # b - d - a - c in keys, where each of d and a has a smaller neighbour than the other
+    words = prose(900, 64).split()
+    hashes, rows = WordHashes(), []
+    for v, key in enumerate((b"b", b"c", b"d", b"a")):
+        rows.append((1, 0, 0, key, 1, 0, [1], shingle_set(" ".join(words), hashes).tobytes()))
+        words[3 + 6 * v] = f"next{v}"
+    names = ("bucket", "a", "b", "key", "n", "tile", "buckets", "shingles")
+    got = ngram_join.compare(pa.table(dict(zip(names, map(list, zip(*rows, strict=True)), strict=True))), 0.8).to_pylist()
+    assert sorted((r["key"], r["links"], r["least"]) for r in got) == [
+        (b"a", 1, b"a"), (b"b", 1, b"a"), (b"c", 2, b"a"), (b"d", 2, b"a"),
+    ]
+
+
 def test_ngram_join_of_odd_and_nothing(odd, nothing):
     want = plain_links([(i, t) for i, t, *_ in odd_documents()])
     assert by_row(ngram_join.similarity_join(odd), "doc_id", "class_id", "n_links") == want
