@@ -1,8 +1,10 @@
 """Personal data: overlapping candidate spans, scored by boosted trees.
 
 Base spans follow four fixed patterns with their checks and are always kept. Generators of high recall propose further
-spans, which may overlap: written-out addresses, national and over-long phone numbers, cards of other lengths, partial
-addresses. Every candidate is described by its format and its context; gradient-boosted trees score it, the score is
+spans, which overlap: written-out addresses with each end that a dot gives, phone and card numbers from each group of digits
+to each group that the format allows, addresses of eight groups and shortened ones. A number that stands next to another
+is thus proposed alone and together with it, and the trees, which learn from parts and joined numbers too, choose. A
+candidate has at most five groups of digits, so that the work is linear in the text. Every candidate is described by its format and its context; gradient-boosted trees score it, the score is
 calibrated per kind, and a threshold per kind, set on calibration examples for `PRECISION`, selects the redactions.
 Selected candidates that touch a base span or a better candidate are dropped.
 
@@ -48,17 +50,23 @@ NUMBERS = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 NOT_DIGIT = re.compile(r"[^0-9]")
 DIGIT = re.compile(r"[0-9]")
 
-# generators: anything that could be of the kind
-MORE = {
-    "email": (
-        re.compile(r"[A-Za-z0-9._%+-]{2,64}\s?(?:\[at\]|\(at\)|\{at\}|\s[Aa][Tt]\s|@)\s?[A-Za-z0-9-]{2,63}(?:\s?(?:\.|\[dot\]|\(dot\)|\s[Dd][Oo][Tt]\s)\s?[A-Za-z0-9-]{2,63}){1,4}"),
-    ),
-    "ip": (re.compile(r"(?<![0-9A-Za-z.:])(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])"),),
-    "card": (re.compile(r"(?<![0-9A-Za-z])[0-9]{4}(?:[ .-]?[0-9]{2,6}){2,4}(?![0-9A-Za-z])"),),
-    "phone": (
-        re.compile(r"(?<![0-9A-Za-z+])(?:\(0?[0-9]{2,4}\)|00[0-9]{2}|0[0-9]{2,4}|[0-9]{3})[ ./-]?(?:[0-9]{2,4}[ ./-]?){1,3}[0-9]{2,4}(?![0-9A-Za-z])"),
-    ),
-}
+# generators: anything that could be of the kind; numbers are matched from a group of digits to another
+AT = re.compile(r"(?=(\s?(?:\[at\]|\(at\)|\{at\}|\s[Aa][Tt]\s|@)\s?))")
+LOCAL_CHARS = 64
+PART = re.compile(r"[A-Za-z0-9-]{2,63}")
+DOT = re.compile(r"\s?(?:\.|\[dot\]|\(dot\)|\s[Dd][Oo][Tt]\s)\s?")
+MORE_PARTS = 4
+CARD_GROUPS = re.compile(r"[0-9]{4}(?:[ .-]?[0-9]{2,6}){2,4}")
+PHONE_GROUPS = re.compile(
+    r"(?:\(0?[0-9]{2,4}\)|00[0-9]{2}|0[0-9]{2,4}|[0-9]{3})[ ./-]?(?:[0-9]{2,4}[ ./-]?){1,3}[0-9]{2,4}"
+)
+#: Most groups of digits and characters of either.
+GROUPS, LONGEST = 5, 32
+GROUP = re.compile(r"[0-9]+")
+#: What may stand between two groups; a parenthesis closes the first.
+GAPS = frozenset((" ", ".", "/", "-", ")", ") ", ").", ")/", ")-"))
+ADDRESS = re.compile(r"(?<![0-9A-Za-z:])[0-9A-Za-z]*+(?::[0-9A-Za-z]*+){2,}+")
+HEX = re.compile(r"[0-9A-Fa-f]{1,4}")
 KEYS = {
     "email": ("mail", "contact", "write", "courriel", "correo", "kontakt"),
     "ip": ("ip", "host", "server", "addr", "login", "ping"),
@@ -124,21 +132,116 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
+def written_addresses(text: str) -> Iterator[tuple[int, int]]:
+    """Around every sign: the local part before it and a domain after it, to each of its dots."""
+    for m in AT.finditer(text):
+        part = PART.match(text, m.end(1))
+        if not part or not DOT.match(text, part.end()):
+            continue
+        start = m.start()
+        while start and m.start() - start < LOCAL_CHARS and text[start - 1] in LOCAL:
+            start -= 1
+        if m.start() - start < 2:
+            continue
+        for _ in range(MORE_PARTS):
+            dot = DOT.match(text, part.end())
+            part = dot and PART.match(text, dot.end())
+            if not part:
+                break
+            yield start, part.end()
+
+
+def shortened(text: str) -> Iterator[tuple[int, int]]:
+    """Rows of four to eight hexadecimal groups, and up to seven with one double colon; in longer rows every eight."""
+    for row in ADDRESS.finditer(text):
+        if row.start() and text[row.start() - 1] == ".":
+            continue
+        at, places = row.start(), []
+        for part in row[0].split(":"):
+            places.append((at, at + len(part)))
+            at += len(part) + 1
+        # stretches of groups and empty places
+        fits = [a == b or HEX.fullmatch(text, a, b) is not None for a, b in places]
+        i = 0
+        while i < len(places):
+            if not fits[i]:
+                i += 1
+                continue
+            j = i
+            while j < len(places) and fits[j]:
+                j += 1
+            yield from _of_stretch(places[i:j], i > 0)
+            i = j
+
+
+def _of_stretch(places: list[tuple[int, int]], after: bool) -> Iterator[tuple[int, int]]:
+    empty = [k for k, (a, b) in enumerate(places) if a == b]
+    # runs of groups without an empty place between
+    edges = [-1, *empty, len(places)]
+    runs = [(lo + 1, hi) for lo, hi in zip(edges, edges[1:], strict=False)]
+    for lo, hi in runs:
+        if 4 <= hi - lo <= 8:
+            yield places[lo][0], places[hi - 1][1]
+        for k in range(lo, hi - 8 if hi - lo > 8 else lo):
+            yield places[k][0], places[k + 7][1]
+        if hi - lo > 8:
+            yield places[hi - 8][0], places[hi - 1][1]
+    # the empty place of a double colon has a group, or the end of the row, on either side
+    for n, k in enumerate(empty):
+        before, behind = runs[n], runs[n + 1]
+        left, right = before[1] - before[0], behind[1] - behind[0]
+        if not 1 <= left + right <= 7:
+            continue
+        if k == 0 and after or not left and k != 1 or not right and k != len(places) - 2:
+            continue
+        yield (places[before[0]][0] if left else places[k][0] - 1), (places[behind[1] - 1][1] if right else places[k][1] + 1)
+
+
+def numbers(text: str) -> Iterator[tuple[str, int, int]]:
+    """Cards and phone numbers from every group of digits to every other that the formats allow."""
+    groups = [m.span() for m in GROUP.finditer(text)]
+    for i, (start, _) in enumerate(groups):
+        near = text[start - 1] if start else ""
+        if near.isascii() and near.isalnum():
+            continue
+        opened = near == "(" and not (start > 1 and text[start - 2].isascii() and (text[start - 2].isalnum() or text[start - 2] == "+"))
+        for j in range(i, min(i + GROUPS, len(groups))):
+            end = groups[j][1]
+            if end - start > LONGEST or (j > i and text[groups[j - 1][1] : groups[j][0]] not in GAPS):
+                break
+            behind = text[end : end + 1]
+            if behind.isascii() and behind.isalnum():
+                break
+            if CARD_GROUPS.fullmatch(text, start, end):
+                yield "card", start, end
+            if near != "+" and PHONE_GROUPS.fullmatch(text, start, end):
+                yield "phone", start, end
+            if opened and PHONE_GROUPS.fullmatch(text, start - 1, end):
+                yield "phone", start - 1, end
+
+
 def candidates(text: str) -> list[tuple[str, int, int]]:
-    """Further spans, possibly overlapping."""
-    marked = "@" in text or "[at]" in text or "(at)" in text or "{at}" in text or AT.search(text) is not None
-    digits = DIGIT.search(text) is not None
-    return [
-        (kind, m.start(), m.end())
-        for kind in KINDS
-        if (marked if kind == "email" else digits or (kind == "ip" and ":" in text))
-        for pattern in MORE[kind]
-        for m in pattern.finditer(text)
-    ]
+    """Further spans, which overlap."""
+    found = [("email", *span) for span in written_addresses(text)]
+    if "::" in text or text.count(":") > 2:
+        found += [("ip", *span) for span in shortened(text)]
+    return found + list(numbers(text))
 
 
-#: Cheap test for a written-out address before the costly pattern.
-AT = re.compile(r"\s[Aa][Tt]\s[A-Za-z0-9-]{2,63}(?:\s[Dd][Oo][Tt]\s|\[dot\]|\(dot\)|\.[A-Za-z])")
+def stands_apart(text: str, start: int, end: int) -> list[float]:
+    """How a number is grouped, and whether its marks go on to a digit before or behind."""
+    span = text[start:end]
+    sizes = [len(g) for g in GROUP.findall(span)]
+    marks = set(re.findall(r"[0-9]([ ./-])(?=[0-9])", span))
+    left, right = text[max(0, start - 2) : start], text[end : end + 2]
+    goes_left = len(left) == 2 and left[1] in " ./-" and (left[0].isdigit() or left[0] == ")") or left[-1:] == ")"
+    goes_right = len(right) == 2 and right[0] in " ./-" and right[1].isdigit()
+    dotted = DOT.match(text, end)
+    return [
+        *(float(sizes[k]) if k < len(sizes) else 0.0 for k in range(3)), float(sizes[-1]) if sizes else 0.0, len(marks),
+        float(goes_left), float(goes_left and left[-1] in marks), float(goes_right), float(goes_right and right[0] in marks),
+        float(dotted is not None and text[dotted.end() : dotted.end() + 1].islower()), span.count("::"), float(left[-1:] == "("),
+    ]
 
 
 def described(text: str, kind: str, start: int, end: int) -> list[float]:
@@ -160,12 +263,15 @@ def described(text: str, kind: str, start: int, end: int) -> list[float]:
         float(bool(digits) and digits[:1] in "3456"), float(bool(digits) and digits[:2] in ("34", "37")),
         float(near.isalnum()), float(behind.isalnum()), float(near in ("=", "#", "$", '"', "/", "-", ".")),
         float(bool(re.search("[0-9]", before[-8:]))), float(bool(re.search("[0-9]", after[:8]))),
-        *(float(any(k in before for k in keys)) for keys in KEYS.values()),
+        *(float(any(k in before for k in keys)) for keys in KEYS.values()), *stands_apart(text, start, end),
     ]
 
 
 def rendered(seed: int, count: int) -> tuple[np.ndarray, np.ndarray]:
-    """Examples from templates: descriptions and whether the span is personal data."""
+    """Examples from templates: descriptions and whether the span is personal data.
+
+    Personal data stand alone or next to more numbers; what else the generators propose there are examples against.
+    """
     r = random.Random(seed)
 
     def digits(n: int, first: str = "0123456789") -> str:
@@ -187,16 +293,23 @@ def rendered(seed: int, count: int) -> tuple[np.ndarray, np.ndarray]:
             at += s
         return mark.join(p for p in [*parts, d[at:]] if p)
 
+    def short() -> str:
+        return r.choice((str(r.randint(1900, 2100)), digits(r.randint(1, 4)), digits(5)))
+
     top = ("com", "org", "net", "de", "fr", "es", "io")
     templates = (
         ("email", 1, lambda: f"{word()}{r.choice((' at ', ' [at] ', '[at]', ' (at) ', '(at)'))}{word()}{r.choice((' dot ', ' [dot] ', '[dot]', ' (dot) ', '.'))}{r.choice(top)}"),
         ("email", 0, lambda: f"{word(2, 7)} at {word(2, 5)}.{word(2, 7).title()}"),
         ("email", 0, lambda: f"{word(2, 7)} at {word(2, 5)} dot {word(5, 9)}"),
         ("ip", 1, lambda: ":".join(f"{r.randrange(65536):x}" for _ in range(8))),
+        ("ip", 1, lambda: f"{r.choice(('fe80', '2001:db8', 'fd00'))}::{':'.join(f'{r.randrange(1, 65536):x}' for _ in range(r.randint(1, 4)))}"),
         ("ip", 0, lambda: ":".join(f"{r.randrange(60):02d}" for _ in range(4))),
+        ("ip", 0, lambda: f"{r.choice(('ab', 'dead', 'add', 'face', 'c', 'de'))}::{r.choice(('add', 'be', 'fed', 'decade'[:4], 'a'))}"),
+        ("ip", 0, lambda: f"{r.randrange(60):02d}::{r.randrange(60):02d}"),
         ("card", 1, lambda: checked(15, "3", True)),
         ("card", 1, lambda: grouped(checked(15, "3", True), (4, 6), r.choice(" -"))),
         ("card", 1, lambda: grouped(checked(16, "456", True), (4, 4, 4), ".")),
+        ("card", 1, lambda: grouped(checked(16, "456", True), (4, 4, 4), r.choice(" -"))),
         ("card", 0, lambda: checked(r.choice((12, 13, 14, 15, 16, 17, 18)), "0123456789", False)),
         ("card", 0, lambda: digits(r.choice((10, 11, 12, 13, 14)))),
         ("card", 0, lambda: grouped(digits(12), (4, 4), r.choice(" -."))),
@@ -221,9 +334,23 @@ def rendered(seed: int, count: int) -> tuple[np.ndarray, np.ndarray]:
             # a number inside a longer token is not personal data
             stuck = not label and i % 4 == 0
             text += r.choice(("", '"', "#")) + word(1, 3) + r.choice(("-", "_", ".")) if stuck else ""
-            start = len(text)
-            x.append(described(f"{text}{span} {word()} {word()}", kind, start, start + len(span)))
-            y.append(label)
+            own = []
+            # beside a number of its like, a short number, or nothing
+            for part in (r.choice((None, None, make, short)) if label else None, lambda: span, r.choice((None, None, make, short)) if label else None):
+                if part is not None:
+                    held = part()
+                    own += [] if part is short else [(kind, len(text), len(text) + len(held))]
+                    text += held + " "
+            text += f"{word()} {word()}"
+            base = base_spans(text)
+            for k, s, e in own:
+                if not any(s < d and c < e for _, c, d in base):
+                    x.append(described(text, k, s, e))
+                    y.append(label)
+            others = [c for c in candidates(text) if label and c not in own and not any(c[1] < d and b < c[2] for _, b, d in base)]
+            for c in r.sample(others, min(4, len(others))):
+                x.append(described(text, *c))
+                y.append(0)
     return np.array(x), np.array(y, float)
 
 
@@ -326,7 +453,7 @@ def selected(text: str, base: list[tuple[str, int, int]], boosted: Boosted) -> l
         return []
     p = boosted.probability(np.array([described(text, *c) for c in found]))
     taken: list[tuple[str, int, int]] = []
-    for i in sorted(range(len(found)), key=lambda i: (-p[i], found[i])):
+    for i in sorted(range(len(found)), key=lambda i: (-p[i], found[i][1] - found[i][2], found[i])):
         kind, start, end = found[i]
         if p[i] >= boosted.calibration[kind][2] and not any(start < e and s < end for _, s, e in taken):
             taken.append(found[i])

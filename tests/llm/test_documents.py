@@ -134,6 +134,55 @@ def test_candidate_model_holds_out():
     assert y[taken].mean() > 0.97 and taken[y == 1].mean() > 0.9
 
 
+NUMBERS = ["1", "12", "300", "2024", "4567", "0049", "411111", "(212)", "(", ")", "+", " ", "-", ".", "/", "x", ", ", "é"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(NUMBERS), max_size=20).map("".join))
+def test_numbers_are_proposed_from_every_group_to_every_group(text):
+    want = set()
+    edge = r"(?![0-9A-Za-z])"
+    for start in range(len(text)):
+        for end in range(start + 1, min(len(text), start + 34) + 1):
+            for kind, pattern, own in (("card", pii.CARD_GROUPS, "0-9A-Za-z"), ("phone", pii.PHONE_GROUPS, "0-9A-Za-z+")):
+                apart = re.compile(f"(?<![{own}])").match(text, start) and re.compile(edge).match(text, end)
+                if apart and pattern.fullmatch(text[start:end]):
+                    want.add((kind, start, end))
+    got = list(pii.numbers(text))
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("call 555-123-4567 555-987-6543 now", ["555-123-4567", "555-987-6543"]),
+        ("tel (212) 555-0147 (213) 555-0148", ["(212) 555-0147", "(213) 555-0148"]),
+        ("order 2024 4111.1111.1111.1111 end", ["4111.1111.1111.1111"]),
+        ("order 2024 4111 1111 1111 1111 end", ["4111 1111 1111 1111"]),
+        ("cards 4111 1111 1111 1111 5500 0000 0000 0004", ["4111 1111 1111 1111", "5500 0000 0000 0004"]),
+        ("host 2001:db8::1 up, addr:fe80::1ff:fe23:4567:890a", ["2001:db8::1", "fe80::1ff:fe23:4567:890a"]),
+        ("mail ann at mail dot com.Next we", ["ann at mail dot com"]),
+        ("std::add and ab::cd at 12::30", []),
+    ],
+)
+def test_spans_beside_others(text, want):
+    got = pii.selected(text, pii.base_spans(text), pii.model())
+    assert [text[s:e] for _, s, e in sorted(got, key=lambda c: c[1])] == want
+
+
+def test_shortened_addresses_are_proposed():
+    for own in ("::1", "fe80::", "2001:db8::1", "1::2:3:4:5:6:7", "2001:db8:0:0:0:0:0:1", "fe80::1ff:fe23:4567:890a"):
+        for text in (own, f"host {own} up", f"addr:{own}, x", f"ip ({own})"):
+            assert own in [text[s:e] for k, s, e in pii.candidates(text) if k == "ip"], text
+    assert not pii.candidates(":: std::move 12:30 a:b ::")
+
+
+def test_proposals_are_linear_in_the_text():
+    for text in ("x" * 10, "1", "1 ", ":", "a:", "12:34::", "555 ", "1-2 3.4 ", "at ", "a@b.c "):
+        few, many = (len(pii.candidates(text * n)) for n in (500, 5000))
+        assert many <= 11 * few + 100
+
+
 def test_redaction(odd, nothing):
     got = pii.redact(odd)
     assert got.columns == odd.columns and got.count() == odd.count() and pii.redact(nothing).count() == 0
