@@ -151,6 +151,47 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail
   NOT failed AND p >= 0.5 AS kept, round(p, 4) AS posterior, {NAMES} FROM judged
 """.replace("{rounds}", str(ROUNDS))
 
+OP13 = r"""
+WITH l AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS bad
+  FROM labels GROUP BY doc_id
+), t AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), d AS (
+  SELECT t.*, good, bad,
+    CASE WHEN len(w) < 100 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN coalesce(t.doc_id > min(t.doc_id) OVER (PARTITION BY text), min(t.doc_id) OVER (PARTITION BY text) IS NOT NULL) THEN 'E' ELSE '' END AS f
+  FROM t LEFT JOIN l ON t.doc_id = l.doc_id
+), m AS (
+  SELECT part, f, count(*) AS n, count(*) FILTER (good = 1) AS good, count(*) FILTER (bad = 1) AS bad FROM d GROUP BY ALL
+), x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), s AS (
+  SELECT filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS x, '[' || filter_order[:step] || ']' AS upto,
+    CASE WHEN step = 1 THEN '[^A-E]' ELSE '[' || filter_order[:step - 1] || ']' END AS before
+  FROM o, unnest(range(1, 6)) u(step)
+), z AS (
+  SELECT part, filter_order, step, x,
+    sum(CASE WHEN regexp_matches(f, upto) THEN 0 ELSE n END) AS kept,
+    sum(CASE WHEN contains(f, x) AND NOT regexp_matches(f, before) THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN contains(f, x) AND regexp_matches(f, before) THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN f = x THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN contains(f, x) AND NOT regexp_matches(f, before) THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN contains(f, x) AND NOT regexp_matches(f, before) THEN bad ELSE 0 END) AS toxic_lost
+  FROM m, s GROUP BY ALL
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+FROM z
+"""
+
 ORACLE: dict[str, str] = {
     "op1_decontamination": OP1, "op2_suffix_dedup": OP2, "op3_warc": OP3, "op6_ngram_join": OP6, "op10_quality_rules": OP10,
+    "op13_filter_audit": OP13,
 }

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from skuloom.llm import bpe as BP
 from skuloom.llm import decontaminate as DC
 from skuloom.llm import factorisation as FM
+from skuloom.llm import filter_audit as FA
 from skuloom.llm import language_id as LI
 from skuloom.llm import ngram_join as NJ
 from skuloom.llm import pii as PI
@@ -70,10 +71,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(*first, F.round("posterior", 4).alias("posterior"), *(c for c in found.columns if c.startswith("vote_")))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FA.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_suffix_dedup, op3_warc, op4_bpe, op5_pii, op6_ngram_join, op7_token_counts,
-        op8_language_id, op9_quality_classifier, op10_quality_rules,
+        op8_language_id, op9_quality_classifier, op10_quality_rules, op13_filter_audit,
     )
 }
