@@ -13,25 +13,30 @@ def _sum(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, written: bool = False) -> DataFrame:
     """(node, root) of every node that has an edge in (a, b); the root is the component's smallest node.
 
     Alternating large and small stars: every node's larger neighbours, then every node itself and its smaller neighbours,
     are linked to the smallest of them, until nothing changes. Each round is written to the shared folder. Minima are
-    combined before the shuffle; a node with many edges is split by adaptive execution in the joins.
+    combined before the shuffle.
+
+    All nodes of a component come to hang on one, which is then the key of most rows in the joins. With `written`, the minima
+    and the edges between the two stars are written as well: a join of written tables is one that adaptive execution can
+    split by key, at the price of three small tables more a round.
     """
+    held = checkpointed if written else lambda df: df
     now = edges.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     now = checkpointed(now.distinct())
     told = _sum(now)
     while True:
         both = now.union(now.select("b", "a"))
-        least = both.groupBy("a").agg(F.min("b").alias("m"))
+        least = held(both.groupBy("a").agg(F.min("b").alias("m")))
         # (v, smallest of u and its neighbours) for every larger neighbour v of u
-        large = (
+        large = held(
             both.join(least, "a").filter(F.col("b") > F.col("a"))
             .select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct()
         )
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = held(large.groupBy("a").agg(F.min("b").alias("m")))
         joined = large.join(least, "a")
         small = joined.select("a", F.col("m").alias("b")).union(
             joined.filter(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))

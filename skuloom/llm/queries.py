@@ -16,6 +16,7 @@ from skuloom.llm import language_id as LI
 from skuloom.llm import ngram_join as NJ
 from skuloom.llm import pii as PI
 from skuloom.llm import quality_rules as QR
+from skuloom.llm import simhash_join as SJ
 from skuloom.llm import suffix_dedup as SD
 from skuloom.llm import token_counts as TC
 from skuloom.llm import warc as WA
@@ -71,6 +72,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(*first, F.round("posterior", 4).alias("posterior"), *(c for c in found.columns if c.startswith("vote_")))
 
 
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SJ.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FA.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -79,6 +84,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_suffix_dedup, op3_warc, op4_bpe, op5_pii, op6_ngram_join, op7_token_counts,
-        op8_language_id, op9_quality_classifier, op10_quality_rules, op13_filter_audit,
+        op8_language_id, op9_quality_classifier, op10_quality_rules, op12_simhash, op13_filter_audit,
     )
 }
