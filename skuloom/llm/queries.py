@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skuloom.llm import alignment as AL
 from skuloom.llm import bpe as BP
 from skuloom.llm import decontaminate as DC
 from skuloom.llm import factorisation as FM
@@ -22,6 +23,7 @@ from skuloom.llm import token_counts as TC
 from skuloom.llm import warc as WA
 from skuloom.llm.common import fold, table
 
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
@@ -72,6 +74,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(*first, F.round("posterior", 4).alias("posterior"), *(c for c in found.columns if c.startswith("vote_")))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return AL.align(table(spark, sf_dir, "documents"), BYTES, PIECES)[0]
+
+
 def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SJ.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -84,6 +90,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_suffix_dedup, op3_warc, op4_bpe, op5_pii, op6_ngram_join, op7_token_counts,
-        op8_language_id, op9_quality_classifier, op10_quality_rules, op12_simhash, op13_filter_audit,
+        op8_language_id, op9_quality_classifier, op10_quality_rules, op11_alignment, op12_simhash, op13_filter_audit,
     )
 }
