@@ -16,7 +16,7 @@ No group holds more than `FAN` rows of a block or the documents of one chunk, ho
 
 Both tokenizers cut texts before a single space between two characters that are neither white space nor U+2581, and their
 tokens do not reach across (`check` proves it for the files), so a text's tokens are those of its units between such
-spaces one behind the other. A worker remembers the units it has aligned, up to a bound.
+spaces one behind the other. A chunk aligns each distinct unit once.
 
 Texts that are null or empty, or that the tokens of either tokenizer do not give back (a U+2581 reads as a space), have no
 tokens: all counts are 0, the digest is ''. Rows are neither merged nor dropped: repeated rows and repeated or null ids each
@@ -31,8 +31,8 @@ import json
 import math
 import os
 import re
-from collections import Counter
 from collections.abc import Iterator, Sequence
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -41,19 +41,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skuloom.llm.bpe import joined
 from skuloom.llm.chunks import documents, in_chunks, packed, unpacked
 from skuloom.llm.common import checkpointed, thrifty, total_bytes
 from skuloom.llm.perfect_hash import PerfectHash, mixed, perfect_hash
 from skuloom.llm.token_counts import encoder, safe_spaces
 
-CHUNK_BYTES = 6_000_000
+CHUNK_BYTES = 12_000_000
 #: Input bytes per block of pairs, and the pairs a block gets if all that the vocabularies allow occur.
 BLOCK_BYTES = 32_000_000
 BLOCK_PAIRS = 1 << 16
 #: Chunks, or sums of them, that meet in one group.
 FAN = 64
-#: Units a worker remembers.
-KNOWN_UNITS = 100_000
+#: Units encoded as one text.
+JOINED = 500
 
 UNIT_END = re.compile(r"(?<=[^\s▁]) (?=[^\s▁])")
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -84,7 +85,7 @@ def byte_level(path: str):
 
 
 @functools.lru_cache(maxsize=2)
-def sizes_a(path: str) -> list[bytes]:
+def bytes_a(path: str) -> list[bytes]:
     """The bytes of each id of the byte-level tokenizer."""
     codes, vocabulary = byte_characters(), byte_level(path).get_vocab(with_added_tokens=True)
     found = [b""] * (max(vocabulary.values()) + 1)
@@ -94,7 +95,7 @@ def sizes_a(path: str) -> list[bytes]:
 
 
 @functools.lru_cache(maxsize=2)
-def sizes_b(path: str) -> list[bytes]:
+def bytes_b(path: str) -> list[bytes]:
     """The bytes of each id of the piece tokenizer."""
     model, found = encoder(path), []
     for i in range(model.get_piece_size()):
@@ -119,79 +120,129 @@ def check(path_a: str, path_b: str) -> None:
         raise ValueError(f"{path_a}, {path_b}: texts cannot be encoded unit by unit")
 
 
-class Unit(NamedTuple):
-    """Alignment of one unit; `pairs` are its links, `groups` as the digest has them, None if a tokenizer changes the unit."""
+class Aligned(NamedTuple):
+    """Alignments of units, one behind the other: per unit its tokens, groups and links, and in `pairs` the links themselves.
 
-    n_a: int
-    n_b: int
-    n_groups: int
+    `ids` and `ends` are the tokens of each side and their ends in the joined bytes, `common` the ends of the groups,
+    `unit_ends` those of the units. `units` names the units that both tokenizers give back.
+    """
+
+    units: list[str]
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_groups: np.ndarray
+    n_links: np.ndarray
     pairs: np.ndarray
-    groups: bytes | None
+    ids: tuple[np.ndarray, np.ndarray]
+    ends: tuple[np.ndarray, np.ndarray]
+    common: np.ndarray
+    unit_ends: np.ndarray
+
+
+def odd(unit: str) -> bool:
+    """Whether a unit may not stand beside others: it begins or ends in white space, or may not come back whole."""
+    return not unit or len(unit.strip()) < len(unit) or "▁" in unit
+
+
+def encoded(strings: list[str], path_a: str, path_b: str) -> Iterator[tuple[list[int], list[int]] | None]:
+    """Ids of both tokenizers, None where the bytes of either are not those of the text with its space."""
+    found_a = byte_level(path_a).encode_batch_fast([" " + s for s in strings], add_special_tokens=False)
+    found_b = encoder(path_b).encode(strings, num_threads=1)
+    for text, a, ids_b in zip(strings, found_a, found_b, strict=True):
+        ids_a, whole = a.ids, b" " + text.encode()
+        sides = ((bytes_a(path_a), ids_a), (bytes_b(path_b), ids_b))
+        yield (ids_a, ids_b) if all(b"".join(map(table.__getitem__, ids)) == whole for table, ids in sides) else None
+
+
+def aligned(units: Sequence[str], path_a: str, path_b: str) -> Aligned:
+    """Align distinct units, many in a call. Units that a tokenizer changes are left out."""
+    alone = [u for u in units if odd(u)]
+    apart = set(alone)
+    plain = [u for u in units if u not in apart]
+    sides: tuple[list[int], list[int]] = ([], [])
+    kept: list[str] = []
+
+    def take(groups: list[list[str]]) -> list[str]:
+        """Encode the groups, units joined by spaces; the units of those that do not come back whole."""
+        changed = []
+        for group, ids in zip(groups, encoded([" ".join(g) for g in groups], path_a, path_b), strict=True):
+            if ids is None:
+                changed += group
+                continue
+            kept.extend(group)
+            for side, own in zip(sides, ids, strict=True):
+                side.extend(own)
+        return changed
+
+    for at in range(0, len(plain), 50 * JOINED):
+        alone += take([plain[i : i + JOINED] for i in range(at, min(at + 50 * JOINED, len(plain)), JOINED)])
+    for at in range(0, len(alone), 50):
+        take([[u] for u in alone[at : at + 50]])
+    ids = tuple(np.array(side, np.int64) for side in sides)
+    ends = tuple(np.cumsum(lengths(table)[i]) for table, i in zip((bytes_a(path_a), bytes_b(path_b)), ids, strict=True))
+    unit_ends = np.cumsum(np.fromiter((len(u.encode()) + 1 for u in kept), np.int64, len(kept)))
+    both = np.sort(np.concatenate(ends), kind="stable")
+    again = np.append(both[1:] == both[:-1], [False] * bool(len(both)))
+    common, cuts = both[again], both[~again]
+    # units end where tokens of both sides do
+    if not np.isin(unit_ends, common, assume_unique=True).all():
+        raise ValueError("tokens reach across units")
+
+    def per_unit(places: np.ndarray) -> np.ndarray:
+        return np.bincount(np.searchsorted(unit_ends, places), minlength=len(kept))
+
+    # between two cuts lies one token of each side, and every overlap is one such piece
+    a, b = (i[np.searchsorted(e, cuts)].astype(np.uint64) for i, e in zip(ids, ends, strict=True))
+    counts = (per_unit(p) for p in (*ends, common, cuts))
+    return Aligned(kept, *counts, a << np.uint64(B_BITS) | b, ids, ends, common, unit_ends)
+
+
+def group_texts(found: Aligned) -> tuple[np.ndarray, np.ndarray]:
+    """The groups of all units as bytes, each with a ";" behind it, and the bytes of each unit."""
+    side = np.repeat([0, 1], [len(i) for i in found.ids])
+    ids, ends = np.concatenate(found.ids), np.concatenate(found.ends)
+    place = 2 * np.searchsorted(found.common, ends) + side
+    order = np.argsort(place, kind="stable")
+    ids, place, ends = ids[order], place[order], ends[order]
+    data, starts, sizes = decimals(int(ids.max()) + 1 if len(ids) else 0)
+    flat, sizes = joined(data, starts, sizes, ids), sizes[ids]
+    step = np.diff(place, append=-1)
+    behind = np.where(step == 0, ord(","), np.where(place % 2 == 0, ord("|"), ord(";")))
+    flat[np.cumsum(sizes) - 1] = behind
+    per_unit = np.zeros(len(found.units), np.int64)
+    np.add.at(per_unit, np.searchsorted(found.unit_ends, ends), sizes)
+    return flat, per_unit
 
 
-def aligned(ids_a: Sequence[int], ids_b: Sequence[int], bytes_a: Sequence[bytes], bytes_b: Sequence[bytes]) -> Unit:
-    """Both token lists cover the same bytes; walk along them, one link per step."""
-    pairs, groups, i, j = [], [], 0, 0
-    first_a = first_b = 0
-    end_a, end_b = len(bytes_a[ids_a[0]]), len(bytes_b[ids_b[0]])
-    while True:
-        pairs.append(ids_a[i] << B_BITS | ids_b[j])
-        at = min(end_a, end_b)
-        if end_a == end_b:
-            a, b = ids_a[first_a : i + 1], ids_b[first_b : j + 1]
-            groups.append(f"{','.join(map(str, a))}|{','.join(map(str, b))}")
-            first_a, first_b = i + 1, j + 1
-            if first_a == len(ids_a):
-                break
-        step_a, step_b = end_a == at, end_b == at
-        if step_a:
-            i += 1
-            end_a += len(bytes_a[ids_a[i]])
-        if step_b:
-            j += 1
-            end_b += len(bytes_b[ids_b[j]])
-    return Unit(len(ids_a), len(ids_b), len(groups), np.array(pairs, np.uint64), ";".join(groups).encode())
-
-
-class Units(dict):
-    """Alignments of units, kept for a bounded number of them."""
-
-    def __init__(self, path_a: str, path_b: str) -> None:
-        super().__init__()
-        self.paths = path_a, path_b
-
-    def learn(self, units: list[str]) -> None:
-        """Align the units that are not known."""
-        path_a, path_b = self.paths
-        bytes_a, bytes_b = sizes_a(path_a), sizes_b(path_b)
-        new = [u for u in units if u not in self]
-        for at in range(0, len(new), 2000):
-            part = new[at : at + 2000]
-            found_a = byte_level(path_a).encode_batch_fast([" " + u for u in part], add_special_tokens=False)
-            found_b = encoder(path_b).encode(part, num_threads=1)
-            for unit, a, ids_b in zip(part, found_a, found_b, strict=True):
-                ids_a, whole = a.ids, b" " + unit.encode()
-                same = all(
-                    b"".join(map(table.__getitem__, ids)) == whole for table, ids in ((bytes_a, ids_a), (bytes_b, ids_b))
-                )
-                self[unit] = aligned(ids_a, ids_b, bytes_a, bytes_b) if same else Unit(0, 0, 0, np.zeros(0, np.uint64), None)
+@functools.lru_cache(maxsize=2)
+def decimals(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The numbers below n as text, each with a place for one more character, with starts and lengths."""
+    texts = [b"%d," % i for i in range(n)]
+    sizes = np.array([len(t) for t in texts], np.int64)
+    return np.frombuffer(b"".join(texts), np.uint8), np.cumsum(sizes) - sizes, sizes
 
 
-@functools.lru_cache(maxsize=2)
-def known(path_a: str, path_b: str) -> Units:
-    return Units(path_a, path_b)
+def lengths(table: Sequence[bytes]) -> np.ndarray:
+    return np.fromiter(map(len, table), np.int64, len(table))
 
 
-def split(texts: Sequence[bytes], units: Units) -> tuple[list[list[str] | None], list[str]]:
-    """The units of every text, None for a text without tokens, and all distinct units of texts with tokens."""
-    parts = [UNIT_END.split(t.decode()) if t else None for t in texts]
-    distinct = list(dict.fromkeys(u for p in parts if p for u in p))
-    if len(units) + len(distinct) > KNOWN_UNITS:
-        units.clear()
-    units.learn(distinct)
+def split(texts: Sequence[bytes]) -> list[list[str] | None]:
+    """The units of every text, None for an empty one."""
+    parts = [t.decode().split(" ") if t else None for t in texts]
+    # most texts may be cut at every space; where one is no safe place, a part begins or ends beside it
+    unsafe = {u for u in set(chain.from_iterable(p for p in parts if p)) if odd(u)}
+    return [p if not p or unsafe.isdisjoint(p) else UNIT_END.split(t.decode()) for p, t in zip(parts, texts, strict=True)]
+
+
+def in_units(texts: Sequence[bytes], path_a: str, path_b: str) -> tuple[list[np.ndarray | None], Aligned]:
+    """The numbers of each text's units among the aligned ones, None for texts without tokens."""
+    parts = split(texts)
+    distinct = set(chain.from_iterable(p for p in parts if p))
+    n, found = len(distinct), aligned(sorted(distinct), path_a, path_b)
+    number = dict(zip(found.units, range(len(found.units)), strict=True))
     # a tokenizer that changes a unit shortens it: what it gives back cannot be the text
-    parts = [p if p and all(units[u].groups is not None for u in p) else None for p in parts]
-    return parts, list(dict.fromkeys(u for p in parts if p for u in p))
+    whole = [p if p and (len(number) == n or all(map(number.__contains__, p))) else None for p in parts]
+    return [p and np.fromiter(map(number.__getitem__, p), np.int64, len(p)) for p in whole], found
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -202,12 +253,6 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return values, found
 
 
-def joined_pairs(units: Units, distinct: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The links of the units, one behind the other, and their number in each unit."""
-    lists = [units[u].pairs for u in distinct]
-    return np.concatenate([np.zeros(0, np.uint64), *lists]), np.fromiter(map(len, lists), np.int64, len(lists))
-
-
 def block_of(keys: np.ndarray, blocks: int) -> np.ndarray:
     return (mixed(keys, -1) % np.uint64(blocks)).astype(np.int64)
 
@@ -352,17 +397,20 @@ def align(
     check(path_a, path_b)
     total = total_bytes(docs)
     chunks = max(1, math.ceil(total / chunk_bytes))
-    size_a, size_b = len(sizes_a(path_a)), len(sizes_b(path_b))
+    size_a, size_b = len(bytes_a(path_a)), len(bytes_b(path_b))
     blocks = max(1, min(math.ceil(total / block_bytes), math.ceil(size_a * size_b / BLOCK_PAIRS)))
     chunked = in_chunks(docs, chunk_bytes, total)
 
     def send(rows: pa.Table) -> pa.Table:
-        units = known(path_a, path_b)
-        parts, distinct = split(documents(rows)[1], units)
-        uses = Counter(u for p in parts if p for u in p)
-        flat, n = joined_pairs(units, distinct)
-        keys, counts = summed(flat, np.repeat(np.fromiter(map(uses.__getitem__, distinct), np.int64, len(distinct)), n))
-        found = [(b, ascending(keys[own]), blob(counts[own])) for b, own in dealt(keys, blocks)]
+        parts, own = in_units(documents(rows)[1], path_a, path_b)
+        uses = np.zeros(len(own.units), np.int64)
+        for p in parts:
+            if p is not None:
+                np.add.at(uses, p, 1)
+        keys, counts = summed(own.pairs, np.repeat(uses, own.n_links))
+        # units of texts without tokens do not count
+        keys, counts = keys[counts > 0], counts[counts > 0]
+        found = [(b, ascending(keys[i]), blob(counts[i])) for b, i in dealt(keys, blocks)]
         return pa.table(
             {
                 "block": pa.array([f[0] for f in found], pa.int64()), "chunk": pa.array([rows["chunk"][0].as_py()] * len(found), pa.int64()),
@@ -394,33 +442,38 @@ def align(
     answers = sides.applyInArrow(thrifty(answer), "chunk long, block long, counts binary, best binary")
 
     def place(rows: pa.Table, told: pa.Table) -> pa.Table:
-        units = known(path_a, path_b)
         ids, texts = documents(rows)
-        parts, distinct = split(texts, units)
-        flat, n = joined_pairs(units, distinct)
-        keys, at = np.unique(flat, return_inverse=True)
+        parts, own = in_units(texts, path_a, path_b)
+        used = np.zeros(len(own.units), bool)
+        for p in parts:
+            if p is not None:
+                used[p] = True
+        keys, at = np.unique(own.pairs[np.repeat(used, own.n_links)], return_inverse=True)
         counts, best = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
         found = dict(zip(told["block"].to_pylist(), zip(told["counts"].to_pylist(), told["best"].to_pylist(), strict=True), strict=True))
-        for b, own in dealt(keys, blocks):
-            counts[own] = numbers(found[b][0]).astype(np.int64)
-            best[own] = np.unpackbits(np.frombuffer(found[b][1], np.uint8), count=len(own))
+        for b, i in dealt(keys, blocks):
+            counts[i] = numbers(found[b][0]).astype(np.int64)
+            best[i] = np.unpackbits(np.frombuffer(found[b][1], np.uint8), count=len(i))
         # sums over the links of each unit, then over the units of each text
-        owner = np.repeat(np.arange(len(distinct)), n)
-        sums = [np.zeros(len(distinct), np.int64) for _ in range(2)]
+        owner = np.repeat(np.flatnonzero(used), own.n_links[used])
+        sums = np.zeros((2, len(used)), np.int64)
         np.add.at(sums[0], owner, best[at])
         np.add.at(sums[1], owner, counts[at])
-        place_of = dict(zip(distinct, range(len(distinct)), strict=True))
-        of_unit = np.array([[*units[u][:3], len(units[u].pairs)] for u in distinct], np.int64).reshape(len(distinct), 4)
-        of_unit = np.column_stack([of_unit, *sums])
-        values, groups = np.zeros((len(texts), 6), np.int64), []
+        of_unit = np.column_stack([own.n_a, own.n_b, own.n_groups, own.n_links, *sums])
+        flat, sizes = group_texts(own)
+        starts = np.cumsum(sizes) - sizes
+        values, digests, groups = np.zeros((len(texts), len(COUNTS)), np.int64), [], []
         for i, p in enumerate(parts):
-            if p:
-                values[i] = of_unit[np.fromiter(map(place_of.__getitem__, p), np.int64, len(p))].sum(0)
-            groups.append(b";".join([units[u].groups for u in p]) if p else b"")
+            told_groups = b""
+            if p is not None:
+                values[i] = of_unit[p].sum(0)
+                told_groups = joined(flat, starts, sizes, p)[:-1].tobytes()
+            digests.append(hashlib.sha256(told_groups).hexdigest() if told_groups else "")
+            if with_groups:
+                groups.append(told_groups)
         columns = dict(zip(COUNTS, (pa.array(v) for v in values.T.copy()), strict=True))
-        digests = pa.array([hashlib.sha256(g).hexdigest() if g else "" for g in groups], pa.string())
         shown = {"groups": pa.array(groups, pa.binary()).cast(pa.string())} if with_groups else {}
-        return pa.table({"doc_id": ids, **columns, "groups_sha256": digests, **shown})
+        return pa.table({"doc_id": ids, **columns, "groups_sha256": pa.array(digests, pa.string()), **shown})
 
     doc_id = T.StructField("doc_id", docs.schema["doc_id"].dataType)
     result = T.StructType([doc_id, *(T.StructField(c, T.LongType()) for c in COUNTS)]).add("groups_sha256", "string")

@@ -25,7 +25,7 @@ def plain_tokens(text):
     a = AL.byte_level(BYTES).encode(" " + text, add_special_tokens=False).ids
     b = AL.encoder(PIECES).encode(text)
     found = []
-    for ids, table in ((a, AL.sizes_a(BYTES)), (b, AL.sizes_b(PIECES))):
+    for ids, table in ((a, AL.bytes_a(BYTES)), (b, AL.bytes_b(PIECES))):
         parts = [table[i] for i in ids]
         if b"".join(parts) != whole:
             return None
@@ -98,34 +98,42 @@ def test_only_texts_without_tokens(spark):
     assert {tuple(r)[1:] for r in AL.align(df, BYTES, PIECES)[0].collect()} == {(0, 0, 0, 0, 0, 0, "")}
 
 
+def whole(text):
+    """Groups and links of one text by way of its units, None without tokens."""
+    (part,), found = AL.in_units([text.encode()], BYTES, PIECES)
+    if part is None:
+        return None
+    flat, sizes = AL.group_texts(found)
+    ends, links = np.cumsum(sizes), np.cumsum(found.n_links)
+    groups = b"".join(flat[ends[u] - sizes[u] : ends[u]].tobytes() for u in part)[:-1].decode()
+    pairs = [int(x) for u in part for x in found.pairs[links[u] - found.n_links[u] : links[u]]]
+    return int(found.n_a[part].sum()), int(found.n_b[part].sum()), groups, [(x >> 32, x & 0xFFFFFFFF) for x in pairs]
+
+
 def test_long_text():
-    units = AL.Units(BYTES, PIECES)
     for text in (prose(3, 3000, 900), "x" * 5000, "1" * 700 + "." * 100, "\n".join(prose(i, 20) for i in range(50))):
-        parts, _ = AL.split([text.encode()], units)
         n_a, n_b, groups, links = plain_links(text)
-        own = [units[u] for u in parts[0]]
-        assert ";".join(u.groups.decode() for u in own) == ";".join(groups)
-        assert [int(p) for u in own for p in u.pairs] == [a << 32 | b for a, b in links]
-        assert (sum(u.n_a for u in own), sum(u.n_b for u in own)) == (n_a, n_b)
+        assert whole(text) == (n_a, n_b, ";".join(groups), links)
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.text(alphabet=st.sampled_from(list(" ab▁\n\t.é<s>'01 　\x1c\x85日")), max_size=40))
+@given(st.text(alphabet=st.sampled_from(list(" ab▁\n\t.é<s>'01 　\x1c\x85日")), max_size=40))
 def test_units_are_the_whole_text(text):
-    units = AL.known(BYTES, PIECES)
-    parts, _ = AL.split([text.encode()], units)
     want = plain_links(text)
-    assert (parts[0] is None) == (want is None)
-    if want:
-        assert ";".join(units[u].groups.decode() for u in parts[0]) == ";".join(want[2])
-
-
-def test_forgetting_units(monkeypatch):
-    monkeypatch.setattr(AL, "KNOWN_UNITS", 5)
-    units = AL.Units(BYTES, PIECES)
-    for i in range(4):
-        parts, distinct = AL.split([prose(i, 12).encode()], units)
-        assert all(u in units for u in distinct) and len(units) <= 12
+    assert whole(text) == (want and (want[0], want[1], ";".join(want[2]), want[3]))
+
+
+@pytest.mark.parametrize("joined", [1, 3])
+def test_units_in_any_company(monkeypatch, joined):
+    """Units are the same alone and beside others, odd ones among them."""
+    monkeypatch.setattr(AL, "JOINED", joined)
+    texts = [t for _, t, *_ in documents() if t]
+    parts, found = AL.in_units([t.encode() for t in texts], BYTES, PIECES)
+    for text, part in zip(texts, parts, strict=True):
+        want = plain_links(text)
+        assert (part is None) == (want is None)
+        if want:
+            assert (found.n_a[part].sum(), found.n_groups[part].sum()) == (want[0], len(want[2]))
 
 
 def test_other_tokenizers_are_refused():
