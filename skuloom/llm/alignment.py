@@ -10,7 +10,7 @@ where their byte ranges overlap. Links are counted by pair of ids over all docum
 3. Chunks' counts become dense vectors indexed by that hash, the stored pair verified, and are summed in the same tree.
 4. The highest count of each B id is one number per entry of the vocabulary.
 5. Second pass: chunks look the counts of their pairs up in the blocks, `FAN` chunks at a time against a copy of the block,
-   and align their documents again.
+   and align their documents again, from the tokens that the first pass has written down.
 
 No group holds more than `FAN` rows of a block or the documents of one chunk, however often a pair or text occurs.
 
@@ -55,6 +55,8 @@ BLOCK_PAIRS = 1 << 16
 FAN = 64
 #: Units encoded as one text.
 JOINED = 500
+#: Stands for a block where a chunk's tokens travel.
+TOKENS = -1
 
 UNIT_END = re.compile(r"(?<=[^\s▁]) (?=[^\s▁])")
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -139,6 +141,22 @@ class Aligned(NamedTuple):
     unit_ends: np.ndarray
 
 
+class Tokens(NamedTuple):
+    """Ids of units one behind the other, and which units they are."""
+
+    kept: np.ndarray
+    ids_a: np.ndarray
+    ids_b: np.ndarray
+
+    def packed(self) -> bytes:
+        return blob(np.concatenate([list(map(len, self)), *self]).astype(np.uint64))
+
+    @staticmethod
+    def unpacked(data: bytes) -> Tokens:
+        told = numbers(data).astype(np.int64)
+        return Tokens(*np.split(told[3:], np.cumsum(told[:2])))
+
+
 def odd(unit: str) -> bool:
     """Whether a unit may not stand beside others: it begins or ends in white space, or may not come back whole."""
     return not unit or len(unit.strip()) < len(unit) or "▁" in unit
@@ -154,35 +172,43 @@ def encoded(strings: list[str], path_a: str, path_b: str) -> Iterator[tuple[list
         yield (ids_a, ids_b) if all(b"".join(map(table.__getitem__, ids)) == whole for table, ids in sides) else None
 
 
-def aligned(units: Sequence[str], path_a: str, path_b: str) -> Aligned:
-    """Align distinct units, many in a call. Units that a tokenizer changes are left out."""
-    alone = [u for u in units if odd(u)]
-    apart = set(alone)
-    plain = [u for u in units if u not in apart]
-    sides: tuple[list[int], list[int]] = ([], [])
-    kept: list[str] = []
+def tokens_of(units: Sequence[str], path_a: str, path_b: str) -> Tokens:
+    """Encode distinct units, many in a call. Units that a tokenizer changes are left out."""
+    numbered = list(enumerate(units))
+    alone = [n for n in numbered if odd(n[1])]
+    apart = {i for i, _ in alone}
+    plain = [n for n in numbered if n[0] not in apart]
+    ids_a: list[int] = []
+    ids_b: list[int] = []
+    kept: list[int] = []
 
-    def take(groups: list[list[str]]) -> list[str]:
+    def take(groups: list[list[tuple[int, str]]]) -> list[tuple[int, str]]:
         """Encode the groups, units joined by spaces; the units of those that do not come back whole."""
         changed = []
-        for group, ids in zip(groups, encoded([" ".join(g) for g in groups], path_a, path_b), strict=True):
+        texts = [" ".join([u for _, u in g]) for g in groups]
+        for group, ids in zip(groups, encoded(texts, path_a, path_b), strict=True):
             if ids is None:
                 changed += group
                 continue
-            kept.extend(group)
-            for side, own in zip(sides, ids, strict=True):
-                side.extend(own)
+            kept.extend([i for i, _ in group])
+            ids_a.extend(ids[0])
+            ids_b.extend(ids[1])
         return changed
 
     for at in range(0, len(plain), 50 * JOINED):
         alone += take([plain[i : i + JOINED] for i in range(at, min(at + 50 * JOINED, len(plain)), JOINED)])
     for at in range(0, len(alone), 50):
-        take([[u] for u in alone[at : at + 50]])
-    ids = tuple(np.array(side, np.int64) for side in sides)
+        take([[n] for n in alone[at : at + 50]])
+    return Tokens(*(np.array(x, np.int64) for x in (kept, ids_a, ids_b)))
+
+
+def aligned(kept: list[str], ids: tuple[np.ndarray, np.ndarray], path_a: str, path_b: str) -> Aligned:
+    """Align units from their tokens."""
     ends = tuple(np.cumsum(lengths(table)[i]) for table, i in zip((bytes_a(path_a), bytes_b(path_b)), ids, strict=True))
     unit_ends = np.cumsum(np.fromiter((len(u.encode()) + 1 for u in kept), np.int64, len(kept)))
     both = np.sort(np.concatenate(ends), kind="stable")
-    again = np.append(both[1:] == both[:-1], [False] * bool(len(both)))
+    again = np.zeros(len(both), bool)
+    again[:-1] = both[1:] == both[:-1]
     common, cuts = both[again], both[~again]
     # units end where tokens of both sides do
     if not np.isin(unit_ends, common, assume_unique=True).all():
@@ -234,15 +260,18 @@ def split(texts: Sequence[bytes]) -> list[list[str] | None]:
     return [p if not p or unsafe.isdisjoint(p) else UNIT_END.split(t.decode()) for p, t in zip(parts, texts, strict=True)]
 
 
-def in_units(texts: Sequence[bytes], path_a: str, path_b: str) -> tuple[list[np.ndarray | None], Aligned]:
+def distinct_units(parts: list[list[str] | None]) -> list[str]:
+    return sorted(set(chain.from_iterable(p for p in parts if p)))
+
+
+def placed(parts: list[list[str] | None], units: list[str], tokens: Tokens, path_a: str, path_b: str) -> tuple[list[np.ndarray | None], Aligned]:
     """The numbers of each text's units among the aligned ones, None for texts without tokens."""
-    parts = split(texts)
-    distinct = set(chain.from_iterable(p for p in parts if p))
-    n, found = len(distinct), aligned(sorted(distinct), path_a, path_b)
-    number = dict(zip(found.units, range(len(found.units)), strict=True))
+    kept = [units[i] for i in tokens.kept.tolist()]
+    number = dict(zip(kept, range(len(kept)), strict=True))
     # a tokenizer that changes a unit shortens it: what it gives back cannot be the text
-    whole = [p if p and (len(number) == n or all(map(number.__contains__, p))) else None for p in parts]
-    return [p and np.fromiter(map(number.__getitem__, p), np.int64, len(p)) for p in whole], found
+    whole = [p if p and (len(kept) == len(units) or all(map(number.__contains__, p))) else None for p in parts]
+    found = [p and np.fromiter(map(number.__getitem__, p), np.int64, len(p)) for p in whole]
+    return found, aligned(kept, tokens[1:], path_a, path_b)
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -402,7 +431,10 @@ def align(
     chunked = in_chunks(docs, chunk_bytes, total)
 
     def send(rows: pa.Table) -> pa.Table:
-        parts, own = in_units(documents(rows)[1], path_a, path_b)
+        texts = split(documents(rows)[1])
+        units = distinct_units(texts)
+        tokens = tokens_of(units, path_a, path_b)
+        parts, own = placed(texts, units, tokens, path_a, path_b)
         uses = np.zeros(len(own.units), np.int64)
         for p in parts:
             if p is not None:
@@ -411,6 +443,8 @@ def align(
         # units of texts without tokens do not count
         keys, counts = keys[counts > 0], counts[counts > 0]
         found = [(b, ascending(keys[i]), blob(counts[i])) for b, i in dealt(keys, blocks)]
+        # the tokens travel beside the pairs, so that the second pass need not encode again
+        found.append((TOKENS, tokens.packed(), b""))
         return pa.table(
             {
                 "block": pa.array([f[0] for f in found], pa.int64()), "chunk": pa.array([rows["chunk"][0].as_py()] * len(found), pa.int64()),
@@ -419,6 +453,8 @@ def align(
         )
 
     sent = checkpointed(chunked.groupBy("chunk").applyInArrow(thrifty(send), "block long, chunk long, pairs binary, counts binary"))
+    tokens = sent.filter(F.col("block") == TOKENS)
+    sent = sent.filter(F.col("block") != TOKENS)
     table = checkpointed(pair_table(sent, chunks, fan))
     most = highest(table, size_b)
 
@@ -439,18 +475,21 @@ def align(
 
     grouped = sent.select("block", "chunk", "pairs", F.floor(F.col("chunk") / fan).cast("long").alias("grp"))
     sides = grouped.groupBy("block", "grp").cogroup(copies(table, max(1, -(-chunks // fan))).groupBy("block", "grp"))
-    answers = sides.applyInArrow(thrifty(answer), "chunk long, block long, counts binary, best binary")
+    answers = sides.applyInArrow(thrifty(answer), "chunk long, block long, counts binary, best binary").union(
+        tokens.select("chunk", "block", "pairs", "counts")
+    )
 
     def place(rows: pa.Table, told: pa.Table) -> pa.Table:
         ids, texts = documents(rows)
-        parts, own = in_units(texts, path_a, path_b)
+        found = dict(zip(told["block"].to_pylist(), zip(told["counts"].to_pylist(), told["best"].to_pylist(), strict=True), strict=True))
+        cut = split(texts)
+        parts, own = placed(cut, distinct_units(cut), Tokens.unpacked(found[TOKENS][0]), path_a, path_b)
         used = np.zeros(len(own.units), bool)
         for p in parts:
             if p is not None:
                 used[p] = True
         keys, at = np.unique(own.pairs[np.repeat(used, own.n_links)], return_inverse=True)
         counts, best = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
-        found = dict(zip(told["block"].to_pylist(), zip(told["counts"].to_pylist(), told["best"].to_pylist(), strict=True), strict=True))
         for b, i in dealt(keys, blocks):
             counts[i] = numbers(found[b][0]).astype(np.int64)
             best[i] = np.unpackbits(np.frombuffer(found[b][1], np.uint8), count=len(i))
@@ -479,8 +518,7 @@ def align(
     result = T.StructType([doc_id, *(T.StructField(c, T.LongType()) for c in COUNTS)]).add("groups_sha256", "string")
     if with_groups:
         result = result.add("groups", "string")
-    placed = chunked.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(thrifty(place), result)
-    return placed, table
+    return chunked.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(thrifty(place), result), table
 
 
 def pairs_of(table: DataFrame) -> DataFrame:

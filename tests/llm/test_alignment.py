@@ -98,9 +98,16 @@ def test_only_texts_without_tokens(spark):
     assert {tuple(r)[1:] for r in AL.align(df, BYTES, PIECES)[0].collect()} == {(0, 0, 0, 0, 0, 0, "")}
 
 
+def in_units(texts):
+    parts = AL.split([t.encode() for t in texts])
+    units = AL.distinct_units(parts)
+    tokens = AL.Tokens.unpacked(AL.tokens_of(units, BYTES, PIECES).packed())
+    return AL.placed(parts, units, tokens, BYTES, PIECES)
+
+
 def whole(text):
     """Groups and links of one text by way of its units, None without tokens."""
-    (part,), found = AL.in_units([text.encode()], BYTES, PIECES)
+    (part,), found = in_units([text])
     if part is None:
         return None
     flat, sizes = AL.group_texts(found)
@@ -128,7 +135,7 @@ def test_units_in_any_company(monkeypatch, joined):
     """Units are the same alone and beside others, odd ones among them."""
     monkeypatch.setattr(AL, "JOINED", joined)
     texts = [t for _, t, *_ in documents() if t]
-    parts, found = AL.in_units([t.encode() for t in texts], BYTES, PIECES)
+    parts, found = in_units(texts)
     for text, part in zip(texts, parts, strict=True):
         want = plain_links(text)
         assert (part is None) == (want is None)
