@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skuloom.constants import STOCK_EXPORT_COLUMNS
 
@@ -178,6 +179,21 @@ TABLES = {
 }
 
 
+# numbers of very different size: by order, from 10^-300 to 10^300, of both signs
+SIZES = (1e-300, 1e-21, 1e-5, 1.0, 1e26, 1e300)
+
+
+def EXTREME(column) -> Column:
+    """A line's quantity at the size that its order has; lines that were sent back count against the others."""
+    size = F.element_at(F.array(*[F.lit(s) for s in SIZES]), (column("l_orderkey") % len(SIZES) + 1).cast("int"))
+    sign = F.when(column("l_returnflag") == "R", -1.0).otherwise(1.0)
+    return column("l_quantity") * size * sign
+
+
+EXTREME_SQL = f"""l_quantity * ({[*SIZES]})[l_orderkey % {len(SIZES)} + 1]::DOUBLE
+    * CASE WHEN l_returnflag = 'R' THEN -1.0 ELSE 1.0 END::DOUBLE"""
+
+
 class Inputs(dict):
     """Logical tables, built when they are asked for."""
 

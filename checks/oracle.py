@@ -218,9 +218,34 @@ add(
     {s('return_qty')} AS return_qty, {s('sold_amt')} AS sold_amt FROM sales_paid a
     LEFT JOIN category c ON {same('a.category', 'c.category')} WHERE plan_category IS NOT NULL GROUP BY 1, 2""",
 )
+
+
+def whole_range(keys: str, x: str, name: str, table: str) -> str:
+    """Sums of doubles of any size: exact inside bands of 68 bits, which are then joined, the largest first."""
+    scale = "pow(2::DOUBLE, 34 * {b})"
+    up, down = scale.format(b="b"), scale.format(b="-b")
+    return f"""SELECT {keys}, list_reduce([0::DOUBLE] || list(v ORDER BY b DESC), lambda p, q: p + q) AS {name} FROM (
+        SELECT {keys}, b, {s('y')} * {up} * {up} AS v FROM (
+            SELECT *, x * {down} * {down} AS y FROM (
+                SELECT {keys}, {x} AS x, CASE WHEN abs({x}) >= pow(2::DOUBLE, -13) AND abs({x}) < pow(2::DOUBLE, 55) OR ({x}) = 0 THEN 0
+                    ELSE CAST(floor((log2(abs({x})) + 13) / 68) AS INTEGER) END AS b FROM {table}) banded) scaled
+        GROUP BY {keys}, b) added GROUP BY {keys}"""
+
+
+add("a1_fine_sums", whole_range("l_suppkey", "l_quantity * l_tax / 7000", "fine", "lineitem"))
+add(
+    "a1_extreme_sums",
+    f"""WITH e AS ({whole_range('l_suppkey', X.EXTREME_SQL, 'extreme', 'lineitem')}),
+    q AS (SELECT l_suppkey, {s('l_quantity')} AS qty FROM lineitem GROUP BY 1)
+    SELECT l_suppkey, extreme, qty FROM e JOIN q USING (l_suppkey)""",
+)
 add(
-    "a1_fine_sums",
-    f"SELECT l_suppkey, {s('l_quantity * l_tax / 7000')} AS fine FROM lineitem GROUP BY 1",
+    "w1_running_extreme",
+    f"""WITH d AS ({whole_range('l_suppkey, l_shipdate', 'l_quantity * 1e25::DOUBLE', 'large', 'lineitem')}),
+    t AS (SELECT *, large * pow(2::DOUBLE, -34) * pow(2::DOUBLE, -34) AS y FROM d),
+    k AS (SELECT a.l_suppkey, a.l_shipdate, {s('b.y')} AS y FROM t a JOIN t b ON a.l_suppkey = b.l_suppkey
+        AND b.l_shipdate <= a.l_shipdate GROUP BY 1, 2)
+    SELECT l_suppkey, l_shipdate, large, k.y * pow(2::DOUBLE, 34) * pow(2::DOUBLE, 34) AS cum_large FROM d JOIN k USING (l_suppkey, l_shipdate)""",
 )
 LARGE = "CASE WHEN l_returnflag = 'R' THEN -l_extendedprice * 1e10::DOUBLE ELSE l_extendedprice * 1e10::DOUBLE END"
 add(

@@ -299,7 +299,21 @@ def a1_group_sum(x):
 def a1_fine_sums(x):
     """Values with many decimals."""
     fine = F.col("l_quantity") * F.col("l_tax") / 7000
-    return x.raw("lineitem").groupBy("l_suppkey").agg(N.total(fine).alias("fine"))
+    return A.group_sum(x.raw("lineitem").withColumn("fine", fine), ["l_suppkey"], ["fine"], any_size=True)
+
+
+@operator
+def a1_extreme_sums(x):
+    """Doubles from 10^-300 to 10^300 that partly cancel out, one measure beside another that is ordinary."""
+    lines = x.raw("lineitem").withColumn("extreme", X.EXTREME(F.col))
+    return A.group_sum(lines, ["l_suppkey"], {"extreme": "extreme", "l_quantity": "qty"}, any_size=True)
+
+
+@operator
+def w1_running_extreme(x):
+    """Running sums of very large numbers, each key's scaled by its own."""
+    daily = A.group_sum(x.raw("lineitem").withColumn("large", F.col("l_quantity") * 1e25), ["l_suppkey", "l_shipdate"], ["large"], any_size=True)
+    return W.running_sum(daily, ["l_suppkey"], ["l_shipdate"], {"large": "cum_large"}, any_size=True)
 
 
 @operator

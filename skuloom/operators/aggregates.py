@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skuloom.functions.numeric import WORDS, joined, ratio, round_even, total, words
+from skuloom.functions.numeric import (
+    WORDS, band, finite, joined, ratio, round_even, shifted, split_columns, total,
+)
+
+#: Exponent bands of a partial sum, by measure; null where all are ordinary.
+BANDS_OF = "_bands"
 
 
 def all_present(columns: Sequence[str]) -> Column:
@@ -22,27 +27,100 @@ def group_sum(
     keys: Sequence[str],
     measures: Sequence[str] | Mapping[str, str],
     keep_null_keys: bool = False,
+    any_size: bool = False,
+) -> DataFrame:
+    """Sums per key; rows with a null key are left out, an empty sum is 0.
+
+    Numbers from 4.6e18 on raise, and parts under 2^-66 are left out, unless `any_size`: then doubles of the whole range add
+    up, by exponent band, for one more shuffle of the sums.
+    """
+    if not isinstance(measures, Mapping):
+        measures = {m: m for m in measures}
+    if not keep_null_keys and keys:
+        df = df.filter(all_present(keys))
+    names = list(measures.values())
+    parts = partial_sums(df, keys, measures, any_size)
+    if any_size:
+        return final_sums(parts, keys, names, keep_null_keys=True)
+    return parts.select(*keys, *[joined([F.col(f"_{m}_{i}") for i in range(WORDS)]).alias(m) for m in names])
+
+
+def partial_sums(
+    df: DataFrame, keys: Sequence[str], measures: Sequence[str] | Mapping[str, str], any_size: bool = False
 ) -> DataFrame:
-    """Sums per key; rows with a null key are left out, an empty sum is 0."""
+    """Sums per key, null keys included, that `final_sums` can add further without rounding in between.
+
+    With `any_size`, a row that holds a number out of the ordinary is added apart, with rows of the same exponent bands;
+    there are as many rows per key as there are combinations of bands, one where all is ordinary.
+    """
     if not isinstance(measures, Mapping):
         measures = {m: m for m in measures}
+    names = list(measures.values())
+    # every measure is computed once; what follows refers to the column
+    rows = df.select(*keys, *[finite(src).alias(f"_x_{m}") for src, m in measures.items()])
+    by = list(keys)
+    if any_size:
+        bands = [band(F.col(f"_x_{m}")) for m in names]
+        apart = reduce(or_, [F.coalesce(b != 0, F.lit(False)) for b in bands])
+        own = F.struct(*[b.alias(m) for m, b in zip(names, bands, strict=True)])
+        rows = rows.withColumn(BANDS_OF, F.when(apart, own))
+        rows = rows.withColumns({f"_x_{m}": shifted(F.col(f"_x_{m}"), F.col(BANDS_OF)[m]) for m in names})
+        by.append(BANDS_OF)
+    rows, split = split_columns(rows, [f"_x_{m}" for m in names])
+    sums = [F.sum(w).alias(f"_{m}_{i}") for m in names for i, w in enumerate(split[f"_x_{m}"])]
+    return rows.groupBy(*by).agg(*sums)
+
+
+def _field(name: str) -> Callable[[Column], Column]:
+    return lambda x: x[name]
+
+
+def _of_bands(sums: Column) -> Column:
+    """The double of summed words in several bands, (band, words) each: exact in a band, then joined largest first."""
+    bands = F.sort_array(F.array_distinct(F.transform(sums, lambda x: x["band"])), asc=False)
+
+    nothing = F.lit(0).cast("long")
+
+    def value(b: Column) -> Column:
+        own = F.filter(sums, lambda x: x["band"] == b)
+        of_word = [F.transform(own, _field(f"w{i}")) for i in range(WORDS)]
+        added = [F.aggregate(w, nothing, lambda total, x: total + F.coalesce(x, nothing)) for w in of_word]
+        return shifted(joined(added), b, up=True)
+
+    return F.aggregate(F.transform(bands, value), F.lit(0.0), lambda total, x: total + x)
+
+
+def final_sums(df: DataFrame, keys: Sequence[str], measures: Sequence[str], keep_null_keys: bool = False) -> DataFrame:
+    """Sums per key of partial sums; rows with a null key are left out unless asked for."""
     if not keep_null_keys:
         df = df.filter(all_present(keys))
-    return df.groupBy(*keys).agg(*[total(src).alias(name) for src, name in measures.items()])
 
+    def word(m: str, i: int) -> Column:
+        return F.col(f"_{m}_{i}")
+
+    if BANDS_OF not in df.columns:
+        sums = [F.sum(word(m, i)).alias(f"_{m}_{i}") for m in measures for i in range(WORDS)]
+        out = df.groupBy(*keys).agg(*sums)
+        return out.select(*keys, *[joined([word(m, i) for i in range(WORDS)]).alias(m) for m in measures])
 
-def partial_sums(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
-    """Sums per key, null keys included, that `final_sums` can add further without rounding in between."""
-    sums = [F.sum(w).alias(f"_{m}_{i}") for m in measures for i, w in enumerate(words(m))]
-    return df.groupBy(*keys).agg(*sums)
+    def apart(m: str) -> Column:
+        return F.coalesce(F.col(BANDS_OF)[m] != 0, F.lit(False))
 
+    def ordinary(m: str) -> list[Column]:
+        return [F.sum(F.when(~apart(m), word(m, i))).alias(f"_{m}_{i}") for i in range(WORDS)]
 
-def final_sums(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
-    """Sums per key of partial sums; rows with a null key are left out."""
-    def added(m: str) -> Column:
-        return joined([F.sum(f"_{m}_{i}") for i in range(WORDS)])
+    def others(m: str) -> Column:
+        """A row per combination of bands that partial sums have."""
+        entry = F.struct(F.col(BANDS_OF)[m].alias("band"), *[word(m, i).alias(f"w{i}") for i in range(WORDS)])
+        return F.collect_list(F.when(apart(m), entry)).alias(f"_{m}_others")
 
-    return df.filter(all_present(keys)).groupBy(*keys).agg(*[added(m).alias(m) for m in measures])
+    def value(m: str) -> Column:
+        plain = F.struct(F.lit(0).alias("band"), *[word(m, i).alias(f"w{i}") for i in range(WORDS)])
+        every = F.concat(F.col(f"_{m}_others"), F.array(plain))
+        return F.when(F.size(f"_{m}_others") == 0, joined([word(m, i) for i in range(WORDS)])).otherwise(_of_bands(every))
+
+    sums = df.groupBy(*keys).agg(*[c for m in measures for c in (*ordinary(m), others(m))])
+    return sums.select(*keys, *[value(m).alias(m) for m in measures])
 
 
 def first_nonnull(
@@ -87,35 +165,26 @@ def dense_grid(
 ) -> DataFrame:
     """Aggregates per key and bin, with a zero row for every empty bin.
 
-    `measures` maps output names to ("count" | "sum", column). The bins are a
-    short fixed list, so they are aggregated side by side in one pass and then
-    turned into rows; neither a join nor a second shuffle is needed.
+    `measures` maps output names to ("count" | "sum", column). The rows are
+    aggregated by key and bin, in part before the shuffle; the bins are a short
+    fixed list, so a key's rows, one per bin, then fill an array of all bins.
+    A key whose rows are all outside the bins has zero rows too.
     """
-
-    def value(kind: str, column: str, text: str) -> Column:
-        cell = F.when(F.col(bin_column) == text, F.col(column))
-        return F.count(cell) if kind == "count" else total(cell)
-
-    cells = [
-        value(kind, column, text).alias(f"_{name}{i}")
-        for i, text in enumerate(bins)
+    aggregates = {
+        name: (F.count(column) if kind == "count" else total(column)).alias(name)
         for name, (kind, column) in measures.items()
-    ]
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(text).alias(bin_column),
-                *[F.col(f"_{name}{i}").alias(name) for name in measures],
-            )
-            for i, text in enumerate(bins)
-        ]
-    )
-    return (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(*cells)
-        .select(key, F.inline(rows))
-    )
+    }
+    cells = df.filter(F.col(key).isNotNull()).groupBy(key, bin_column).agg(*aggregates.values())
+    listed = F.when(F.col(bin_column).isin(*bins), F.struct(bin_column, *measures))
+    found = cells.groupBy(key).agg(F.collect_list(listed).alias("_cells"))
+
+    def row(text: str) -> Column:
+        own = F.get(F.filter("_cells", lambda c: c[bin_column] == text), F.lit(0))
+        kinds = {name: "long" if kind == "count" else "double" for name, (kind, _) in measures.items()}
+        values = [F.coalesce(own[m], F.lit(0).cast(kind)).alias(m) for m, kind in kinds.items()]
+        return F.struct(F.lit(text).alias(bin_column), *values)
+
+    return found.select(key, F.inline(F.array(*[row(text) for text in bins])))
 
 
 def with_subtotals(

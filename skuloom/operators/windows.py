@@ -6,18 +6,43 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
-from skuloom.functions.numeric import total
+from skuloom.functions.numeric import WORDS, band, finite, joined, shifted, split_columns
+
+
+def window_sums(df: DataFrame, window: WindowSpec, measures: Mapping[str, str]) -> DataFrame:
+    """Sums over a window under new names; 0 where there is nothing to add, independent of the order of equal rows.
+
+    The words of a measure are computed once per row, not once per window function.
+    """
+    own = df.withColumns({f"_x_{name}": finite(src) for src, name in measures.items()})
+    split, words = split_columns(own, [f"_x_{name}" for name in measures.values()])
+    flat = {f"_w{i}_{name}": w for name in measures.values() for i, w in enumerate(words[f"_x_{name}"])}
+    summed = split.withColumns(flat).withColumns({f"_s{c}": F.sum(c).over(window) for c in flat})
+    sums = {name: joined([F.col(f"_s_w{i}_{name}") for i in range(WORDS)]) for name in measures.values()}
+    kept = [c for c in df.columns if c not in sums]
+    return summed.select(*kept, *[c.alias(name) for name, c in sums.items()])
 
 
 def running_sum(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], measures: Mapping[str, str]
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], measures: Mapping[str, str], any_size: bool = False
 ) -> DataFrame:
-    """Running sums per key. Meant for aggregated rows, a few per key and day."""
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumns(
-        {name: total(src, w) for src, name in measures.items()}
-    )
+    """Running sums per key. Meant for aggregated rows, a few per key and day; `prefix_sums` takes keys of any size.
+
+    With `any_size`, doubles of the whole range add up: a key's numbers are scaled by its highest exponent band, and what is
+    smaller than the largest number of the key by 2^66 and more does not count.
+    """
+    whole = Window.partitionBy(*keys)
+    w = whole.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    if not any_size:
+        return window_sums(df, w, measures)
+    scaled = df.withColumns({f"_band_{name}": F.max(band(finite(src))).over(whole) for src, name in measures.items()})
+    small = {f"_small_{name}": shifted(finite(src), F.col(f"_band_{name}")) for src, name in measures.items()}
+    summed = window_sums(scaled.withColumns(small), w, {f"_small_{name}": f"_sum_{name}" for name in measures.values()})
+    back = {name: shifted(F.col(f"_sum_{name}"), F.col(f"_band_{name}"), up=True) for name in measures.values()}
+    kept = [c for c in df.columns if c not in back]
+    return summed.select(*kept, *[c.alias(name) for name, c in back.items()])
 
 
 def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:

@@ -18,7 +18,7 @@ from skuloom.operators.projection import differs
 from skuloom.operators.reshape import (
     metrics_to_rows, metrics_to_rows_map, spread_metrics, spread_metrics_map,
 )
-from skuloom.operators.windows import running_sum
+from skuloom.operators.windows import running_sum, window_sums
 
 Inputs = Mapping[str, DataFrame]
 
@@ -70,9 +70,7 @@ def return_rates(inputs: Inputs) -> DataFrame:
         daily, ["skc"], ["date", "plan_category"], {f"_{m}": f"cum_{m}" for m in measures}
     )
     whole = Window.partitionBy("skc")
-    out = cumulated.withColumns(
-        {f"all_{m}": total(m, whole) for m in measures}
-    ).filter(counted)
+    out = window_sums(cumulated, whole, {m: f"all_{m}" for m in measures}).filter(counted)
     return out.select(
         day_text("date").alias("date"),
         "skc",
@@ -147,15 +145,17 @@ def refund_curve(inputs: Inputs, excluded_streamer: str | None = None) -> DataFr
         )
     )
     whole, by_delay, by_category = (Window.partitionBy(*day, *more) for more in ((), ("delay",), ("category",)))
+    parts = window_sums(parts, whole, {"_refund": "day_refund_only"})
+    parts = window_sums(parts, by_delay, {"_refund": "_return_qty"})
+    parts = window_sums(
+        parts, by_category,
+        {"sold_qty": "_sold_qty", "shipped_qty": "_shipped_qty", "returned_qty": "_returned_qty", "return_qty": "_all_return_qty"},
+    )
     parts = parts.withColumns(
         {
-            "day_refund_only": total("_refund", whole),
-            "_return_qty": total("_refund", by_delay),
             "_any": F.sum("_refunds").over(by_delay) > 0,
             "_nth_of_delay": F.row_number().over(by_delay.orderBy("category")),
             "_nth_of_category": F.row_number().over(by_category.orderBy("delay")),
-            **{f"_{m}": total(m, by_category) for m in ("sold_qty", "shipped_qty", "returned_qty")},
-            "_all_return_qty": total("return_qty", by_category),
         }
     )
     # refunds without a claim time count in the total of the day only
