@@ -138,6 +138,10 @@ TABLES = {
         FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey""",
     "sales_history": _HISTORY.replace("{op}", "<"),
     "sales_current": _HISTORY.replace("{op}", ">="),
+    "sessions": """SELECT concat('s', CAST(event_id AS STRING)) AS label, ts AS start,
+        CASE event_id % 5 WHEN 0 THEN ts + INTERVAL '40' MINUTE WHEN 1 THEN ts + INTERVAL '5' HOUR WHEN 2 THEN ts + INTERVAL '26' HOUR
+            WHEN 3 THEN ts + INTERVAL '9' DAY WHEN 4 THEN ts - INTERVAL '1' HOUR END AS end,
+        (event_id * 7919) % 1000003 AS _ord FROM {events} WHERE event_id % 89 = 0""",
     "stock_daily": """SELECT o_orderdate AS date, CAST(l_partkey AS STRING) AS sku,
         concat(p_brand, p_name) AS skc, CAST(p_size AS DOUBLE) AS opening_qty
         FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {part} ON l_partkey = p_partkey""",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from checks import fixtures as X
-from checks.queries import DAY_HOURS, LABELS, MONTH_HOURS, MONTH_SESSIONS, MONTHS, SHOPS
+from checks.queries import DAY_HOURS, LABELS, MONTH_HOURS, MONTH_SESSIONS, MONTHS, RATE_DATES, REFUND_DELAYS, SHOPS
 
 ORACLE: dict[str, str] = {}
 
@@ -24,8 +24,10 @@ DATES = {
     "q12_top20": "launch_time launch_date",
     "q12_top30": "launch_time launch_date",
     "q14_live_lines": "date",
+    "q14_live_lines_spans": "date",
     "q15_refund_curve": "paid_date",
     "q15_refund_curve_wide": "paid_date",
+    "q15_refund_curve_columns": "paid_date",
     "q17_ageing_detail": "as_of last_order_date",
     "q18_priority_skc": "launch_date",
 }
@@ -210,6 +212,38 @@ ROUTED = f"""routed AS (SELECT l.shop, site, online_style, c.style_code AS syste
         FROM listings WHERE shop IS DISTINCT FROM '{X.ROUTED_SHOP}'),
     enriched AS (SELECT r.*, c.color, {CHANNEL} AS channel, system_style || coalesce(c.color, '') AS skc
         FROM routed r LEFT JOIN catalog c ON {same('r.system_sku', 'c.sku')})"""
+LAST_SPAN = """arg_max({x}, (s._ord, s.start)) FILTER (l.paid_at BETWEEN s.start AND s."end")"""
+add(
+    "j8_spans_table",
+    f"""WITH l AS (SELECT row_number() OVER () AS rid, * FROM live_sales)
+    SELECT l.paid_at, l.style_code, l.sold_qty, {LAST_SPAN.format(x="s.label")} AS session, {LAST_SPAN.format(x="s.start")} AS since
+    FROM l LEFT JOIN sessions s ON l.paid_at BETWEEN s.start AND s."end" GROUP BY l.rid, 1, 2, 3""",
+)
+add(
+    "j8_spans_by_key",
+    f"""WITH l AS (SELECT row_number() OVER () AS rid, * FROM live_sales)
+    SELECT l.paid_at, CAST(length(l.style_code) AS INTEGER) AS k, l.sold_qty, {LAST_SPAN.format(x="s.label")} AS session
+    FROM l LEFT JOIN sessions s ON l.paid_at BETWEEN s.start AND s."end" AND length(l.style_code) = length(s.label) - 1
+    GROUP BY l.rid, 1, 2, 3""",
+)
+add(
+    "q14_live_lines_spans",
+    f"""WITH l AS (SELECT row_number() OVER () AS rid, * FROM live_sales WHERE trim(streamer_id, ' 　') = '{X.LIVE_STREAMER}')
+    SELECT l.paid_at, CAST(l.paid_at AS DATE) AS date, trim(l.streamer_id, ' 　') AS streamer_id, l.style_code, l.sold_qty,
+        {HOUR.replace('paid_at', 'l.paid_at')} AS hour, {LAST_SPAN.format(x="s.label")} AS session
+    FROM l LEFT JOIN sessions s ON l.paid_at BETWEEN s.start AND s."end" GROUP BY l.rid, 1, 2, 3, 4, 5, 6""",
+)
+add(
+    "w1_prefix_sums",
+    f"""SELECT l_returnflag, l_shipdate, l_orderkey, l_linenumber, l_quantity, l_extendedprice, sum(l_quantity) OVER w AS cum_qty,
+    {s('l_extendedprice').replace('AS BIGINT)), 0)', 'AS BIGINT)) OVER w, 0)')} AS cum_amt FROM lineitem
+    WINDOW w AS (PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber, l_extendedprice, l_quantity ROWS UNBOUNDED PRECEDING)""",
+)
+add(
+    "w3_row_positions",
+    """SELECT l_orderkey, l_linenumber, l_extendedprice,
+    row_number() OVER (ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS position FROM lineitem""",
+)
 add("j9_routed_union", f"WITH {ROUTED} SELECT shop, system_sku, color FROM enriched")
 
 add(
@@ -658,6 +692,15 @@ add(
     SELECT {_ids}, '' AS image, metric, {cells('day', ['v'], 2)} AS rates FROM m WHERE v IS NOT NULL
     GROUP BY {_ids}, metric""",
 )
+add("q13_return_rate_blocks", f"""WITH {RATES} SELECT skc, plan_category, date, cum_return_rate, cum_refund_only_rate,
+    cum_shipped_return_rate FROM rates WHERE date IS NOT NULL""")
+_rate_cells = ", ".join(f"""max(CASE WHEN day = '{d}' THEN v END) AS "{d}\"""" for d in RATE_DATES)
+add(
+    "q13_return_rate_columns",
+    f"""WITH {RATES}, m AS ({_metric_rows})
+    SELECT {_ids}, '' AS image, metric, {_rate_cells} FROM m WHERE v IS NOT NULL AND day BETWEEN '{RATE_DATES[0]}' AND '{RATE_DATES[-1]}'
+    GROUP BY {_ids}, metric""",
+)
 LIVE = f"""live AS (SELECT paid_at, CAST(paid_at AS DATE) AS date, trim(streamer_id) AS streamer_id, style_code,
         sold_qty, {HOUR} AS hour, {{session}} AS session FROM live_sales
         WHERE trim(streamer_id) = '{X.LIVE_STREAMER}')"""
@@ -695,6 +738,15 @@ add(
     {cells('delay', ['return_qty', 'cum_refund', 'cum_share'], 4)} AS curve
     FROM curve WHERE delay <= 25 GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10""",
 )
+_curve_cells = ", ".join(
+    f'''max(CASE WHEN delay = {d} THEN {m} END) AS "{m}_{d}"''' for m in ("return_qty", "cum_refund", "cum_share") for d in REFUND_DELAYS
+)
+add(
+    "q15_refund_curve_columns",
+    f"""WITH {CURVE} SELECT paid_date, skc, category, opening_stock, day_sold, day_refund_only, day_shipped,
+    pre_ship_refund_rate, post_ship_refund_rate, full_return_rate, {_curve_cells}
+    FROM curve WHERE delay BETWEEN {REFUND_DELAYS[0]} AND {REFUND_DELAYS[-1]} GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10""",
+)
 add(
     "q16_po_lead_time",
     f"""WITH {RECEIPTS}, {FIRST_PLAN},

@@ -16,6 +16,8 @@ from skuloom.functions import dates as D
 from skuloom.functions import numeric as N
 from skuloom.functions import text as T
 from skuloom.operators import aggregates as A
+from skuloom.operators import blocks as B
+from skuloom.operators import intervals as I
 from skuloom.operators import joins as J
 from skuloom.operators import projection as P
 from skuloom.operators import reshape as R
@@ -275,6 +277,21 @@ def j8_range_last_wins(x):
     )
 
 
+@operator
+def j8_spans_table(x):
+    """Spans from a table: short ones, some over midnight, some of days, many that overlap, some that end before they start."""
+    lines = x["live_sales"].select("paid_at", "style_code", "sold_qty")
+    return I.span_join(lines, "paid_at", x["sessions"], {"label": "session", "start": "since"})
+
+
+@operator
+def j8_spans_by_key(x):
+    """The same per key, spans in buckets of ten minutes and of a day."""
+    lines = x["live_sales"].select("paid_at", F.length("style_code").alias("k"), "sold_qty")
+    spans = x["sessions"].withColumn("digits", (F.length("label") - 1).cast("int"))
+    return I.span_join(lines, "paid_at", spans, {"label": "session"}, on={"k": "digits"}, widths=(600, 86_400))
+
+
 @operator
 def j9_routed_union(x):
     routed = J.lookup(
@@ -448,6 +465,21 @@ def w2_running_delay(x):
     return W.running_sum(daily, ["paid_date", "skc"], ["delay"], {"return_qty": "cum_refund"})
 
 
+@operator
+def w1_prefix_sums(x):
+    """Running sums over all rows of three keys, in blocks of a few thousand rows."""
+    lines = x.raw("lineitem").select("l_returnflag", "l_shipdate", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    measures = {"l_quantity": "cum_qty", "l_extendedprice": "cum_amt"}
+    return B.prefix_sums(lines, ["l_returnflag"], ["l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity"], measures, block_rows=5_000)
+
+
+@operator
+def w3_row_positions(x):
+    """The position of every line by price, without a window over all rows."""
+    lines = x.raw("lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return B.row_positions(lines, [F.desc("l_extendedprice"), F.asc("l_orderkey"), F.asc("l_linenumber")], block_rows=5_000)
+
+
 @operator
 def w4_keep_one(x):
     first = W.keep_one(x["catalog"], ["style_code", "color"], ["_ord"])
@@ -640,7 +672,13 @@ report("q12_top36", sellers.top_shares, as_of=X.AS_OF, k=36)
 report("q12_top12_shares", sellers.top_shares, as_of=X.AS_OF, k=12)
 report("q13_return_rates", returns.return_rates)
 report("q13_return_rate_matrix", returns.return_rate_maps, texts={"rates": 2})
+REFUND_DELAYS = range(-5, 26)
+RATE_DATES = [dt.date(1996, 1, 1) + dt.timedelta(days=i) for i in range(60)]
+report("q13_return_rate_columns", returns.return_rate_matrix, dates=RATE_DATES)
 report("q14_live_lines", live.live_lines, streamer_id=X.LIVE_STREAMER, sessions=MONTH_SESSIONS)
+QUERIES["q14_live_lines_spans"] = lambda spark, sf_dir: _date_texts(
+    live.live_lines(x := Inputs(spark, sf_dir), X.LIVE_STREAMER, x["sessions"])
+)
 report(
     "q14_live_board", live.live_board,
     streamer_id=X.LIVE_STREAMER, sessions=MONTH_SESSIONS, hours=MONTH_HOURS,
@@ -650,6 +688,21 @@ report(
     "q15_refund_curve_wide", returns.refund_curve_maps, texts={"curve": 4},
     excluded_streamer=X.STREAMER + ".0",
 )
+report(
+    "q15_refund_curve_columns", returns.refund_curve_wide,
+    delays=REFUND_DELAYS, excluded_streamer=X.STREAMER + ".0",
+)
+
+
+def q13_return_rate_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rates of all dates as blocks of 100 columns, put together again."""
+    rates = returns.return_rates(Inputs(spark, sf_dir))
+    keys = ["skc", "plan_category"]
+    blocks, columns = R.column_blocks(rates, keys, "date", returns.RETURN_METRICS, width=100)
+    return R.from_blocks(blocks, columns, keys, "date")
+
+
+QUERIES["q13_return_rate_blocks"] = q13_return_rate_blocks
 report("q16_po_lead_time", purchase.po_lead_time)
 report("q17_stock_ageing", ageing.stock_ageing, as_of=X.AGEING_AS_OF)
 report("q17_ageing_detail", ageing.ageing_detail, as_of=X.AGEING_AS_OF)

@@ -7,12 +7,16 @@ extra job, and has any number of cells. The column form takes the list of values
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skuloom.functions.numeric import joined, words
 from skuloom.operators.aggregates import all_present
+from skuloom.operators.blocks import row_positions
+from skuloom.operators.joins import lookup
 
 
 def _cells(key: Column | str, value: Column | str) -> Column:
@@ -69,14 +73,16 @@ def spread_flag(
     names = ["_".join(v) for v in values]
     if len(set(names)) < len(names):
         names = ["_".join(x.replace("_", "__") for x in v) for v in values]
-    wide = spread_flag_map(df, keys, by, flag, "_cells")
 
-    def place(combination: tuple[str, ...]) -> Column:
-        return F.struct(*[F.lit(x).alias(b) for x, b in zip(combination, by, strict=True)])
+    def holds(combination: tuple[str, ...]) -> Column:
+        return reduce(and_, [F.col(b) == F.lit(x) for b, x in zip(by, combination, strict=True)])
 
-    wide = _in_row(wide, "_cells", [place(v) for v in values])
+    # a key whose cells are all outside the list keeps its row, so rows are not filtered but by their keys
+    flags = df.filter(all_present([*keys, *by])).groupBy(*keys, *by).agg(F.max(flag).alias("_flag"))
+    cells = [F.max(F.when(holds(v), F.col("_flag"))).alias(f"_cell{i}") for i, v in enumerate(values)]
+    wide = flags.groupBy(*keys).agg(*cells)
     return wide.select(
-        *keys, *[F.when(F.get("_row", i) == 1, F.lit(yes)).otherwise(F.lit(no)).alias(n) for i, n in enumerate(names)]
+        *keys, *[F.when(F.col(f"_cell{i}") == 1, F.lit(yes)).otherwise(F.lit(no)).alias(n) for i, n in enumerate(names)]
     )
 
 
@@ -123,3 +129,32 @@ def metrics_to_rows(
     wide = metrics_to_rows_map(df.filter(F.col(by).isin(*values)), keys, metrics, by, "_cells", name)
     wide = _in_row(wide, "_cells", [F.lit(v) for v in values])
     return wide.select(*keys, name, *[F.get("_row", i).alias(str(v)) for i, v in enumerate(values)])
+
+
+def column_blocks(
+    df: DataFrame, keys: Sequence[str], by: str, metrics: Sequence[str], width: int = 256
+) -> tuple[DataFrame, DataFrame]:
+    """(blocks, columns): a wide table of any number of columns, cut into blocks of `width` of them.
+
+    `columns` has a row per value of `by` with its `block` and its place `nth` in the block, by value. `blocks` has a row per
+    key and block in which the key has a cell: `cells` is an array of `width` structs of the metrics, in the order of the
+    columns, null where there is none. So neither a row nor a map grows with the number of columns. (keys, by) identifies a
+    row; rows without a value of `by` are left out.
+    """
+    kept = df.filter(F.col(by).isNotNull())
+    places = row_positions(kept.select(by).distinct(), [by], "_position", block_rows=1_000_000)
+    columns = places.select(
+        by, F.floor((F.col("_position") - 1) / width).cast("int").alias("block"), ((F.col("_position") - 1) % width).cast("int").alias("nth")
+    )
+    placed = lookup(kept.select(*keys, by, *metrics), columns, [by], {"block": "_block", "nth": "_nth"}, null_safe=False)
+    cell = F.struct(F.col("_nth").alias("k"), F.struct(*metrics).alias("v"))
+    found = placed.groupBy(*keys, F.col("_block").alias("block")).agg(F.map_from_entries(F.collect_list(cell)).alias("_cells"))
+    row = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.try_element_at("_cells", i))
+    return found.select(*keys, "block", row.alias("cells")), columns
+
+
+def from_blocks(blocks: DataFrame, columns: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
+    """The long form back: a row per key and value of `by` that has a cell."""
+    cells = blocks.select(*keys, F.col("block").alias("_block"), F.posexplode("cells").alias("_nth", "_cell")).filter("_cell IS NOT NULL")
+    named = cells.join(columns, (F.col("_block") == F.col("block")) & (F.col("_nth") == F.col("nth")))
+    return named.select(*keys, by, "_cell.*")

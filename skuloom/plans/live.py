@@ -11,6 +11,7 @@ from skuloom.functions.dates import (
     Session, hour_label, parse_ts, session_hours, session_label, within_sessions,
 )
 from skuloom.functions.text import strip
+from skuloom.operators.intervals import span_join
 from skuloom.operators.reshape import spread_sum
 
 Inputs = Mapping[str, DataFrame]
@@ -20,11 +21,19 @@ def _typed(sales: DataFrame) -> bool:
     return sales.schema["paid_at"].dataType.typeName().startswith("timestamp")
 
 
-def live_lines(inputs: Inputs, streamer_id: str, sessions: Sequence[Session]) -> DataFrame:
-    """Lines of one streamer with hour and session label; null outside all sessions."""
+def live_lines(inputs: Inputs, streamer_id: str, sessions: Sequence[Session] | DataFrame) -> DataFrame:
+    """Lines of one streamer with hour and session label; null outside all sessions.
+
+    The sessions are a list, or a table with `label`, `start`, `end` and `_ord`; the last of overlapping ones wins.
+    """
     sales = inputs["live_sales"]
     paid = F.col("paid_at").cast("timestamp_ntz") if _typed(sales) else parse_ts("paid_at")
     lines = sales.filter(strip(F.col("streamer_id").cast("string")) == streamer_id).withColumn("paid_at", paid)
+    if isinstance(sessions, DataFrame):
+        lines = span_join(lines, "paid_at", sessions, {"label": "_session"})
+        session = F.col("_session")
+    else:
+        session = session_label("paid_at", sessions)
     return lines.select(
         "paid_at",
         F.col("paid_at").cast("date").alias("date"),
@@ -32,7 +41,7 @@ def live_lines(inputs: Inputs, streamer_id: str, sessions: Sequence[Session]) ->
         "style_code",
         "sold_qty",
         hour_label("paid_at").alias("hour"),
-        session_label("paid_at", sessions).alias("session"),
+        session.alias("session"),
     )
 
 

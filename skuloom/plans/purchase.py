@@ -139,12 +139,16 @@ def po_lead_time(inputs: Inputs, salt_rows: int | None = None) -> DataFrame:
     done_at = F.when(F.col("completed_at").isNotNull(), position)
     parts = lines.groupBy("po_no", "po_skc").agg(
         total("received_qty").alias("_received"), total("po_qty").alias("_ordered"),
-        F.collect_set("status").alias("_status"), F.min(done_at).alias("_done_at"),
+        *[F.max((F.col("status") == s).cast("int")).alias(f"_is{i}") for i, s in enumerate(K.OPEN_STATUSES)],
+        F.min(done_at).alias("_done_at"),
     )
     order = Window.partitionBy("po_no")
     parts = parts.withColumns(
         {
-            "_statuses": F.array_distinct(F.flatten(F.collect_list("_status").over(order))),
+            # flags, not lists: lines without an order number are all one order
+            "_statuses": F.array_compact(
+                F.array(*[F.when(F.max(f"_is{i}").over(order) == 1, F.lit(s)) for i, s in enumerate(K.OPEN_STATUSES)])
+            ),
             "_first_completed": F.min("_done_at").over(order)["completed_at"],
         }
     )

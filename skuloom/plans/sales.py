@@ -159,16 +159,22 @@ def first_hot_day(inputs: Inputs, threshold: float = 10) -> DataFrame:
     return hot.orderBy("first_hot_day", "skc")
 
 
-def all_time_sales(inputs: Inputs) -> DataFrame:
-    """Sold, returned and net quantity per SKC, history and current export."""
-    lines = union_all(inputs["sales_history"], inputs["sales_current"])
-    lines = lines.select(
+SALES_KEYS = ("skc", "style_code", "color")
+SALES_SUMS = ("sold_qty", "return_qty", "net_qty")
+
+
+def sold_lines(lines: DataFrame) -> DataFrame:
+    """Lines of a sales export with their SKC and net quantity; what is no number counts as 0."""
+    return lines.select(
         join_key("style_code", color_of("color_spec")).alias("skc"),
         "style_code",
         color_of("color_spec").alias("color"),
         zero(to_number("sold_qty")).alias("sold_qty"),
         zero(to_number("return_qty")).alias("return_qty"),
     ).withColumn("net_qty", F.col("sold_qty") - F.col("return_qty"))
-    return group_sum(
-        lines, ["skc", "style_code", "color"], ["sold_qty", "return_qty", "net_qty"]
-    )
+
+
+def all_time_sales(inputs: Inputs) -> DataFrame:
+    """Sold, returned and net quantity per SKC, history and current export. `history` keeps them up to date day by day."""
+    lines = sold_lines(union_all(inputs["sales_history"], inputs["sales_current"]))
+    return group_sum(lines, SALES_KEYS, SALES_SUMS)

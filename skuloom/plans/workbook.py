@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 
 from skuloom.plans import ageing, catalog, purchase, sales, sellers
-from skuloom.sources.writers import write_report
+from skuloom.sources.writers import write_bundle, write_report
 
 Inputs = Mapping[str, DataFrame]
 
@@ -42,8 +42,15 @@ def daily_workbook(inputs: Inputs, excluded_styles: Sequence[str] = ()) -> dict[
     }
 
 
-def write_daily_workbook(inputs: Inputs, path: str, excluded_styles: Sequence[str] = ()) -> None:
-    write_report(daily_workbook(inputs, excluded_styles), path)
+def _write(sheets: Mapping[str, DataFrame], path: str, as_unit: bool) -> str | None:
+    """A directory per table, or with `as_unit` a run that readers see whole or not at all (`read_run`), and its name."""
+    return write_bundle(sheets, path) if as_unit else write_report(sheets, path)
+
+
+def write_daily_workbook(
+    inputs: Inputs, path: str, excluded_styles: Sequence[str] = (), as_unit: bool = False
+) -> str | None:
+    return _write(daily_workbook(inputs, excluded_styles), path, as_unit)
 
 
 def sellers_workbook(inputs: Inputs, as_of: dt.date) -> dict[str, DataFrame]:
@@ -56,8 +63,8 @@ def sellers_workbook(inputs: Inputs, as_of: dt.date) -> dict[str, DataFrame]:
     }
 
 
-def write_sellers_workbook(inputs: Inputs, path: str, as_of: dt.date) -> None:
-    write_report(sellers_workbook(inputs, as_of), path)
+def write_sellers_workbook(inputs: Inputs, path: str, as_of: dt.date, as_unit: bool = False) -> str | None:
+    return _write(sellers_workbook(inputs, as_of), path, as_unit)
 
 
 def ageing_workbook(inputs: Inputs, as_of: dt.date) -> dict[str, DataFrame]:
@@ -65,5 +72,5 @@ def ageing_workbook(inputs: Inputs, as_of: dt.date) -> dict[str, DataFrame]:
     return {"ageing": ageing.stock_ageing(inputs, as_of), "detail": ageing.ageing_detail(inputs, as_of)}
 
 
-def write_ageing_workbook(inputs: Inputs, path: str, as_of: dt.date) -> None:
-    write_report(ageing_workbook(inputs, as_of), path)
+def write_ageing_workbook(inputs: Inputs, path: str, as_of: dt.date, as_unit: bool = False) -> str | None:
+    return _write(ageing_workbook(inputs, as_of), path, as_unit)
