@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import functools
 import inspect
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -26,10 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset, a temporary one is set."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only a local session, where that is unset, gets a
+    temporary one."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not re.match(r"local(\[|$)", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="skuloom-")
         context.setCheckpointDir(folder)
     return folder.rstrip("/")
