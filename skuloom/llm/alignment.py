@@ -53,8 +53,11 @@ BLOCK_BYTES = 32_000_000
 BLOCK_PAIRS = 1 << 16
 #: Chunks, or sums of them, that meet in one group.
 FAN = 64
-#: Units encoded as one text.
+#: Units encoded as one text, texts in a call.
 JOINED = 500
+BATCH = 20
+#: Tokens written as text at once.
+STEP = 100_000
 #: Stands for a block where a chunk's tokens travel.
 TOKENS = -1
 
@@ -174,32 +177,30 @@ def encoded(strings: list[str], path_a: str, path_b: str) -> Iterator[tuple[list
 
 def tokens_of(units: Sequence[str], path_a: str, path_b: str) -> Tokens:
     """Encode distinct units, many in a call. Units that a tokenizer changes are left out."""
-    numbered = list(enumerate(units))
-    alone = [n for n in numbered if odd(n[1])]
-    apart = {i for i, _ in alone}
-    plain = [n for n in numbered if n[0] not in apart]
-    ids_a: list[int] = []
-    ids_b: list[int] = []
-    kept: list[int] = []
-
-    def take(groups: list[list[tuple[int, str]]]) -> list[tuple[int, str]]:
+    alone = [i for i, u in enumerate(units) if odd(u)]
+    apart = set(alone)
+    plain = [i for i in range(len(units)) if i not in apart]
+    # numbers in place of Python's integers, which weigh five times as much
+    kept, sides = [], ([], [])
+
+    def take(groups: list[list[int]]) -> list[int]:
         """Encode the groups, units joined by spaces; the units of those that do not come back whole."""
         changed = []
-        texts = [" ".join([u for _, u in g]) for g in groups]
+        texts = [" ".join([units[i] for i in g]) for g in groups]
         for group, ids in zip(groups, encoded(texts, path_a, path_b), strict=True):
             if ids is None:
                 changed += group
                 continue
-            kept.extend([i for i, _ in group])
-            ids_a.extend(ids[0])
-            ids_b.extend(ids[1])
+            kept.append(np.array(group, np.int32))
+            for side, own in zip(sides, ids, strict=True):
+                side.append(np.array(own, np.int32))
         return changed
 
-    for at in range(0, len(plain), 50 * JOINED):
-        alone += take([plain[i : i + JOINED] for i in range(at, min(at + 50 * JOINED, len(plain)), JOINED)])
-    for at in range(0, len(alone), 50):
-        take([[n] for n in alone[at : at + 50]])
-    return Tokens(*(np.array(x, np.int64) for x in (kept, ids_a, ids_b)))
+    for at in range(0, len(plain), BATCH * JOINED):
+        alone += take([plain[i : i + JOINED] for i in range(at, min(at + BATCH * JOINED, len(plain)), JOINED)])
+    for at in range(0, len(alone), BATCH):
+        take([[i] for i in alone[at : at + BATCH]])
+    return Tokens(*(np.concatenate([np.zeros(0, np.int32), *x]).astype(np.int64) for x in (kept, *sides)))
 
 
 def aligned(kept: list[str], ids: tuple[np.ndarray, np.ndarray], path_a: str, path_b: str) -> Aligned:
@@ -230,14 +231,19 @@ def group_texts(found: Aligned) -> tuple[np.ndarray, np.ndarray]:
     place = 2 * np.searchsorted(found.common, ends) + side
     order = np.argsort(place, kind="stable")
     ids, place, ends = ids[order], place[order], ends[order]
+    behind = np.where(place % 2 == 0, ord("|"), ord(";")).astype(np.uint8)
+    behind[:-1][place[1:] == place[:-1]] = ord(",")
+    del place, order
     data, starts, sizes = decimals(int(ids.max()) + 1 if len(ids) else 0)
-    flat, sizes = joined(data, starts, sizes, ids), sizes[ids]
-    step = np.diff(place, append=-1)
-    behind = np.where(step == 0, ord(","), np.where(place % 2 == 0, ord("|"), ord(";")))
-    flat[np.cumsum(sizes) - 1] = behind
+    parts = [np.zeros(0, np.uint8)]
+    # the places of the bytes weigh far more than the bytes
+    for at in range(0, len(ids), STEP):
+        own = ids[at : at + STEP]
+        parts.append(joined(data, starts, sizes, own))
+        parts[-1][np.cumsum(sizes[own]) - 1] = behind[at : at + STEP]
     per_unit = np.zeros(len(found.units), np.int64)
-    np.add.at(per_unit, np.searchsorted(found.unit_ends, ends), sizes)
-    return flat, per_unit
+    np.add.at(per_unit, np.searchsorted(found.unit_ends, ends), sizes[ids])
+    return np.concatenate(parts), per_unit
 
 
 @functools.lru_cache(maxsize=2)
@@ -265,12 +271,16 @@ def distinct_units(parts: list[list[str] | None]) -> list[str]:
 
 
 def placed(parts: list[list[str] | None], units: list[str], tokens: Tokens, path_a: str, path_b: str) -> tuple[list[np.ndarray | None], Aligned]:
-    """The numbers of each text's units among the aligned ones, None for texts without tokens."""
+    """The numbers of each text's units among the aligned ones, None for texts without tokens. Empties `parts`."""
     kept = [units[i] for i in tokens.kept.tolist()]
     number = dict(zip(kept, range(len(kept)), strict=True))
     # a tokenizer that changes a unit shortens it: what it gives back cannot be the text
-    whole = [p if p and (len(kept) == len(units) or all(map(number.__contains__, p))) else None for p in parts]
-    found = [p and np.fromiter(map(number.__getitem__, p), np.int64, len(p)) for p in whole]
+    found: list[np.ndarray | None] = []
+    for i, p in enumerate(parts):
+        whole = p and (len(kept) == len(units) or all(map(number.__contains__, p)))
+        found.append(np.fromiter(map(number.__getitem__, p), np.int32, len(p)) if whole else None)
+        # the units of the text are not needed any more
+        parts[i] = None
     return found, aligned(kept, tokens[1:], path_a, path_b)
 
 

@@ -117,7 +117,9 @@ def whole(text):
     return int(found.n_a[part].sum()), int(found.n_b[part].sum()), groups, [(x >> 32, x & 0xFFFFFFFF) for x in pairs]
 
 
-def test_long_text():
+@pytest.mark.parametrize("step", [7, 100_000])
+def test_long_text(monkeypatch, step):
+    monkeypatch.setattr(AL, "STEP", step)
     for text in (prose(3, 3000, 900), "x" * 5000, "1" * 700 + "." * 100, "\n".join(prose(i, 20) for i in range(50))):
         n_a, n_b, groups, links = plain_links(text)
         assert whole(text) == (n_a, n_b, ";".join(groups), links)
