@@ -30,7 +30,8 @@ def test_query_matches_sql(spark, duck, name):
 DEFINED = {
     "s1_first_of_export": {"missing"}, "p1_conform": {"missing"}, "q12_top20": {"launch_time", "category", "ref_price"},
     "q12_top30": {"launch_time", "category", "ref_price"}, "q12_top36": {"image"}, "q12_top12_shares": {"image"},
-    "q13_return_rate_matrix": {"image"}, "q14_live_lines": {"streamer_id"},
+    "q13_return_rate_matrix": {"image"}, "q14_live_lines": {"streamer_id"}, "q14_live_lines_spans": {"streamer_id"},
+    "q13_return_rate_columns": {"image"},
     "q14_live_board": {"image", "category", *MONTH_HOURS}, "q17_ageing_detail": {"as_of"},
 }
 
