@@ -8,12 +8,19 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skuloom.operators.windows import keep_one
 
 # A key with more rows than this is split into parts of about this size, where salting is asked for.
 SALT_ROWS = 1_000_000
 
+# Keys that a sketch of frequent keys holds: a power of two, and its share that may be full.
+SKETCH_KEYS = 1 << 16
+SKETCH_FILL = 0.75
+# Sketches are joined in so many groups first.
+SKETCH_GROUPS = 512
+
 ORDER = "_ord"
 
 
@@ -70,11 +77,10 @@ def split_join(
 ) -> DataFrame:
     """Left join in which frequent keys of the left side are split.
 
-    One pass over the key columns counts the rows per key. Every key with more
-    than `split_rows` rows is cut into parts by a hash of the row (of
-    its columns `spread_by`, by default its ingest order); the matching rows of
-    `side` are repeated for every part. The part is a function of the row, so a
-    task that runs again puts each row where it was before.
+    A sketch (`frequent_keys`) finds the keys with more than `split_rows` rows in one pass over the key columns, when this
+    function is called. Each is cut into parts by a hash of the row (of its columns `spread_by`, by default its ingest
+    order); the matching rows of `side` are repeated for every part. The part is a function of the row, so a task that
+    runs again puts each row where it was before.
 
     The counts only steer the work, any row finds its partners whatever they
     say. So they can be taken from an earlier stage of `df`, given as
@@ -82,14 +88,10 @@ def split_join(
     """
     left_keys = [left for left, _ in pairs]
     hot_names = [f"_hot{i}" for i in range(len(pairs))]
-    counts = (
-        (df if keys_from is None else keys_from)
-        .groupBy(*[F.col(c).alias(h) for c, h in zip(left_keys, hot_names)])
-        .agg(F.count(F.lit(1)).alias("_rows"))
-    )
-    hot = counts.filter(F.col("_rows") > split_rows).select(
-        *hot_names, F.ceil(F.col("_rows") / split_rows).cast("int").alias("_parts")
-    )
+    source = df if keys_from is None else keys_from
+    found = frequent_keys(source.select(*[F.col(c).alias(h) for c, h in zip(left_keys, hot_names)]), split_rows)
+    # at most SKETCH_KEYS rows
+    hot = F.broadcast(found.select(*hot_names, F.ceil(F.col("rows") / split_rows).cast("int").alias("_parts")))
     row_hash = F.xxhash64(*(spread_by or ([ORDER] if ORDER in df.columns else df.columns)))
     left = df.join(hot, _equal(list(zip(left_keys, hot_names)), True), "left").select(
         *df.columns,
@@ -111,6 +113,34 @@ def split_join(
     ).select(*df.columns, *side.columns)
 
 
+def frequent_keys(keys: DataFrame, over: int, sketch_keys: int = SKETCH_KEYS) -> DataFrame:
+    """The keys (rows of `keys`, of any columns) that stand in more than `over` rows, and about how many: `rows`.
+
+    One pass and no shuffle but of sketches, each of `sketch_keys` keys at most. Of n rows, counts are off by 3.5 * n /
+    `sketch_keys` at most, and every key with more than `over` and 7 * n / `sketch_keys` rows is found, whatever the order of
+    the rows. A key in fewer rows may be found too. The result is a small local table, at most `sketch_keys` rows, so that all
+    who join it see the same keys and counts also where tasks run again.
+    """
+    held = int(sketch_keys * SKETCH_FILL)
+    # a key as one text, which keeps nulls apart from all values
+    item = F.to_json(F.struct(*[F.col(f"`{c}`") for c in keys.columns])).alias("item")
+    sketches = (
+        keys.select(item, (F.spark_partition_id() % SKETCH_GROUPS).alias("part"))
+        .groupBy("part").agg(F.expr(f"approx_top_k_accumulate(item, {held})").alias("sketch"))
+    )
+    # no rows have no sketch
+    whole = sketches.groupBy(F.lit("all")).agg(F.expr(f"approx_top_k_combine(sketch, {held})").alias("sketch"))
+    top = whole.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {held})")).alias("x")).select("x.item", F.col("x.count").alias("rows"))
+    rows = top.filter(F.col("rows") > over).collect()
+    found = keys.sparkSession.createDataFrame(rows, "item string, rows long")
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in keys.schema])
+    found = found.select(F.from_json("item", schema).alias("key"), "rows").select("key.*", "rows")
+    if any(isinstance(f.dataType, (T.FloatType, T.DoubleType)) for f in schema):
+        # 0.0 and -0.0 are one key, but two texts
+        found = found.groupBy(*keys.columns).agg(F.sum("rows").alias("rows"))
+    return found
+
+
 def keep_matching(df: DataFrame, keys: DataFrame, on: Mapping[str, str]) -> DataFrame:
     """Rows whose key occurs in `keys`; a null key matches a null key."""
     pairs = [(left, f"_key{i}") for i, left in enumerate(on)]

@@ -86,6 +86,54 @@ def test_every_frequent_key_is_split(spark):
     assert J.split_join(left, right, [("key", "_key0")], 2).filter("v = 1").count() == 20_000
 
 
+def test_frequent_keys_are_found_within_the_bound(spark):
+    n, held = 60_000, 256
+    # rare keys by far outnumber the places of the sketch; a third of all rows has one key
+    left = spark.range(n).repartition(7).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 11 == 0, F.lit(None))
+        .when(F.col("id") % 13 == 0, F.concat(F.lit("w"), (F.col("id") % 2).cast("string")))
+        .otherwise(F.col("id").cast("string")).alias("k"),
+        F.when(F.col("id") % 5 > 0, F.col("id") % 2).alias("d"),
+    )
+    exact = {(r["k"], r["d"]): r["count"] for r in left.groupBy("k", "d").count().collect()}
+    error, over = 3.5 * n / held, 500
+    found = {(r["k"], r["d"]): r["rows"] for r in J.frequent_keys(left, over, held).collect()}
+    assert {k for k, c in exact.items() if c > max(over, 2 * error)} <= set(found)
+    assert all(abs(c - exact[k]) <= error and c > over for k, c in found.items())
+    assert found.keys() >= {("hot", 0), ("hot", 1), ("hot", None)}
+    assert len(J.frequent_keys(left, 0, held).collect()) <= held
+
+
+def test_frequent_keys_of_odd_values(spark, rows):
+    odd = [None, "", "null", '"', "{}", "a\\n", "\u00e9", " a", "a"]
+    left = spark.createDataFrame([(k, i) for k in odd for i in range(4)], "key string, line int")
+    assert rows(J.frequent_keys(left.select("key"), 3)) == sorted([(k, 4) for k in odd], key=lambda t: [(x is None, str(x)) for x in t])
+    assert J.frequent_keys(left.select("key").limit(0), 3).collect() == []
+    right = spark.createDataFrame([(k, k) for k in odd], "_key0 string, v string")
+    got = J.split_join(left, right, [("key", "_key0")], 1).select("key", "v", "line")
+    assert rows(got) == rows(left.select("key", F.col("key").alias("v"), "line"))
+    zeros = spark.createDataFrame([(0.0, 1), (-0.0, 2), (float("nan"), 3)] * 4, "key double, line int")
+    side = spark.createDataFrame([(0.0, "z"), (float("nan"), "n")], "_key0 double, v string")
+    got = J.split_join(zeros, side, [("key", "_key0")], 2).select("line", "v")
+    assert rows(got) == sorted([(1, "z"), (2, "z"), (3, "n")] * 4)
+    numbers = spark.range(12).select((F.col("id") % 2).cast("int").alias("key"), F.col("id").alias("line"))
+    longs = spark.createDataFrame([(0, "a"), (1, "b"), (1 << 40, "c")], "_key0 long, v string")
+    got = J.split_join(numbers, longs, [("key", "_key0")], 2).select("line", "v")
+    assert rows(got) == rows(numbers.select("line", F.when(F.col("key") == 0, "a").otherwise("b")))
+
+
+def test_counting_keys_adds_no_shuffle_of_rows(spark, tables):
+    left, right = tables
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = J.split_join(left, right, [("key", "_key0")], 100)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    # both sides of the join itself
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
 def test_composite_keys(spark, rows):
     left = spark.createDataFrame([("a", 1), ("a", None), (None, None)] * 5, "k string, d int")
     right = spark.createDataFrame([("a", None, "x"), (None, None, "y")], "_key0 string, _key1 int, v string")
