@@ -6,20 +6,24 @@ occurrences by the sum of the larger; from `THRESHOLD` on the document leaks the
 
 1. Windows are cut where they can match. A window of similarity t lacks at most a share 1 - t of the item's shingles, so
    one of any (1 - t) * n + 1 of them stands in it; so many anchors are taken per item, those of least hash, and a window
-   is laid where a document has an anchor at the anchor's place in the item. Windows reaching over an end are clipped.
+   is laid where a document has an anchor at one of the anchor's places in the item, and at the starts on both sides to
+   which inserted or deleted words can move it (`slack`). Windows reaching over an end are clipped.
 2. Every window and every item gets a 64-bit SimHash. Fingerprints are cut into 8 blocks of 8 bits; of two within
    `RADIUS` (15) bits one block differs by one bit at most, so blocks with their one-bit neighbours, listed on the side of
    the items, find all fingerprints within the radius.
 3. The similarity is computed from the full shingles of window and item.
 
-Step 1 loses no window that lies on the item word for word but for replaced words. SimHash is the one step with a chance:
-at a similarity of exactly 0.8 about 2 in 100 pairs differ by more than 15 bits, at 0.9 fewer than 1 in 1000, and equal
-texts never.
+Step 1 loses no window that holds the item's words in their order but for replaced, inserted and deleted words; where parts
+of an item change places, it may find a lesser window of it. SimHash is the one step with a chance: at a similarity of
+exactly 0.8 about 2 in 100 pairs differ by more than 15 bits, at 0.9 fewer than 1 in 1000, and equal texts never.
+
+An item of one to four words is a single shingle of all its words. A window of as many words is one too: its fingerprint
+is the shingle's hash, its similarity 1 or 0. So equal hashes are joined.
 
 Everything is DataFrame expressions. Anchors, blocks of items and the starts of windows are broadcast up to
 `BROADCAST_ROWS`, counted first; beyond that both sides are shuffled.
 
-Null texts hold nothing. Items under five words are not searched. Null and repeated ids are taken as they are: one row per
+Null texts hold nothing, items without a word are in no text. Null and repeated ids are taken as they are: one row per
 distinct pair of document id and item id, the best window of each. Further columns are ignored.
 """
 
@@ -39,13 +43,21 @@ BROADCAST_ROWS = 300_000
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
 
-def shingled(rows: DataFrame, *keep: str) -> DataFrame:
-    """The columns `keep`, the number of words `m`, and the hash of every shingle in the order of the text (null: none)."""
+def hashed(rows: DataFrame, *keep: str) -> DataFrame:
+    """The columns `keep` and the hashes `h` of the words."""
     split = rows.select(*keep, F.array_remove(F.split(F.lower(text_or_empty()), NOT_WORD), "").alias("words"))
-    hashed = split.select(*keep, F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
-    starts = F.sequence(F.lit(0), F.size("h") - NGRAM)
-    shingles = F.transform(starts, lambda i: F.xxhash64(*[F.get("h", i + k) for k in range(NGRAM)]))
-    return hashed.select(*keep, F.size("h").alias("m"), F.when(F.size("h") >= NGRAM, shingles).alias("shingles"))
+    return split.select(*keep, F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
+
+
+def grams(n: int) -> Column:
+    """The hash of every shingle of n words, in the order of the text (null: none)."""
+    starts = F.sequence(F.lit(0), F.size("h") - n)
+    return F.when(F.size("h") >= n, F.transform(starts, lambda i: F.xxhash64(*[F.get("h", i + k) for k in range(n)])))
+
+
+def shingled(rows: DataFrame, *keep: str) -> DataFrame:
+    """The columns `keep`, the number of words `m`, and the shingles."""
+    return hashed(rows, *keep).select(*keep, F.size("h").alias("m"), grams(NGRAM).alias("shingles"))
 
 
 def fingerprint(shingles: str) -> Column:
@@ -89,13 +101,24 @@ def items_of(benchmark: DataFrame) -> DataFrame:
     )
 
 
+def slack(m: Column, threshold: float) -> Column:
+    """By how many words an anchor may stand off its place in a window of the threshold.
+
+    Standing early by d, it leaves d of the item's shingles no room before it; late by d, it has d others before it, for
+    which as many of the item are left out at the end. At most a share 1 - t of the item's shingles may be left out.
+    """
+    return F.floor((m - NGRAM + 1) * (1 - threshold) + 1e-9).cast("int")
+
+
 def anchors_of(items: DataFrame, threshold: float) -> DataFrame:
-    """Distinct (shingle, m, place) by which windows are laid: a shingle's first place in the item."""
+    """Distinct (shingle, m, place) by which windows are laid: a shingle's places in the item, and those next to them."""
     ordered = F.array_sort(F.array_distinct("item_shingles"))
     # a share 1 - threshold of all shingles, repeated ones included, may be missing
     needed = F.floor(F.size("item_shingles") * (1 - threshold) + 1e-9).cast("int") + 1
-    picked = items.select("m", "item_shingles", F.explode(F.slice(ordered, F.lit(1), needed)).alias("shingle"))
-    return picked.select("shingle", "m", (F.array_position("item_shingles", F.col("shingle")) - 1).cast("int").alias("place")).distinct()
+    picked = items.select("m", F.slice(ordered, F.lit(1), needed).alias("picked"), F.posexplode("item_shingles").alias("at", "shingle"))
+    picked = picked.filter(F.array_contains("picked", F.col("shingle")))
+    near = F.sequence(F.col("at") - slack(F.col("m"), threshold), F.col("at") + slack(F.col("m"), threshold))
+    return picked.select("shingle", "m", F.explode(near).alias("place")).distinct()
 
 
 def window(shingles: str, m: Column, start: Column) -> Column:
@@ -133,6 +156,30 @@ def windows_of(docs: DataFrame, anchors: DataFrame, broadcast_rows: int) -> Data
     return again.select("doc_id", F.explode_outer(cut).alias("x")).select("doc_id", "x.*").distinct()
 
 
+def short_leaks(docs: DataFrame, benchmark: DataFrame, broadcast_rows: int) -> DataFrame | None:
+    """The rows of `leaks` for the items of one to four words; None if there are no such items."""
+    words = hashed(benchmark, "item_id").withColumn("m", F.size("h")).filter((F.col("m") > 0) & (F.col("m") < NGRAM))
+    # four numbers at most
+    lengths = {r["m"]: r["n"] for r in words.groupBy("m").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not lengths:
+        return None
+
+    def whole(n: int) -> Column:
+        return F.when(F.col("m") == n, F.get(grams(n), F.lit(0)))
+
+    items = words.select("item_id", "m", F.coalesce(*map(whole, sorted(lengths))).alias("gram")).distinct()
+
+    def of_length(n: int) -> Column:
+        found = F.transform(grams(n), lambda g, i: F.struct(F.lit(n).alias("m"), i.alias("start_word"), g.alias("gram")))
+        return F.coalesce(found, F.array().cast("array<struct<m:int,start_word:int,gram:bigint>>"))
+
+    parts = hashed(docs, "doc_id").select("doc_id", F.explode(F.concat(*map(of_length, sorted(lengths)))).alias("x"))
+    met = parts.select("doc_id", "x.*").join(small(items, sum(lengths.values()), broadcast_rows), ["m", "gram"])
+    return met.groupBy("doc_id", "item_id", "m").agg(F.min("start_word").alias("start_word")).select(
+        "doc_id", "item_id", F.lit(1.0).alias("similarity"), "start_word", F.col("m").alias("n_words"), F.lit(0).alias("distance"),
+    )
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """(doc_id, item_id, similarity, start_word, n_words, distance): the best window of each pair."""
     items = checkpointed(items_of(benchmark))
@@ -162,10 +209,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, b
     full = small(items.select("item", "item_id", "m", "item_shingles"), words, broadcast_rows)
     verified = near_pairs.join(full, "item").withColumn("similarity", weighted_similarity("window", "item_shingles"))
     best = F.max(F.struct("similarity", (-F.col("start")).alias("back"), "m", "distance")).alias("best")
-    return (
-        verified.filter(F.col("similarity") >= threshold).groupBy("doc_id", "item_id").agg(best)
-        .select(
-            "doc_id", "item_id", "best.similarity", (-F.col("best.back")).alias("start_word"),
-            F.col("best.m").alias("n_words"), F.col("best.distance").alias("distance"),
-        )
+    short = short_leaks(docs, benchmark, broadcast_rows)
+    found = verified.filter(F.col("similarity") >= threshold).select("doc_id", "item_id", "similarity", "start", "m", "distance")
+    if short is not None:
+        found = found.union(short)
+    return found.groupBy("doc_id", "item_id").agg(best).select(
+        "doc_id", "item_id", "best.similarity", (-F.col("best.back")).alias("start_word"),
+        F.col("best.m").alias("n_words"), F.col("best.distance").alias("distance"),
     )

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from .conftest import by_row, odd_documents, prose
 from skuloom.llm import components, decontaminate, ngram_join, suffix_dedup, suffixes, warc
@@ -231,13 +232,18 @@ def test_components(spark):
 def plain_leaks(docs, items):
     def shingles(text):
         words = re.findall(r"[^\W_]+", (text or "").lower())
-        return [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+        return {n: [tuple(words[i : i + n]) for i in range(len(words) - n + 1)] for n in range(1, 6)}, len(words)
 
     best = {}
-    known = {i: shingles(t) for i, t in items}
+    known = {}
+    for i, t in items:
+        found, m = shingles(t)
+        if m:
+            known.setdefault(i, []).append((min(m, 5), found[min(m, 5)]))
     for d, t in docs:
-        own = shingles(t)
-        for i, item in known.items():
+        grams = shingles(t)[0]
+        for i, n, item in ((i, *x) for i, more in known.items() for x in more):
+            own = grams[n]
             if not set(item) & set(own):
                 continue
             want = Counter(item)
@@ -271,7 +277,55 @@ def test_decontamination(spark, odd, limit):
     want = plain_leaks(rows, items)
     assert {(r["doc_id"], r["item_id"]): round(r["similarity"], 9) for r in got} == {k: round(v, 9) for k, v in want.items()}
     assert len(got) == len(want) and {r["doc_id"] for r in got} >= {*range(9), 50, 51, 52, 53}
-    assert decontaminate.leaks(odd, bench, broadcast_rows=limit).count() == 0
+    assert {d for d, i in want if i == 9} == {9} and decontaminate.leaks(odd, bench, broadcast_rows=limit).count() == 0
+
+
+def test_short_items(spark, odd):
+    rows = [
+        (1, "one TWO, three four five"), (2, "two three"), (2, "two three"), (3, "one"), (4, None), (5, "three two one two three"),
+        (None, "four"), (6, "twofour two"),
+    ]
+    items = [(1, "two three"), (2, "Four!"), (3, "one two three four"), (4, ""), (None, "one"), (6, None), (7, "two three"), (7, "five")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for limit in (decontaminate.BROADCAST_ROWS, 0):
+        got = decontaminate.leaks(docs, bench, broadcast_rows=limit).collect()
+        assert {(r["doc_id"], r["item_id"]): r["similarity"] for r in got} == plain_leaks(rows, items) and len(got) == len({r[:2] for r in got})
+        assert {r["item_id"]: (r["start_word"], r["n_words"], r["distance"]) for r in got if r["doc_id"] == 5} == {
+            1: (3, 2, 0), None: (2, 1, 0), 7: (3, 2, 0)
+        }
+    assert {r["doc_id"] for r in decontaminate.leaks(odd, spark.createDataFrame([(1, "one two")], items_schema())).collect()} == {10}
+
+
+def items_schema():
+    return "item_id long, text string"
+
+
+def test_windows_of_edited_items(spark):
+    """No window is lost to inserted, deleted or replaced words: the best of each document is that of all windows."""
+    rows, items = [], []
+    r = random.Random(5)
+    for n in range(3000):
+        words = prose(20_000 + n, r.randrange(12, 100)).split()
+        items.append((n, " ".join(words)))
+        for k in range(r.randint(1, 3)):
+            at, kind = r.randrange(1, len(words) - 1), r.randrange(3)
+            if kind < 2:
+                words[at : at + r.choice((0, 1, 1, 2)) * kind] = []
+            if kind != 1:
+                words[at:at] = [f"new{n}n{k}n{j}" for j in range(r.randint(1, 3))]
+        lead, tail = r.choice((0, 9)), r.choice((0, 0, 9))
+        rows.append((n, " ".join([prose(40_000 + n, lead), *words, prose(60_000 + n, tail)])))
+    want = {}
+    for row, item in zip(rows, items, strict=True):
+        want |= {d: v for (d, _), v in plain_leaks([row], [item]).items()}
+    found = decontaminate.items_of(spark.createDataFrame(items, items_schema()))
+    windows = decontaminate.windows_of(spark.createDataFrame(rows, "doc_id long, text string"), decontaminate.anchors_of(found, 0.8), 10**6)
+    best = windows.join(found, (F.col("doc_id") == F.col("item_id")) & (windows["m"] == found["m"])).groupBy("doc_id").agg(
+        F.max(decontaminate.weighted_similarity("window", "item_shingles")).alias("best")
+    )
+    got = {x["doc_id"]: x["best"] for x in best.filter("best >= 0.8").collect()}
+    assert len(want) > 900 and {d: round(v, 9) for d, v in got.items()} == {d: round(v, 9) for d, v in want.items()}
 
 
 def test_decontamination_of_nothing(spark, nothing, odd):
