@@ -24,7 +24,7 @@ WORDS = "regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+')"
 OP1 = rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, * FROM (SELECT DISTINCT doc_id, {WORDS} AS w FROM documents) z),
 items AS (SELECT row_number() OVER () AS bid, * FROM (SELECT DISTINCT item_id, {WORDS} AS w FROM benchmark) z WHERE len(w) > 0),
-b AS (SELECT *, CAST(floor((len(w) - 4) * 0.2 + 1e-9) AS INTEGER) AS slack FROM items WHERE len(w) >= 5),
+b AS (SELECT * FROM items WHERE len(w) >= 5),
 short AS (SELECT item_id, len(w) AS k, array_to_string(w, ' ') AS s FROM items WHERE len(w) < 5),
 parts AS (
   SELECT rid, doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS s
@@ -32,9 +32,7 @@ parts AS (
 ),
 ds AS (SELECT rid, i, array_to_string(w[i:i + 4], ' ') AS s FROM d, unnest(range(1, len(w) - 3)) t(i)),
 bs AS (SELECT bid, len(w) - 4 AS n, i, array_to_string(w[i:i + 4], ' ') AS s FROM b, unnest(range(1, len(w) - 3)) t(i)),
-starts AS (
-  SELECT DISTINCT rid, bid, n, ds.i - bs.i + x AS start FROM ds JOIN bs USING (s) JOIN b USING (bid), unnest(range(-slack, slack + 1)) t(x)
-),
+starts AS (SELECT DISTINCT rid, bid, n, ds.i - bs.i AS start FROM ds JOIN bs USING (s)),
 windows AS (
   SELECT rid, bid, n, start, s, count(*) AS c FROM starts JOIN ds USING (rid) WHERE i > start AND i <= start + n GROUP BY ALL
 ), item AS (SELECT bid, s, count(*) AS c FROM bs GROUP BY ALL),

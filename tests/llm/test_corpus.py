@@ -320,7 +320,7 @@ def test_windows_of_edited_items(spark):
     for row, item in zip(rows, items, strict=True):
         want |= {d: v for (d, _), v in plain_leaks([row], [item]).items()}
     found = decontaminate.items_of(spark.createDataFrame(items, items_schema()))
-    windows = decontaminate.windows_of(spark.createDataFrame(rows, "doc_id long, text string"), decontaminate.anchors_of(found, 0.8), 10**6)
+    windows = decontaminate.windows_of(spark.createDataFrame(rows, "doc_id long, text string"), decontaminate.anchors_of(found, 0.8, moved=True), 10**6)
     best = windows.join(found, (F.col("doc_id") == F.col("item_id")) & (windows["m"] == found["m"])).groupBy("doc_id").agg(
         F.max(decontaminate.weighted_similarity("window", "item_shingles")).alias("best")
     )
