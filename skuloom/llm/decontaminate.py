@@ -6,16 +6,15 @@ occurrences by the sum of the larger; from `THRESHOLD` on the document leaks the
 
 1. Windows are cut where they can match. A window of similarity t lacks at most a share 1 - t of the item's shingles, so
    one of any (1 - t) * n + 1 of them stands in it; so many anchors are taken per item, those of least hash, and a window
-   is laid where a document has an anchor at one of the anchor's places in the item; with `moved`, also at the starts on
-   both sides to which inserted or deleted words can move it (`slack`). Windows reaching over an end are clipped.
+   is laid where a document has an anchor at one of the anchor's places in the item, and at the starts on both sides to
+   which inserted or deleted words can move it (`slack`; none with `moved` off). Windows reaching over an end are clipped.
 2. Every window and every item gets a 64-bit SimHash. Fingerprints are cut into 8 blocks of 8 bits; of two within
    `RADIUS` (15) bits one block differs by one bit at most, so blocks with their one-bit neighbours, listed on the side of
    the items, find all fingerprints within the radius.
 3. The similarity is computed from the full shingles of window and item.
 
-Step 1 loses no window that lies on the item word for word but for replaced words. Where words are inserted or deleted, the
-best window may start between two anchors' starts; only `moved` lays that too, with some 2 * (1 - t) * n windows for one.
-Where parts of an item change places, either may find a lesser window of it. SimHash is the one step with a chance: at a similarity of
+Step 1 loses no window that holds the item with words replaced, inserted or deleted, at the price of some 2 * (1 - t) * n
+windows for one. Where parts of an item change places, it may find a lesser window of it. SimHash is the one step with a chance: at a similarity of
 exactly 0.8 about 2 in 100 pairs differ by more than 15 bits, at 0.9 fewer than 1 in 1000, and equal texts never.
 
 An item of one to four words is a single shingle of all its words. A window of as many words is one too: its fingerprint
@@ -111,7 +110,7 @@ def slack(m: Column, threshold: float) -> Column:
     return F.floor((m - NGRAM + 1) * (1 - threshold) + 1e-9).cast("int")
 
 
-def anchors_of(items: DataFrame, threshold: float, moved: bool = False) -> DataFrame:
+def anchors_of(items: DataFrame, threshold: float, moved: bool = True) -> DataFrame:
     """Distinct (shingle, m, place) by which windows are laid: a shingle's places in the item, `moved` by up to the slack."""
     ordered = F.array_sort(F.array_distinct("item_shingles"))
     # a share 1 - threshold of all shingles, repeated ones included, may be missing
@@ -183,7 +182,7 @@ def short_leaks(docs: DataFrame, benchmark: DataFrame, broadcast_rows: int) -> D
 
 
 def leaks(
-    docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, broadcast_rows: int = BROADCAST_ROWS, moved: bool = False
+    docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, broadcast_rows: int = BROADCAST_ROWS, moved: bool = True
 ) -> DataFrame:
     """(doc_id, item_id, similarity, start_word, n_words, distance): the best window of each pair."""
     items = checkpointed(items_of(benchmark))

@@ -32,12 +32,15 @@ parts AS (
 ),
 ds AS (SELECT rid, i, array_to_string(w[i:i + 4], ' ') AS s FROM d, unnest(range(1, len(w) - 3)) t(i)),
 bs AS (SELECT bid, len(w) - 4 AS n, i, array_to_string(w[i:i + 4], ' ') AS s FROM b, unnest(range(1, len(w) - 3)) t(i)),
-starts AS (SELECT DISTINCT rid, bid, n, ds.i - bs.i AS start FROM ds JOIN bs USING (s)),
+starts AS (
+  SELECT DISTINCT rid, bid, n, unnest(range(lag - slack, lag + slack + 1)) AS start
+  FROM (SELECT rid, bid, n, ds.i - bs.i AS lag, CAST(floor(n * 0.2 + 1e-9) AS BIGINT) AS slack FROM ds JOIN bs USING (s))
+),
 windows AS (
   SELECT rid, bid, n, start, s, count(*) AS c FROM starts JOIN ds USING (rid) WHERE i > start AND i <= start + n GROUP BY ALL
 ), item AS (SELECT bid, s, count(*) AS c FROM bs GROUP BY ALL),
 both_sides AS (
-  SELECT rid, w.bid, n, start, sum(w.c) AS size, sum(coalesce(least(w.c, item.c), 0)) AS common
+  SELECT rid, w.bid, n, start, sum(w.c) AS size, sum(CASE WHEN item.c IS NULL THEN 0 ELSE least(w.c, item.c) END) AS common
   FROM windows w LEFT JOIN item ON w.bid = item.bid AND w.s = item.s GROUP BY ALL
 ), matched AS (
   SELECT doc_id, item_id, n + 4 AS n_words, start, CAST(common AS DOUBLE) / CAST(size + n - common AS DOUBLE) AS similarity
