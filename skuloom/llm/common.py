@@ -77,6 +77,12 @@ def light_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def map_rows(df: DataFrame, function: Callable) -> DataFrame:
+    """mapInArrow from whole rows to rows of the same columns, which it sees by position: their names may hold dots."""
+    plain = light_batches(df).toDF(*(f"c{i}" for i in range(len(df.columns))))
+    return plain.mapInArrow(function, plain.schema).toDF(*df.columns)
+
+
 @functools.lru_cache(maxsize=1)
 def _heap_trimmer():
     return getattr(ctypes.CDLL(None), "malloc_trim", None)

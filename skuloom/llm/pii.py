@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skuloom.llm.common import light_batches, slices
+from skuloom.llm.common import light_batches, map_rows, slices
 
 KINDS = ("email", "ip", "card", "phone")
 EXAMPLES = 150
@@ -524,4 +524,4 @@ def redact(docs: DataFrame, column: str = "text") -> DataFrame:
             texts = [None if t is None else masked(t, held.value) for t in batch.column(place).to_pylist()]
             yield batch.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type))
 
-    return light_batches(docs).mapInArrow(run, docs.schema)
+    return map_rows(docs, run)

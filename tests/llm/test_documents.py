@@ -1,6 +1,7 @@
 """Operators that look at one document at a time, against plain versions."""
 
 import hashlib
+import itertools
 import re
 import struct
 import zlib
@@ -9,12 +10,14 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from .conftest import by_row, odd_documents, prose
 from skuloom.llm import bpe, factorisation, language_id, pii, quality_rules, token_counts
+from skuloom.llm.common import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -226,6 +229,59 @@ def test_language_is_learned_outside_the_fold_only(spark):
     assert language_id.trained(swapped) == language_id.trained(docs)
 
 
+def plain_language(text, known, margin):
+    """Every text against every dictionary, with a new compressor each time."""
+    text = text or ""
+    words = ["".join(run) for letter, run in itertools.groupby(text.lower(), lambda c: c.isalnum() and not c.isdigit()) if letter]
+    if not any(map(str.isalpha, text)):
+        return "und", True
+    flat = " ".join(w for w, _ in itertools.groupby(words))
+    sizes = {}
+    for lang, raw in known:
+        settings = zstandard.ZstdCompressionParameters(
+            window_log=18, chain_log=17, hash_log=17, search_log=3, min_match=4, target_length=32,
+            strategy=zstandard.STRATEGY_LAZY, write_content_size=False, write_checksum=False, write_dict_id=False,
+        )
+        content = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        content.precompute_compress(compression_params=settings)
+        sizes[lang] = sum(
+            len(zstandard.ZstdCompressor(compression_params=settings, dict_data=content).compress(flat[at : at + 8192].encode()))
+            for at in range(0, len(flat), 8192)
+        )
+    first, second = sorted(sizes.values())[:2]
+    return min(sizes, key=sizes.get), second - first < 2 or second - first < margin * len(flat.encode())
+
+
+def test_language_is_the_smallest_of_all(spark):
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    known = language_id.trained(docs)
+    margin = language_id.margin_of(known)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    got = {r["doc_id"]: (r["lang_pred"], r["rejected"]) for r in language_id.language_id(docs, known).collect()}
+    assert got == {i: plain_language(t, known, margin) for i, t in texts.items()}
+
+
+def test_languages_that_are_not_learned_are_rejected(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    known = language_id.trained(docs)
+    held = docs.filter((language_id.fold() == 0) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}{20}|(\p{L}+\W+){8}"))
+    assert language_id.MARGIN < language_id.margin_of(known) < 0.1
+    found = language_id.language_id(held, known, keep=("lang",)).collect()
+    right = [r["rejected"] for r in found if r["lang"] == r["lang_pred"]]
+    assert len(right) > 100 and sum(right) <= 0.02 * len(right)
+    told = []
+    for lang, _ in known:
+        others = tuple(k for k in known if k[0] != lang)
+        own = held.filter(F.col("lang") == lang)
+        told += [r["rejected"] for r in language_id.language_id(own, others, margin=language_id.margin_of(known)).collect()]
+    assert len(told) > 100 and sum(told) >= 0.85 * len(told)
+
+
+def test_margin_of_few_texts_is_the_default():
+    assert language_id.margin_of((("a", b"one two"), ("b", b"three"))) == language_id.MARGIN
+    assert language_id.margin_of((("a", b"one two"),)) == language_id.MARGIN and language_id.margin_of(()) == language_id.MARGIN
+
+
 # --- quality by factorisation
 
 

@@ -74,6 +74,20 @@ def test_one_row_of_each_group_stays(spark):
     assert [r[2] for r in got if r[0] == 4] == ["aa"]
 
 
+@pytest.mark.parametrize("name", list(STAGES)[:-1])
+def test_stages_keep_other_columns(spark, name):
+    rows = [r for r in odd_documents() if r[0] not in (8, 9)]
+    names = ("__r", "__h", "__nth", "__rank", "__hash", "__id", "rank", "hash", "nth", "id", "leak", "leak_hash", "row", "a.b")
+    docs = spark.createDataFrame(rows, SCHEMA).selectExpr(
+        "*", *(f"concat('{c}', coalesce(doc_id, 0)) AS `{c}`" for c in names), "map('k', doc_id) AS pairs", "array(map('k', doc_id)) AS deep"
+    )
+    got = STAGES[name](spark, docs, SF)
+    assert got.columns == docs.columns and got.schema.simpleString() == docs.schema.simpleString()
+    for r in got.collect():
+        i = r["doc_id"]
+        assert all(r[c] == f"{c}{i or 0}" for c in names) and r["pairs"] == {"k": i} and r["deep"] == [{"k": i}]
+
+
 def test_leaks_without_an_id_take_no_others_along(spark):
     item = table(spark, SF, "benchmark").first()["text"]
     rows = [(None, f"{prose(5, 40)} {item}", "en", "s", 1), (None, prose(6, 40), "en", "s", 1), (1, prose(7, 40), "en", "s", 1)]
