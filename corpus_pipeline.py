@@ -1,13 +1,18 @@
 """A corpus pipeline: language ID, near-duplicates, decontamination, personal data, tokens.
 
 Each stage takes what its predecessor kept, as written, and its decisions take effect. All but the last return the
-columns of documents.
+columns of documents, under their names and of their types, whatever others the table has.
+
+A document without a text or a letter has no language and goes with the first stage; texts without a word are in no group of
+copies and hold no item. Of a group the smallest id stays, a null id being the greatest; of rows that share id and text the
+first by their other columns, so repeated rows become one. Null ids are documents like others. Empty tables give none.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skuloom.llm import bpe, decontaminate, language_id, ngram_join, pii
 from skuloom.llm.common import LAST, own_folder, table, text_or_empty
@@ -20,26 +25,37 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language_id.accepted(docs, known)
 
 
+def as_rows(docs: DataFrame, **more: Column) -> DataFrame:
+    """Whole documents as the column `row`, beside columns that cannot clash with theirs."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *(x.alias(n) for n, x in more.items()))
+
+
+def sortable(field: T.StructField) -> Column:
+    """A column by which rows can be ordered: maps have no order, their text has."""
+    column = F.col("row").getField(field.name)
+    unordered = any(kind in field.dataType.simpleString() for kind in ("map<", "variant"))
+    return F.to_json(F.struct(column)) if unordered else column
+
+
 def unlike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group: that with the smallest id, of repeated rows the first by its other columns."""
     found = ngram_join.similarity_join(docs).filter("first")
-    first = found.select(F.col("rank").alias("__rank"), F.col("hash").alias("__hash")).distinct()
-    own = docs.withColumns(
-        {"__r": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), "__h": F.xxhash64(text_or_empty())}
-    )
-    kept = own.join(first, (F.col("__r") == F.col("__rank")) & (F.col("__h") == F.col("__hash")), "left_semi")
-    others = [c for c in docs.columns if c != "text"]
-    nth = F.row_number().over(Window.partitionBy("__r", "__h").orderBy(*others))
-    return kept.withColumn("__nth", nth).filter(F.col("__nth") == 1).select(*docs.columns)
+    first = found.select("rank", "hash").distinct()
+    own = as_rows(docs, rank=F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), hash=F.xxhash64(text_or_empty()))
+    kept = own.join(first, ["rank", "hash"], "left_semi")
+    others = [sortable(f) for f in docs.schema if f.name != "text"]
+    nth = F.row_number().over(Window.partitionBy("rank", "hash").orderBy(*others))
+    return kept.withColumn("nth", nth).filter(F.col("nth") == 1).select("row.*")
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a benchmark item."""
     own = F.struct("doc_id", F.xxhash64(text_or_empty()).alias("hash"))
     found = decontaminate.leaks(docs.select(own.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
-    leaking = found.select(F.col("doc_id.doc_id").alias("__id"), F.col("doc_id.hash").alias("__hash")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64(text_or_empty()) == F.col("__hash"))
-    return docs.join(leaking, same, "left_anti")
+    leaking = found.select(F.col("doc_id.doc_id").alias("leak"), F.col("doc_id.hash").alias("leak_hash")).distinct()
+    rows = as_rows(docs, id=F.col("doc_id"), hash=F.xxhash64(text_or_empty()))
+    same = F.col("id").eqNullSafe(F.col("leak")) & (F.col("hash") == F.col("leak_hash"))
+    return rows.join(leaking, same, "left_anti").select("row.*")
 
 
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
