@@ -119,6 +119,17 @@ BOTH = "(SELECT * FROM purchase_history UNION ALL SELECT * FROM purchase_current
 add("s1_first_of_export", "SELECT p_brand, min(p_partkey) AS p_partkey, CAST(NULL AS DOUBLE) AS missing FROM part GROUP BY 1")
 add("s2_read_bundle", "SELECT n_nationkey, n_name FROM nation")
 add("s5_discover", "SELECT l_orderkey, l_linenumber FROM lineitem")
+add(
+    "s1_first_of_landed_csv",
+    """SELECT l_partkey, l_orderkey, l_linenumber, l_quantity FROM lineitem
+    QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_quantity) = 1""",
+)
+add(
+    "s4_missing_tokens",
+    """SELECT CAST(p_partkey AS VARCHAR) AS p_partkey,
+    CASE p_type WHEN 'PROMO' THEN 'NA' WHEN 'LARGE' THEN NULL WHEN 'SMALL' THEN 'nan' ELSE p_type END AS p_type FROM part""",
+)
+add("s6_promoted_header", "SELECT CAST(p_partkey AS VARCHAR) AS part, p_brand AS brand FROM part")
 add("s6_positional", "SELECT s_name AS shop, s_suppkey AS shop_id FROM supplier")
 
 add("s3_pruned_read", "SELECT l_partkey, l_quantity FROM lineitem")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +24,7 @@ from skuloom.operators import projection as P
 from skuloom.operators import reshape as R
 from skuloom.operators import windows as W
 from skuloom.sources import readers
+from skuloom.sources.ordered_text import land
 from skuloom.plans import ageing, catalog, listing, live, purchase, returns, sales, sellers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,6 +121,41 @@ def s5_discover(x):
     return readers.read_table(x.spark, path, columns=["l_orderkey", "l_linenumber"])
 
 
+def _as_csv(x, df, **options):
+    """The rows as CSV files in the shared folder, in their order."""
+    path = f"{B.shared_folder(x.spark)}/csv-{uuid.uuid4().hex}"
+    df.write.options(**{"header": True, "emptyValue": "", **options}).csv(path)
+    return path
+
+
+@operator
+def s1_first_of_landed_csv(x):
+    """The first line of every part in the order of CSV files, which are landed with the place of every row."""
+    lines = x.raw("lineitem").select("l_partkey", "l_orderkey", "l_linenumber", "l_quantity")
+    path = _as_csv(x, lines.orderBy("l_orderkey", "l_linenumber", "l_quantity", "l_partkey"))
+    schema = T_.StructType([lines.schema[c] for c in lines.columns]).add("_ord", "long")
+    landed = land(x.spark, path, path.replace("/csv-", "/landed-"))
+    return W.keep_one(readers.read_table(x.spark, landed, schema), ["l_partkey"], ["_ord"]).drop("_ord")
+
+
+@operator
+def s4_missing_tokens(x):
+    """Only an empty cell of a CSV export is missing; NA and nan are texts."""
+    marked = x.raw("part").selectExpr(
+        "p_partkey", "p_name", "CASE p_type WHEN 'PROMO' THEN 'NA' WHEN 'LARGE' THEN '' WHEN 'SMALL' THEN 'nan' ELSE p_type END AS p_type"
+    )
+    return readers.read_table(x.spark, _as_csv(x, marked), columns=["p_partkey", "p_type"], fmt="csv")
+
+
+@operator
+def s6_promoted_header(x):
+    """Column names from the second row of an export, below its title."""
+    top = x.spark.createDataFrame([(0, "stock list", None, None), (1, " part ", "brand\u3000", "rest")], "n long, a string, b string, c string")
+    rows = x.raw("part").selectExpr("p_partkey + 2", "CAST(p_partkey AS STRING)", "p_brand", "p_type")
+    path = _as_csv(x, top.union(rows).orderBy("n").drop("n"), header=False, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return readers.promote_header(x.spark, path, row=1, first_columns=2).drop("_ord")
+
+
 @operator
 def s6_positional(x):
     return readers.positional(x.raw("supplier"), [1, 0], ["shop", "shop_id"])

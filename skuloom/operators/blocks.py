@@ -11,7 +11,7 @@ import re
 import tempfile
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skuloom.functions.numeric import WORDS, finite, joined, split_columns
@@ -20,14 +20,20 @@ BLOCK_ROWS = 1_000_000
 BLOCK, TIE = "_block", "_tie"
 
 
-def written(df: DataFrame) -> DataFrame:
-    """The rows as they are now, read back from the shared folder. Only a local session may make a folder of its own."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir. Only a local session may make one of its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="skuloom-"))
+        folder = tempfile.mkdtemp(prefix="skuloom-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The rows as they are now, read back from the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

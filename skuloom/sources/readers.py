@@ -12,8 +12,7 @@ from pyspark.sql import types as T
 from skuloom.functions.text import WHITESPACE
 from skuloom.operators.projection import conform
 from skuloom.schemas import EXPORT_HEADERS, TABLES
-
-ORDER = "_ord"
+from skuloom.sources.ordered_text import ORDER, text_rows
 
 
 def read_table(
@@ -68,15 +67,14 @@ def load_inputs(
 def with_order(df: DataFrame) -> DataFrame:
     """Stamp the ingest position of every row: by file, then by place in the file.
 
-    In parquet both are properties of the row, so that a filter still reaches the scan. A text file counts rows within
-    the blocks in which it is read.
+    Both are properties of the row. In parquet a filter still reaches the scan; for text, whose rows are counted first,
+    it does so once the export has been landed (`ordered_text.land`).
     """
     file = F.col("_metadata.file_path").alias("file")
     try:
         return df.select("*", F.struct(file, F.col("_metadata.row_index").alias("row")).alias(ORDER))
     except AnalysisException:
-        block = F.col("_metadata.file_block_start").alias("block")
-        return df.select("*", F.struct(file, block, F.monotonically_increasing_id().alias("row")).alias(ORDER))
+        return text_rows(df)
 
 
 def discover(spark: SparkSession, folder: str, include: str, exclude: str | None = None) -> str:
@@ -102,22 +100,21 @@ def discover(spark: SparkSession, folder: str, include: str, exclude: str | None
 def promote_header(
     spark: SparkSession, path: str, row: int, first_columns: int | None = None
 ) -> DataFrame:
-    """CSV file whose row number `row` (from 0) holds the column names.
+    """CSV file, or files in the order of their names, whose row number `row` (from 0) holds the column names.
 
     The rows above are dropped, names are stripped, and only the first columns
     are kept if asked. The rows up to `row` travel to the driver. Cells stay text;
-    `_ord` keeps the order of the file.
+    `_ord` keeps the order of the files.
     """
     raw = with_order(spark.read.csv(path, header=False, nullValue=""))
-    # a limit without an order reads the start of the first block
-    top = raw.filter(F.col(f"{ORDER}.block") == 0).limit(row + 1).collect()
+    top = raw.orderBy(ORDER).limit(row + 1).collect()
     if len(top) <= row:
         raise ValueError(f"{path} has no row {row}")
     header = top[row]
     cells = [c for c in raw.columns if c != ORDER][:first_columns]
     names = [header[c].strip(WHITESPACE) if header[c] is not None else f"column_{i}" for i, c in enumerate(cells)]
     at = header[ORDER]
-    after = (F.col(f"{ORDER}.block") > at["block"]) | (F.col(f"{ORDER}.row") > at["row"])
+    after = F.col(ORDER) > F.struct(F.lit(at["file"]).alias("file"), F.lit(at["row"]).alias("row"))
     return raw.filter(after).select(*[F.col(c).alias(n) for c, n in zip(cells, names)], ORDER)
 
 

@@ -11,7 +11,7 @@ from skuloom import schemas
 from skuloom.functions.dates import Session
 from skuloom.operators.windows import keep_one
 from skuloom.plans import live, sellers, workbook
-from skuloom.sources import readers, writers
+from skuloom.sources import ordered_text, readers, writers
 
 SF = "/root/testdata/sf0.001"
 
@@ -97,6 +97,38 @@ def test_order_follows_the_files(spark, tmp_path):
     assert [r["v"] for r in df.orderBy("_ord").collect()] == ["first", *map(str, range(50))]
 
 
+@pytest.mark.parametrize("split", ["64b", "1k", "128m"])
+def test_order_of_text_does_not_hang_on_the_splits(spark, tmp_path, split):
+    for name, first, n in (("02.csv", 200, 300), ("01.csv", 0, 200), ("03.csv", 500, 1)):
+        write(tmp_path / "d" / name, "k,v\n" + "".join(f"{'x' * (i % 7)},{i}\n" for i in range(first, first + n)))
+    write(tmp_path / "d" / "00.csv", "k,v\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        raw = spark.read.csv(str(tmp_path / "d"), header=True)
+        assert raw.rdd.getNumPartitions() > 3 or split != "64b"
+        want = [(f"0{1 + (i >= 200) + (i >= 500)}.csv", i - (200 if i >= 200 else 0) - (300 if i >= 500 else 0), str(i)) for i in range(501)]
+
+        def told(df):
+            return [(r["_ord"]["file"].rsplit("/", 1)[1], r["_ord"]["row"], r["v"]) for r in df.orderBy("_ord").collect()]
+
+        rows = ordered_text.text_rows(raw)
+        assert told(rows) == want
+        # the same places where a filter takes most rows away
+        assert told(rows.filter("v % 50 = 7")) == [w for w in want if int(w[2]) % 50 == 7]
+        schema = T.StructType().add("k", "string").add("v", "long").add("_ord", "long")
+        landed = ordered_text.land(spark, str(tmp_path / "d"), str(tmp_path / "landed"))
+        df = readers.read_table(spark, landed, schema).filter("k = 'xxx'")
+        assert "EqualTo(k,xxx)" in df._jdf.queryExecution().executedPlan().toString()
+        assert [(f, n, str(v)) for f, n, v in told(df)] == [w for w in want if int(w[2]) % 7 == 3]
+        assert df.filter("v = 3").count() == 1 and readers.read_table(spark, landed).filter("k IS NULL").count() == 72
+        assert readers.read_table(spark, landed, schema).dtypes[:2] == [("k", "string"), ("v", "bigint")]
+        found = readers.promote_header(spark, str(tmp_path / "d"), row=1)
+        assert found.columns[:2] == ["k", "v"] and [r["v"] for r in found.orderBy("_ord").limit(2).collect()] == ["0", "1"]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_filters_reach_the_scan_through_the_reader(spark, tmp_path):
     x = Inputs(spark, SF)
     base = str(tmp_path / "in")
