@@ -114,6 +114,12 @@ def test_no_block_is_larger_than_asked_by_much(spark):
     assert max(sizes) <= 1500 and sum(sizes) == 5000
 
 
+def test_blocks_are_few_where_they_are_small(spark):
+    df = spark.range(1500).select(F.lit("all").alias("k"), F.col("id").alias("d"))
+    assert B.in_blocks(df, ["k", "d"], 1).rdd.getNumPartitions() <= 512
+    assert sorted(r["position"] for r in B.row_positions(df, ["d"], block_rows=1).collect()) == list(range(1, 1501))
+
+
 def test_blocks_need_a_shared_folder_on_a_cluster(spark, monkeypatch):
     class Context:
         master = "spark://host:7077"
@@ -161,6 +167,25 @@ def test_span_join(spark, widths):
     assert {x[2] for x in plain_spans(rows, spans)} >= {None, "edge"}
 
 
+def test_spans_that_overlap_all_along(spark):
+    r, day = random.Random(8), dt.datetime(2024, 2, 28)
+    spans = []
+    for i in range(400):
+        start = day + dt.timedelta(seconds=r.randrange(86400), microseconds=r.randrange(3))
+        spans.append((f"s{i}", start, start + dt.timedelta(hours=r.choice((0, 1, 20, 50))), r.randrange(300), i % 2))
+    # a date far off does not make the buckets wide
+    spans.append(("far", day - dt.timedelta(days=90_000), day - dt.timedelta(days=89_999), 1, 1))
+    rows = [(day + dt.timedelta(seconds=r.randrange(-3600, 4 * 86400)), r.choice((0, 1, None))) for _ in range(200)]
+    table = spark.createDataFrame(spans, "label string, start timestamp_ntz, end timestamp_ntz, _ord int, g int")
+    got = I.span_join(spark.createDataFrame(rows, "at timestamp_ntz, k int"), "at", table, {"label": "session"}, on={"k": "g"})
+    want = [x for g in (0, 1) for x in plain_spans([y for y in rows if y[1] == g], [s[:4] for s in spans if s[4] == g])]
+    assert sorted(map(str, (tuple(x) for x in got.collect()))) == sorted(map(str, [*want, *((*y, None) for y in rows if y[1] is None)]))
+    # no list holds the spans that lie over its whole bucket
+    own = table.select("label", F.struct("label").alias("_span"), I._micros(F.col("start")).alias("_from"), I._micros(F.col("end")).alias("_to"))
+    lists = I._lists(own, [], round(I.widths_of(table, "start", "end")[0] * I.MICROS))
+    assert lists.agg(F.max(F.size("_spans"))).first()[0] <= 4 * I.ENDS
+
+
 def test_span_join_of_no_spans(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1),)], "at timestamp_ntz")
     table = spark.createDataFrame([], "label string, start timestamp_ntz, end timestamp_ntz, _ord int")
