@@ -141,6 +141,28 @@ def test_composite_keys(spark, rows):
     assert got == [("a", 1, None)] * 5 + [("a", None, "x")] * 5 + [(None, None, "y")] * 5
 
 
+def test_chained_lookup_gives_the_rows_of_two(spark, rows):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4), ("z", 5)], "k string, id int")
+    first = spark.createDataFrame([("a", "x"), ("a", "y"), ("a", "y"), ("b", None), (None, "x"), ("c", "q")], "code string, s string")
+    second = spark.createDataFrame([("x", "red"), ("x", "blue"), (None, "grey"), (None, "pink")], "s string, color string")
+    two = J.lookup(J.lookup(df, first, {"k": "code"}, {"s": "sku"}), second, {"sku": "s"}, ["color"])
+    one = J.chained_lookup(df, first, {"k": "code"}, {"s": "sku"}, second, {"sku": "s"}, ["color"])
+    assert one.columns == two.columns and rows(one) == rows(two)
+    assert one.filter("k IS NULL").count() == 2
+
+
+def test_shop_lines_are_as_many_as_their_skcs(spark):
+    listings = spark.createDataFrame(
+        [("vip", "Vipapis", f"N{i % 2}", "old", f"s{i}", i % 2) for i in range(20)],
+        "shop string, site string, online_style string, system_style string, system_sku string, is_listed int",
+    )
+    catalog = spark.createDataFrame([("S", f"s{i}", "red", f"N{i % 2}") for i in range(50)], "style_code string, sku string, color string, national_code string")
+    x = {"listings": listings, "catalog": catalog}
+    assert listing._shop_lines(x, "vip").count() == 2
+    assert [(r["skc"], list(r["listed"].values())) for r in listing.listing_maps(x, "vip").collect()] == [("Sred", [1])]
+    assert listing.listing_lines(x | {"listings": listings.withColumn("_ord", F.lit(0))}, "vip").count() == 500
+
+
 def test_keep_matching_is_null_safe(spark, rows):
     df = spark.createDataFrame([("a",), (None,), ("b",)], "k string")
     keys = spark.createDataFrame([("a",), ("a",), (None,)], "j string")
