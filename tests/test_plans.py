@@ -78,3 +78,9 @@ def test_return_rates_shuffle_twice(spark):
 def test_facts_are_read_once(spark, name, reads):
     text = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert len(re.findall(r"Relation \[l_orderkey", text)) <= reads
+
+
+def test_refund_curve_sums_over_one_window(spark):
+    # the running sum; totals by category and by delay come from the aggregation
+    text = plan(QUERIES["q15_refund_curve"](spark, SF))
+    assert len(re.findall(r"[+\-*:( ]Window \[", text)) == 1
