@@ -50,3 +50,54 @@ def test_board_counts_orders_without_a_scan_task_that_holds_them_all(tables):
 
 def test_tasks_grow_with_the_rows():
     assert [X.tasks_for(n) for n in (0, 1, 200_000, 200_001, 216_000_000)] == [1, 1, 1, 2, 1080]
+
+
+def exchanges(df, *texts):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and all(t in line for t in texts)]
+
+
+def test_lead_time_shuffles_parts_and_means_once(spark):
+    from checks.queries import QUERIES
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = QUERIES["q16_po_lead_time"](spark, "/root/testdata/sf0.001")
+        # the groups and the lines by code, the windows by order and by code: no join shuffles parts or means anew
+        assert len(exchanges(out, "po_sku")) <= 2 and not exchanges(out, "coalesce(po_skc")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_sales_detail_joins_the_module_before_texts_are_cut(tables):
+    from checks.queries import QUERIES
+
+    out = QUERIES["q08_sales_detail"](tables.spark, "/root/testdata/sf0.001")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    # the first cut of a colour stands above the join of the module
+    cut, join = plan.find("substring_index(color_spec"), plan.find("Join LeftOuter")
+    assert 0 <= cut < join
+
+
+@pytest.mark.parametrize("n", [None, 1, 900_000])
+def test_sums_of_dealt_lines(spark, rows, n):
+    from skuloom.plans.catalog import skc_sums
+
+    lines = [(f"d{k % 3}" if k % 5 else None, (" sku1", "SKU1 ", None, "sku2")[k % 4], None if k % 6 == 0 else k / 8) for k in range(90)]
+    lines = spark.createDataFrame(lines, "date string, sku string, qty double")
+    catalog = spark.createDataFrame([("sku1", "A", "red"), ("SKU1", "A", "red"), ("sku2", "B", None), (None, "C", "blue")], "sku string, style_code string, color string")
+    got = skc_sums(lines, catalog, ["date"], ["qty"], n)
+    plain = skc_sums(lines, catalog, ["date"], ["qty"])
+    assert rows(got) == rows(plain) and plain.count() > 3
+    assert ("REPARTITION_BY_NUM" in got._jdf.queryExecution().executedPlan().toString()) == (n is not None)
+
+
+@pytest.mark.parametrize("n", [None, 1, 900_000])
+def test_first_of_dealt_rows(spark, rows, n):
+    from skuloom.operators.windows import keep_one
+
+    data = spark.createDataFrame([(None if k % 2 else k % 7, ("f", 97 - k), k) for k in range(98)], "k int, _ord struct<file:string,row:int>, v int")
+    got = keep_one(data, ["k"], ["_ord"], rows=n)
+    assert rows(got, "k", "v") == rows(keep_one(data, ["k"], ["_ord"]), "k", "v")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and ("REPARTITION_BY_NUM" in plan) == (n is not None)
