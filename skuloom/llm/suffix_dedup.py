@@ -238,13 +238,16 @@ def merge(chunks: list[int], blobs: list[bytes]) -> dict[int, tuple[np.ndarray,
     inner = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
     gone = smallest[offsets[fragment[row]] + inner] < ids[row]
     row, inner = row[gone], inner[gone]
-    result = {}
-    for k in np.unique(shard[row]):
-        own = shard[row] == k
-        p, a = place[row[own]], start[row[own]] + inner[own]
-        order = np.lexsort((a, p))
-        result[chunks[k]] = ranges_of(p[order], a[order])
-    return result
+    # as the shards follow one another and each sent its fragments in order, so do the windows: one pass serves all shards
+    shard, place, at = shard[row], place[row], start[row] + inner
+    docs = S.runs(shard, place)
+    doc, begin, end = ranges_of(np.repeat(np.arange(len(docs)), S.lengths(docs, len(row))), at)
+    shard, place = shard[docs][doc], place[docs][doc]
+    first = S.runs(shard)
+    return {
+        chunks[shard[lo]]: (place[lo:hi], begin[lo:hi], end[lo:hi])
+        for lo, hi in zip(first.tolist(), np.append(first[1:], len(shard)).tolist(), strict=True)
+    }
 
 
 def cut(shard: Shard, answers: pa.Table) -> tuple[list[list[tuple[int, int]]], list[bytes]]:

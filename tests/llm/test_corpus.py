@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -92,6 +93,28 @@ def test_suffix_dedup(spark, sizes):
     assert by_row(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == plain_dedup(rows)
 
 
+def test_merge_of_many_shards_is_one_pass(monkeypatch):
+    common = bytes(np.random.default_rng(3).integers(97, 123, 75, np.uint8))
+    blobs, want, passes = [], {}, []
+    shards = range(300)
+    for k in shards:
+        # three documents: one with a part of the common string, one with all of it twice, one of its own
+        own = bytes(np.random.default_rng(1000 + k).integers(65, 91, 60, np.uint8))
+        parts = [(0, 10, 10_000 - k, common[5:70]), (2, 4, 500 - k, common), (2, 30, 500 - k, common), (5, 0, k, own)]
+        place, start, doc, body = zip(*parts, strict=True)
+        count = [len(b) - suffixes.WINDOW + 1 for b in body]
+        head = np.concatenate([[len(parts)], place, start, count, doc]).astype("<i8")
+        blobs.append(zstandard.ZstdCompressor().compress(head.tobytes() + b"".join(body)))
+        # the second document of the last shard is the first that has the common string
+        want[1000 + k] = [(0, 10, 75)] + [(2, 4, 105)] * (k != shards[-1])
+    ranges_of = suffix_dedup.ranges_of
+    monkeypatch.setattr(suffix_dedup, "ranges_of", lambda *a: passes.append(1) or ranges_of(*a))
+    found = suffix_dedup.merge([1000 + k for k in shards], blobs)
+    assert {c: list(zip(*(x.tolist() for x in r), strict=True)) for c, r in found.items()} == want
+    # not one over all windows for each shard
+    assert len(passes) == 1
+
+
 def test_suffix_dedup_of_odd_and_nothing(odd, nothing):
     got = suffix_dedup.digest(suffix_dedup.remove_repeats(odd, 5_000, 5_000, 5_000))
     want = plain_dedup([(i, t) for i, t, *_ in odd_documents()])
