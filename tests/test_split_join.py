@@ -151,6 +151,36 @@ def test_chained_lookup_gives_the_rows_of_two(spark, rows):
     assert one.filter("k IS NULL").count() == 2
 
 
+def test_the_many_rows_of_a_chained_lookup_are_dealt_into_tasks(spark, rows):
+    # 300 codes, and none, with 4 rows on one side and 5 on the other
+    code = F.when(F.col("id") % 301 > 0, F.concat(F.lit("c"), (F.col("id") % 301).cast("string")))
+    df = spark.range(1204).select(code.alias("k"), F.col("id").alias("line"))
+    first = spark.range(1505).select(code.alias("code"), F.concat(F.lit("s"), F.col("id").cast("string")).alias("s"))
+    second = first.select("s", F.when(F.col("code").isNotNull(), F.lower("s")).alias("color"))
+    shown = {"shown": F.concat("sku", F.coalesce("color", F.lit("")))}
+    two = J.lookup(J.lookup(df, first, {"k": "code"}, {"s": "sku"}), second, {"sku": "s"}, ["color"]).withColumns(shown)
+    for threshold in ("10MB", "-1"):
+        before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            one = J.chained_lookup(df, first, {"k": "code"}, {"s": "sku"}, second, {"sku": "s"}, ["color"], derive=shown)
+            assert one.columns == two.columns and rows(one) == rows(two) and one.count() == 301 * 4 * 5
+            # what is read is small enough for one task
+            assert one.select(F.spark_partition_id().alias("p")).distinct().count() > 4 * J.PRODUCT_TASKS / 2
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_product_join_of_several_and_of_other_keys(spark, rows):
+    left = spark.createDataFrame([("a", "", 1), ("a", None, 2), (None, None, 3), ("", "x", 4), ("z", "z", 5)] * 2, "k string, d string, line int")
+    right = spark.createDataFrame([("a", None, "p"), (None, None, "q"), ("", "x", "r"), ("a", "", "s"), (None, "x", "t")], "_k string, _d string, v string")
+    got = rows(J.product_join(left, right, [("k", "_k"), ("d", "_d")]).select("line", "v"))
+    assert got == sorted([(1, "s"), (2, "p"), (3, "q"), (4, "r")] * 2)
+    numbers = spark.createDataFrame([(0, 1), (None, 2), (7, 3)], "k int, line int")
+    side = spark.createDataFrame([(0, "a"), (None, "b"), (None, "c")], "_k int, v string")
+    assert rows(J.product_join(numbers, side, [("k", "_k")]).select("line", "v")) == [(1, "a"), (2, "b"), (2, "c")]
+
+
 def test_shop_lines_are_as_many_as_their_skcs(spark):
     listings = spark.createDataFrame(
         [("vip", "Vipapis", f"N{i % 2}", "old", f"s{i}", i % 2) for i in range(20)],
